@@ -89,7 +89,7 @@ def blank_to_null(c) -> Column:
 
 def safe_iso_date(c) -> Column:
     """SAFE.PARSE_DATE('%Y-%m-%d', x): lenient on one-digit month/day."""
-    return F.try_to_date(col(c), F.lit("yyyy-M-d"))
+    return F.try_to_date(col(c), "yyyy-M-d")
 
 
 def serial_date(c) -> Column:
@@ -106,7 +106,7 @@ def lenient_date(c) -> Column:
     v = strip_ws(c)
     fmts = ["yyyy-M-d", "yyyy-M-d H:mm:ss", "yyyy-M-d'T'H:mm:ss", "d/M/yyyy", "d/M/yyyy H:mm:ss",
             "d-M-yyyy", "yyyyMMdd", "yyyy/M/d"]
-    return F.coalesce(*[F.try_to_date(v, F.lit(f)) for f in fmts])
+    return F.coalesce(*[F.try_to_date(v, f) for f in fmts])
 
 
 def lenient_timestamp(c) -> Column:

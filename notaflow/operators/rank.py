@@ -29,7 +29,10 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "row_nu
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    numbered = (df.repartitionByRange(n, *order)
+    # The input is stored first: range sampling and partitioning then read
+    # files instead of re-running the (possibly expensive) upstream twice.
+    stored = df.checkpoint(eager=True)
+    numbered = (stored.repartitionByRange(n, *order)
                   .sortWithinPartitions(*order)
                   .withColumn(_PID, F.spark_partition_id())
                   .withColumn(_ID, F.monotonically_increasing_id())

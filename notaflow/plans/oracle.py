@@ -245,3 +245,158 @@ ORACLES: dict[str, str] = {
     "sales_opportunities": SALES_OPPORTUNITIES,
     "tax_recovery": TAX_RECOVERY,
 }
+
+
+# ------------------------------------------------------------- staging / marts
+# Expected staging rows, stated directly from the source tables (the adapter's
+# documents carry known keys), so the Spark document parsing is checked.
+STG_BILLING = BASE + """,
+stg_billing AS (
+  SELECT
+    'Faturamento ' || CAST(year(l_shipdate) AS VARCHAR) || '.xlsx' AS arquivo_nome,
+    'Sheet' || CAST(l_linenumber % 2 + 1 AS VARCHAR) AS aba_nome,
+    l_orderkey * 8 + l_linenumber AS linha_original,
+    c_name AS cliente,
+    CAST(l_shipdate AS DATE) AS data_emissao,
+    COALESCE(cnpj_, '') AS cnpj,
+    concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS numero_nota,
+    CAST(vl_c AS DOUBLE) / 100 AS valor_liquido,
+    CAST(vs_c AS DOUBLE) / 100 AS valor_bruto,
+    CAST(pis_c AS DOUBLE) / 100 AS honorarios,
+    item_ AS tipo_servico,
+    o_orderstatus AS situacao,
+    'C' || CAST(c_custkey % 10 AS VARCHAR) AS consultor,
+    CAST(o_orderdate AS TIMESTAMP) AS _ingestion_timestamp,
+    'b' || CAST(year(l_shipdate) AS VARCHAR) AS _ingestion_batch_id
+  FROM cents2
+  WHERE l_orderkey % 3 IN (0, 1) AND l_orderkey % 10 <> 0 AND l_orderkey % 13 <> 0
+)"""
+
+STG_COMPANIES = """
+cv AS (
+  SELECT c.c_custkey AS ck, c.c_name, n.n_name, v
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey,
+       (SELECT unnest([0, 1]) AS v) vv
+  WHERE c.c_custkey % 41 <> 0
+),
+stg_companies AS (
+  SELECT
+    'Empresas Antigas v' || CAST(v AS VARCHAR) || '.xlsx' AS arquivo_nome,
+    ck AS linha_original,
+    CASE WHEN ck % 97 = 0 THEN '' ELSE lpad(CAST(ck AS VARCHAR), 14, '0') END AS cnpj,
+    CASE WHEN v = 0 THEN c_name || ' (antigo)' WHEN ck % 6 = 0 THEN NULL ELSE c_name END AS razao_social,
+    CASE WHEN v = 1 AND ck % 7 = 0 THEN NULL ELSE 'F' || CAST(ck AS VARCHAR) END AS nome_fantasia,
+    CASE WHEN v = 0 THEN 'ATIVA' ELSE ['ATIVA', 'INAPTA', 'BAIXADA'][ck % 3 + 1] END AS situacao_cadastral,
+    CASE WHEN ck % 19 = 0 THEN NULL ELSE make_date(2000, CAST(ck % 12 + 1 AS INTEGER), CAST(ck % 28 + 1 AS INTEGER)) END AS data_situacao,
+    CASE ck % 5
+      WHEN 0 THEN 'Rua A, 10, ' || n_name || '-' || CAST(ck % 10 AS VARCHAR) || '/' || n_name
+      WHEN 1 THEN 'Rua A 10 ' || n_name || '-' || CAST(ck % 10 AS VARCHAR) || ' ' || n_name
+      WHEN 2 THEN 'Rua B, 20, ' || n_name || '-' || CAST(ck % 10 AS VARCHAR)
+      WHEN 3 THEN 'Rua C, 30, ' || n_name || '-' || CAST(ck % 10 AS VARCHAR) || '/' || n_name || chr(10)
+      ELSE 'Caixa Postal 1' END AS endereco,
+    CASE WHEN ck % 5 IN (0, 2, 3) THEN n_name || '-' || CAST(ck % 10 AS VARCHAR) END AS cidade_,
+    CASE WHEN ck % 5 IN (0, 3) THEN n_name END AS uf_,
+    (CASE WHEN v = 0 THEN TIMESTAMP '2001-01-01 00:00:00' ELSE TIMESTAMP '2001-06-01 00:00:00' END)
+      + to_seconds(ck) AS _ingestion_timestamp,
+    v
+  FROM cv
+  WHERE (ck * 2 + v) % 23 <> 0 AND (ck + v) % 29 <> 0
+)"""
+
+DIM = STG_BILLING + "," + STG_COMPANIES + f""",
+e AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY cnpj ORDER BY _ingestion_timestamp DESC,
+                                 arquivo_nome DESC, linha_original DESC) AS rn
+    FROM stg_companies WHERE cnpj IS NOT NULL AND cnpj <> '') WHERE rn = 1
+),
+f AS (
+  SELECT cnpj, MIN(data_emissao) AS primeira_nota, MAX(data_emissao) AS ultima_nota,
+         COUNT(*) AS total_notas,
+         CAST(SUM(CAST(valor_liquido AS DECIMAL(38,9))) AS DOUBLE) AS faturamento_total,
+         CAST(SUM(CAST(valor_liquido AS DECIMAL(38,9))) AS DOUBLE) / COUNT(valor_liquido) AS ticket_medio
+  FROM stg_billing WHERE cnpj IS NOT NULL AND cnpj <> ''
+  GROUP BY cnpj
+),
+dim AS (
+  SELECT
+    ROW_NUMBER() OVER (ORDER BY COALESCE(f.faturamento_total, 0) DESC, COALESCE(e.cnpj, f.cnpj) ASC) AS cliente_key,
+    COALESCE(e.cnpj, f.cnpj) AS cnpj,
+    COALESCE(e.razao_social, 'Nome não identificado') AS razao_social,
+    e.nome_fantasia, e.situacao_cadastral, e.data_situacao, e.endereco,
+    e.cidade_ AS cidade, e.uf_ AS uf,
+    f.primeira_nota, f.ultima_nota, f.total_notas, f.faturamento_total, f.ticket_medio,
+    CASE WHEN f.ultima_nota >= {AS_OF} - INTERVAL 12 MONTH THEN 'ATIVO'
+         WHEN f.ultima_nota >= {AS_OF} - INTERVAL 24 MONTH THEN 'INATIVO_RECENTE'
+         WHEN f.ultima_nota >= {AS_OF} - INTERVAL 36 MONTH THEN 'INATIVO_MEDIO'
+         WHEN f.ultima_nota IS NOT NULL THEN 'INATIVO_ANTIGO' ELSE 'SEM_NOTAS' END AS status_cliente,
+    date_diff('day', f.ultima_nota, {AS_OF}) AS dias_sem_nota,
+    CASE WHEN f.faturamento_total > 50000 THEN 'VIP' WHEN f.faturamento_total > 20000 THEN 'PREMIUM'
+         WHEN f.faturamento_total > 5000 THEN 'STANDARD' ELSE 'LOW_TICKET' END AS segmento_valor
+  FROM e FULL OUTER JOIN f ON e.cnpj = f.cnpj
+  WHERE COALESCE(e.cnpj, f.cnpj) IS NOT NULL
+)"""
+
+STAGING_BILLING = "WITH " + STG_BILLING + " SELECT * FROM stg_billing"
+STAGING_COMPANIES = ("WITH " + STG_COMPANIES +
+                     " SELECT * EXCLUDE (cidade_, uf_, v) FROM stg_companies")
+DIM_CUSTOMERS = "WITH " + DIM + " SELECT * FROM dim"
+FACT_BILLING = "WITH " + DIM + """
+SELECT b.cnpj, d.cliente_key, b.data_emissao, strftime(b.data_emissao, '%Y%m%d') AS data_key,
+  b.numero_nota, b.tipo_servico, b.situacao, b.valor_liquido, b.valor_bruto, b.honorarios, b.consultor,
+  year(b.data_emissao) AS ano, month(b.data_emissao) AS mes, quarter(b.data_emissao) AS trimestre,
+  b.arquivo_nome AS source_file, b._ingestion_timestamp, b._ingestion_batch_id
+FROM stg_billing b LEFT JOIN dim d ON b.cnpj = d.cnpj"""
+CUSTOMER_SUMMARY = "WITH " + DIM + """
+SELECT status_cliente, segmento_valor, COUNT(*) AS total_clientes,
+  CAST(SUM(CAST(faturamento_total AS DECIMAL(38,9))) AS DOUBLE) AS faturamento_total,
+  CAST(SUM(CAST(sign(ticket_medio) * floor(abs(ticket_medio) * 1000000 + 0.5) / 1000000 AS DECIMAL(38,6))) AS DOUBLE)
+    / COUNT(ticket_medio) AS ticket_medio,
+  AVG(dias_sem_nota) AS media_dias_sem_nota
+FROM dim GROUP BY status_cliente, segmento_valor
+ORDER BY status_cliente, segmento_valor"""
+
+DIM_CALENDAR = """
+WITH b AS (
+  SELECT least(COALESCE(MIN(CAST(l_shipdate AS DATE)), DATE '2006-01-01'), DATE '2006-01-01') AS s,
+         greatest(COALESCE(MAX(CAST(l_shipdate AS DATE)), DATE '2030-12-31'), DATE '2030-12-31') AS e
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+),
+d AS (SELECT CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS data FROM b)
+SELECT strftime(data, '%Y%m%d') AS data_key, data, year(data) AS ano, quarter(data) AS trimestre,
+  month(data) AS mes, strftime(data, '%B') AS nome_mes, CAST(strftime(data, '%U') AS BIGINT) AS semana,
+  dayofweek(data) + 1 AS dia_semana, strftime(data, '%A') AS nome_dia_semana,
+  dayofweek(data) + 1 IN (1, 7) AS eh_fim_de_semana
+FROM d"""
+
+INGESTION_STATUS = "WITH " + BASE + "," + STG_COMPANIES + """,
+raw AS (
+  SELECT CASE l_orderkey % 3 WHEN 0 THEN 'faturamento_historico' WHEN 1 THEN 'clientes_atuais'
+              ELSE 'generico' END AS arquivo_tipo,
+         CASE WHEN l_orderkey % 10 = 0 THEN 'pending' ELSE 'processed' END AS _processing_status,
+         'Faturamento ' || CAST(year(l_shipdate) AS VARCHAR) || '.xlsx' AS arquivo_nome,
+         CASE WHEN l_linenumber % 4 = 3 AND l_orderkey % 7 = 0 THEN CAST(l_shipdate AS DATE) END AS data_emissao,
+         CAST(NULL AS DOUBLE) AS valor
+  FROM cents2
+  UNION ALL
+  SELECT CASE WHEN (ck * 2 + v) % 23 = 0 THEN 'generico'
+              WHEN ck % 2 = 0 THEN 'empresas_antigas' ELSE 'desconhecido' END,
+         CASE WHEN (ck + v) % 29 = 0 THEN 'pending' ELSE 'processed' END,
+         'Empresas Antigas v' || CAST(v AS VARCHAR) || '.xlsx', CAST(NULL AS DATE), CAST(NULL AS DOUBLE)
+  FROM cv
+)
+SELECT arquivo_tipo, _processing_status, COUNT(*) AS total_linhas,
+  COUNT(DISTINCT arquivo_nome) AS total_arquivos, MIN(data_emissao) AS data_mais_antiga,
+  MAX(data_emissao) AS data_mais_recente,
+  CAST(SUM(CAST(valor AS DECIMAL(38,9))) AS DOUBLE) AS valor_total
+FROM raw GROUP BY arquivo_tipo, _processing_status ORDER BY arquivo_tipo, _processing_status"""
+
+ORACLES.update({
+    "staging_billing": STAGING_BILLING,
+    "staging_companies": STAGING_COMPANIES,
+    "dim_customers": DIM_CUSTOMERS,
+    "fact_billing": FACT_BILLING,
+    "dim_calendar": DIM_CALENDAR,
+    "ingestion_status": INGESTION_STATUS,
+    "customer_summary": CUSTOMER_SUMMARY,
+})

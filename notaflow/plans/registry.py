@@ -42,3 +42,72 @@ QUERIES: dict[str, Query] = {
     "sales_opportunities": q_sales_opportunities,
     "tax_recovery": q_tax_recovery,
 }
+
+
+# ---------------------------------------------------------------- staging / marts
+from ..operators import marts, staging  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sinks.tables import append_raw  # noqa: E402
+
+
+_LANDED: dict = {}
+
+
+def _raw(spark, sf_dir):
+    """The flexible raw table as the ingest job leaves it: the adapter's
+    documents appended once per session (SNK-2) to the shared checkpoint
+    folder, partitioned by file type; staging then prunes partitions."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDED:
+        path = scratch_path(spark, "raw_documents")
+        append_raw(adapter.raw_documents(spark, sf_dir), path)
+        _LANDED[key] = path
+    return spark.read.parquet(_LANDED[key])
+
+
+def q_staging_billing(spark, sf_dir):
+    return staging.billing(_raw(spark, sf_dir))
+
+
+def q_staging_companies(spark, sf_dir):
+    return staging.companies(_raw(spark, sf_dir))
+
+
+def _dim(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    return marts.dim_customers(staging.billing(raw), staging.companies(raw), AS_OF)
+
+
+def q_dim_customers(spark, sf_dir):
+    return _dim(spark, sf_dir)
+
+
+def q_fact_billing(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    return marts.fact_billing(staging.billing(raw), _dim(spark, sf_dir))
+
+
+def q_dim_calendar(spark, sf_dir):
+    return marts.calendar_covering(
+        adapter.line_base(spark, sf_dir).select(F.col("l_shipdate").cast("date").alias("d")), "d")
+
+
+def q_ingestion_status(spark, sf_dir):
+    return marts.ingestion_status(_raw(spark, sf_dir))
+
+
+def q_customer_summary(spark, sf_dir):
+    return marts.customer_summary(_dim(spark, sf_dir))
+
+
+from pyspark.sql import functions as F  # noqa: E402
+
+QUERIES.update({
+    "staging_billing": q_staging_billing,
+    "staging_companies": q_staging_companies,
+    "dim_customers": q_dim_customers,
+    "fact_billing": q_fact_billing,
+    "dim_calendar": q_dim_calendar,
+    "ingestion_status": q_ingestion_status,
+    "customer_summary": q_customer_summary,
+})

@@ -128,3 +128,159 @@ def invoices(spark: SparkSession, sf_dir: str, as_of: str = C.ADAPTER_AS_OF) ->
     )
     return inv.withColumn("hash_nfse", invoice_hash("numero_nfse", "codigo_verificacao",
                                                     F.col("data_emissao").cast("string")))
+
+
+# ---------------------------------------------------------------- raw documents
+# Billing documents: key spelling chosen by l_linenumber % 4 (FIXTURES.md §3).
+def _pick(s: Column, options: tuple) -> Column:
+    e = None
+    for i, o in enumerate(options):
+        e = F.when(s == i, F.lit(o)) if e is None else e.when(s == i, F.lit(o))
+    return e
+
+
+def _fmt_cnpj(d: Column) -> Column:
+    return F.concat(F.substring(d, 1, 2), F.lit("."), F.substring(d, 3, 3), F.lit("."),
+                    F.substring(d, 6, 3), F.lit("/"), F.substring(d, 9, 4), F.lit("-"),
+                    F.substring(d, 13, 2))
+
+
+def _json_str(v: Column) -> Column:
+    """JSON string literal (or null) built by concatenation: stays in codegen."""
+    esc = F.regexp_replace(F.regexp_replace(v, r'(["\\\\])', r'\\$1'), "\n", r"\\n")
+    return F.coalesce(F.concat(F.lit('"'), esc, F.lit('"')), F.lit("null"))
+
+
+def _json_object(pairs: list) -> Column:
+    """``{"k": "v", ...}`` from (key column or None, value column) pairs; a
+    None key column leaves the member out."""
+    parts = []
+    for k, v in pairs:
+        parts.append(F.concat(F.lit('"'), k, F.lit('":'), _json_str(v)))
+    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+
+
+RAW_COLS = ("arquivo_nome", "arquivo_tipo", "aba_nome", "dados_json", "cnpj", "data_emissao",
+            "valor", "cliente", "linha_original", "hash_linha", "_ingestion_timestamp",
+            "_ingestion_batch_id", "_source_bucket", "_processing_status", "_processing_error")
+
+BILLING_DOC_TYPES = (C.TYPE_HISTORIC_BILLING, C.TYPE_CURRENT_CLIENTS, "generico")
+COMPANY_DOC_TYPES = (C.TYPE_OLD_COMPANIES, C.TYPE_FALLBACK)
+SITUACOES = ("ATIVA", "INAPTA", "BAIXADA")
+
+
+def billing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One raw document per line item, in the 15-column flexible raw shape."""
+    b = with_cents(line_base(spark, sf_dir))
+    s = F.col("l_linenumber") % 4
+    ok = F.col("l_orderkey")
+    digits = F.coalesce(customer_cnpj(F.col("c_custkey")), F.lit(""))
+    blank = F.col("c_custkey") % CNPJ_NULL_MOD == 0
+    d = F.col("l_shipdate").cast("date")
+    serial = F.datediff(d, F.lit(C.SERIAL_EPOCH).cast("date")).cast("string")
+    # serial written as 'N.0' for some rows: not an integer, so staging falls back
+    # to the raw data_emissao column, which those rows carry.
+    serial_float = (s == 3) & (ok % 7 == 0)
+    date_text = (F.when(s == 0, F.date_format(d, "yyyy-MM-dd"))
+                 .when(s == 1, F.concat_ws("-", F.year(d), F.month(d), F.dayofmonth(d)))
+                 .when(serial_float, F.concat(serial, F.lit(".0")))
+                 .otherwise(serial))
+    cnpj_doc = (F.when(blank, F.lit("")).when(s == 0, _fmt_cnpj(digits)).otherwise(digits))
+    net_text = F.when(ok % 13 == 0, F.lit("n/a")).otherwise(cents_to_money("vl_c").cast("string"))
+    k_cnpj = F.when(s == 1, F.lit("CNPJ")).when(s != 3, F.lit("cnpj"))
+    doc = _json_object([
+        (_pick(s, ("cliente", "Cliente", "razao_social", "EMPRESA")), F.col("c_name")),
+        (_pick(s, ("data_emissao", "data", "emissao", "Emissão")), date_text),
+        (_pick(s, ("nota_fiscal", "numero_nota", "Num.", "Nota Fiscal nº")),
+         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")),
+        (_pick(s, ("valor_liquido", "Liquido", "Líquido", "VALOR NOTA FISCAL")), net_text),
+        (_pick(s % 2, ("valor_bruto", "Bruto")), cents_to_money("vs_c").cast("string")),
+        (_pick(s % 2, ("honorarios", "Honorários")), cents_to_money("pis_c").cast("string")),
+        (F.lit("tipo"), F.concat(F.lit("1."), (F.col("l_linenumber") % (1 + F.col("c_custkey") % 5))
+                                 .cast("string"))),
+        (F.lit("situacao"), F.col("o_orderstatus")),
+        (F.lit("consultor"), F.concat(F.lit("C"), (F.col("c_custkey") % 10).cast("string"))),
+        (k_cnpj, cnpj_doc),
+    ])
+    tipo = _pick(ok % 3, BILLING_DOC_TYPES)
+    year = F.year(d).cast("string")
+    raw = b.select(
+        F.concat(F.lit("Faturamento "), year, F.lit(".xlsx")).alias("arquivo_nome"),
+        tipo.alias("arquivo_tipo"),
+        F.concat(F.lit("Sheet"), (F.col("l_linenumber") % 2 + 1).cast("string")).alias("aba_nome"),
+        doc.alias("dados_json"),
+        F.when(s == 3, F.when(blank, F.lit("")).otherwise(_fmt_cnpj(digits))).alias("cnpj"),
+        F.when(serial_float, d).alias("data_emissao"),
+        F.lit(None).cast("double").alias("valor"),
+        F.lit(None).cast("string").alias("cliente"),
+        (ok * 8 + F.col("l_linenumber")).alias("linha_original"),
+        F.col("o_orderdate").cast("timestamp").alias("_ingestion_timestamp"),
+        F.concat(F.lit("b"), year).alias("_ingestion_batch_id"),
+        F.lit("drive").alias("_source_bucket"),
+        F.when(ok % 10 == 0, F.lit(C.STATUS_PENDING)).otherwise(F.lit(C.STATUS_PROCESSED))
+        .alias("_processing_status"),
+        F.lit(None).cast("string").alias("_processing_error"))
+    return raw.withColumn("hash_linha", F.sha2(F.col("dados_json"), 256)).select(*RAW_COLS)
+
+
+def company_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions per customer (old, new) of a company-registry row."""
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    b = (c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+         .filter(F.col("c_custkey") % 41 != 0)
+         .withColumn("v", F.explode(F.array(F.lit(0), F.lit(1)))))
+    ck, v = F.col("c_custkey"), F.col("v")
+    s = ck % 4
+    digits = F.coalesce(customer_cnpj(ck), F.lit(""))
+    blank = ck % CNPJ_NULL_MOD == 0
+    cnpj_val = F.when(blank, F.lit("")).when(s == 0, _fmt_cnpj(digits)).otherwise(digits)
+    k_cnpj = F.when(s == 1, F.lit("CNPJ")).when(s != 3, F.lit("cnpj"))
+    name = F.when(v == 0, F.concat(F.col("c_name"), F.lit(" (antigo)"))).otherwise(F.col("c_name"))
+    name = F.when((v == 1) & (ck % 6 == 0), F.lit(None).cast("string")).otherwise(name)
+    fantasia = F.when((v == 1) & (ck % 7 == 0), F.lit(None).cast("string")) \
+        .otherwise(F.concat(F.lit("F"), ck.cast("string")))
+    situ = F.when(v == 0, F.lit("ATIVA")).otherwise(_pick(ck % 3, SITUACOES))
+    dsit = F.when(ck % 19 == 0, F.lit("2000-13-01")).otherwise(
+        F.concat_ws("-", F.lit("2000"), (ck % 12 + 1).cast("string"), (ck % 28 + 1).cast("string")))
+    city = F.concat(F.col("n_name"), F.lit("-"), (ck % 10).cast("string"))
+    form = ck % 5
+    addr = (F.when(form == 0, F.concat(F.lit("Rua A, 10, "), city, F.lit("/"), F.col("n_name")))
+            .when(form == 1, F.concat(F.lit("Rua A 10 "), city, F.lit(" "), F.col("n_name")))
+            .when(form == 2, F.concat(F.lit("Rua B, 20, "), city))
+            .when(form == 3, F.concat(F.lit("Rua C, 30, "), city, F.lit("/"), F.col("n_name"), F.lit("\n")))
+            .otherwise(F.lit("Caixa Postal 1")))
+    doc = _json_object([
+        (_pick(s, C.KEYS_RAZAO), name),
+        (_pick(s % 3, C.KEYS_FANTASIA), fantasia),
+        (_pick(s % 3, C.KEYS_SITUACAO_CAD), situ),
+        (_pick(s % 3, C.KEYS_DATA_SITUACAO), dsit),
+        (_pick(s % 2, C.KEYS_ENDERECO), addr),
+        (F.lit("Status"), F.when(ck % 5 == 0, F.lit("ERRO")).otherwise(F.lit("OK"))),
+        (k_cnpj, cnpj_val),
+    ])
+    tipo = F.when((ck * 2 + v) % 23 == 0, F.lit("generico")).otherwise(_pick(ck % 2, COMPANY_DOC_TYPES))
+    ts = F.when(v == 0, F.lit("2001-01-01 00:00:00")).otherwise(F.lit("2001-06-01 00:00:00")) \
+        .cast("timestamp") + F.make_interval(secs=ck.cast("int"))
+    raw = b.select(
+        F.concat(F.lit("Empresas Antigas v"), v.cast("string"), F.lit(".xlsx")).alias("arquivo_nome"),
+        tipo.alias("arquivo_tipo"),
+        F.lit("Empresas").alias("aba_nome"),
+        doc.alias("dados_json"),
+        F.when(s == 3, cnpj_val).alias("cnpj"),
+        F.lit(None).cast("date").alias("data_emissao"),
+        F.lit(None).cast("double").alias("valor"),
+        F.lit(None).cast("string").alias("cliente"),
+        ck.alias("linha_original"),
+        ts.alias("_ingestion_timestamp"),
+        F.concat(F.lit("e"), v.cast("string")).alias("_ingestion_batch_id"),
+        F.lit("drive").alias("_source_bucket"),
+        F.when((ck + v) % 29 == 0, F.lit(C.STATUS_PENDING)).otherwise(F.lit(C.STATUS_PROCESSED))
+        .alias("_processing_status"),
+        F.lit(None).cast("string").alias("_processing_error"))
+    return raw.withColumn("hash_linha", F.sha2(F.col("dados_json"), 256)).select(*RAW_COLS)
+
+
+def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flexible raw table (``arquivos_importados``): billing + company rows."""
+    return billing_documents(spark, sf_dir).unionByName(company_documents(spark, sf_dir))
