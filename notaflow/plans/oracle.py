@@ -400,3 +400,92 @@ ORACLES.update({
     "ingestion_status": INGESTION_STATUS,
     "customer_summary": CUSTOMER_SUMMARY,
 })
+
+
+# ------------------------------------------------------------- XML / loading
+_MONEY_D = """CAST(vs_c AS DOUBLE) / 100 AS valor_servicos, CAST(ded_c AS DOUBLE) / 100 AS valor_deducoes,
+    CAST(pis_c AS DOUBLE) / 100 AS valor_pis, CAST(cofins_c AS DOUBLE) / 100 AS valor_cofins,
+    CAST(COALESCE(inss_c, 0) AS DOUBLE) / 100 AS valor_inss, CAST(ir_c AS DOUBLE) / 100 AS valor_ir,
+    CAST(csll_c AS DOUBLE) / 100 AS valor_csll,
+    CAST(CASE WHEN l_linenumber = 3 THEN 0 ELSE iss_c END AS DOUBLE) / 100 AS valor_iss,
+    CAST(vl_c AS DOUBLE) / 100 AS valor_liquido"""
+
+XML_INVOICES = "WITH " + BASE + f"""
+SELECT
+  concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS numero_nfse,
+  lpad(CAST((l_orderkey * 31 + l_linenumber * 7) % 1000000000 AS VARCHAR), 9, '0') AS codigo_verificacao,
+  CAST(l_shipdate AS DATE) AS data_emissao,
+  CAST(o_orderdate AS DATE) AS data_competencia,
+  '11222333000181' AS prestador_cnpj, 'Prestador Exemplo Ltda' AS prestador_razao_social,
+  cnpj_ AS tomador_cnpj, CAST(NULL AS VARCHAR) AS tomador_cpf, c_name AS tomador_razao_social,
+  'Rua ' || CAST(c_custkey % 100 AS VARCHAR) AS tomador_endereco, city_ AS tomador_municipio,
+  n_name AS tomador_uf, lpad(CAST(c_custkey % 100000000 AS VARCHAR), 8, '0') AS tomador_cep,
+  {_MONEY_D},
+  'Servico ' || item_ AS discriminacao, item_ AS item_lista_servico,
+  {AS_OF} AS data_processamento, 'nfse_api' AS origem_consulta,
+  sha256(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)
+         || lpad(CAST((l_orderkey * 31 + l_linenumber * 7) % 1000000000 AS VARCHAR), 9, '0')
+         || strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d')
+         || CASE WHEN l_linenumber % 2 = 0 THEN 'T10:30:00' ELSE '' END) AS hash_nfse
+FROM cents2
+WHERE l_orderkey % 101 <> 0"""
+
+_INV_FULL = """
+    CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS numero_nfse,
+    lpad(CAST((l_orderkey * 31 + l_linenumber * 7) % 1000000000 AS VARCHAR), 9, '0') AS codigo_verificacao,
+    CAST(l_shipdate AS DATE) AS data_emissao, CAST(o_orderdate AS DATE) AS data_competencia,
+    '11222333000181' AS prestador_cnpj, 'Prestador Exemplo Ltda' AS prestador_razao_social,
+    cnpj_ AS tomador_cnpj, CAST(NULL AS VARCHAR) AS tomador_cpf, c_name AS tomador_razao_social,
+    'Rua ' || CAST(c_custkey % 100 AS VARCHAR) || ', ' || CAST(c_custkey AS VARCHAR) || ', '
+      || COALESCE(city_, 'Centro') || '/' || n_name AS tomador_endereco,
+    city_ AS tomador_municipio, n_name AS tomador_uf,
+    lpad(CAST(c_custkey % 100000000 AS VARCHAR), 8, '0') AS tomador_cep,
+    vs_c, ded_c, pis_c, cofins_c, inss_c, ir_c, csll_c, iss_c, vl_c,
+    'Servico ' || item_ AS discriminacao, item_ AS item_lista_servico"""
+
+INSERT_IF_ABSENT = "WITH " + BASE + f""",
+batch AS (
+  SELECT *, sha256(numero_nfse || codigo_verificacao || strftime(data_emissao, '%Y-%m-%d')) AS hash_nfse
+  FROM (SELECT {_INV_FULL} FROM cents2)
+),
+firsts AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY hash_nfse ORDER BY
+      numero_nfse, codigo_verificacao, data_emissao, data_competencia, prestador_cnpj,
+      prestador_razao_social, tomador_cnpj NULLS FIRST, tomador_cpf NULLS FIRST, tomador_razao_social,
+      tomador_endereco, tomador_municipio NULLS FIRST, tomador_uf, tomador_cep, vs_c, ded_c, pis_c,
+      cofins_c, inss_c NULLS FIRST, ir_c, csll_c, iss_c, vl_c) AS rn
+    FROM batch) WHERE rn = 1
+),
+previous AS (SELECT DISTINCT hash_nfse FROM batch WHERE data_emissao < DATE '1999-01-01')
+SELECT numero_nfse, codigo_verificacao, data_emissao, data_competencia, prestador_cnpj,
+  prestador_razao_social, tomador_cnpj, tomador_cpf, tomador_razao_social, tomador_endereco,
+  tomador_municipio, tomador_uf, tomador_cep,
+  CAST(vs_c AS DOUBLE) / 100 AS valor_servicos, CAST(ded_c AS DOUBLE) / 100 AS valor_deducoes,
+  CAST(pis_c AS DOUBLE) / 100 AS valor_pis, CAST(cofins_c AS DOUBLE) / 100 AS valor_cofins,
+  CAST(inss_c AS DOUBLE) / 100 AS valor_inss, CAST(ir_c AS DOUBLE) / 100 AS valor_ir,
+  CAST(csll_c AS DOUBLE) / 100 AS valor_csll, CAST(iss_c AS DOUBLE) / 100 AS valor_iss,
+  CAST(vl_c AS DOUBLE) / 100 AS valor_liquido,
+  discriminacao, item_lista_servico, {AS_OF} AS data_processamento, 'adapter' AS origem_consulta, hash_nfse
+FROM firsts f
+WHERE NOT EXISTS (SELECT 1 FROM previous p WHERE p.hash_nfse = f.hash_nfse)"""
+
+COVERAGE_GAPS = "WITH " + INV + f""",
+plan AS (
+  SELECT j AS janela, CAST({AS_OF} - 720 + CAST(31 * j AS INTEGER) AS DATE) AS inicio
+  FROM (SELECT unnest(range(0, 720 // 31 + 1)) AS j)
+),
+plan2 AS (SELECT janela, inicio, least(CAST(inicio + 30 AS DATE), {AS_OF}) AS fim FROM plan WHERE inicio < {AS_OF}),
+counts AS (
+  SELECT date_diff('day', CAST({AS_OF} - 720 AS DATE), data_emissao) // 31 AS janela, COUNT(*) AS notas
+  FROM inv WHERE data_emissao >= CAST({AS_OF} - 720 AS DATE) AND data_emissao <= {AS_OF}
+  GROUP BY 1
+)
+SELECT p.janela, p.inicio, p.fim, COALESCE(c.notas, 0) AS notas, c.notas IS NULL AS lacuna
+FROM plan2 p LEFT JOIN counts c ON p.janela = c.janela"""
+
+ORACLES.update({
+    "xml_invoices": XML_INVOICES,
+    "insert_if_absent": INSERT_IF_ABSENT,
+    "coverage_gaps": COVERAGE_GAPS,
+})

@@ -126,3 +126,57 @@ QUERIES.update({
     "ingestion_status": q_ingestion_status,
     "customer_summary": q_customer_summary,
 })
+
+
+# ---------------------------------------------------------------- invoice XML / loading
+from ..operators import loading  # noqa: E402
+from ..sources import windows  # noqa: E402
+from ..sources import xml as xml_source  # noqa: E402
+
+
+def _write_plain(df: DataFrame, path: str) -> None:
+    df.write.parquet(path)
+
+
+def xml_documents(spark, sf_dir):
+    """Bronze table of raw response documents (SNK-13)."""
+    return stored(spark, sf_dir, "nfse_xml", adapter.invoice_xml_documents, _write_plain)
+
+
+def q_xml_invoices(spark, sf_dir):
+    inv = xml_source.parse_response_column(xml_documents(spark, sf_dir), AS_OF)
+    return inv.select(*[F.col(c).cast("double").alias(c) if c in adapter.MONEY_COLS else F.col(c)
+                        for c in inv.columns])
+
+
+def duplicate_batch(spark, sf_dir):
+    """Batch with the short note number (order-line): natural duplicates."""
+    inv = invoices(spark, sf_dir)
+    short = F.regexp_extract(F.col("numero_nfse"), r"^([0-9]+-[0-9]+)", 1)
+    return (inv.withColumn("numero_nfse", short)
+               .withColumn("hash_nfse", F.sha2(F.concat(short, F.col("codigo_verificacao"),
+                                                        F.col("data_emissao").cast("string")), 256)))
+
+
+HISTORY_CUTOFF = "1999-01-01"
+
+
+def q_insert_if_absent(spark, sf_dir):
+    """Rows an incremental load appends: batch de-duplicated by hash, minus
+    the hashes an earlier (pre-cutoff) load stored."""
+    batch = duplicate_batch(spark, sf_dir)
+    previous = loading.dedupe_by_key(batch.filter(F.col("data_emissao") < HISTORY_CUTOFF))
+    out = loading.new_rows(batch, previous)
+    return out.select(*[F.col(c).cast("double").alias(c) if c in adapter.MONEY_COLS else F.col(c)
+                        for c in out.columns])
+
+
+def q_coverage_gaps(spark, sf_dir):
+    return windows.coverage(invoices(spark, sf_dir), AS_OF)
+
+
+QUERIES.update({
+    "xml_invoices": q_xml_invoices,
+    "insert_if_absent": q_insert_if_absent,
+    "coverage_gaps": q_coverage_gaps,
+})
