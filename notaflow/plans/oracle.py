@@ -489,3 +489,195 @@ ORACLES.update({
     "insert_if_absent": INSERT_IF_ABSENT,
     "coverage_gaps": COVERAGE_GAPS,
 })
+
+
+# ------------------------------------------------------------- scoring / quality
+from .. import config as _C  # noqa: E402
+
+
+def _dv(col: str, weights) -> str:
+    s = " + ".join(f"CAST(substr({col}, {i + 1}, 1) AS INTEGER) * {w}" for i, w in enumerate(weights))
+    return f"(CASE WHEN ({s}) % 11 < 2 THEN 0 ELSE 11 - ({s}) % 11 END)"
+
+
+def _valid(col: str, n: int, w1, w2) -> str:
+    return (f"COALESCE(regexp_full_match({col}, '[0-9]{{{n}}}') AND {col} <> repeat(substr({col}, 1, 1), {n}) "
+            f"AND {_dv(col, w1)} = CAST(substr({col}, {len(w1) + 1}, 1) AS INTEGER) "
+            f"AND {_dv(col, w2)} = CAST(substr({col}, {len(w2) + 1}, 1) AS INTEGER), false)")
+
+
+CNPJ_VALID = "WITH " + INV + f""",
+d AS (SELECT regexp_replace(tomador_cnpj, '[^0-9]', '', 'g') AS documento FROM inv WHERE tomador_cnpj IS NOT NULL)
+SELECT documento, COUNT(*) AS ocorrencias, {_valid('documento', 14, _C.CNPJ_W1, _C.CNPJ_W2)} AS valido
+FROM d GROUP BY documento"""
+
+CPF_VALID = f"""
+WITH d AS (SELECT lpad(CAST(c_custkey * 104729 % 100000000000 AS VARCHAR), 11, '0') AS documento FROM customer)
+SELECT documento, COUNT(*) AS ocorrencias, {_valid('documento', 11, _C.CPF_W1, _C.CPF_W2)} AS valido
+FROM d GROUP BY documento"""
+
+SCORED = DIM + """,
+sc AS (
+  SELECT cnpj, razao_social, situacao_cadastral, status_cliente, total_notas, faturamento_total, ultima_nota,
+    (CASE situacao_cadastral WHEN 'ATIVA' THEN 40 WHEN 'INAPTA' THEN 20 ELSE 0 END
+     + CASE WHEN COALESCE(faturamento_total, 0) >= 1000000 THEN 30 WHEN COALESCE(faturamento_total, 0) >= 500000 THEN 25
+            WHEN COALESCE(faturamento_total, 0) >= 200000 THEN 20 ELSE 0 END
+     + CASE WHEN COALESCE(total_notas, 0) >= 50 THEN 20 WHEN COALESCE(total_notas, 0) >= 20 THEN 15 ELSE 0 END) AS score_cliente
+  FROM dim
+),
+sc2 AS (
+  SELECT *,
+    CASE WHEN score_cliente >= 80 AND COALESCE(faturamento_total, 0) >= 1000000 THEN 'OPORTUNIDADE_PREMIUM'
+         WHEN score_cliente >= 60 AND COALESCE(faturamento_total, 0) >= 500000 THEN 'OPORTUNIDADE_ALTA'
+         WHEN score_cliente >= 40 AND COALESCE(faturamento_total, 0) >= 100000 THEN 'OPORTUNIDADE_MÉDIA'
+         WHEN status_cliente = 'ATIVO' THEN 'CLIENTE_ATIVO_BAIXO_POTENCIAL'
+         WHEN ultima_nota IS NOT NULL THEN 'CLIENTE_INATIVO_RECUPERÁVEL' ELSE 'SEM_HISTORICO' END AS classificacao_cliente
+  FROM sc
+),
+sc3 AS (
+  SELECT * EXCLUDE (ultima_nota),
+    CASE WHEN COALESCE(faturamento_total, 0) >= 1000000 THEN 'CONTATO_IMEDIATO_PREMIUM'
+         WHEN COALESCE(faturamento_total, 0) >= 500000 THEN 'CONTATO_PRIORITARIO'
+         WHEN COALESCE(faturamento_total, 0) >= 100000 THEN 'INCLUIR_CAMPANHA_COMERCIAL'
+         WHEN classificacao_cliente = 'CLIENTE_INATIVO_RECUPERÁVEL' THEN 'CAMPANHA_REATIVACAO'
+         ELSE 'MONITORAR' END AS acao_recomendada
+  FROM sc2
+)"""
+
+CLIENT_SCORE = "WITH " + SCORED + " SELECT * FROM sc3"
+TOP_OPPORTUNITIES = "WITH " + SCORED + """
+SELECT cnpj, razao_social, score_cliente, faturamento_total, classificacao_cliente FROM sc3
+WHERE classificacao_cliente IN ('OPORTUNIDADE_PREMIUM', 'OPORTUNIDADE_ALTA')
+ORDER BY faturamento_total DESC, cnpj"""
+
+VALIDATION_PROGRESS = "WITH " + STG_COMPANIES + f""",
+ok AS (
+  SELECT CASE WHEN v = 0 THEN c_name || ' (antigo)' WHEN ck % 6 = 0 THEN NULL ELSE c_name END AS razao_social
+  FROM cv
+  WHERE (ck * 2 + v) % 23 <> 0 AND ck % 2 = 0 AND (ck + v) % 29 <> 0 AND ck % 5 <> 0
+),
+a AS (SELECT COUNT(*) AS total, COUNT(razao_social) AS validados FROM ok)
+SELECT total, validados,
+  sign(CAST(validados AS DOUBLE) * 100 / total) * floor(abs(CAST(validados AS DOUBLE) * 100 / total) * 10 + 0.5) / 10
+    AS percentual
+FROM a"""
+
+PENDING_VALIDATION = "WITH " + DIM + """
+SELECT cnpj, razao_social, faturamento_total, total_notas FROM dim
+WHERE cnpj NOT IN (SELECT cnpj FROM e WHERE situacao_cadastral IS NOT NULL)
+ORDER BY COALESCE(faturamento_total, 0) DESC, cnpj
+LIMIT 150"""
+
+UNPIVOT_TAXES = "WITH " + INV + """,
+t AS (
+  SELECT numero_nfse, 'PIS' AS tipo_tributo, valor_pis AS valor FROM inv
+  UNION ALL SELECT numero_nfse, 'COFINS', valor_cofins FROM inv
+  UNION ALL SELECT numero_nfse, 'INSS', valor_inss FROM inv
+  UNION ALL SELECT numero_nfse, 'IR', valor_ir FROM inv
+  UNION ALL SELECT numero_nfse, 'CSLL', valor_csll FROM inv
+  UNION ALL SELECT numero_nfse, 'ISS', valor_iss FROM inv
+)
+SELECT numero_nfse, tipo_tributo, CAST(valor AS DOUBLE) AS valor FROM t WHERE valor IS NOT NULL"""
+
+ORPHAN_TAXES = UNPIVOT_TAXES.replace("FROM t WHERE valor IS NOT NULL",
+                                     "FROM t WHERE valor IS NOT NULL AND CAST(split_part(numero_nfse, '-', 1) AS BIGINT) % 101 = 0")
+
+RPS = """
+l1 AS (
+  SELECT l_orderkey, l_partkey, l_suppkey FROM (
+    SELECT l_orderkey, l_partkey, l_suppkey,
+           ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey) AS rn
+    FROM lineitem WHERE l_linenumber = 1) WHERE rn = 1
+),
+rb AS (
+  SELECT o.o_orderkey, o.o_orderstatus, o.o_orderdate, l1.l_partkey, l1.l_suppkey,
+         1 + o.o_orderkey % 3 AS n, unnest(range(1, 2 + o.o_orderkey % 3)) AS tentativa
+  FROM orders o LEFT JOIN l1 ON o.o_orderkey = l1.l_orderkey
+),
+rps AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS rps_numero, 'A' AS rps_serie,
+    CASE WHEN o_orderkey % 47 = 0 THEN '4' ELSE '1' END AS rps_tipo,
+    CAST(o_orderdate AS TIMESTAMP) + tentativa * INTERVAL 1 HOUR AS data_envio,
+    CASE WHEN tentativa < n THEN CASE WHEN o_orderkey % 53 = 0 THEN 'PENDENTE' ELSE 'ERRO' END
+         WHEN o_orderstatus = 'F' THEN 'SUCESSO' WHEN o_orderstatus = 'O' THEN 'ERRO' ELSE 'PROCESSANDO' END AS status,
+    o_orderkey, l_partkey, l_suppkey, tentativa,
+    CAST(o_orderkey % 50 + tentativa AS DECIMAL(10,2)) AS tempo
+  FROM rb
+),
+rps2 AS (
+  SELECT *, CASE WHEN status = 'SUCESSO' THEN concat_ws('-', o_orderkey, 1, l_partkey, l_suppkey) END AS numero_nfse_gerado
+  FROM rps
+),
+latest AS (
+  SELECT rps_numero, rps_serie, rps_tipo,
+    arg_max(status, tentativa) AS status_final,
+    arg_max(numero_nfse_gerado, tentativa) AS numero_nfse_gerado,
+    arg_max(data_envio, tentativa) AS ultimo_envio,
+    COUNT(*) AS tentativas, COUNT(*) FILTER (WHERE status = 'ERRO') AS erros,
+    CAST(SUM(tempo) AS DOUBLE) AS tempo_total_segundos
+  FROM rps2 GROUP BY rps_numero, rps_serie, rps_tipo
+)"""
+
+RPS_LATEST = "WITH " + RPS + " SELECT * FROM latest"
+RPS_OUTCOMES = "WITH " + INV + "," + RPS + """
+SELECT status_final, COUNT(*) AS rps,
+  COUNT(*) FILTER (WHERE numero_nfse_gerado IN (SELECT numero_nfse FROM inv)) AS convertidos,
+  SUM(tentativas) AS tentativas
+FROM latest GROUP BY status_final ORDER BY status_final"""
+
+
+def _req(table: str, src: str, cols) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{table}' AS tabela, 'obrigatorio' AS regra, '{c}' AS coluna, COUNT(*) FILTER (WHERE {c} IS NULL) AS violacoes FROM {src}"
+        for c in cols)
+
+
+def _dom(table: str, src: str, col: str, allowed) -> str:
+    vals = ", ".join(f"'{v}'" for v in allowed)
+    return (f"SELECT '{table}', 'dominio', '{col}', COUNT(*) FILTER (WHERE {col} IS NOT NULL AND {col} NOT IN ({vals})) FROM {src}")
+
+
+CONTRACT_CHECKS = "WITH " + INV + "," + RPS + f""",
+nf AS (
+  SELECT 'x' AS id, numero_nfse,
+    CASE WHEN l_orderkey % 50 <> 0 THEN codigo_verificacao END AS codigo_verificacao,
+    data_emissao,
+    CASE WHEN l_orderkey % 61 = 0 THEN 'Substituida' WHEN l_orderkey % 11 = 0 THEN 'Cancelado' ELSE 'Normal' END AS status_nfse,
+    'c' AS prestador_cnpj, 'n' AS prestador_razao_social, valor_servicos,
+    CASE WHEN l_orderkey % 70 <> 0 THEN valor_liquido END AS valor_liquido_nfse,
+    1 AS data_processamento, 1 AS data_criacao
+  FROM inv
+),
+tx AS (
+  SELECT 'x' AS id, numero_nfse, tipo_tributo, valor, 1 AS data_criacao FROM (
+    SELECT numero_nfse, 'PIS' AS tipo_tributo, valor_pis AS valor FROM inv
+    UNION ALL SELECT numero_nfse, 'COFINS', valor_cofins FROM inv
+    UNION ALL SELECT numero_nfse, 'INSS', valor_inss FROM inv
+    UNION ALL SELECT numero_nfse, 'IR', valor_ir FROM inv
+    UNION ALL SELECT numero_nfse, 'CSLL', valor_csll FROM inv
+    UNION ALL SELECT numero_nfse, 'ISS', valor_iss FROM inv) WHERE valor IS NOT NULL
+),
+rl AS (SELECT 'x' AS id, rps_numero, rps_serie, rps_tipo, data_envio, status, tentativa, data_envio AS data_criacao FROM rps2)
+{_req('nf_emitidas', 'nf', ('id', 'numero_nfse', 'codigo_verificacao', 'data_emissao', 'status_nfse', 'prestador_cnpj',
+                            'prestador_razao_social', 'valor_servicos', 'valor_liquido_nfse', 'data_processamento',
+                            'data_criacao'))}
+UNION ALL {_dom('nf_emitidas', 'nf', 'status_nfse', _C.NFSE_STATUS)}
+UNION ALL {_req('nf_tributos', 'tx', ('id', 'numero_nfse', 'tipo_tributo', 'valor', 'data_criacao'))}
+UNION ALL {_dom('nf_tributos', 'tx', 'tipo_tributo', _C.TAX_TYPES)}
+UNION ALL {_req('rps_log', 'rl', ('id', 'rps_numero', 'rps_serie', 'rps_tipo', 'data_envio', 'status', 'tentativa', 'data_criacao'))}
+UNION ALL {_dom('rps_log', 'rl', 'status', _C.RPS_STATUS)}
+UNION ALL {_dom('rps_log', 'rl', 'rps_tipo', _C.RPS_TYPES)}"""
+
+ORACLES.update({
+    "client_score": CLIENT_SCORE,
+    "top_opportunities": TOP_OPPORTUNITIES,
+    "validation_progress": VALIDATION_PROGRESS,
+    "cnpj_valid": CNPJ_VALID,
+    "cpf_valid": CPF_VALID,
+    "pending_validation": PENDING_VALIDATION,
+    "contract_checks": CONTRACT_CHECKS,
+    "unpivot_taxes": UNPIVOT_TAXES,
+    "orphan_taxes": ORPHAN_TAXES,
+    "rps_latest": RPS_LATEST,
+    "rps_outcomes": RPS_OUTCOMES,
+})

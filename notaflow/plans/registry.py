@@ -180,3 +180,97 @@ QUERIES.update({
     "insert_if_absent": q_insert_if_absent,
     "coverage_gaps": q_coverage_gaps,
 })
+
+
+# ---------------------------------------------------------------- scoring / quality
+from .. import config as _C  # noqa: E402
+from ..operators import quality, scoring  # noqa: E402
+
+
+def q_client_score(spark, sf_dir):
+    return scoring.client_score(_dim(spark, sf_dir))
+
+
+def q_top_opportunities(spark, sf_dir):
+    return scoring.top_opportunities(scoring.client_score(_dim(spark, sf_dir)))
+
+
+def q_validation_progress(spark, sf_dir):
+    return scoring.validation_progress(_raw(spark, sf_dir))
+
+
+def q_cnpj_valid(spark, sf_dir):
+    return quality.document_validity(invoices(spark, sf_dir), "tomador_cnpj", "cnpj")
+
+
+def q_cpf_valid(spark, sf_dir):
+    return quality.document_validity(adapter.customer_cpfs(spark, sf_dir), "tomador_cpf", "cpf")
+
+
+def q_pending_validation(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    return quality.pending_validation(_dim(spark, sf_dir),
+                                      marts.latest_companies(staging.companies(raw)))
+
+
+NF_REQUIRED = ("id", "numero_nfse", "codigo_verificacao", "data_emissao", "status_nfse", "prestador_cnpj",
+               "prestador_razao_social", "valor_servicos", "valor_liquido_nfse", "data_processamento",
+               "data_criacao")
+TAX_REQUIRED = ("id", "numero_nfse", "tipo_tributo", "valor", "data_criacao")
+RPS_REQUIRED = ("id", "rps_numero", "rps_serie", "rps_tipo", "data_envio", "status", "tentativa",
+                "data_criacao")
+
+
+def q_contract_checks(spark, sf_dir):
+    inv = invoices(spark, sf_dir)
+    nf = adapter.contract_invoices(inv)
+    tx = adapter.tax_rows(quality.unpivot_taxes(inv))
+    rps = adapter.rps_log(spark, sf_dir)
+    parts = [
+        quality.required_violations(nf, NF_REQUIRED, "nf_emitidas"),
+        quality.domain_violations(nf, "status_nfse", _C.NFSE_STATUS, "nf_emitidas"),
+        quality.required_violations(tx, TAX_REQUIRED, "nf_tributos"),
+        quality.domain_violations(tx, "tipo_tributo", _C.TAX_TYPES, "nf_tributos"),
+        quality.required_violations(rps, RPS_REQUIRED, "rps_log"),
+        quality.domain_violations(rps, "status", _C.RPS_STATUS, "rps_log"),
+        quality.domain_violations(rps, "rps_tipo", _C.RPS_TYPES, "rps_log"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_unpivot_taxes(spark, sf_dir):
+    t = quality.unpivot_taxes(invoices(spark, sf_dir))
+    return t.withColumn("valor", F.col("valor").cast("double"))
+
+
+def q_orphan_taxes(spark, sf_dir):
+    taxes = quality.unpivot_taxes(invoices(spark, sf_dir))
+    parsed = xml_source.parse_response_column(xml_documents(spark, sf_dir), AS_OF)
+    return quality.orphans(taxes, parsed).withColumn("valor", F.col("valor").cast("double"))
+
+
+def q_rps_latest(spark, sf_dir):
+    r = quality.rps_latest(adapter.rps_log(spark, sf_dir))
+    return r.withColumn("tempo_total_segundos", F.col("tempo_total_segundos").cast("double"))
+
+
+def q_rps_outcomes(spark, sf_dir):
+    return quality.rps_outcomes(quality.rps_latest(adapter.rps_log(spark, sf_dir)), invoices(spark, sf_dir))
+
+
+QUERIES.update({
+    "client_score": q_client_score,
+    "top_opportunities": q_top_opportunities,
+    "validation_progress": q_validation_progress,
+    "cnpj_valid": q_cnpj_valid,
+    "cpf_valid": q_cpf_valid,
+    "pending_validation": q_pending_validation,
+    "contract_checks": q_contract_checks,
+    "unpivot_taxes": q_unpivot_taxes,
+    "orphan_taxes": q_orphan_taxes,
+    "rps_latest": q_rps_latest,
+    "rps_outcomes": q_rps_outcomes,
+})

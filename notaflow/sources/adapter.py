@@ -369,3 +369,65 @@ def invoice_xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc = F.concat(F.lit("<"), pp, F.lit("ConsultarNfseResposta"), ns, F.lit("><"), pp, F.lit("ListaNfse>"),
                    F.col("notes"), bogus, F.when(okc % 101 != 0, close).otherwise(F.lit("")))
     return per_order.select(okc.alias("documento_id"), doc.alias("xml"))
+
+
+# ---------------------------------------------------------------- contracts / RPS
+def order_of(numero: Column) -> Column:
+    return F.split(numero, "-").getItem(0).cast("bigint")
+
+
+def contract_invoices(inv: DataFrame, as_of: str = C.ADAPTER_AS_OF) -> DataFrame:
+    """The required subset of the wide ``nf_emitidas`` contract from the
+    27-column invoices; some rows break required fields or the status domain."""
+    ok = order_of(F.col("numero_nfse"))
+    ts = F.lit(as_of).cast("timestamp")
+    return inv.select(
+        F.col("hash_nfse").alias("id"), "numero_nfse",
+        F.when(ok % 50 != 0, F.col("codigo_verificacao")).alias("codigo_verificacao"),
+        F.col("data_emissao").cast("timestamp").alias("data_emissao"),
+        F.when(ok % 61 == 0, F.lit("Substituida")).when(ok % 11 == 0, F.lit("Cancelado"))
+        .otherwise(F.lit("Normal")).alias("status_nfse"),
+        "prestador_cnpj", "prestador_razao_social", "valor_servicos",
+        F.when(ok % 70 != 0, F.col("valor_liquido")).alias("valor_liquido_nfse"),
+        ts.alias("data_processamento"), ts.alias("data_criacao"))
+
+
+def tax_rows(long_taxes: DataFrame, as_of: str = C.ADAPTER_AS_OF) -> DataFrame:
+    return long_taxes.select(
+        F.sha2(F.concat_ws("|", "numero_nfse", "tipo_tributo"), 256).alias("id"),
+        "numero_nfse", "tipo_tributo", "valor", F.lit(as_of).cast("timestamp").alias("data_criacao"))
+
+
+def rps_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Submission log: 1-3 attempts per order; the last attempt's outcome
+    follows the order status; a success names the note of the order's line 1."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    l1 = (read_table(spark, sf_dir, "lineitem").filter(F.col("l_linenumber") == 1)
+          .groupBy("l_orderkey").agg(F.min(F.struct("l_partkey", "l_suppkey")).alias("ps")))
+    b = o.join(l1, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    ok = F.col("o_orderkey")
+    n = 1 + ok % 3
+    b = b.withColumn("tentativa", F.explode(F.sequence(F.lit(1).cast("bigint"), n)))
+    t = F.col("tentativa")
+    status = (F.when(t < n, F.when(ok % 53 == 0, F.lit("PENDENTE")).otherwise(F.lit("ERRO")))
+              .when(F.col("o_orderstatus") == "F", F.lit("SUCESSO"))
+              .when(F.col("o_orderstatus") == "O", F.lit("ERRO"))
+              .otherwise(F.lit("PROCESSANDO")))
+    gerado = F.when(status == "SUCESSO",
+                    F.concat_ws("-", ok, F.lit(1), F.col("ps.l_partkey"), F.col("ps.l_suppkey")))
+    envio = F.col("o_orderdate").cast("timestamp") + F.make_interval(hours=t.cast("int"))
+    return b.select(
+        F.sha2(F.concat_ws("|", ok, t), 256).alias("id"),
+        ok.cast("string").alias("rps_numero"), F.lit("A").alias("rps_serie"),
+        F.when(ok % 47 == 0, F.lit("4")).otherwise(F.lit("1")).alias("rps_tipo"),
+        envio.alias("data_envio"), status.alias("status"), gerado.alias("numero_nfse_gerado"),
+        t.alias("tentativa"),
+        (ok % 50 + t).cast("decimal(10,2)").alias("tempo_processamento_segundos"),
+        envio.alias("data_criacao"))
+
+
+def customer_cpfs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An 11-digit document per customer, derived from its key."""
+    c = read_table(spark, sf_dir, "customer").select("c_custkey")
+    return c.select(F.lpad((F.col("c_custkey") * 104729 % 100000000000).cast("string"), 11, "0")
+                    .alias("tomador_cpf"))
