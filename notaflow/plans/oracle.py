@@ -681,3 +681,14 @@ ORACLES.update({
     "rps_latest": RPS_LATEST,
     "rps_outcomes": RPS_OUTCOMES,
 })
+
+
+# ------------------------------------------------------------- streaming
+STREAM_DEDUP = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
+STREAM_STATUS = """SELECT event_type, COUNT(*) AS total_linhas,
+  CAST(SUM(CAST(value AS DECIMAL(38,9))) AS DOUBLE) AS valor_total FROM events GROUP BY event_type"""
+
+ORACLES.update({
+    "stream_dedup": STREAM_DEDUP,
+    "stream_status": STREAM_STATUS,
+})

@@ -274,3 +274,36 @@ QUERIES.update({
     "rps_latest": q_rps_latest,
     "rps_outcomes": q_rps_outcomes,
 })
+
+
+# ---------------------------------------------------------------- streaming
+from ..streaming import jobs as streaming_jobs  # noqa: E402
+
+
+def _events_schema(spark, sf_dir):
+    return read_table(spark, sf_dir, "events").schema
+
+
+def q_stream_dedup(spark, sf_dir):
+    """The events table re-read twice (overlapping windows) -> one row per event."""
+    return streaming_jobs.stream_dedup(spark, sf_dir, _events_schema(spark, sf_dir), "events.parquet",
+                                       "event_id", "ts").drop("event_time")
+
+
+def q_stream_status(spark, sf_dir):
+    return streaming_jobs.stream_status(spark, sf_dir, _events_schema(spark, sf_dir), "events.parquet",
+                                        "event_type", "value")
+
+
+def q_stream_kpis(spark, sf_dir):
+    return streaming_jobs.stream_kpis(spark, sf_dir, _events_schema(spark, sf_dir), "events.parquet",
+                                      "ts", "user_id", "value")
+
+
+from ..sources.tables import read_table  # noqa: E402
+
+QUERIES.update({
+    "stream_dedup": q_stream_dedup,
+    "stream_status": q_stream_status,
+    "stream_kpis": q_stream_kpis,
+})
