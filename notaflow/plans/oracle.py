@@ -692,3 +692,210 @@ ORACLES.update({
     "stream_dedup": STREAM_DEDUP,
     "stream_status": STREAM_STATUS,
 })
+
+
+# ------------------------------------------------------------- spreadsheet path
+def _arr(vals) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''").replace("\n", "' || chr(10) || '") + "'" for v in vals) + "]"
+
+
+def _cells_sql() -> str:
+    from ..sources.adapter import SHEET_HEADERS, WORKBOOK_NAMES
+    return f"""
+pp AS (
+  SELECT p_partkey AS k, p_name, p_brand, p_type, p_size, p_retailprice,
+    CAST(split_part(p_brand, '#', 2) AS INTEGER) - 1 AS idx
+  FROM part
+),
+pf AS (
+  SELECT *, {_arr(WORKBOOK_NAMES)}[idx % 5 + 1] || ' ' || split_part(p_brand, '#', 2) || '.xlsx' AS arquivo_nome,
+    'Aba' || CAST(p_size % 3 + 1 AS VARCHAR) AS aba_nome,
+    CAST(DATE '2005-01-01' + CAST(k % 2500 AS INTEGER) AS DATE) AS d,
+    printf('%.2f', p_retailprice) AS price,
+    lpad(CAST(k AS VARCHAR), 14, '0') AS dg
+  FROM pp
+),
+dc AS (
+  SELECT arquivo_nome, aba_nome, k + 1 AS linha, k % 17 = 0 AS vazio, unnest([
+    struct_pack(coluna := 0, valor := CASE WHEN k % 23 <> 0 THEN CAST(k AS VARCHAR) END),
+    struct_pack(coluna := 1, valor := p_name),
+    struct_pack(coluna := 2, valor := substr(dg, 1, 2) || '.' || substr(dg, 3, 3) || '.' || substr(dg, 6, 3) || '/' || substr(dg, 9, 4) || '-' || substr(dg, 13, 2)),
+    struct_pack(coluna := 3, valor := CASE k % 4 WHEN 0 THEN strftime(d, '%Y-%m-%d')
+        WHEN 1 THEN CAST(day(d) AS VARCHAR) || '/' || CAST(month(d) AS VARCHAR) || '/' || CAST(year(d) AS VARCHAR)
+        WHEN 2 THEN strftime(d, '%Y-%m-%d') || ' 00:00:00' ELSE 'sem data' END),
+    struct_pack(coluna := 4, valor := CASE k % 3 WHEN 0 THEN price WHEN 1 THEN replace(price, '.', ',')
+        ELSE '1.' || replace(price, '.', ',') END),
+    struct_pack(coluna := 5, valor := CASE k % 5 WHEN 0 THEN CAST(p_size AS VARCHAR) || '/' || CAST(k % 7 AS VARCHAR)
+        WHEN 1 THEN CAST(p_size AS VARCHAR) || '/2' WHEN 2 THEN '10/2023' WHEN 3 THEN '1/2/3' ELSE 'a/b' END),
+    struct_pack(coluna := 6, valor := CAST(NULL AS VARCHAR)),
+    struct_pack(coluna := 7, valor := ['nan', 'None', '.', ' x ', 'x None', p_type][k % 6 + 1])
+  ]) AS c FROM pf
+),
+sheets AS (SELECT DISTINCT arquivo_nome, aba_nome, p_size % 3 AS s FROM pf),
+hc AS (
+  SELECT arquivo_nome, aba_nome, 0 AS linha, i AS coluna,
+    CASE s WHEN 0 THEN {_arr(SHEET_HEADERS[0])}[i + 1] WHEN 1 THEN {_arr(SHEET_HEADERS[1])}[i + 1]
+           ELSE {_arr(SHEET_HEADERS[2])}[i + 1] END AS valor
+  FROM sheets, (SELECT unnest(range(8)) AS i)
+),
+cells AS (
+  SELECT arquivo_nome, aba_nome, linha, c.coluna AS coluna, CASE WHEN NOT vazio THEN c.valor END AS valor FROM dc
+  UNION ALL SELECT arquivo_nome, aba_nome, linha, coluna, valor FROM hc
+),
+hdr AS (
+  SELECT arquivo_nome, aba_nome, coluna, valor AS cabecalho, {_norm_sql("valor", "coluna")} AS nome
+  FROM cells WHERE linha = 0
+),
+nonempty AS (SELECT DISTINCT arquivo_nome, aba_nome, coluna FROM cells WHERE linha > 0 AND valor IS NOT NULL),
+settled0 AS (SELECT h.* FROM hdr h SEMI JOIN nonempty n USING (arquivo_nome, aba_nome, coluna)),
+settled AS (
+  SELECT arquivo_nome, aba_nome, coluna, cabecalho,
+    CASE WHEN rn > 1 THEN nome || '_' || CAST(rn - 1 AS VARCHAR) ELSE nome END AS nome
+  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY arquivo_nome, aba_nome, nome ORDER BY coluna) AS rn FROM settled0)
+),
+keeprows AS (SELECT DISTINCT arquivo_nome, aba_nome, linha FROM cells WHERE linha > 0 AND valor IS NOT NULL),
+clean AS (
+  SELECT c.arquivo_nome, c.aba_nome, c.linha, c.coluna, s.nome AS coluna_nome, {_clean_sql("c.valor")} AS valor
+  FROM cells c
+  JOIN keeprows r ON c.arquivo_nome = r.arquivo_nome AND c.aba_nome = r.aba_nome AND c.linha = r.linha
+  JOIN settled s ON c.arquivo_nome = s.arquivo_nome AND c.aba_nome = s.aba_nome AND c.coluna = s.coluna
+  WHERE c.linha > 0
+)"""
+
+
+def _norm_sql(v: str, idx: str) -> str:
+    from ..functions.text import HEADER_REPLACEMENTS
+    h = f"trim(COALESCE({v}, ''), ' ' || chr(9) || chr(10) || chr(13))"
+    h = f"replace(replace(replace({h}, chr(10), ' '), chr(13), ''), '  ', ' ')"
+    h = f"strip_accents({h})"
+    for old, new in HEADER_REPLACEMENTS:
+        h = f"replace({h}, '{old}', '{new}')"
+    h = f"(CASE WHEN regexp_matches({h}, '^[0-9]') THEN 'col_' || {h} ELSE {h} END)"
+    h = f"regexp_replace(regexp_replace({h}, '_{{2,}}', '_', 'g'), '_+$', '')"
+    return f"(CASE WHEN {h} = '' OR lower({h}) LIKE '%unnamed%' THEN 'coluna_' || CAST({idx} AS VARCHAR) ELSE {h} END)"
+
+
+def _clean_sql(v: str) -> str:
+    v0 = f"trim(COALESCE({v}, ''), ' ' || chr(9) || chr(10) || chr(13))"
+    v1 = f"(CASE WHEN {v0} IN ('nan', 'None', 'NaT', '.', '') THEN '' ELSE {v0} END)"
+    q = (f"regexp_replace(CAST(CAST(round_even(CAST(split_part({v1}, '/', 1) AS DOUBLE) / "
+         f"CAST(split_part({v1}, '/', 2) AS DOUBLE), 6) AS DECIMAL(38,6)) AS VARCHAR), '0+$', '')")
+    q = f"(CASE WHEN {q} LIKE '%.' THEN {q} || '0' ELSE {q} END)"
+    return (f"(CASE WHEN regexp_full_match({v1}, '[0-9]+/[0-9]+') AND CAST(split_part({v1}, '/', 2) AS DOUBLE) <> 0 "
+            f"THEN {q} ELSE {v1} END)")
+
+
+def _date_sql(v: str) -> str:
+    return (f"CAST(COALESCE(try_strptime({v}, '%Y-%m-%d'), try_strptime({v}, '%Y-%m-%d %H:%M:%S'), "
+            f"try_strptime({v}, '%d/%m/%Y')) AS DATE)")
+
+
+def _float_sql(v: str) -> str:
+    t = f"replace(trim({v}), ',', '.')"
+    return f"(CASE WHEN regexp_full_match({t}, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') THEN TRY_CAST({t} AS DOUBLE) END)"
+
+
+def _class_sql(n: str) -> str:
+    return (f"(CASE WHEN lower({n}) LIKE '%faturamento%' AND regexp_matches({n}, '2006|2007|2008|2009|2010') "
+            f"THEN 'faturamento_historico' WHEN lower({n}) LIKE '%empresas antigas%' THEN 'empresas_antigas' "
+            f"WHEN lower({n}) LIKE '%todos clientes%' THEN 'clientes_atuais' ELSE 'desconhecido' END)")
+
+
+def _route_sql(t: str) -> str:
+    return (f"(CASE {t} WHEN 'faturamento_historico' THEN 'faturamento_historico' WHEN 'empresas_antigas' "
+            f"THEN 'empresas_antigas' WHEN 'clientes_atuais' THEN 'clientes_atuais' ELSE 'dados_genericos' END)")
+
+
+CELLS = _cells_sql()
+
+FILE_CLASSIFY = "WITH " + CELLS + f"""
+SELECT arquivo_nome, {_class_sql('arquivo_nome')} AS tipo_arquivo, {_route_sql(_class_sql('arquivo_nome'))} AS tabela_destino
+FROM (SELECT DISTINCT arquivo_nome FROM cells)"""
+HEADER_NORMALIZE = "WITH " + CELLS + " SELECT arquivo_nome, aba_nome, coluna, cabecalho, nome FROM hdr"
+HEADER_DEDUP = "WITH " + CELLS + " SELECT arquivo_nome, aba_nome, coluna, nome FROM settled"
+CLEAN_CELLS = "WITH " + CELLS + " SELECT * FROM clean"
+
+_TXT = "substr(trim(NULLIF(NULLIF({x}, ''), 'nan')), 1, 1000)"
+COERCE_TYPES = "WITH " + CELLS + f""",
+w AS (
+  SELECT arquivo_nome, aba_nome, linha,
+    MAX(CASE WHEN coluna_nome = 'Nota_Fiscal_n_num' THEN valor END) AS a,
+    MAX(CASE WHEN coluna_nome = 'Razao_Social' THEN valor END) AS b,
+    MAX(CASE WHEN coluna_nome = 'CNPJ' THEN valor END) AS c,
+    MAX(CASE WHEN coluna_nome = 'Data_Emissao' THEN valor END) AS d,
+    MAX(CASE WHEN coluna_nome = 'Valor_Liquido_R$' THEN valor END) AS e,
+    MAX(CASE WHEN coluna_nome = 'Honorarios_pct' THEN valor END) AS f
+  FROM clean GROUP BY 1, 2, 3
+)
+SELECT arquivo_nome, aba_nome, linha,
+  {_TXT.format(x='a')} AS numero_nota, {_TXT.format(x='b')} AS razao_social, {_TXT.format(x='c')} AS cnpj,
+  {_date_sql("trim(NULLIF(NULLIF(d, ''), 'nan'))")} AS data_emissao,
+  {_float_sql("NULLIF(NULLIF(e, ''), 'nan')")} AS valor_liquido,
+  {_float_sql("NULLIF(NULLIF(f, ''), 'nan')")} AS honorarios,
+  CAST(NULL AS VARCHAR) AS observacao
+FROM w"""
+
+DROP_EMPTY = "WITH " + CELLS + """,
+rr AS (SELECT arquivo_nome, aba_nome, linha, COUNT(valor) AS n FROM cells WHERE linha > 0 GROUP BY 1, 2, 3),
+r AS (SELECT arquivo_nome, aba_nome, COUNT(*) AS linhas, COUNT(*) FILTER (WHERE n = 0) AS linhas_vazias FROM rr GROUP BY 1, 2),
+cc AS (SELECT h.arquivo_nome, h.aba_nome, h.coluna, COUNT(c.valor) AS n FROM hdr h
+       LEFT JOIN cells c ON c.linha > 0 AND c.arquivo_nome = h.arquivo_nome AND c.aba_nome = h.aba_nome AND c.coluna = h.coluna
+       GROUP BY 1, 2, 3),
+c AS (SELECT arquivo_nome, aba_nome, COUNT(*) AS colunas, COUNT(*) FILTER (WHERE n = 0) AS colunas_vazias FROM cc GROUP BY 1, 2)
+SELECT COALESCE(r.arquivo_nome, c.arquivo_nome) AS arquivo_nome, COALESCE(r.aba_nome, c.aba_nome) AS aba_nome,
+  r.linhas, r.linhas_vazias, c.colunas, c.colunas_vazias
+FROM r FULL OUTER JOIN c ON r.arquivo_nome = c.arquivo_nome AND r.aba_nome = c.aba_nome"""
+
+SHEET_DOCUMENTS = "WITH " + CELLS + f""",
+docs AS (
+  SELECT arquivo_nome, aba_nome, linha,
+    to_json(map_from_entries(list(struct_pack(k := coluna_nome, v := valor) ORDER BY coluna_nome))) AS dados_json
+  FROM clean GROUP BY 1, 2, 3
+)
+SELECT arquivo_nome, {_class_sql('arquivo_nome')} AS arquivo_tipo, aba_nome, dados_json, linha AS linha_original,
+  sha256(dados_json) AS hash_linha, 'processed' AS _processing_status,
+  {_route_sql(_class_sql('arquivo_nome'))} AS tabela_destino
+FROM docs"""
+
+FILE_PROFILE = "WITH " + CELLS + f""",
+fr AS (SELECT arquivo_nome, COUNT(*) AS total_linhas FROM keeprows GROUP BY 1),
+fc AS (SELECT arquivo_nome, list_sort(list(DISTINCT nome)) AS colunas_detectadas, COUNT(DISTINCT aba_nome) AS total_abas,
+              list_sort(list(DISTINCT aba_nome)) AS abas_nomes FROM settled GROUP BY 1),
+fd AS (SELECT arquivo_nome, MIN({_date_sql('valor')}) AS periodo_inicio, MAX({_date_sql('valor')}) AS periodo_fim
+       FROM clean WHERE coluna_nome = 'Data_Emissao' GROUP BY 1)
+SELECT fc.arquivo_nome, total_abas, abas_nomes, COALESCE(total_linhas, 0) AS total_linhas, colunas_detectadas,
+  {_class_sql('fc.arquivo_nome')} AS tipo_arquivo, periodo_inicio, periodo_fim,
+  CASE WHEN COALESCE(total_linhas, 0) > 0 THEN 'processado' ELSE 'vazio' END AS status
+FROM fc LEFT JOIN fr USING (arquivo_nome) LEFT JOIN fd USING (arquivo_nome)"""
+
+
+def _column_match_sql() -> str:
+    from .registry import HISTORIC_TARGET
+    vals = ", ".join(f"('faturamento_historico', '{n}', '{t}')" for n, t in HISTORIC_TARGET)
+    return "WITH " + CELLS + f""",
+src AS (
+  SELECT nome, MIN(struct_pack(a := arquivo_nome, b := aba_nome, c := coluna)) AS ordem FROM settled
+  WHERE {_class_sql('arquivo_nome')} = 'faturamento_historico' GROUP BY nome
+),
+tgt AS (SELECT * FROM (VALUES {vals}) t(tabela, coluna_destino, tipo)),
+m AS (
+  SELECT t.tabela, t.coluna_destino, t.tipo, s.ordem, s.nome FROM tgt t JOIN src s ON lower(s.nome) = lower(t.coluna_destino)
+  UNION ALL
+  SELECT t.tabela, t.coluna_destino, t.tipo, s.ordem, s.nome FROM tgt t JOIN src s
+    ON replace(replace(replace(lower(s.nome), '_', ' '), 'º', ''), 'ª', '') = replace(lower(t.coluna_destino), '_', ' ')
+),
+best AS (SELECT tabela, coluna_destino, tipo, arg_min(nome, ordem) AS coluna_origem FROM m GROUP BY 1, 2, 3)
+SELECT t.tabela, t.coluna_destino, t.tipo, b.coluna_origem FROM tgt t LEFT JOIN best b USING (tabela, coluna_destino, tipo)"""
+
+
+ORACLES.update({
+    "file_classify": FILE_CLASSIFY,
+    "header_normalize": HEADER_NORMALIZE,
+    "header_dedup": HEADER_DEDUP,
+    "clean_cells": CLEAN_CELLS,
+    "coerce_types": COERCE_TYPES,
+    "drop_empty": DROP_EMPTY,
+    "sheet_documents": SHEET_DOCUMENTS,
+    "file_profile": FILE_PROFILE,
+})
+ORACLES["column_match"] = _column_match_sql()

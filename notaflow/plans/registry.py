@@ -307,3 +307,81 @@ QUERIES.update({
     "stream_status": q_stream_status,
     "stream_kpis": q_stream_kpis,
 })
+
+
+# ---------------------------------------------------------------- spreadsheet path
+from ..operators import cleaning  # noqa: E402
+from ..functions.text import classify_file  # noqa: E402
+
+
+def cells(spark, sf_dir):
+    return stored(spark, sf_dir, "sheet_cells", adapter.spreadsheet_cells, _write_plain)
+
+
+def q_file_classify(spark, sf_dir):
+    names = cells(spark, sf_dir).select("arquivo_nome").distinct()
+    t = classify_file(F.col("arquivo_nome"))
+    return names.select("arquivo_nome", t.alias("tipo_arquivo"), cleaning.route_table(t).alias("tabela_destino"))
+
+
+def q_header_normalize(spark, sf_dir):
+    return cleaning.headers(cells(spark, sf_dir))
+
+
+def q_header_dedup(spark, sf_dir):
+    return cleaning.settled_headers(cells(spark, sf_dir)).select("arquivo_nome", "aba_nome", "coluna", "nome")
+
+
+def q_clean_cells(spark, sf_dir):
+    return cleaning.clean_cells(cells(spark, sf_dir))
+
+
+BILLING_TARGET = (("numero_nota", "STRING", "Nota_Fiscal_n_num"), ("razao_social", "STRING", "Razao_Social"),
+                  ("cnpj", "STRING", "CNPJ"), ("data_emissao", "DATE", "Data_Emissao"),
+                  ("valor_liquido", "FLOAT", "Valor_Liquido_R$"), ("honorarios", "FLOAT", "Honorarios_pct"),
+                  ("observacao", "STRING", None))
+
+
+def q_coerce_types(spark, sf_dir):
+    return cleaning.typed_rows(cleaning.clean_cells(cells(spark, sf_dir)), BILLING_TARGET)
+
+
+def q_drop_empty(spark, sf_dir):
+    return cleaning.empty_report(cells(spark, sf_dir))
+
+
+def q_sheet_documents(spark, sf_dir):
+    return cleaning.documents(cells(spark, sf_dir))
+
+
+def q_file_profile(spark, sf_dir):
+    return cleaning.file_profile(cells(spark, sf_dir), "Data_Emissao")
+
+
+# Target table schema for the column matcher (ALN-1): name, type.
+HISTORIC_TARGET = (("nota_fiscal_n_num", "STRING"), ("razao social", "STRING"), ("RAZAO_SOCIAL_1", "STRING"),
+                   ("cnpj", "STRING"), ("data emissao", "DATE"), ("valor_liquido_r$", "FLOAT"),
+                   ("cliente", "STRING"), ("consultor", "STRING"))
+
+
+def q_column_match(spark, sf_dir):
+    hdr = cleaning.settled_headers(cells(spark, sf_dir))
+    hdr = hdr.filter(classify_file(F.col("arquivo_nome")) == _C.TYPE_HISTORIC_BILLING)
+    # pandas stacks sheets by name: a name's position is its first appearance.
+    src = hdr.groupBy("nome").agg(F.min(F.struct("arquivo_nome", "aba_nome", "coluna")).alias("ordem"))
+    target = spark.createDataFrame([("faturamento_historico", n, t) for n, t in HISTORIC_TARGET],
+                                   "tabela string, coluna_destino string, tipo string")
+    return cleaning.column_match(src, target)
+
+
+QUERIES.update({
+    "file_classify": q_file_classify,
+    "header_normalize": q_header_normalize,
+    "header_dedup": q_header_dedup,
+    "clean_cells": q_clean_cells,
+    "coerce_types": q_coerce_types,
+    "drop_empty": q_drop_empty,
+    "sheet_documents": q_sheet_documents,
+    "file_profile": q_file_profile,
+    "column_match": q_column_match,
+})

@@ -431,3 +431,67 @@ def customer_cpfs(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer").select("c_custkey")
     return c.select(F.lpad((F.col("c_custkey") * 104729 % 100000000000).cast("string"), 11, "0")
                     .alias("tomador_cpf"))
+
+
+# ---------------------------------------------------------------- spreadsheet cells
+# Workbook-shaped cells derived from the whole part table: one workbook per
+# brand, one sheet per size class, one spreadsheet row per part.
+WORKBOOK_NAMES = ("FATURAMENTO 2008", "Faturamento 2015", "Todos Clientes", "Empresas Antigas",
+                  "Planilha Geral")
+SHEET_HEADERS = (
+    ("Nota Fiscal nº", "Razão Social", "CNPJ", "Data Emissão", "Valor Líquido (R$)", "Honorários %",
+     "Unnamed: 6", "Razão Social"),
+    ("Nota Fiscal nº", " Cliente\n", "CNPJ", "Data Emissão", "Valor Líquido (R$)", "Honorários %",
+     "Unnamed: 6", "Obs."),
+    ("Nota Fiscal nº", "Razão  Social", "CNPJ", "2020 Data", "Valor Líquido (R$)", "Honorários %",
+     "Unnamed: 6", ""),
+)
+
+
+def _brand_number(brand: Column) -> Column:
+    return F.split(brand, "#").getItem(1)
+
+
+def spreadsheet_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long cells ``(arquivo_nome, aba_nome, linha, coluna, valor)``; row 0 = headers."""
+    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size",
+                                                 "p_retailprice")
+    k = F.col("p_partkey")
+    idx = _brand_number(F.col("p_brand")).cast("int") - 1
+    fname = F.concat(F.element_at(F.array(*[F.lit(n) for n in WORKBOOK_NAMES]), (idx % 5 + 1).cast("int")),
+                     F.lit(" "), _brand_number(F.col("p_brand")), F.lit(".xlsx"))
+    sheet = F.concat(F.lit("Aba"), (F.col("p_size") % 3 + 1).cast("string"))
+    d = F.date_add(F.lit("2005-01-01").cast("date"), (k % 2500).cast("int"))
+    date_text = (F.when(k % 4 == 0, F.date_format(d, "yyyy-MM-dd"))
+                 .when(k % 4 == 1, F.concat_ws("/", F.dayofmonth(d), F.month(d), F.year(d)))
+                 .when(k % 4 == 2, F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit(" 00:00:00")))
+                 .otherwise(F.lit("sem data")))
+    price = F.format_string("%.2f", F.col("p_retailprice"))
+    money = (F.when(k % 3 == 0, price)
+             .when(k % 3 == 1, F.replace(price, F.lit("."), F.lit(",")))
+             .otherwise(F.concat(F.lit("1."), F.replace(price, F.lit("."), F.lit(",")))))
+    frac = (F.when(k % 5 == 0, F.concat(F.col("p_size").cast("string"), F.lit("/"), (k % 7).cast("string")))
+            .when(k % 5 == 1, F.concat(F.col("p_size").cast("string"), F.lit("/2")))
+            .when(k % 5 == 2, F.lit("10/2023"))
+            .when(k % 5 == 3, F.lit("1/2/3"))
+            .otherwise(F.lit("a/b")))
+    misc = F.element_at(F.array(F.lit("nan"), F.lit("None"), F.lit("."), F.lit(" x "), F.lit("x None"),
+                                F.col("p_type")), (k % 6 + 1).cast("int"))
+    digits = F.lpad(k.cast("string"), 14, "0")
+    values = [
+        F.when(k % 23 != 0, k.cast("string")), F.col("p_name"), _fmt_cnpj(digits), date_text, money, frac,
+        F.lit(None).cast("string"), misc,
+    ]
+    empty = k % 17 == 0
+    cells = F.array(*[F.struct(F.lit(i).alias("coluna"), F.when(~empty, v).alias("valor"))
+                      for i, v in enumerate(values)])
+    data = p.select(fname.alias("arquivo_nome"), sheet.alias("aba_nome"), (k + 1).alias("linha"),
+                    F.explode(cells).alias("c")).select("arquivo_nome", "aba_nome", "linha", "c.coluna", "c.valor")
+    sheets = p.select(fname.alias("arquivo_nome"), sheet.alias("aba_nome"),
+                      (F.col("p_size") % 3).alias("s")).distinct()
+    hdr_arr = F.when(F.col("s") == 0, F.array(*[F.lit(h) for h in SHEET_HEADERS[0]])) \
+        .when(F.col("s") == 1, F.array(*[F.lit(h) for h in SHEET_HEADERS[1]])) \
+        .otherwise(F.array(*[F.lit(h) for h in SHEET_HEADERS[2]]))
+    hdr = sheets.select("arquivo_nome", "aba_nome", F.lit(0).cast("bigint").alias("linha"),
+                        F.posexplode(hdr_arr).alias("coluna", "valor"))
+    return data.unionByName(hdr)
