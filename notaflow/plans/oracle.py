@@ -899,3 +899,5 @@ ORACLES.update({
     "file_profile": FILE_PROFILE,
 })
 ORACLES["column_match"] = _column_match_sql()
+
+ORACLES["workbook_cells"] = "WITH " + CELLS + " SELECT arquivo_nome, aba_nome, linha, coluna, valor FROM cells WHERE valor IS NOT NULL"

@@ -385,3 +385,20 @@ QUERIES.update({
     "file_profile": q_file_profile,
     "column_match": q_column_match,
 })
+
+
+# ---------------------------------------------------------------- workbook source
+from ..sources import files as file_source  # noqa: E402
+
+
+def _build_workbooks(spark, sf_dir):
+    return file_source.workbooks_from_cells(cells(spark, sf_dir))
+
+
+def q_workbook_cells(spark, sf_dir):
+    """SRC-3: xlsx workbooks (built per file from the cells) decoded back."""
+    wb = stored(spark, sf_dir, "workbooks", _build_workbooks, _write_plain)
+    return file_source.decode_workbooks(wb).drop("erro")
+
+
+QUERIES["workbook_cells"] = q_workbook_cells

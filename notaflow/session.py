@@ -24,6 +24,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.driver.memory", os.environ.get("NOTAFLOW_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Workbook decode ships whole files through Arrow: keep batches small.
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
