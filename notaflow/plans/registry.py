@@ -70,7 +70,7 @@ QUERIES: dict[str, Query] = {
 
 # ---------------------------------------------------------------- staging / marts
 from ..operators import marts, staging  # noqa: E402
-from ..sinks.tables import append_raw  # noqa: E402
+from ..sinks.tables import append_raw, overwrite  # noqa: E402
 
 
 def _raw(spark, sf_dir):
@@ -88,11 +88,17 @@ def q_staging_companies(spark, sf_dir):
     return staging.companies(_raw(spark, sf_dir))
 
 
-def _dim(spark, sf_dir):
+def _build_dim(spark, sf_dir):
     raw = _raw(spark, sf_dir)
     return marts.dim_customers(staging.billing(raw), staging.companies(raw), AS_OF)
 
 
+def _dim(spark, sf_dir):
+    """``dim_clientes`` is a materialised table (create-or-replace, SNK-7):
+    built once per session, then read by the fact, summary and scores."""
+    return stored(spark, sf_dir, "dim_clientes", _build_dim, overwrite)
+
+
 def q_dim_customers(spark, sf_dir):
     return _dim(spark, sf_dir)
 

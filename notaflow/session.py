@@ -24,6 +24,11 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.driver.memory", os.environ.get("NOTAFLOW_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Wide projections (document parsing / building) generate methods over
+        # the JVM's 8 KB JIT limit; let the JIT compile them instead of
+        # interpreting them.
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
+        .config("spark.executor.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         # Workbook decode ships whole files through Arrow: keep batches small.
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
     )

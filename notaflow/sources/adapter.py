@@ -147,7 +147,8 @@ def _fmt_cnpj(d: Column) -> Column:
 
 def _json_str(v: Column) -> Column:
     """JSON string literal (or null) built by concatenation: stays in codegen."""
-    esc = F.regexp_replace(F.regexp_replace(v, r'(["\\\\])', r'\\$1'), "\n", r"\\n")
+    lit = F.lit
+    esc = F.replace(F.replace(F.replace(v, lit("\\"), lit("\\\\")), lit('"'), lit('\\"')), lit("\n"), lit("\\n"))
     return F.coalesce(F.concat(F.lit('"'), esc, F.lit('"')), F.lit("null"))
 
 
@@ -288,87 +289,70 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- invoice XML
 def _esc_xml(v: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(v, "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
+    lit = F.lit
+    return F.replace(F.replace(F.replace(v, lit("&"), lit("&amp;")), lit("<"), lit("&lt;")), lit(">"), lit("&gt;"))
 
 
-def _el(p: Column, tag: str, *children: Column) -> Column:
-    """``<p:tag>children</p:tag>``; NULL when every child is NULL (element left out)."""
-    inner = F.concat_ws("", *children)
-    open_, close = F.concat(F.lit("<"), p, F.lit(tag + ">")), F.concat(F.lit("</"), p, F.lit(tag + ">"))
-    has = F.coalesce(*children).isNotNull() if len(children) > 1 else children[0].isNotNull()
-    return F.when(has, F.concat(open_, inner, close))
-
-
-def _leaf(p: Column, tag: str, v: Column) -> Column:
-    return _el(p, tag, _esc_xml(v))
+def _leaf(tag: str, v: Column) -> Column:
+    """Leaf element text, '' when the value is NULL (element left out)."""
+    return F.coalesce(F.concat(F.lit(f"<{tag}>"), _esc_xml(v), F.lit(f"</{tag}>")), F.lit(""))
 
 
 XML_DATE_WITH_TIME = "T10:30:00"
 
 
 def invoice_xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One ABRASF-style response document per order, a ``CompNfse`` per line.
-    Odd orders use a namespace prefix; some notes lack values or carry bad
-    text; orders divisible by 5 add a note without ``Nfse``; orders divisible
-    by 101 are truncated (malformed)."""
+    """ABRASF-style response documents, one per note. Odd orders use a
+    namespace prefix; some notes lack values or carry bad text; orders
+    divisible by 5 add a note without ``Nfse``; orders divisible by 101 are
+    truncated (malformed). Built as one flat concatenation per note (no
+    shuffle); the prefix is applied to every tag of the finished text."""
     b = with_cents(line_base(spark, sf_dir))
     ok, ln, ck = F.col("l_orderkey"), F.col("l_linenumber"), F.col("c_custkey")
-    p = F.when(ok % 2 == 1, F.lit("ns2:")).otherwise(F.lit(""))
     d = F.col("l_shipdate").cast("date")
     date_text = F.concat(F.date_format(d, "yyyy-MM-dd"),
                          F.when(ln % 2 == 0, F.lit(XML_DATE_WITH_TIME)).otherwise(F.lit("")))
     city = customer_city(ck, F.col("n_name"))
+    item = F.concat(F.lit("1."), (ln % (1 + ck % 5)).cast("string"))
 
     def money_text(c: str) -> Column:
         return cents_to_money(c).cast("string")
 
-    valores = _el(p, "Valores",
-                  _leaf(p, "ValorServicos", money_text("vs_c")),
-                  F.when(ln != 2, _leaf(p, "ValorDeducoes", money_text("ded_c"))),
-                  _leaf(p, "ValorPis", money_text("pis_c")),
-                  _leaf(p, "ValorCofins", money_text("cofins_c")),
-                  _leaf(p, "ValorInss", money_text("inss_c")),
-                  _leaf(p, "ValorIr", money_text("ir_c")),
-                  _leaf(p, "ValorCsll", money_text("csll_c")),
-                  _leaf(p, "ValorIss", F.when(ln == 3, F.lit("abc")).otherwise(money_text("iss_c"))),
-                  _leaf(p, "ValorLiquidoNfse", money_text("vl_c")))
-    item = F.concat(F.lit("1."), (ln % (1 + ck % 5)).cast("string"))
-    inf = _el(p, "InfNfse",
-              _leaf(p, "Numero", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")),
-              _leaf(p, "CodigoVerificacao",
-                    F.lpad(((ok * 31 + ln * 7) % 1000000000).cast("string"), 9, "0")),
-              _leaf(p, "DataEmissao", date_text),
-              _leaf(p, "Competencia", F.date_format(F.col("o_orderdate"), "yyyy-MM-dd")),
-              _el(p, "PrestadorServico",
-                  _el(p, "IdentificacaoPrestador", _el(p, "CpfCnpj", _leaf(p, "Cnpj", F.lit(PROVIDER_CNPJ)))),
-                  _leaf(p, "RazaoSocial", F.lit(PROVIDER_NAME))),
-              _el(p, "TomadorServico",
-                  _el(p, "IdentificacaoTomador", _el(p, "CpfCnpj", _leaf(p, "Cnpj", customer_cnpj(ck)))),
-                  _leaf(p, "RazaoSocial", F.col("c_name")),
-                  _el(p, "Endereco",
-                      _leaf(p, "Endereco", F.concat(F.lit("Rua "), (ck % 100).cast("string"))),
-                      _leaf(p, "Numero", ck.cast("string")),
-                      _leaf(p, "Municipio", city),
-                      _leaf(p, "Uf", F.col("n_name")),
-                      _leaf(p, "Cep", F.lpad((ck % 100000000).cast("string"), 8, "0")))),
-              _el(p, "Servico", valores,
-                  _leaf(p, "ItemListaServico", item),
-                  _leaf(p, "Discriminacao", F.concat(F.lit("Servico "), item))))
-    comp = _el(p, "CompNfse", _el(p, "Nfse", inf))
-    # One document per order: its notes in line order (an order has a handful
-    # of lines, so the per-order list is small and bounded).
-    per_order = b.groupBy("l_orderkey").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(ln.alias("n"), comp.alias("x")))),
-                                 lambda s: s["x"]), "").alias("notes"))
-    okc = F.col("l_orderkey")
-    pp = F.when(okc % 2 == 1, F.lit("ns2:")).otherwise(F.lit(""))
-    ns = F.when(okc % 2 == 1, F.lit(' xmlns:ns2="http://www.abrasf.org.br/nfse.xsd"')).otherwise(F.lit(""))
-    bogus = F.when(okc % 5 == 0, F.concat(F.lit("<"), pp, F.lit("CompNfse><"), pp, F.lit("Outro>x</"), pp,
-                                         F.lit("Outro></"), pp, F.lit("CompNfse>"))).otherwise(F.lit(""))
-    close = F.concat(F.lit("</"), pp, F.lit("ListaNfse></"), pp, F.lit("ConsultarNfseResposta>"))
-    doc = F.concat(F.lit("<"), pp, F.lit("ConsultarNfseResposta"), ns, F.lit("><"), pp, F.lit("ListaNfse>"),
-                   F.col("notes"), bogus, F.when(okc % 101 != 0, close).otherwise(F.lit("")))
-    return per_order.select(okc.alias("documento_id"), doc.alias("xml"))
+    L = F.lit
+    parts = [
+        L("<ConsultarNfseResposta><ListaNfse><CompNfse><Nfse><InfNfse>"),
+        _leaf("Numero", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")),
+        _leaf("CodigoVerificacao", F.lpad(((ok * 31 + ln * 7) % 1000000000).cast("string"), 9, "0")),
+        _leaf("DataEmissao", date_text),
+        _leaf("Competencia", F.date_format(F.col("o_orderdate"), "yyyy-MM-dd")),
+        L("<PrestadorServico><IdentificacaoPrestador><CpfCnpj>"), _leaf("Cnpj", L(PROVIDER_CNPJ)),
+        L("</CpfCnpj></IdentificacaoPrestador>"), _leaf("RazaoSocial", L(PROVIDER_NAME)),
+        L("</PrestadorServico><TomadorServico><IdentificacaoTomador><CpfCnpj>"),
+        _leaf("Cnpj", customer_cnpj(ck)),
+        L("</CpfCnpj></IdentificacaoTomador>"), _leaf("RazaoSocial", F.col("c_name")),
+        L("<Endereco>"), _leaf("Endereco", F.concat(L("Rua "), (ck % 100).cast("string"))),
+        _leaf("Numero", ck.cast("string")), _leaf("Municipio", city), _leaf("Uf", F.col("n_name")),
+        _leaf("Cep", F.lpad((ck % 100000000).cast("string"), 8, "0")),
+        L("</Endereco></TomadorServico><Servico><Valores>"),
+        _leaf("ValorServicos", money_text("vs_c")),
+        F.when(ln != 2, _leaf("ValorDeducoes", money_text("ded_c"))).otherwise(L("")),
+        _leaf("ValorPis", money_text("pis_c")), _leaf("ValorCofins", money_text("cofins_c")),
+        _leaf("ValorInss", money_text("inss_c")), _leaf("ValorIr", money_text("ir_c")),
+        _leaf("ValorCsll", money_text("csll_c")),
+        _leaf("ValorIss", F.when(ln == 3, L("abc")).otherwise(money_text("iss_c"))),
+        _leaf("ValorLiquidoNfse", money_text("vl_c")),
+        L("</Valores>"), _leaf("ItemListaServico", item), _leaf("Discriminacao", F.concat(L("Servico "), item)),
+        L("</Servico></InfNfse></Nfse></CompNfse>"),
+        F.when(ok % 5 == 0, L("<CompNfse><Outro>x</Outro></CompNfse>")).otherwise(L("")),
+        F.when(ok % 101 != 0, L("</ListaNfse></ConsultarNfseResposta>")).otherwise(L("")),
+    ]
+    plain = F.concat(*parts)
+    prefixed = F.regexp_replace(
+        F.regexp_replace(plain, "<(/?)([A-Za-z])", "<$1ns2:$2"),
+        "^<ns2:ConsultarNfseResposta>", '<ns2:ConsultarNfseResposta xmlns:ns2="http://www.abrasf.org.br/nfse.xsd">')
+    doc = F.when(ok % 2 == 1, prefixed).otherwise(plain)
+    return b.select(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("documento_id"),
+                    doc.alias("xml"))
 
 
 # ---------------------------------------------------------------- contracts / RPS
