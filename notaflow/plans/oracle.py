@@ -901,3 +901,16 @@ ORACLES.update({
 ORACLES["column_match"] = _column_match_sql()
 
 ORACLES["workbook_cells"] = "WITH " + CELLS + " SELECT arquivo_nome, aba_nome, linha, coluna, valor FROM cells WHERE valor IS NOT NULL"
+
+ORACLES["load_report"] = "WITH " + BASE + """,
+batch AS (
+  SELECT sha256(CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)
+                || lpad(CAST((l_orderkey * 31 + l_linenumber * 7) % 1000000000 AS VARCHAR), 9, '0')
+                || strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d')) AS h, CAST(l_shipdate AS DATE) AS d
+  FROM cents2
+),
+ins AS (SELECT COUNT(DISTINCT h) AS n FROM batch WHERE h NOT IN (SELECT h FROM batch WHERE d < DATE '1999-01-01'))
+SELECT COUNT(*) AS linhas_lote, COUNT(DISTINCT h) AS chaves_distintas, (SELECT n FROM ins) AS inseridas,
+  COUNT(*) - (SELECT n FROM ins) AS ignoradas,
+  round((SELECT n FROM ins) * 100.0 / COUNT(*), 1) AS taxa_sucesso_pct
+FROM batch"""

@@ -408,3 +408,24 @@ def q_workbook_cells(spark, sf_dir):
 
 
 QUERIES["workbook_cells"] = q_workbook_cells
+
+
+# ---------------------------------------------------------------- load report / views
+def q_load_report(spark, sf_dir):
+    batch = duplicate_batch(spark, sf_dir)
+    previous = loading.dedupe_by_key(batch.filter(F.col("data_emissao") < HISTORY_CUTOFF))
+    return loading.load_report(batch, loading.new_rows(batch, previous))
+
+
+QUERIES["load_report"] = q_load_report
+
+
+def register_views(spark: SparkSession, sf_dir: str) -> list[str]:
+    """SNK-9: every mart and analytics view as a temp view, for SQL users."""
+    names = []
+    for name, fn in QUERIES.items():
+        if name.startswith("stream_"):
+            continue
+        fn(spark, sf_dir).createOrReplaceTempView(name)
+        names.append(name)
+    return names

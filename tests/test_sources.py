@@ -71,3 +71,34 @@ def test_stream_dedup_equals_batch(spark):
     events = spark.read.parquet(f"{SF}/events.parquet")
     assert out.count() == events.count()
     assert out.select("event_id").distinct().count() == events.count()
+
+
+def test_landing_stream_archives_and_replays_idempotently(spark, tmp_path):
+    from notaflow.streaming import landing
+    land, arch = tmp_path / "novos", tmp_path / "armazenados"
+    land.mkdir()
+    arch.mkdir()
+    for i in range(2):
+        (land / f"Todos Clientes {i}.xlsx").write_bytes(files.build_workbook(
+            {"Aba1": [(0, 0, "CNPJ"), (0, 1, "Cliente"), (1, 0, f"0{i}"), (1, 1, "Ana"), (2, 0, "9"), (2, 1, "Bia")]}))
+    raw = str(tmp_path / "raw")
+    landing.ingest_landing(spark, str(land), raw, str(tmp_path / "ck1"), archive=str(arch))
+    first = spark.read.parquet(raw)
+    assert first.count() == 4
+    assert set(first.select("arquivo_tipo").distinct().toPandas()["arquivo_tipo"]) == {"clientes_atuais"}
+    # replay over the archive with a fresh checkpoint adds nothing
+    archived = [p for p in arch.rglob("*.xlsx")]
+    replay_dir = archived[0].parent if archived else land
+    landing.ingest_landing(spark, str(replay_dir), raw, str(tmp_path / "ck2"))
+    assert spark.read.parquet(raw).count() == 4
+
+
+def test_contract_loader_and_schema():
+    from notaflow import schemas
+    cols = schemas.load_contract('[{"name": "id", "type": "STRING", "mode": "REQUIRED"},'
+                                 ' {"name": "valor", "type": "NUMERIC", "precision": 15, "scale": 2}]')
+    st = schemas.struct(cols)
+    assert [f.nullable for f in st.fields] == [False, True]
+    assert st.fields[1].dataType.simpleString() == "decimal(15,2)"
+    assert len(schemas.INVOICE) == 27 and len(schemas.RAW) == 15 and len(schemas.FILE_METADATA) == 16
+    assert len(schemas.NF_TRIBUTOS) == 10 and len(schemas.RPS_LOG) == 17
