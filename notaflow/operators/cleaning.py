@@ -149,10 +149,10 @@ def typed_rows(clean: DataFrame, mapping: Sequence[tuple[str, str, str | None]])
     None); a target without source is NULL (COE-7). The pivot uses an explicit
     column list, so it is one aggregation with partial combine."""
     sources = sorted({s for _, _, s in mapping if s})
-    picked = clean.filter(F.col("coluna_nome").isin(*sources)) if sources else clean.limit(0)
-    wide = picked.groupBy(*ROW).agg(*[F.max(F.when(F.col("coluna_nome") == s, F.col("valor"))).alias(s)
-                                      for s in sources])
-    rows = clean.select(*ROW).distinct().join(wide, list(ROW), "left")
+    # One aggregation per row over all its cells: rows without any mapped
+    # source column still come out (all NULL), with no extra distinct/join.
+    picks = [F.max(F.when(F.col("coluna_nome") == src, F.col("valor"))).alias(src) for src in sources]
+    rows = clean.groupBy(*ROW).agg(*(picks or [F.count(F.lit(1)).alias("__n")]))
     out: list[Column] = [F.col(c) for c in ROW]
     for target, bq_type, source in mapping:
         empty = {"STRING": "string", "FLOAT": "double", "DATE": "date", "DATETIME": "timestamp"}

@@ -252,10 +252,15 @@ def q_unpivot_taxes(spark, sf_dir):
     return t.withColumn("valor", F.col("valor").cast("double"))
 
 
+def _parse_xml(spark, sf_dir):
+    return xml_source.parse_response_column(xml_documents(spark, sf_dir), AS_OF)
+
+
 def q_orphan_taxes(spark, sf_dir):
+    """Tax rows whose note never made it into the table loaded from XML."""
     taxes = quality.unpivot_taxes(invoices(spark, sf_dir))
-    parsed = xml_source.parse_response_column(xml_documents(spark, sf_dir), AS_OF)
-    return quality.orphans(taxes, parsed).withColumn("valor", F.col("valor").cast("double"))
+    loaded = stored(spark, sf_dir, "nfse_from_xml", _parse_xml, _write_plain)
+    return quality.orphans(taxes, loaded).withColumn("valor", F.col("valor").cast("double"))
 
 
 def q_rps_latest(spark, sf_dir):

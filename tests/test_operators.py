@@ -146,3 +146,17 @@ def test_no_single_partition_on_customer_path(spark):
     inv = adapter.invoices(spark, SF)
     plan = views.customer_performance(inv, AS_OF)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_daily_report_and_views(spark, tmp_path):
+    from tests.conftest import SF
+    from notaflow.operators import scoring
+    from notaflow.plans import registry as R
+    kpis = R.q_executive_kpis(spark, SF)
+    scored = R.q_client_score(spark, SF)
+    scoring.daily_report(kpis, scored, str(tmp_path / "rel"), k=5)
+    assert spark.read.parquet(str(tmp_path / "rel" / "kpis")).count() == kpis.count()
+    assert spark.read.parquet(str(tmp_path / "rel" / "oportunidades")).count() <= 5
+    names = R.register_views(spark, SF)
+    assert "customer_performance" in names
+    assert spark.sql("SELECT COUNT(*) FROM tax_recovery").first()[0] > 0
