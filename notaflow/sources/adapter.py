@@ -302,11 +302,11 @@ XML_DATE_WITH_TIME = "T10:30:00"
 
 
 def invoice_xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ABRASF-style response documents, one per note. Odd orders use a
-    namespace prefix; some notes lack values or carry bad text; orders
-    divisible by 5 add a note without ``Nfse``; orders divisible by 101 are
-    truncated (malformed). Built as one flat concatenation per note (no
-    shuffle); the prefix is applied to every tag of the finished text."""
+    """ABRASF-style response documents, one per order with a ``CompNfse`` per
+    line. Odd orders use a namespace prefix; some notes lack values or carry
+    bad text; orders divisible by 5 add a note without ``Nfse``; orders
+    divisible by 101 are truncated (malformed). Each note is one flat
+    concatenation; the prefix is applied to every tag of the finished text."""
     b = with_cents(line_base(spark, sf_dir))
     ok, ln, ck = F.col("l_orderkey"), F.col("l_linenumber"), F.col("c_custkey")
     d = F.col("l_shipdate").cast("date")
@@ -320,7 +320,7 @@ def invoice_xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     L = F.lit
     parts = [
-        L("<ConsultarNfseResposta><ListaNfse><CompNfse><Nfse><InfNfse>"),
+        L("<CompNfse><Nfse><InfNfse>"),
         _leaf("Numero", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")),
         _leaf("CodigoVerificacao", F.lpad(((ok * 31 + ln * 7) % 1000000000).cast("string"), 9, "0")),
         _leaf("DataEmissao", date_text),
@@ -343,16 +343,23 @@ def invoice_xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         _leaf("ValorLiquidoNfse", money_text("vl_c")),
         L("</Valores>"), _leaf("ItemListaServico", item), _leaf("Discriminacao", F.concat(L("Servico "), item)),
         L("</Servico></InfNfse></Nfse></CompNfse>"),
-        F.when(ok % 5 == 0, L("<CompNfse><Outro>x</Outro></CompNfse>")).otherwise(L("")),
-        F.when(ok % 101 != 0, L("</ListaNfse></ConsultarNfseResposta>")).otherwise(L("")),
     ]
-    plain = F.concat(*parts)
+    note = F.concat(*parts)
+    # One response per order holding its notes in line order (a handful per
+    # order, so the per-order list is small and bounded).
+    per_order = b.groupBy("l_orderkey").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(ln.alias("n"), note.alias("x")))),
+                                 lambda e: e["x"]), "").alias("notes"))
+    okc = F.col("l_orderkey")
+    plain = F.concat(
+        F.lit("<ConsultarNfseResposta><ListaNfse>"), F.col("notes"),
+        F.when(okc % 5 == 0, F.lit("<CompNfse><Outro>x</Outro></CompNfse>")).otherwise(F.lit("")),
+        F.when(okc % 101 != 0, F.lit("</ListaNfse></ConsultarNfseResposta>")).otherwise(F.lit("")))
     prefixed = F.regexp_replace(
         F.regexp_replace(plain, "<(/?)([A-Za-z])", "<$1ns2:$2"),
         "^<ns2:ConsultarNfseResposta>", '<ns2:ConsultarNfseResposta xmlns:ns2="http://www.abrasf.org.br/nfse.xsd">')
-    doc = F.when(ok % 2 == 1, prefixed).otherwise(plain)
-    return b.select(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("documento_id"),
-                    doc.alias("xml"))
+    doc = F.when(okc % 2 == 1, prefixed).otherwise(plain)
+    return per_order.select(okc.alias("documento_id"), doc.alias("xml"))
 
 
 # ---------------------------------------------------------------- contracts / RPS
