@@ -45,12 +45,17 @@ def nonempty_columns(cells: DataFrame) -> DataFrame:
             .select(*SHEET, "coluna").distinct())
 
 
-def dedupe_headers(hdr: DataFrame) -> DataFrame:
-    """CLN-5: the 2nd, 3rd... column with the same name in a sheet gets _1, _2."""
+def dedupe_headers(hdr: DataFrame, passes: int = 3) -> DataFrame:
+    """CLN-5: the 2nd, 3rd... column with the same name in a sheet gets _1, _2.
+    A generated name can collide with a real one (``A``, ``A``, ``A_1``), so
+    the pass repeats until names are unique (bounded; the header table is
+    metadata: one row per sheet column)."""
     w = Window.partitionBy(*SHEET, "nome").orderBy("coluna")
-    k = F.row_number().over(w) - 1
-    return hdr.withColumn("nome", F.when(k > 0, F.concat(F.col("nome"), F.lit("_"), k.cast("string")))
-                          .otherwise(F.col("nome")))
+    for _ in range(passes):
+        k = F.row_number().over(w) - 1
+        hdr = hdr.withColumn("nome", F.when(k > 0, F.concat(F.col("nome"), F.lit("_"), k.cast("string")))
+                             .otherwise(F.col("nome")))
+    return hdr
 
 
 def settled_headers(cells: DataFrame) -> DataFrame:
@@ -144,7 +149,8 @@ def coerce(value: Column, bq_type: str) -> Column:
     return v.cast("string")
 
 
-def typed_rows(clean: DataFrame, mapping: Sequence[tuple[str, str, str | None]]) -> DataFrame:
+def typed_rows(clean: DataFrame, mapping: Sequence[tuple[str, str, str | None]],
+               with_errors: bool = False) -> DataFrame:
     """ALN-1 + COE-*: wide typed rows. ``mapping`` = (target, type, source or
     None); a target without source is NULL (COE-7). The pivot uses an explicit
     column list, so it is one aggregation with partial combine."""
@@ -154,11 +160,15 @@ def typed_rows(clean: DataFrame, mapping: Sequence[tuple[str, str, str | None]])
     picks = [F.max(F.when(F.col("coluna_nome") == src, F.col("valor"))).alias(src) for src in sources]
     rows = clean.groupBy(*ROW).agg(*(picks or [F.count(F.lit(1)).alias("__n")]))
     out: list[Column] = [F.col(c) for c in ROW]
+    errors = F.lit(0)
     for target, bq_type, source in mapping:
         empty = {"STRING": "string", "FLOAT": "double", "DATE": "date", "DATETIME": "timestamp"}
         e = coerce(F.col(source), bq_type) if source else F.lit(None).cast(empty.get(bq_type.upper(), "string"))
         out.append(e.alias(target))
-    return rows.select(*out)
+        if source:
+            errors = errors + F.when(blank_to_null(F.col(source)).isNotNull() & e.isNull(), 1).otherwise(0)
+    res = rows.select(*out, errors.alias("__erros"))
+    return res if with_errors else res.drop("__erros")
 
 
 def empty_report(cells: DataFrame) -> DataFrame:
@@ -196,3 +206,20 @@ def file_profile(cells: DataFrame, date_column: str | None = None) -> DataFrame:
                       *([ "periodo_inicio", "periodo_fim"] if date_column else []),
                       F.when(F.coalesce("total_linhas", F.lit(0)) > 0, F.lit("processado"))
                       .otherwise(F.lit("vazio")).alias("status"))
+
+
+def load_typed(typed: DataFrame, path: str, quarantine: str) -> dict:
+    """SNK-1 + RPT-1: append typed rows; rows with a value that failed its
+    type go to a quarantine table instead. Counts come from ``observe``
+    (gathered while writing, no extra pass). Needs ``typed_rows(...,
+    with_errors=True)``."""
+    from pyspark.sql import Observation
+    ok_obs, bad_obs = Observation("inseridas"), Observation("erros")
+    good = typed.filter(F.col("__erros") == 0).drop("__erros").observe(ok_obs, F.count(F.lit(1)).alias("n"))
+    bad = typed.filter(F.col("__erros") > 0).observe(bad_obs, F.count(F.lit(1)).alias("n"))
+    good.write.mode("append").parquet(path)
+    bad.write.mode("append").parquet(quarantine)
+    inserted, errors = ok_obs.get["n"], bad_obs.get["n"]
+    total = inserted + errors
+    return {"linhas": total, "inseridas": inserted, "erros": errors,
+            "taxa_sucesso_pct": round(inserted * 100.0 / total, 1) if total else 0.0}

@@ -160,3 +160,26 @@ def test_daily_report_and_views(spark, tmp_path):
     names = R.register_views(spark, SF)
     assert "customer_performance" in names
     assert spark.sql("SELECT COUNT(*) FROM tax_recovery").first()[0] > 0
+
+
+def test_load_typed_quarantines_bad_values(spark, tmp_path):
+    from notaflow.operators import cleaning
+    clean = spark.createDataFrame(
+        [("f", "S", 1, 0, "V", "1,5"), ("f", "S", 1, 1, "D", "2024-1-5"),
+         ("f", "S", 2, 0, "V", "1.234,56"), ("f", "S", 2, 1, "D", "5/1/2024"),
+         ("f", "S", 3, 0, "V", ""), ("f", "S", 3, 1, "D", "sem data")],
+        "arquivo_nome string, aba_nome string, linha long, coluna int, coluna_nome string, valor string")
+    typed = cleaning.typed_rows(clean, [("valor", "FLOAT", "V"), ("data", "DATE", "D"), ("obs", "STRING", None)],
+                                with_errors=True)
+    rep = cleaning.load_typed(typed, str(tmp_path / "ok"), str(tmp_path / "bad"))
+    assert rep == {"linhas": 3, "inseridas": 1, "erros": 2, "taxa_sucesso_pct": 33.3}
+    good = spark.read.parquet(str(tmp_path / "ok")).first()
+    assert good["valor"] == 1.5 and good["data"] == dt.date(2024, 1, 5) and good["obs"] is None
+
+
+def test_header_dedup_repeats_until_unique(spark):
+    from notaflow.operators import cleaning
+    hdr = spark.createDataFrame([("f", "S", i, n) for i, n in enumerate(["A", "A", "A_1", "B"])],
+                                "arquivo_nome string, aba_nome string, coluna int, nome string")
+    got = [r["nome"] for r in cleaning.dedupe_headers(hdr).orderBy("coluna").collect()]
+    assert got == ["A", "A_1", "A_1_1", "B"]
