@@ -183,3 +183,14 @@ def test_header_dedup_repeats_until_unique(spark):
                                 "arquivo_nome string, aba_nome string, coluna int, nome string")
     got = [r["nome"] for r in cleaning.dedupe_headers(hdr).orderBy("coluna").collect()]
     assert got == ["A", "A_1", "A_1_1", "B"]
+
+
+def test_stamp_and_run_report(spark):
+    from notaflow.operators import cleaning
+    df = spark.createDataFrame([("FATURAMENTO 2009.xlsx",), ("x.csv",)], "arquivo_nome string")
+    got = {r["arquivo_nome"]: r for r in cleaning.stamp(df, "2024-06-30", "Cliente X").collect()}
+    assert got["FATURAMENTO 2009.xlsx"]["tipo_arquivo"] == "faturamento_historico"
+    assert got["x.csv"]["tipo_arquivo"] == "desconhecido"
+    assert got["x.csv"]["data_processamento"] == dt.date(2024, 6, 30)
+    ledger = spark.createDataFrame([("a", "ok"), ("b", "ok"), ("c", "erro")], "arquivo_nome string, status string")
+    assert [(r[0], r[1]) for r in loading.run_report(ledger).collect()] == [("erro", 1), ("ok", 2)]
