@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.exprs import MONEY, blank_to_null, lenient_date, lenient_timestamp, parse_float, strip_ws
 from ..functions.text import classify_file, clean_cell, normalize_header
+from .common import settle
 
 SHEET = ("arquivo_nome", "aba_nome")
 ROW = ("arquivo_nome", "aba_nome", "linha")
@@ -215,6 +216,7 @@ def load_typed(typed: DataFrame, path: str, quarantine: str) -> dict:
     with_errors=True)``."""
     from pyspark.sql import Observation
     ok_obs, bad_obs = Observation("inseridas"), Observation("erros")
+    typed = settle(typed)  # coerce once, then split good / bad rows
     good = typed.filter(F.col("__erros") == 0).drop("__erros").observe(ok_obs, F.count(F.lit(1)).alias("n"))
     bad = typed.filter(F.col("__erros") > 0).observe(bad_obs, F.count(F.lit(1)).alias("n"))
     good.write.mode("append").parquet(path)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.exprs import clean_digits, document_value, safe_iso_date, serial_date
+from .common import settle
 
 DOC = "__doc"
 _DOUBLE = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[Nn]a[Nn]|[Ii]nf(inity)?)\s*$"
@@ -64,8 +65,8 @@ def billing(raw: DataFrame, fallback_type: str = C.TYPE_FALLBACK) -> DataFrame:
         _v(C.KEY_SITUACAO).alias("situacao"),
         _v(C.KEY_CONSULTOR).alias("consultor"),
         "_ingestion_timestamp", "_ingestion_batch_id")
-    return out.filter(F.col("cnpj").isNotNull() & F.col("data_emissao").isNotNull()
-                      & F.col("valor_liquido").isNotNull())
+    return settle(out).filter(F.col("cnpj").isNotNull() & F.col("data_emissao").isNotNull()
+                               & F.col("valor_liquido").isNotNull())
 
 
 def companies(raw: DataFrame, fallback_type: str = C.TYPE_FALLBACK) -> DataFrame:
