@@ -622,7 +622,7 @@ RPS_LATEST = "WITH " + RPS + " SELECT * FROM latest"
 RPS_OUTCOMES = "WITH " + INV + "," + RPS + """
 SELECT status_final, COUNT(*) AS rps,
   COUNT(*) FILTER (WHERE numero_nfse_gerado IN (SELECT numero_nfse FROM inv)) AS convertidos,
-  SUM(tentativas) AS tentativas
+  CAST(SUM(tentativas) AS BIGINT) AS tentativas
 FROM latest GROUP BY status_final ORDER BY status_final"""
 
 
@@ -733,7 +733,7 @@ dc AS (
 ),
 sheets AS (SELECT DISTINCT arquivo_nome, aba_nome, p_size % 3 AS s FROM pf),
 hc AS (
-  SELECT arquivo_nome, aba_nome, 0 AS linha, i AS coluna,
+  SELECT arquivo_nome, aba_nome, 0 AS linha, CAST(i AS INTEGER) AS coluna,
     CASE s WHEN 0 THEN {_arr(SHEET_HEADERS[0])}[i + 1] WHEN 1 THEN {_arr(SHEET_HEADERS[1])}[i + 1]
            ELSE {_arr(SHEET_HEADERS[2])}[i + 1] END AS valor
   FROM sheets, (SELECT unnest(range(8)) AS i)
@@ -849,7 +849,7 @@ FROM r FULL OUTER JOIN c ON r.arquivo_nome = c.arquivo_nome AND r.aba_nome = c.a
 SHEET_DOCUMENTS = "WITH " + CELLS + f""",
 docs AS (
   SELECT arquivo_nome, aba_nome, linha,
-    to_json(map_from_entries(list(struct_pack(k := coluna_nome, v := valor) ORDER BY coluna_nome))) AS dados_json
+    CAST(to_json(map_from_entries(list(struct_pack(k := coluna_nome, v := valor) ORDER BY coluna_nome))) AS VARCHAR) AS dados_json
   FROM clean GROUP BY 1, 2, 3
 )
 SELECT arquivo_nome, {_class_sql('arquivo_nome')} AS arquivo_tipo, aba_nome, dados_json, linha AS linha_original,

@@ -73,6 +73,14 @@ from ..operators import marts, staging  # noqa: E402
 from ..sinks.tables import append_raw, overwrite  # noqa: E402
 
 
+def _wall_clock(df: DataFrame, *cols: str) -> DataFrame:
+    """Output boundary: timestamps as wall-clock (timestamp_ntz), so results do
+    not depend on the reading session's time zone."""
+    for c in cols:
+        df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
+    return df
+
+
 def _raw(spark, sf_dir):
     """The flexible raw table as the ingest job leaves it: the adapter's
     documents appended (SNK-2) and partitioned by file type, so staging
@@ -81,11 +89,11 @@ def _raw(spark, sf_dir):
 
 
 def q_staging_billing(spark, sf_dir):
-    return staging.billing(_raw(spark, sf_dir))
+    return _wall_clock(staging.billing(_raw(spark, sf_dir)), "_ingestion_timestamp")
 
 
 def q_staging_companies(spark, sf_dir):
-    return staging.companies(_raw(spark, sf_dir))
+    return _wall_clock(staging.companies(_raw(spark, sf_dir)), "_ingestion_timestamp")
 
 
 def _build_dim(spark, sf_dir):
@@ -105,7 +113,7 @@ def q_dim_customers(spark, sf_dir):
 
 def q_fact_billing(spark, sf_dir):
     raw = _raw(spark, sf_dir)
-    return marts.fact_billing(staging.billing(raw), _dim(spark, sf_dir))
+    return _wall_clock(marts.fact_billing(staging.billing(raw), _dim(spark, sf_dir)), "_ingestion_timestamp")
 
 
 def q_dim_calendar(spark, sf_dir):
@@ -265,7 +273,8 @@ def q_orphan_taxes(spark, sf_dir):
 
 def q_rps_latest(spark, sf_dir):
     r = quality.rps_latest(adapter.rps_log(spark, sf_dir))
-    return r.withColumn("tempo_total_segundos", F.col("tempo_total_segundos").cast("double"))
+    return _wall_clock(r.withColumn("tempo_total_segundos", F.col("tempo_total_segundos").cast("double")),
+                       "ultimo_envio")
 
 
 def q_rps_outcomes(spark, sf_dir):
