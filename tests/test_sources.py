@@ -102,3 +102,17 @@ def test_contract_loader_and_schema():
     assert st.fields[1].dataType.simpleString() == "decimal(15,2)"
     assert len(schemas.INVOICE) == 27 and len(schemas.RAW) == 15 and len(schemas.FILE_METADATA) == 16
     assert len(schemas.NF_TRIBUTOS) == 10 and len(schemas.RPS_LOG) == 17
+
+
+def test_xml_file_reader_one_response_per_file(spark, tmp_path):
+    (tmp_path / "a.xml").write_text(NS_DOC)
+    (tmp_path / "b.xml").write_text(PLAIN_DOC)
+    got = sorted(r["numero_nfse"] for r in xml.read_response_files(spark, str(tmp_path), "2024-06-30").collect())
+    assert got == ["007", "9"]
+
+
+def test_datetime_coercion(spark):
+    from notaflow.operators.cleaning import coerce
+    df = spark.createDataFrame([("2024-01-05 10:30:00",), ("5/1/2024 08:00",), ("x",)], "v string")
+    got = [r[0] for r in df.select(coerce(F.col("v"), "DATETIME")).collect()]
+    assert got == [dt.datetime(2024, 1, 5, 10, 30), dt.datetime(2024, 1, 5, 8, 0), None]
