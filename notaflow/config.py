@@ -6,7 +6,7 @@ match; they are stated here together, in their natural order.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # Fixed as-of date used by the test adapter (FIXTURES.md §3).
 ADAPTER_AS_OF = "2001-11-15"

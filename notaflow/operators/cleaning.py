@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.exprs import MONEY, blank_to_null, lenient_date, lenient_timestamp, parse_float, strip_ws
+from ..functions.exprs import blank_to_null, lenient_date, lenient_timestamp, parse_float, strip_ws
 from ..functions.text import classify_file, clean_cell, normalize_header
 from .common import settle
 
