@@ -914,3 +914,12 @@ SELECT COUNT(*) AS linhas_lote, COUNT(DISTINCT h) AS chaves_distintas, (SELECT n
   COUNT(*) - (SELECT n FROM ins) AS ignoradas,
   round((SELECT n FROM ins) * 100.0 / COUNT(*), 1) AS taxa_sucesso_pct
 FROM batch"""
+
+ORACLES["stream_invoice_load"] = """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY hash_nfse ORDER BY numero_nfse, codigo_verificacao, data_emissao,
+    data_competencia, prestador_cnpj, prestador_razao_social, tomador_cnpj NULLS FIRST, tomador_cpf NULLS FIRST,
+    tomador_razao_social, tomador_endereco, tomador_municipio NULLS FIRST, tomador_uf, tomador_cep, valor_servicos,
+    valor_deducoes, valor_pis, valor_cofins, valor_inss, valor_ir, valor_csll, valor_iss, valor_liquido,
+    discriminacao, item_lista_servico, data_processamento, origem_consulta) AS rn
+  FROM (""" + XML_INVOICES + """)) WHERE rn = 1"""
