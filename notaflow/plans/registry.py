@@ -451,7 +451,7 @@ def q_stream_invoice_load(spark, sf_dir):
     folder = _STORED[(spark.sparkContext.applicationId, sf_dir, "nfse_xml")]
     from ..session import scratch_path
     out = streaming_jobs.stream_invoice_load(spark, folder, docs.schema, AS_OF, scratch_path(spark, "nfse_store"),
-                                             scratch_path(spark, "nfse_store_ck"), max_files=2)
+                                             scratch_path(spark, "nfse_store_ck"), max_files=4)
     return out.select(*[F.col(c).cast("double").alias(c) if c in adapter.MONEY_COLS else F.col(c)
                         for c in out.columns])
 
