@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import packing, pieces, radix_dedup
+from . import fm_dedup, html_consensus, jaccard, line_spread, maxscore, packing, pieces, pseudo_lm, quality, radix_dedup
 from .common import table
 
 
@@ -14,6 +14,14 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_spread(spark, sf_dir):
+    return line_spread.remove_boilerplate(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+def op2_quality(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark, sf_dir):
     return radix_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -22,19 +30,66 @@ def op4_pieces(spark, sf_dir):
     return pieces.encode_decode(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"), outputs=False)
 
 
+def op5_maxscore(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return maxscore.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+def op6_html_consensus(spark, sf_dir):
+    return html_consensus.extract(table(spark, sf_dir, "pages"))
+
+
+def op7_jaccard(spark, sf_dir):
+    return jaccard.similar_components(table(spark, sf_dir, "documents"))
+
+
+def op8_pseudo_lm(spark, sf_dir):
+    return pseudo_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op10_fm_dedup(spark, sf_dir):
+    return fm_dedup.remove_repeats(table(spark, sf_dir, "documents"), outputs=False)
+
+
 QUERIES = {
+    "op1_line_spread": op1_line_spread,
+    "op2_quality": op2_quality,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_pieces": op4_pieces,
+    "op5_maxscore": op5_maxscore,
+    "op6_html_consensus": op6_html_consensus,
+    "op7_jaccard": op7_jaccard,
+    "op8_pseudo_lm": op8_pseudo_lm,
     "op9_packing": op9_packing,
+    "op10_fm_dedup": op10_fm_dedup,
 }
 
 WS = r"[\x20\x09-\x0D]"
 
 ORACLES = {
+    "op1_line_spread": rf"""
+        WITH d AS (SELECT doc_id, coalesce(source, '') AS site, string_split(coalesce(text, ''), chr(10)) AS lines
+                   FROM documents),
+             l AS (SELECT doc_id, site, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
+             k AS (SELECT *, regexp_replace(line, '^{WS}+|{WS}+$', '', 'g') AS key FROM l),
+             b AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT site) >= {line_spread.MIN_SITES}),
+             j AS (SELECT k.*, b.key IS NOT NULL AS gone FROM k LEFT JOIN b ON k.key = b.key)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM j GROUP BY doc_id""",
+    "op5_maxscore": """
+        WITH v AS (SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS e FROM embeddings
+                   WHERE embedding IS NOT NULL
+                     AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+             p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+                   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+             r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+                   FROM p)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
     "op3_exact_dedup": rf"""
         WITH d AS (SELECT doc_id, coalesce(length(text), 0) AS n,
                           regexp_replace(coalesce(text, ''), '{WS}+', '', 'g') AS t FROM documents)
