@@ -243,10 +243,12 @@ def common_anchors(rows: DataFrame, share: float, total: int) -> np.ndarray:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", common_share: float = COMMON_SHARE,
-                   crowd: int = CROWD, shard_docs: int = SHARD_DOCS, outputs: bool = True) -> DataFrame:
+                   crowd: int = CROWD, shard_docs: int = SHARD_DOCS, outputs: bool = True,
+                   carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256 and, with
     ``outputs``, kept_text (the kept words joined by one space) and spans (removed
-    [first word, words], ascending).
+    [first word, words], ascending); ``carry`` names atomic columns of ``docs`` to
+    return beside them.
 
     Words are [^\\x20\\x09-\\x0D]+, unchanged. Null and empty texts have none; texts
     of fewer than 13 words lose nothing; windows repeated within one document stay;
@@ -255,8 +257,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     of any length are judged whole; an empty table gives no rows.
     """
     rows = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("doc_id"),
-                       F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))
+                       F.coalesce(docs[text_col], F.lit("")).alias("text"),
+                       *[docs[c].cast("string").alias(f"carry_{i}") for i, c in enumerate(carry)])
+    full = rows.withColumn("row", F.xxhash64("doc_id", "text"))
+    rows = full.select("doc_id", "text", "row")
     total = rows.count()
     buckets, shards = max(16, -(-total // BUCKET_DOCS)), max(16, -(-total // shard_docs))
     common = common_anchors(rows, common_share, total)
@@ -347,7 +351,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             by_row = {r: (s, n) for r, s, n in
                       _by_key(*(_column(marks, c, np.int64) for c in "abc"))}
         out = []
-        for r, d, text in docs_[["row", "doc_id", "text"]].itertuples(index=False):
+        carried = [f"carry_{i}" for i in range(len(carry))]
+        for r, d, text, *more in docs_[["row", "doc_id", "text", *carried]].itertuples(index=False):
             ws, spans = split(text), []
             n_words = len(ws)
             if r in by_row:
@@ -361,21 +366,25 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 ws = [w for w, g in zip(ws, gone[1:-1]) if not g]
             kept = b" ".join(ws)
             out.append((None if d == NO_ID else d, n_words, n_words - len(ws), hashlib.sha256(kept).hexdigest())
-                       + ((kept.decode("utf-8", "surrogatepass"), spans) if outputs else ()))
-        names = ["doc_id", "n_words", "n_removed", "kept_sha256"] + ["kept_text", "spans"] * outputs
+                       + ((kept.decode("utf-8", "surrogatepass"), spans) if outputs else ()) + tuple(more))
+        names = ["doc_id", "n_words", "n_removed", "kept_sha256"] + ["kept_text", "spans"] * outputs + carried
         return pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" \
-        + ", kept_text string, spans array<array<long>>" * outputs
+        + ", kept_text string, spans array<array<long>>" * outputs \
+        + "".join(f", carry_{i} string" for i in range(len(carry)))
     if not total:
-        return docs.sparkSession.createDataFrame([], schema)
+        return docs.sparkSession.createDataFrame([], schema).toDF(
+            *["doc_id", "n_words", "n_removed", "kept_sha256"], *["kept_text", "spans"] * outputs, *carry)
     # Row keys are hashed to buckets as the payloads' keys are: unsigned remainder.
     bucket = F.expr(f"cast(pmod(cast(row as decimal(20,0)) + if(row < 0, 18446744073709551616, 0), {buckets}) as long)")
-    dealt = rows.withColumn("key", -1 - bucket).groupBy("key")
+    dealt = full.withColumn("key", -1 - bucket).groupBy("key")
     live = rows.mapInPandas(anchors, PAYLOAD).groupBy("key").applyInPandas(decide, PAYLOAD)
     sent = dealt.cogroup(live.groupBy("key")).applyInPandas(texts_out, PAYLOAD)
     gone = sent.groupBy("key").applyInPandas(search, PAYLOAD)
-    return dealt.cogroup(gone.groupBy("key")).applyInPandas(finish, schema)
+    out = dealt.cogroup(gone.groupBy("key")).applyInPandas(finish, schema)
+    back = {f"carry_{i}": F.col(f"carry_{i}").cast(docs.schema[c].dataType).alias(c) for i, c in enumerate(carry)}
+    return out.select(*[back.get(c, F.col(c)) for c in out.columns])
 
 
 def _hold(held: dict, key: tuple[int, bytes], d: int, r: int, at: int) -> None:

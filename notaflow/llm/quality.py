@@ -139,49 +139,87 @@ def train(x: np.ndarray, p: np.ndarray, rounds: int = 800, rate: float = 2.0, de
     return scale, w, float(b - centre @ w)
 
 
-def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE,
-             sample_max: int = SAMPLE_MAX) -> DataFrame:
-    """One row per row of ``docs``: doc_id, weak (posterior by the labellers),
-    score (scorer's probability of good), kept (score >= THRESHOLD and not empty).
+class Model:
+    """Posterior by vote pattern and the linear scorer."""
 
-    Null and empty texts have no words and are rejected (weak and score 0);
-    repeated rows are scored each; texts of any length are read whole; a null id
-    is scored like others; an empty table gives no rows.
-    """
+    def __init__(self, weak: dict[str, float], weights: np.ndarray, bias: float):
+        self.weak, self.weights, self.bias = weak, weights, bias
+
+    def score(self, text: str) -> float:
+        if not text.strip():
+            return 0.0
+        return float(1 / (1 + np.exp(-np.clip(features(text) @ self.weights + self.bias, -40, 40))))
+
+    def posterior(self, text: str) -> float:
+        return self.weak.get(_pattern(text), 0.5) if text.strip() else 0.0
+
+
+def _pattern(text: str) -> str:
+    return "".join(map(str, votes(measures(text)[1])))
+
+
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE,
+        sample_max: int = SAMPLE_MAX) -> Model | None:
+    """EM over the votes of all documents, then the scorer on a bounded sample; None without documents."""
     rows = texts(docs, id_col, text_col)
 
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in slices(batches):
-            yield pd.DataFrame({"v": ["".join(map(str, votes(measures(t)[1]))) for t in pdf.text]})
+            yield pd.DataFrame({"v": list(map(_pattern, pdf.text))})
 
     counted = rows.mapInPandas(vote, "v string").groupBy("v").agg(F.count(F.lit(1)).alias("n")).collect()
     if not counted:
-        return rows.select("doc_id", F.lit(0.0).alias("weak"), F.lit(0.0).alias("score"), F.lit(False).alias("kept"))
-    patterns = np.array([[int(c) for c in r.v] for r in counted])
+        return None
     counts = np.array([r.n for r in counted], float)
-    posterior, _, _ = em(patterns, counts)
+    posterior, _, _ = em(np.array([[int(c) for c in r.v] for r in counted]), counts)
     weak = {r.v: float(p) for r, p in zip(counted, posterior)}
     share = min(1.0, sample / counts.sum())
 
     def featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in slices(batches):
-            yield pd.DataFrame({"p": [weak.get("".join(map(str, votes(measures(t)[1]))), 0.5) for t in pdf.text],
+            yield pd.DataFrame({"p": [weak.get(_pattern(t), 0.5) for t in pdf.text],
                                 "x": [features(t).tobytes() for t in pdf.text]})
 
     # A hash of id and text picks the sample: the same rows however the table is dealt.
-    pick = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < F.lit(int(np.ceil(share * 1_000_000)))
+    pick = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) < F.lit(int(np.ceil(share * (1 << 40))))
     taken = rows.where(pick).mapInPandas(featurise, "p double, x binary").limit(sample_max).collect()
     if not taken:
         taken = rows.limit(sample).mapInPandas(featurise, "p double, x binary").collect()
     x = np.stack([np.frombuffer(r.x, np.float32) for r in taken])
     scale, w, bias = train(x, np.array([r.p for r in taken], np.float32))
-    effective = scale * w
+    return Model(weak, scale * w, bias)
+
+
+def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE,
+             sample_max: int = SAMPLE_MAX) -> DataFrame:
+    """One row per row of ``docs``: doc_id, weak (posterior by the labellers),
+    score (scorer's probability of good), kept (score >= THRESHOLD and not empty).
+
+    Null and empty texts have no words and are rejected (weak and score 0);
+    repeated rows are scored each; texts of any length are read whole; a null id
+    is scored like others; an empty table gives no rows.
+    """
+    model = fit(docs, id_col, text_col, sample, sample_max)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in slices(batches):
-            z = np.array([features(t) @ effective + bias for t in pdf.text])
-            s = np.where([not t.strip() for t in pdf.text], 0.0, 1 / (1 + np.exp(-np.clip(z, -40, 40))))
-            v = [weak.get("".join(map(str, votes(measures(t)[1]))), 0.5) if t.strip() else 0.0 for t in pdf.text]
-            yield pd.DataFrame({"doc_id": pdf.doc_id.astype("Int64"), "weak": v, "score": s, "kept": s >= THRESHOLD})
+            s = np.array(list(map(model.score, pdf.text)))
+            yield pd.DataFrame({"doc_id": pdf.doc_id.astype("Int64"), "weak": list(map(model.posterior, pdf.text)),
+                                "score": s, "kept": s >= THRESHOLD})
+
+    return texts(docs, id_col, text_col).mapInPandas(score, "doc_id long, weak double, score double, kept boolean")
+
+
+def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text the classifier keeps."""
+    model = fit(docs, id_col, text_col)
+    if model is None:
+        return docs
+
+    def choose(batches):
+        import pyarrow as pa
+        for batch in batches:
+            good = [bool(t) and model.score(t) >= THRESHOLD for t in map(lambda x: x.as_py(), batch.column(text_col))]
+            yield batch.filter(pa.array(good, pa.bool_()))
 
-    return rows.mapInPandas(score, "doc_id long, weak double, score double, kept boolean")
+    return docs.mapInArrow(choose, docs.schema)
