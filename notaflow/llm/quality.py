@@ -26,8 +26,11 @@ from .common import slices, texts
 SAMPLE = 3000
 SAMPLE_MAX = 4000
 BINS = 2048
-THRESHOLD = 0.5
 GOOD, BAD, ABSTAIN = 1, 0, 2
+#: What the labellers are built for, as pseudo-counts per document: they seldom
+#: accuse good documents, and each knows only one kind of junk.
+PRIOR = 0.5
+EXPECTED = {GOOD: np.array([0.01, 0.99]), BAD: np.array([0.01, 0.02])}
 
 _UPPER, _LOWER, _DIGIT, _SPACE, _LINE, _STOP, _MARK, _SHOUT, _BAR, _HIGH = range(10)
 
@@ -77,13 +80,14 @@ def votes(r: np.ndarray) -> tuple[int, ...]:
             ABSTAIN if short else BAD if variety < 0.6 / np.sqrt(words / 12) and variety < 0.12 else
             GOOD if variety > 0.25 else ABSTAIN,
             GOOD if 2.5 <= length <= 9 else BAD if length > 14 or length < 1.5 else ABSTAIN,
-            BAD if marks + shouts > 0.08 or bars > 0.08 else ABSTAIN if short else GOOD)
+            BAD if marks + shouts > 0.08 or bars > 0.06 or repeats > (0.5 if short else 0.15) or upper > 0.6 and words > 5
+            else ABSTAIN if short else GOOD)
 
 
 LABELLERS = 8
 
 
-def em(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray, float]:
+def em(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100, prior: float = PRIOR) -> tuple[np.ndarray, np.ndarray, float]:
     """(posterior of good by pattern, P(vote | class) [class, labeller, vote], share of
     good). Whether a labeller abstains tells nothing about the class."""
     m = patterns.shape[1]
@@ -95,7 +99,7 @@ def em(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tuple[np.
     for _ in range(rounds):
         table = np.empty((2, m, 2))
         for c, weight in ((GOOD, p * counts), (BAD, (1 - p) * counts)):
-            t = np.einsum("i,ijv->jv", weight, hot) + 0.5
+            t = np.einsum("i,ijv->jv", weight, hot) + 0.5 + prior * counts.sum() * EXPECTED[c]
             table[c] = t / t.sum(1, keepdims=True)
         share = float(np.clip((p * counts).sum() / counts.sum(), 0.01, 0.99))
         logit = np.log(share / (1 - share)) + np.einsum("ijv,jv->i", hot, np.log(table[GOOD] / table[BAD]))
@@ -123,20 +127,26 @@ def features(text: str) -> np.ndarray:
     return out
 
 
-def train(x: np.ndarray, p: np.ndarray, rounds: int = 800, rate: float = 2.0, decay: float = 1e-5) -> tuple[np.ndarray, np.ndarray, float]:
-    """Linear scorer on posteriors p (both classes weighted alike): (scale, weights, bias)."""
+def train(x: np.ndarray, p: np.ndarray, rounds: int = 300, decay: float = 1e-4) -> tuple[np.ndarray, np.ndarray, float]:
+    """Logistic scorer on posteriors p, both classes weighted alike, by accelerated
+    gradient steps: (scale, weights, bias)."""
     scale = (1 / (x.std(0) + 1e-3)).astype(np.float32)
-    z = x * scale
-    centre = z.mean(0)
-    z = z - centre
+    centre = (x * scale).mean(0)
+    z = np.hstack([x * scale - centre, np.ones((len(x), 1), np.float32)]).astype(np.float32)
     weight = np.where(p >= 0.5, 0.5 / max(1e-9, p.sum()), 0.5 / max(1e-9, (1 - p).sum())).astype(np.float32)
-    w, b = np.zeros(x.shape[1], np.float32), 0.0
-    norm = float((z ** 2).sum(1).mean()) or 1.0
-    for _ in range(rounds):
-        g = weight * (1 / (1 + np.exp(-np.clip(z @ w + b, -40, 40))) - p)
-        w -= rate / norm * (g @ z + decay * w)
-        b -= rate * g.sum()
-    return scale, w, float(b - centre @ w)
+    # Step length from the largest curvature, by power iteration.
+    v = np.ones(z.shape[1], np.float32)
+    for _ in range(20):
+        v = z.T @ (weight * (z @ v))
+        v /= np.linalg.norm(v) or 1.0
+    step = 1 / (0.25 * float(v @ (z.T @ (weight * (z @ v)))) + decay + 1e-9)
+    w = ahead = np.zeros(z.shape[1], np.float32)
+    for i in range(rounds):
+        g = z.T @ (weight * (1 / (1 + np.exp(-np.clip(z @ ahead, -40, 40))) - p)) + decay * ahead
+        new = (ahead - step * g).astype(np.float32)
+        ahead = (new + i / (i + 3) * (new - w)).astype(np.float32)
+        w = new
+    return scale, w[:-1], float(w[-1] - centre @ w[:-1])
 
 
 class Model:
@@ -153,6 +163,11 @@ class Model:
     def posterior(self, text: str) -> float:
         return self.weak.get(_pattern(text), 0.5) if text.strip() else 0.0
 
+    def keeps(self, score: float, posterior: float) -> bool:
+        """The scorer decides where the labellers are unsure: log-odds add up."""
+        odds = [np.log(p / (1 - p)) for p in np.clip([score, posterior], 0.01, 0.99)]
+        return score > 0 and sum(odds) >= 0
+
 
 def _pattern(text: str) -> str:
     return "".join(map(str, votes(measures(text)[1])))
@@ -193,7 +208,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample:
 def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE,
              sample_max: int = SAMPLE_MAX) -> DataFrame:
     """One row per row of ``docs``: doc_id, weak (posterior by the labellers),
-    score (scorer's probability of good), kept (score >= THRESHOLD and not empty).
+    score (scorer's probability of good), kept (the log-odds of both sum to 0 or more).
 
     Null and empty texts have no words and are rejected (weak and score 0);
     repeated rows are scored each; texts of any length are read whole; a null id
@@ -203,9 +218,9 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in slices(batches):
-            s = np.array(list(map(model.score, pdf.text)))
-            yield pd.DataFrame({"doc_id": pdf.doc_id.astype("Int64"), "weak": list(map(model.posterior, pdf.text)),
-                                "score": s, "kept": s >= THRESHOLD})
+            s, w = list(map(model.score, pdf.text)), list(map(model.posterior, pdf.text))
+            yield pd.DataFrame({"doc_id": pdf.doc_id.astype("Int64"), "weak": w, "score": s,
+                                "kept": list(map(model.keeps, s, w))})
 
     return texts(docs, id_col, text_col).mapInPandas(score, "doc_id long, weak double, score double, kept boolean")
 
@@ -219,7 +234,8 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     def choose(batches):
         import pyarrow as pa
         for batch in batches:
-            good = [bool(t) and model.score(t) >= THRESHOLD for t in map(lambda x: x.as_py(), batch.column(text_col))]
+            found = [x.as_py() or "" for x in batch.column(text_col)]
+            good = [bool(model.keeps(model.score(t), model.posterior(t))) for t in found]
             yield batch.filter(pa.array(good, pa.bool_()))
 
     return docs.mapInArrow(choose, docs.schema)
