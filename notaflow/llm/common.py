@@ -68,19 +68,24 @@ class WordTable:
         self.index, self.flat = _Numbering(), np.zeros(0, self.dtype)
         self.at, self.len = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def ids(self, texts_words: list[list]) -> list[np.ndarray]:
-        """Ids of each text's words, one after another."""
+    def flat_ids(self, words: list) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, one after another; number of ids of each word)."""
         if len(self.index) > self.capacity:
             self._clear()
-        get = self.index.__getitem__
-        numbers = [np.fromiter(map(get, ws), np.int64, len(ws)) for ws in texts_words]
+        k = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         if self.index.new:
             flat, lens = self.encode(self.index.new)
             self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(lens) - lens])
             self.len = np.concatenate([self.len, lens])
             self.flat = np.concatenate([self.flat, flat.astype(self.dtype)])
             self.index.new = []
-        return [gather(self.flat, self.at[k], self.len[k]) for k in numbers]
+        return gather(self.flat, self.at[k], self.len[k]), self.len[k]
+
+    def ids(self, texts_words: list[list]) -> list[np.ndarray]:
+        """Ids of each text's words, one after another."""
+        flat, lens = self.flat_ids([w for ws in texts_words for w in ws])
+        ends = np.cumsum(np.concatenate([[0], lens]))[np.cumsum([len(ws) for ws in texts_words], dtype=np.int64)]
+        return np.split(flat, ends[:-1]) if len(texts_words) else []
 
 
 class _Numbering(dict):

@@ -16,6 +16,8 @@ corpus' own mixture and all queues end together in one phase.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,6 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bpe import Merges
 from .common import WordTable, cut, slices
 
 WINDOW = 2048
@@ -35,30 +38,85 @@ MAX_QUEUES = 32
 END_ID = 1
 
 
+#: Chunks whose tokens need no normaliser: Latin letters, then ASCII marks. The
+#: tokenizer lower-cases and splits them into just these two parts.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([.,;:!?%*#$&|()\-]*)")
+
+
 class WordEncoder:
-    """The tokenizer behind a table of white-space-separated chunks. Its
-    normaliser turns white space into separators that its splitter removes, so
-    the ids of a text are those of its chunks one after another."""
+    """The tokenizer's ids behind a bounded table of white-space-separated chunks.
+    Its normaliser turns white space into separators that its splitter removes, so
+    the ids of a text are those of its chunks one after another. Parts of plain
+    chunks are merged together (``bpe``); any other chunk goes to the library."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        small = max(self.tok.get_vocab().values()) < 65536
-        self.table = WordTable(self._encode, np.uint16 if small else np.uint32)
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        vocab = model["vocab"]
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        self.merges = Merges(max(vocab.values()) + 1, [(vocab[a], vocab[b], i, vocab[a + b]) for i, (a, b) in enumerate(merges)])
+        end = model["end_of_word_suffix"] or ""
+        char = _byte_chars()
+        self.inner = np.array([vocab[c] for c in char], np.int64)
+        self.final = np.array([vocab[c + end] for c in char], np.int64)
+        small = max(vocab.values()) < 65536
+        self.parts = WordTable(self._merge, np.int64, 1_000_000)
+        self.table = WordTable(self._encode, np.uint16 if small else np.uint32, 1_000_000)
+
+    def _merge(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        raw = np.frombuffer(b"".join(parts), np.uint8)
+        size = np.array([len(p) for p in parts], np.int64)
+        sym = self.inner[raw]
+        last = np.cumsum(size) - 1
+        sym[last] = self.final[raw[last]]
+        sym, word = self.merges.merge(sym, np.repeat(np.arange(len(parts)), size))
+        return sym, np.bincount(word, minlength=len(parts))
 
     def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        ids: list[int] = []
-        lens = []
-        for i in range(0, len(words), 10_000):
-            for e in self.tok.encode_batch([w.decode() for w in words[i:i + 10_000]], add_special_tokens=False):
-                ids += (x := e.ids)
-                lens.append(len(x))
-        return np.array(ids, dtype=np.int64), np.array(lens, dtype=np.int64)
+        parts, of, odd = [], [], []
+        for i, w in enumerate(words):
+            m = _PLAIN.fullmatch(w.decode())
+            if m is None:
+                odd.append(i)
+                continue
+            letters, marks = m.groups()
+            if letters:
+                parts.append(letters.lower().encode())
+                of.append(i)
+            if marks:
+                parts.append(marks.encode())
+                of.append(i)
+        ids, n = self.parts.flat_ids(parts)
+        owner = [np.repeat(np.array(of, np.int64), n)]
+        ids = [ids]
+        for i in range(0, len(odd), 10_000):
+            part = odd[i:i + 10_000]
+            found = [e.ids for e in self.tok.encode_batch([words[k].decode() for k in part], add_special_tokens=False)]
+            owner.append(np.repeat(part, [len(x) for x in found]))
+            ids.append(np.array([y for x in found for y in x], np.int64))
+        owner = np.concatenate(owner).astype(np.int64)
+        order = np.argsort(owner, kind="stable")
+        return np.concatenate(ids)[order], np.bincount(owner, minlength=len(words))
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         return [np.append(x, x.dtype.type(END_ID)) for x in self.table.ids([t.encode().split() for t in texts])]
 
 
+def _byte_chars() -> list[str]:
+    """The byte-level alphabet: printable Latin-1 bytes as themselves, the others
+    from U+0100 on, in byte order."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(others)) for b in range(256)]
+
+
+@lru_cache(1)
+def encoder(path: str) -> WordEncoder:
+    return WordEncoder(path)
+
+
 def tokenised(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, source_col: str | None) -> DataFrame:
     """(pid, k, doc_id, source, at, n, ids): ids little-endian unsigned 32-bit; at:
     tokens of the same source before the row in its partition."""
@@ -68,7 +126,7 @@ def tokenised(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, sourc
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
-        pid, enc, held, k = TaskContext.get().partitionId(), WordEncoder(tokenizer), {}, 0
+        pid, enc, held, k = TaskContext.get().partitionId(), encoder(tokenizer), {}, 0
         for pdf in slices(batches):
             ids = enc(pdf.text.tolist())
             at = []
@@ -89,13 +147,12 @@ def phases(totals: list[int], weights: list[float] | None) -> list[tuple[int, li
     queue, flex queue) of each phase; a phase ends when a queue runs dry."""
     left, out, served, t = list(totals), [], [0] * len(totals), 0
     while sum(left):
-        live = [s for s, n in enumerate(left) if n]
-        if weights is None or len(live) == 1 or not all(weights[s] > 0 for s in live):
-            take = list(left)
-        else:
+        live = [s for s, n in enumerate(left) if n and weights and weights[s] > 0]
+        take = list(left)  # no target (left): in the proportions there are
+        if live:
             f = min(left[s] / weights[s] for s in live)
-            take = [min(left[s], int(f * weights[s] + 0.5)) if s in live else 0 for s in range(len(left))]
-            take = take if sum(take) else list(left)
+            part = [min(left[s], int(f * weights[s] + 0.5)) if s in live else 0 for s in range(len(left))]
+            take = part if sum(part) else [n if s in live else 0 for s, n in enumerate(left)]
         out.append((t, list(served), take, max(range(len(take)), key=lambda s: (take[s], -s))))
         served = [a + b for a, b in zip(served, take)]
         left = [a - b for a, b in zip(left, take)]
@@ -169,7 +226,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     # Sums of partitions before this one, by queue: one row per partition and source.
     before = by_part.select("pid", "source", "q", (F.sum("n").over(
         Window.partitionBy("q").orderBy("pid", "source").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("before"))
-    placed = tok.join(before, ["pid", "source"])
+    placed = tok.join(cut(before, "pack-before"), ["pid", "source"])  # known to be small: no token is shuffled
 
     def cut_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         layout = Layout(totals, target)

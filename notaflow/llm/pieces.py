@@ -3,12 +3,8 @@
 Words (a run of spaces and what follows up to the next space or line feed) can't
 merge across their borders: no piece holds a space after another character, and
 none a line feed; both are verified when the model is read. The words that a
-worker has not met yet are laid out as one flat numpy array of symbols. A round
-finds, for every word, the smallest rank among its neighbouring pairs (segmented
-minimum), merges the leftmost pair of that rank in all words at once, compacts
-the arrays and retires words without a pair. All further non-overlapping
-occurrences of the pair are merged in the same round if no pair with the merged
-piece ranks better, which is when the sequential order would do the same.
+worker has not met yet become one flat array of symbols and are merged together
+(``bpe``); characters without a piece fall back to their bytes.
 """
 
 from __future__ import annotations
@@ -22,11 +18,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from .bpe import Merges
 from .common import WordTable, gather, slices, texts
 
 SPACE = "▁"
 _WORDS = re.compile(r" +[^ \n]*|\n|[^ \n]+")
-_NONE = np.int64(1) << 40
 
 
 class PieceModel:
@@ -49,15 +45,8 @@ class PieceModel:
         rank = {i: r for r, i in enumerate(order)}
         chars = sorted((ord(p), i) for p, i in ids.items() if len(p) == 1)
         self.char_cp, self.char_id = (np.array(x, dtype=np.int64) for x in zip(*chars))
-        pairs = sorted((ids[p[:k]] * n + ids[p[k:]], rank[i], i) for p, i in ids.items()
-                       for k in range(1, len(p)) if p[:k] in ids and p[k:] in ids)
-        self.pair_key, self.pair_rank, self.pair_id = (np.array(x, dtype=np.int64) for x in zip(*pairs))
-        self.own_rank = np.full(n, _NONE)
-        self.own_rank[list(rank)] = list(rank.values())
-        #: The best rank that a pair holding this piece can have.
-        self.best = np.full(n, _NONE)
-        np.minimum.at(self.best, self.pair_key // n, self.pair_rank)
-        np.minimum.at(self.best, self.pair_key % n, self.pair_rank)
+        self.merges = Merges(n, [(ids[p[:k]], ids[p[k:]], rank[i], i) for p, i in ids.items()
+                                 for k in range(1, len(p)) if p[:k] in ids and p[k:] in ids])
         out = [b""] * n
         for i in plain:
             out[i] = pieces[i].replace(SPACE, " ").encode()
@@ -67,7 +56,7 @@ class PieceModel:
         self.out_len = np.array([len(x) for x in out])
         self.out_at = np.cumsum(self.out_len) - self.out_len
         self.out = np.frombuffer(b"".join(out), dtype=np.uint8)
-        self._byte_set = set(self.byte_ids.tolist())
+        self._plain = set(plain)
         self._table = WordTable(lambda words: self.merge([w.replace(" ", SPACE) for w in words]), np.int32, 1_000_000)
 
     def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -76,39 +65,7 @@ class PieceModel:
         at = np.searchsorted(self.char_cp, cp)
         at[at == len(self.char_cp)] = 0
         sym = np.where(self.char_cp[at] == cp, self.char_id[at], -1 - cp)  # below 0: no piece, never merges
-        word = np.repeat(np.arange(len(words)), [len(w) for w in words])
-        done: list[tuple[np.ndarray, np.ndarray]] = []
-        while len(sym):
-            pair = np.full(len(sym), _NONE)
-            ok = np.flatnonzero((word[:-1] == word[1:]) & (sym[:-1] >= 0) & (sym[1:] >= 0))
-            key = sym[ok] * self.size + sym[ok + 1]
-            k = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_key) - 1)
-            hit = self.pair_key[k] == key
-            pair[ok[hit]] = self.pair_rank[k[hit]]
-            starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-            least = np.repeat(np.minimum.reduceat(pair, starts), np.diff(np.r_[starts, len(sym)]))
-            live = least < _NONE
-            done.append((word[~live], sym[~live]))
-            sym, word, pair, least = sym[live], word[live], pair[live], least[live]
-            if not len(sym):
-                break
-            spot = np.flatnonzero(pair == least)
-            # Occurrences that overlap (p, p+1, ...): every other one from the left.
-            run = np.flatnonzero(np.r_[True, np.diff(spot) != 1])
-            spot = spot[(np.arange(len(spot)) - np.repeat(run, np.diff(np.r_[run, len(spot)]))) % 2 == 0]
-            k = np.searchsorted(self.pair_key, sym[spot] * self.size + sym[spot + 1])
-            made = self.pair_id[k]
-            first = np.r_[True, word[spot[1:]] != word[spot[:-1]]]
-            use = first | (self.best[made] > self.pair_rank[k])
-            spot, made = spot[use], made[use]
-            sym[spot] = made
-            keep = np.ones(len(sym), bool)
-            keep[spot + 1] = False
-            sym, word = sym[keep], word[keep]
-        word = np.concatenate([w for w, _ in done]) if done else np.zeros(0, np.int64)
-        sym = np.concatenate([s for _, s in done]) if done else np.zeros(0, np.int64)
-        order = np.argsort(word, kind="stable")
-        word, sym = word[order], sym[order]
+        sym, word = self.merges.merge(sym, np.repeat(np.arange(len(words)), [len(w) for w in words]))
         if (sym < 0).any():
             word, sym = self._fall_back(word, sym)
         return sym.astype(np.int32), np.bincount(word, minlength=len(words))
@@ -133,7 +90,7 @@ class PieceModel:
         piece goes, bytes that are no UTF-8 become U+FFFD each."""
         raw = gather(self.out, self.out_at[ids], self.out_len[ids]).tobytes()
         said = np.flatnonzero(self.out_len[ids])
-        if len(said) and raw[:1] == b" " and ids[said[0]] not in self._byte_set:
+        if len(said) and raw[:1] == b" " and ids[said[0]] in self._plain:
             raw = raw[1:]
         try:
             return raw.decode()
