@@ -152,9 +152,11 @@ def first_present(cols: Iterable[Column]) -> Column:
 
 def document_value(m: Column, key: str) -> Column:
     """JSON_VALUE semantics over a parsed ``map<string,string>`` document:
-    the scalar's text, NULL when the key is absent or the value is an object/array."""
+    the scalar's text, NULL when the key is absent or the value is an object/array
+    (text such as ``[ABC] Ltda``, which is no JSON, is a scalar)."""
     v = F.try_element_at(m, F.lit(key))
-    return F.when(~F.substring(v, 1, 1).isin("{", "["), v)
+    nested = F.substring(v, 1, 1).isin("{", "[") & F.try_parse_json(v).isNotNull()
+    return F.when(~nested, v)
 
 
 def check_digits_ok(digits: Column, length: int, w1: Sequence[int], w2: Sequence[int]) -> Column:

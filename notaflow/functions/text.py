@@ -51,7 +51,7 @@ def fraction_text(v: Column) -> Column:
     parts = F.split(v, "/")
     a = F.get(parts, 0).try_cast("double")
     b = F.get(parts, 1).try_cast("double")
-    q = F.bround(F.try_divide(a, F.when(b != 0, b)), 6).cast("decimal(38,6)").cast("string")
+    q = F.bround(F.try_divide(a, F.when(b != 0, b)), 6).try_cast("decimal(38,6)").cast("string")
     q = F.regexp_replace(q, "0+$", "")
     q = F.when(q.endswith("."), F.concat(q, F.lit("0"))).otherwise(q)
     return F.when(is_frac & q.isNotNull(), q).otherwise(v)

@@ -11,13 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.exprs import blank_to_null, lenient_date, lenient_timestamp, parse_float, strip_ws
 from ..functions.text import classify_file, clean_cell, normalize_header
-from .common import settle
 
 SHEET = ("arquivo_nome", "aba_nome")
 ROW = ("arquivo_nome", "aba_nome", "linha")
@@ -46,17 +45,28 @@ def nonempty_columns(cells: DataFrame) -> DataFrame:
             .select(*SHEET, "coluna").distinct())
 
 
-def dedupe_headers(hdr: DataFrame, passes: int = 3) -> DataFrame:
+def dedupe_headers(hdr: DataFrame) -> DataFrame:
     """CLN-5: the 2nd, 3rd... column with the same name in a sheet gets _1, _2.
-    A generated name can collide with a real one (``A``, ``A``, ``A_1``), so
-    the pass repeats until names are unique (bounded; the header table is
-    metadata: one row per sheet column)."""
-    w = Window.partitionBy(*SHEET, "nome").orderBy("coluna")
-    for _ in range(passes):
-        k = F.row_number().over(w) - 1
-        hdr = hdr.withColumn("nome", F.when(k > 0, F.concat(F.col("nome"), F.lit("_"), k.cast("string")))
-                             .otherwise(F.col("nome")))
-    return hdr
+    A generated name can collide with a real one (``A``, ``A``, ``A_1``), so the
+    pass repeats until the sheet's names are unique. Headers are metadata: a
+    sheet's names (at most one per column) are one array."""
+    def suffixed(names: Column) -> Column:
+        def name(n: Column, i: Column) -> Column:
+            k = F.size(F.filter(F.slice(names, F.lit(1), i), lambda x: x == n))
+            return F.when(k > 0, F.concat(n, F.lit("_"), k.cast("string"))).otherwise(n)
+        return F.transform(names, name)
+
+    def settle_names(names: Column, _: Column) -> Column:
+        return F.when(F.size(F.array_distinct(names)) == F.size(names), names).otherwise(suffixed(names))
+
+    others = [c for c in hdr.columns if c not in (*SHEET, "nome")]
+    sheets = hdr.groupBy(*SHEET).agg(F.array_sort(F.collect_list(F.struct("coluna", *[c for c in others if c != "coluna"],
+                                                                          "nome"))).alias("__c"))
+    # One pass per column at most: each pass settles at least one more name.
+    names = F.aggregate(F.sequence(F.lit(1), F.size("__c")), F.col("__c.nome"), settle_names)
+    out = sheets.select(*SHEET, F.explode(F.arrays_zip(F.col("__c").alias("c"), names.alias("n"))).alias("__z"))
+    return out.select(*[F.col("__z.n").alias(c) if c == "nome" else F.col(c) if c in SHEET else F.col(f"__z.c.{c}").alias(c)
+                        for c in hdr.columns])
 
 
 def settled_headers(cells: DataFrame) -> DataFrame:
@@ -135,12 +145,14 @@ def column_match(source_names: DataFrame, target: DataFrame) -> DataFrame:
             .select("tabela", "coluna_destino", "tipo", F.col("m.coluna_origem").alias("coluna_origem")))
 
 
-def coerce(value: Column, bq_type: str) -> Column:
-    """COE-1..6: typed value from cleaned text; bad -> NULL."""
+def coerce(value: Column, bq_type: str, string_limit: int | None = C.STRING_CELL_LIMIT) -> Column:
+    """COE-1..6: typed value from cleaned text; bad -> NULL. Text longer than
+    ``string_limit`` (the reference's rule; None: whole) is cut; ``cut_cells``
+    counts such cells."""
     v = blank_to_null(value)
     t = bq_type.upper()
     if t == "STRING":
-        return F.substring(strip_ws(v), 1, C.STRING_CELL_LIMIT)
+        return F.substring(strip_ws(v), 1, string_limit) if string_limit else strip_ws(v)
     if t in ("FLOAT", "FLOAT64", "NUMERIC"):
         return parse_float(v)
     if t == "DATE":
@@ -150,6 +162,12 @@ def coerce(value: Column, bq_type: str) -> Column:
     return v.cast("string")
 
 
+def cut_cells(clean: DataFrame, string_limit: int = C.STRING_CELL_LIMIT) -> DataFrame:
+    """RPT-1: per file, cells whose text a typed load would cut."""
+    return (clean.filter(F.length(strip_ws(F.col("valor"))) > string_limit)
+            .groupBy("arquivo_nome").agg(F.count(F.lit(1)).alias("celulas_cortadas")))
+
+
 def typed_rows(clean: DataFrame, mapping: Sequence[tuple[str, str, str | None]],
                with_errors: bool = False) -> DataFrame:
     """ALN-1 + COE-*: wide typed rows. ``mapping`` = (target, type, source or
@@ -216,7 +234,7 @@ def load_typed(typed: DataFrame, path: str, quarantine: str) -> dict:
     with_errors=True)``."""
     from pyspark.sql import Observation
     ok_obs, bad_obs = Observation("inseridas"), Observation("erros")
-    typed = settle(typed)  # coerce once, then split good / bad rows
+    typed = typed.checkpoint()  # coerce once, then split good / bad rows
     good = typed.filter(F.col("__erros") == 0).drop("__erros").observe(ok_obs, F.count(F.lit(1)).alias("n"))
     bad = typed.filter(F.col("__erros") > 0).observe(bad_obs, F.count(F.lit(1)).alias("n"))
     good.write.mode("append").parquet(path)

@@ -16,6 +16,13 @@ from .rank import global_row_number
 
 EXACT = "decimal(38,9)"  # exact summation of double money values
 
+
+def exact(c: str) -> Column:
+    """A double money value for exact sums; what the type can't hold (non-finite, 30
+    digits and more) is NULL and is not counted either."""
+    return F.col(c).try_cast(EXACT)
+
+
 COMPANY_ATTRS = ("razao_social", "nome_fantasia", "situacao_cadastral", "data_situacao", "endereco")
 
 
@@ -38,8 +45,8 @@ def billing_by_customer(billing: DataFrame) -> DataFrame:
         F.min("data_emissao").alias("primeira_nota"),
         F.max("data_emissao").alias("ultima_nota"),
         F.count(F.lit(1)).alias("total_notas"),
-        F.sum(F.col("valor_liquido").cast(EXACT)).alias("_sum"),
-        F.count("valor_liquido").alias("_n"))
+        F.sum(exact("valor_liquido")).alias("_sum"),
+        F.count(exact("valor_liquido")).alias("_n"))
     return g.select("cnpj", "primeira_nota", "ultima_nota", "total_notas",
                     F.col("_sum").cast("double").alias("faturamento_total"),
                     mean_of(F.col("_sum"), F.col("_n")).alias("ticket_medio"))
@@ -140,7 +147,7 @@ def ingestion_status(raw: DataFrame) -> DataFrame:
                  F.countDistinct("arquivo_nome").alias("total_arquivos"),
                  F.min("data_emissao").alias("data_mais_antiga"),
                  F.max("data_emissao").alias("data_mais_recente"),
-                 F.sum(F.col("valor").cast(EXACT)).cast("double").alias("valor_total"))
+                 F.sum(exact("valor")).cast("double").alias("valor_total"))
             .orderBy("arquivo_tipo", "_processing_status"))
 
 

@@ -64,8 +64,8 @@ def validation_progress(raw: DataFrame, status_key: str = "Status", status_ok: s
                                                    F.col("total")), 1).alias("percentual"))
 
 
-def daily_report(kpis: DataFrame, scored: DataFrame, path: str, k: int = 20) -> None:
+def daily_report(kpis: DataFrame, scored: DataFrame, path: str, k: int | None = None) -> None:
     """OPS-6: the daily executive report written out (KPIs by month and the
-    top-k opportunities); delivery (e-mail) is not part of this engine."""
+    opportunities, all or the top k); delivery (e-mail) is not part of this engine."""
     kpis.write.mode("overwrite").parquet(f"{path}/kpis")
     top_opportunities(scored, k=k).write.mode("overwrite").parquet(f"{path}/oportunidades")

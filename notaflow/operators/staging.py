@@ -14,7 +14,7 @@ from ..functions.exprs import clean_digits, document_value, safe_iso_date, seria
 from .common import settle
 
 DOC = "__doc"
-_DOUBLE = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[Nn]a[Nn]|[Ii]nf(inity)?)\s*$"
+_DOUBLE = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def with_document(raw: DataFrame) -> DataFrame:
@@ -37,8 +37,10 @@ def _first(keys, tail: Column | None = None) -> Column:
 
 
 def safe_double(c: Column) -> Column:
-    """SAFE_CAST(x AS FLOAT64): numeric text only (Spark would also take '1.5d')."""
-    return F.when(c.rlike(_DOUBLE), F.trim(c).try_cast("double"))
+    """SAFE_CAST(x AS FLOAT64) of numeric text (Spark would also take '1.5d'); what is
+    not a finite number, 'nan' and 'inf' included, is NULL: no sum survives it."""
+    v = F.when(c.rlike(_DOUBLE), F.trim(c).try_cast("double"))
+    return F.when(F.abs(v) < float("inf"), v)
 
 
 def billing(raw: DataFrame, fallback_type: str = C.TYPE_FALLBACK) -> DataFrame:

@@ -417,7 +417,8 @@ SELECT
   CAST(l_shipdate AS DATE) AS data_emissao,
   CAST(o_orderdate AS DATE) AS data_competencia,
   '11222333000181' AS prestador_cnpj, 'Prestador Exemplo Ltda' AS prestador_razao_social,
-  cnpj_ AS tomador_cnpj, CAST(NULL AS VARCHAR) AS tomador_cpf, c_name AS tomador_razao_social,
+  cnpj_ AS tomador_cnpj,
+  CASE WHEN cnpj_ IS NULL THEN lpad(CAST(c_custkey AS VARCHAR), 11, '0') END AS tomador_cpf, c_name AS tomador_razao_social,
   'Rua ' || CAST(c_custkey % 100 AS VARCHAR) AS tomador_endereco, city_ AS tomador_municipio,
   n_name AS tomador_uf, lpad(CAST(c_custkey % 100000000 AS VARCHAR), 8, '0') AS tomador_cep,
   {_MONEY_D},
@@ -426,10 +427,14 @@ SELECT
   sha256(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)
          || lpad(CAST((l_orderkey * 31 + l_linenumber * 7) % 1000000000 AS VARCHAR), 9, '0')
          || strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d')
-         || CASE WHEN l_linenumber % 2 = 0 THEN 'T10:30:00' ELSE '' END) AS hash_nfse
+         || CASE WHEN l_linenumber % 4 = 0 THEN 'T23:30:00-03:00' WHEN l_linenumber % 2 = 0 THEN 'T10:30:00'
+                 ELSE '' END) AS hash_nfse
 FROM cents2
 WHERE l_orderkey % 101 <> 0"""
 
+XML_QUARANTINE = "WITH " + BASE + """
+SELECT DISTINCT l_orderkey AS documento_id, 'xml malformado' AS erro FROM cents2 WHERE l_orderkey % 101 = 0"""
+
 _INV_FULL = """
     CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS numero_nfse,
     lpad(CAST((l_orderkey * 31 + l_linenumber * 7) % 1000000000 AS VARCHAR), 9, '0') AS codigo_verificacao,
@@ -486,6 +491,7 @@ FROM plan2 p LEFT JOIN counts c ON p.janela = c.janela"""
 
 ORACLES.update({
     "xml_invoices": XML_INVOICES,
+    "xml_quarantine": XML_QUARANTINE,
     "insert_if_absent": INSERT_IF_ABSENT,
     "coverage_gaps": COVERAGE_GAPS,
 })
@@ -688,9 +694,16 @@ STREAM_DEDUP = "SELECT event_id, ts, user_id, event_type, value, props FROM even
 STREAM_STATUS = """SELECT event_type, COUNT(*) AS total_linhas,
   CAST(SUM(CAST(value AS DECIMAL(38,9))) AS DOUBLE) AS valor_total FROM events GROUP BY event_type"""
 
+STREAM_KPIS = """SELECT time_bucket(INTERVAL '3 hours', ts, TIMESTAMP '1970-01-01 00:00:00') AS inicio,
+  time_bucket(INTERVAL '3 hours', ts, TIMESTAMP '1970-01-01 00:00:00') + INTERVAL '3 hours' AS fim,
+  COUNT(*) AS eventos, COUNT(DISTINCT user_id) AS usuarios,
+  CAST(SUM(CAST(value AS DECIMAL(38,9))) AS DOUBLE) AS valor_total
+FROM events GROUP BY 1, 2"""
+
 ORACLES.update({
     "stream_dedup": STREAM_DEDUP,
     "stream_status": STREAM_STATUS,
+    "stream_kpis": STREAM_KPIS,
 })
 
 

@@ -189,8 +189,14 @@ def q_coverage_gaps(spark, sf_dir):
     return windows.coverage(invoices(spark, sf_dir), AS_OF)
 
 
+def q_xml_quarantine(spark, sf_dir):
+    """Responses that yield no notes because they do not parse."""
+    return xml_source.malformed(xml_documents(spark, sf_dir)).select("documento_id", F.lit("xml malformado").alias("erro"))
+
+
 QUERIES.update({
     "xml_invoices": q_xml_invoices,
+    "xml_quarantine": q_xml_quarantine,
     "insert_if_absent": q_insert_if_absent,
     "coverage_gaps": q_coverage_gaps,
 })
@@ -223,8 +229,8 @@ def q_cpf_valid(spark, sf_dir):
 
 def q_pending_validation(spark, sf_dir):
     raw = _raw(spark, sf_dir)
-    return quality.pending_validation(_dim(spark, sf_dir),
-                                      marts.latest_companies(staging.companies(raw)))
+    return quality.pending_validation(_dim(spark, sf_dir), marts.latest_companies(staging.companies(raw)),
+                                      lot=_C.RULES.daily_validation_lot)
 
 
 NF_REQUIRED = ("id", "numero_nfse", "codigo_verificacao", "data_emissao", "status_nfse", "prestador_cnpj",
@@ -304,10 +310,18 @@ def _events_schema(spark, sf_dir):
     return read_table(spark, sf_dir, "events").schema
 
 
+def _landed_events(spark, sf_dir):
+    """The events as a landing folder: four files, each holding a stretch of time."""
+    stored(spark, sf_dir, "events_landed", lambda s, d: read_table(s, d, "events"),
+           lambda df, path: df.repartitionByRange(4, "ts").write.parquet(path))
+    return _STORED[(spark.sparkContext.applicationId, sf_dir, "events_landed")]
+
+
 def q_stream_dedup(spark, sf_dir):
-    """The events table re-read twice (overlapping windows) -> one row per event."""
-    return streaming_jobs.stream_dedup(spark, sf_dir, _events_schema(spark, sf_dir), "events.parquet",
-                                       "event_id", "ts").drop("event_time")
+    """The events re-read twice (overlapping windows), one file of each per
+    micro-batch, newest first -> one row per event."""
+    return streaming_jobs.stream_dedup(spark, _landed_events(spark, sf_dir), _events_schema(spark, sf_dir), "*.parquet",
+                                       "event_id", "ts", max_files=1)
 
 
 def q_stream_status(spark, sf_dir):
@@ -316,8 +330,9 @@ def q_stream_status(spark, sf_dir):
 
 
 def q_stream_kpis(spark, sf_dir):
-    return streaming_jobs.stream_kpis(spark, sf_dir, _events_schema(spark, sf_dir), "events.parquet",
-                                      "ts", "user_id", "value")
+    out = streaming_jobs.stream_kpis(spark, _landed_events(spark, sf_dir), _events_schema(spark, sf_dir), "*.parquet",
+                                     "event_id", "ts", "user_id", "value", max_files=1)
+    return _wall_clock(out, "inicio", "fim")
 
 
 from ..sources.tables import read_table  # noqa: E402

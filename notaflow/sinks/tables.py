@@ -14,6 +14,16 @@ from pyspark.sql.types import StructType
 
 from .. import config as C
 
+#: Tasks over which one partition value's rows are written.
+RAW_SPREAD = 64
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table path is there, asked of the path's own file system. Every
+    other failure to read a table must rise: it never means "nothing stored yet"."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
 
 def stamp_raw_defaults(df: DataFrame) -> DataFrame:
     """SNK-2 defaults: ingestion time, source bucket, status, line hash."""
@@ -32,20 +42,20 @@ def stamp_raw_defaults(df: DataFrame) -> DataFrame:
 
 def append_raw(df: DataFrame, path: str, partition_by: Sequence[str] = ("arquivo_tipo",)) -> None:
     """SNK-2 / SNK-6: append to the flexible raw table, partitioned for pruning
-    and sorted inside partitions by the clustering keys (cnpj, date)."""
+    and sorted inside partitions by the clustering keys (cnpj, date). The rows of a
+    file spread over ``RAW_SPREAD`` tasks, so a large file binds none."""
+    spread = F.pmod(F.xxhash64("arquivo_nome", "aba_nome", "linha_original"), F.lit(RAW_SPREAD))
     (stamp_raw_defaults(df)
-     .repartition(*[F.col(c) for c in partition_by], F.col("arquivo_nome"))
+     .repartition(*[F.col(c) for c in partition_by], spread)
      .sortWithinPartitions("cnpj", "data_emissao")
      .write.mode("append").partitionBy(*partition_by).parquet(path))
 
 
 def create_if_absent(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """SNK-4: an empty table with the declared schema when nothing is there yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 — missing path
+    if not path_exists(spark, path):
         spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
-        return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -299,19 +299,23 @@ def _leaf(tag: str, v: Column) -> Column:
 
 
 XML_DATE_WITH_TIME = "T10:30:00"
+XML_DATE_WITH_OFFSET = "T23:30:00-03:00"
+XML_ENVELOPE = '<soap:Envelope xmlns:soap="http://schemas.xmlsoap.org/soap/envelope/"><soap:Body>'
 
 
 def invoice_xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ABRASF-style response documents, one per order with a ``CompNfse`` per
-    line. Odd orders use a namespace prefix; some notes lack values or carry
-    bad text; orders divisible by 5 add a note without ``Nfse``; orders
+    line. Odd orders use a namespace prefix; every third response stands in an
+    envelope; takers without CNPJ carry a CPF; the number's place and the issue
+    date's form vary; some notes lack values or carry bad text; orders divisible by 5 add a note without ``Nfse``; orders
     divisible by 101 are truncated (malformed). Each note is one flat
     concatenation; the prefix is applied to every tag of the finished text."""
     b = with_cents(line_base(spark, sf_dir))
     ok, ln, ck = F.col("l_orderkey"), F.col("l_linenumber"), F.col("c_custkey")
     d = F.col("l_shipdate").cast("date")
     date_text = F.concat(F.date_format(d, "yyyy-MM-dd"),
-                         F.when(ln % 2 == 0, F.lit(XML_DATE_WITH_TIME)).otherwise(F.lit("")))
+                         F.when(ln % 4 == 0, F.lit(XML_DATE_WITH_OFFSET))
+                         .when(ln % 2 == 0, F.lit(XML_DATE_WITH_TIME)).otherwise(F.lit("")))
     city = customer_city(ck, F.col("n_name"))
     item = F.concat(F.lit("1."), (ln % (1 + ck % 5)).cast("string"))
 
@@ -319,6 +323,8 @@ def invoice_xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         return cents_to_money(c).cast("string")
 
     L = F.lit
+    taker = F.concat(_leaf("Cnpj", customer_cnpj(ck)),
+                     _leaf("Cpf", F.when(customer_cnpj(ck).isNull(), F.lpad(ck.cast("string"), 11, "0"))))
     parts = [
         L("<CompNfse><Nfse><InfNfse>"),
         _leaf("Numero", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")),
@@ -327,9 +333,11 @@ def invoice_xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         _leaf("Competencia", F.date_format(F.col("o_orderdate"), "yyyy-MM-dd")),
         L("<PrestadorServico><IdentificacaoPrestador><CpfCnpj>"), _leaf("Cnpj", L(PROVIDER_CNPJ)),
         L("</CpfCnpj></IdentificacaoPrestador>"), _leaf("RazaoSocial", L(PROVIDER_NAME)),
-        L("</PrestadorServico><TomadorServico><IdentificacaoTomador><CpfCnpj>"),
-        _leaf("Cnpj", customer_cnpj(ck)),
-        L("</CpfCnpj></IdentificacaoTomador>"), _leaf("RazaoSocial", F.col("c_name")),
+        L("</PrestadorServico><TomadorServico>"),
+        F.when(ck % 3 == 0, F.concat(L("<IdentificacaoTomador>"), taker, L("</IdentificacaoTomador>")))
+        .when(ck % 3 == 1, F.concat(L("<CpfCnpj>"), taker, L("</CpfCnpj>")))
+        .otherwise(F.concat(L("<IdentificacaoTomador><CpfCnpj>"), taker, L("</CpfCnpj></IdentificacaoTomador>"))),
+        _leaf("RazaoSocial", F.col("c_name")),
         L("<Endereco>"), _leaf("Endereco", F.concat(L("Rua "), (ck % 100).cast("string"))),
         _leaf("Numero", ck.cast("string")), _leaf("Municipio", city), _leaf("Uf", F.col("n_name")),
         _leaf("Cep", F.lpad((ck % 100000000).cast("string"), 8, "0")),
@@ -359,6 +367,7 @@ def invoice_xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.regexp_replace(plain, "<(/?)([A-Za-z])", "<$1ns2:$2"),
         "^<ns2:ConsultarNfseResposta>", '<ns2:ConsultarNfseResposta xmlns:ns2="http://www.abrasf.org.br/nfse.xsd">')
     doc = F.when(okc % 2 == 1, prefixed).otherwise(plain)
+    doc = F.when(okc % 3 == 0, F.concat(F.lit(XML_ENVELOPE), doc, F.lit("</soap:Body></soap:Envelope>"))).otherwise(doc)
     return per_order.select(okc.alias("documento_id"), doc.alias("xml"))
 
 

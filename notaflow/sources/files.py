@@ -90,8 +90,10 @@ def decode_workbook(name: str, content: bytes) -> list[tuple]:
         except KeyError:
             shared = []
         dates = _date_styles(z)
+        pr = wb.find("m:workbookPr", _NS)
+        epoch = _dt.datetime(1904, 1, 1) if pr is not None and pr.get("date1904") in ("1", "true") else _EPOCH
     except Exception as e:  # noqa: BLE001
-        return [(name, None, None, None, None, f"{type(e).__name__}: {e}"[:500])]
+        return [(name, None, None, None, None, f"{type(e).__name__}: {e}")]
     for sh in wb.iterfind("m:sheets/m:sheet", _NS):
         sheet = sh.get("name")
         try:
@@ -99,9 +101,7 @@ def decode_workbook(name: str, content: bytes) -> list[tuple]:
             part = target if target.startswith("xl/") else "xl/" + target
             root = ET.fromstring(z.read(part))
             out = []
-            for c in root.iterfind("m:sheetData/m:row/m:c", _NS):
-                ref = c.get("r")
-                row = int(re.search(r"[0-9]+", ref).group(0)) - 1
+            for row, col, c in _placed(root):
                 t = c.get("t", "n")
                 v = c.find("m:v", _NS)
                 if t == "inlineStr":
@@ -115,16 +115,29 @@ def decode_workbook(name: str, content: bytes) -> list[tuple]:
                 elif t in ("str", "e"):
                     text = v.text or ""
                 elif int(c.get("s", "0")) in dates:
-                    text = (_EPOCH + _dt.timedelta(days=float(v.text))).strftime("%Y-%m-%d %H:%M:%S")
+                    text = (epoch + _dt.timedelta(days=float(v.text))).strftime("%Y-%m-%d %H:%M:%S")
                 else:
                     text = _number_text(v.text)
-                out.append((name, sheet, row, _col_index(ref), text, None))
+                out.append((name, sheet, row, col, text, None))
             rows.extend(out)
-        except Exception:  # noqa: BLE001 — bad sheet: skipped, like the reference
-            continue
+        except Exception as e:  # noqa: BLE001 — a bad sheet is skipped, with its error on record
+            rows.append((name, sheet, None, None, None, f"{type(e).__name__}: {e}"))
     return rows
 
 
+def _placed(root) -> Iterator[tuple]:
+    """(row, column, cell): references are optional in the format; a cell or row
+    without one follows the one before it."""
+    row = -1
+    for r in root.iterfind("m:sheetData/m:row", _NS):
+        row = int(r.get("r")) - 1 if r.get("r") else row + 1
+        col = -1
+        for c in r.iterfind("m:c", _NS):
+            ref = c.get("r")
+            col = _col_index(ref) if ref else col + 1
+            yield (int(re.search(r"[0-9]+", ref).group(0)) - 1 if ref else row), col, c
+
+
 def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     cols = ["arquivo_nome", "aba_nome", "linha", "coluna", "valor", "erro"]
     for pdf in batches:

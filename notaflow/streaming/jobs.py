@@ -1,13 +1,13 @@
 """Structured Streaming versions of the incremental jobs (STR-1..6).
 
 The reference re-reads an overlapping 72-hour window every 3 hours and drops
-rows whose hash is already stored. Here that is a file-source stream with a
-72-hour watermark and ``dropDuplicatesWithinWatermark`` (bounded state), plus
-a ``foreachBatch`` left-anti against the stored keys for duplicates older
-than the watermark. ``trigger(availableNow=True)`` drains a backlog (the
-historic backfill) and stops; the same checkpoint then serves the
-incremental runs. Outputs and checkpoints live under the shared
-``spark.checkpoint.dir``.
+rows whose hash is already stored. Here that is a file-source stream whose
+micro-batches are de-duplicated exactly, inside the batch and by a left-anti
+join against the store's partitions of the same days. The store path has no
+watermark, so no row is lost however late or in whatever order files come.
+``trigger(availableNow=True)`` drains a backlog (the historic backfill) and
+stops; the same checkpoint then serves the incremental runs. Outputs and
+checkpoints live under the shared ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -16,45 +16,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..config import RULES
+from ..operators import loading
 from ..session import scratch_path
 
+#: Partition column of stores that a stream writes.
+DAY = "dia"
+
 
 def file_stream(spark: SparkSession, folder: str, schema: StructType, glob: str | None = None,
                 max_files: int | None = None, fmt: str = "parquet") -> DataFrame:
     r = spark.readStream.format(fmt).schema(schema)
     if glob:
         r = r.option("pathGlobFilter", glob)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", str(max_files))
+    if max_files:  # nothing depends on the order of files: the newest are read first
+        r = r.option("maxFilesPerTrigger", str(max_files)).option("latestFirst", "true")
     return r.load(folder)
 
 
-def with_event_time(df: DataFrame, column: str, out: str = "event_time") -> DataFrame:
-    """Watermarks need TIMESTAMP (not TIMESTAMP_NTZ): cast first."""
-    return df.withColumn(out, F.col(column).cast("timestamp"))
-
-
-def dedupe_within_watermark(stream: DataFrame, key: str, event_time: str = "event_time",
-                            lookback_hours: int = RULES.lookback_hours) -> DataFrame:
-    """STR-1: forget keys once the watermark passes them (bounded state)."""
-    return (stream.withWatermark(event_time, f"{lookback_hours} hours")
-            .dropDuplicatesWithinWatermark([key]))
-
-
-def store_new_keys(batch: DataFrame, batch_id: int, path: str, key: str) -> None:
-    """STR-4 ``foreachBatch`` body: append only keys not stored yet (catches
-    duplicates that arrive after the watermark forgot them). Idempotent on
-    replay of the same batch: its keys are already stored."""
-    spark = batch.sparkSession
-    try:
-        stored = spark.read.parquet(path).select(key)
-        fresh = batch.join(stored, key, "left_anti")
-    except Exception:  # noqa: BLE001 — first batch: nothing stored yet
-        fresh = batch
-    fresh.write.mode("append").parquet(path)
-
-
 def run_available(query_builder, out_path: str, checkpoint: str, mode: str = "append",
                   fmt: str = "parquet", foreach=None) -> None:
     """Drain everything available now, then stop."""
@@ -68,18 +46,16 @@ def run_available(query_builder, out_path: str, checkpoint: str, mode: str = "ap
 
 
 def stream_dedup(spark: SparkSession, folder: str, schema: StructType, glob: str, key: str,
-                 time_col: str, copies: int = 2) -> DataFrame:
+                 time_col: str, copies: int = 2, max_files: int | None = None) -> DataFrame:
     """STR-1 + STR-4 end to end over a file stream read ``copies`` times
     (overlapping re-reads); returns the stored result."""
-    base = with_event_time(file_stream(spark, folder, schema, glob), time_col)
-    s = base
+    s = file_stream(spark, folder, schema, glob, max_files)
     for _ in range(copies - 1):
-        s = s.unionByName(with_event_time(file_stream(spark, folder, schema, glob), time_col))
-    deduped = dedupe_within_watermark(s, key)
+        s = s.unionByName(file_stream(spark, folder, schema, glob, max_files))
+    s = s.withColumn(DAY, F.to_date(time_col))
     out, ck = scratch_path(spark, "stream_dedup_out"), scratch_path(spark, "stream_dedup_ck")
-    run_available(deduped, out, ck,
-                  foreach=lambda b, i: store_new_keys(b.drop("event_time"), i, out, key))
-    return spark.read.parquet(out)
+    run_available(s, out, ck, foreach=lambda b, i: loading.append_new(b, out, key, DAY))
+    return spark.read.parquet(out).drop(DAY)
 
 
 def stream_status(spark: SparkSession, folder: str, schema: StructType, glob: str,
@@ -100,39 +76,50 @@ def stream_status(spark: SparkSession, folder: str, schema: StructType, glob: st
     return res.withColumn("valor_total", F.col("valor_total").cast("double"))
 
 
-def stream_kpis(spark: SparkSession, folder: str, schema: StructType, glob: str, time_col: str,
-                user_col: str, value_col: str, window: str = "3 hours",
-                lookback_hours: int = RULES.lookback_hours) -> DataFrame:
-    """STR-5: live KPIs by tumbling window; exact distinct is not supported in
-    streaming aggregation, so customers are ``approx_count_distinct``."""
-    s = with_event_time(file_stream(spark, folder, schema, glob), time_col)
-    agg = (s.withWatermark("event_time", f"{lookback_hours} hours")
-           .groupBy(F.window("event_time", window).alias("janela"))
-           .agg(F.count(F.lit(1)).alias("eventos"),
-                F.approx_count_distinct(user_col).alias("usuarios_aprox"),
-                F.sum(F.col(value_col).cast("decimal(38,9)")).alias("valor_total")))
-    out, ck = scratch_path(spark, "stream_kpis_out"), scratch_path(spark, "stream_kpis_ck")
-    run_available(agg, out, ck, mode="append")
-    res = spark.read.parquet(out)
-    return res.select(F.col("janela.start").alias("inicio"), F.col("janela.end").alias("fim"),
-                      "eventos", "usuarios_aprox", F.col("valor_total").cast("double").alias("valor_total"))
+def stream_kpis(spark: SparkSession, folder: str, schema: StructType, glob: str, key: str, time_col: str,
+                user_col: str, value_col: str, window_hours: int = 3, max_files: int | None = None) -> DataFrame:
+    """STR-5: live KPIs by tumbling window, with exact distinct users. A micro-batch
+    adds its new events to a store partitioned by day and replaces the windows of
+    the days it touched (windows divide a day), so every window is there at once
+    and late events correct it."""
+    if 24 % window_hours:
+        raise ValueError("windows must divide a day")
+    s = file_stream(spark, folder, schema, glob, max_files).withColumn(DAY, F.to_date(time_col))
+    store, out, ck = (scratch_path(spark, f"stream_kpis_{x}") for x in ("store", "out", "ck"))
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        loading.append_new(batch, store, key, DAY)
+        touched = loading.stored_slice(batch, store, DAY).filter(F.col(DAY).isNotNull())
+        kpis = (touched.groupBy(DAY, F.window(F.col(time_col).cast("timestamp"), f"{window_hours} hours").alias("janela"))
+                .agg(F.count(F.lit(1)).alias("eventos"), F.countDistinct(user_col).alias("usuarios"),
+                     F.sum(F.col(value_col).cast("decimal(38,9)")).alias("valor_total")))
+        (kpis.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(out))
+
+    run_available(s, out, ck, foreach=upsert)
+    return spark.read.parquet(out).select(
+        F.col("janela.start").alias("inicio"), F.col("janela.end").alias("fim"), "eventos", "usuarios",
+        F.col("valor_total").cast("double").alias("valor_total"))
 
 
 def stream_invoice_load(spark: SparkSession, docs_folder: str, docs_schema: StructType, as_of: str,
-                        store_path: str, checkpoint: str, max_files: int | None = None) -> DataFrame:
+                        store_path: str, checkpoint: str, max_files: int | None = None,
+                        quarantine: str | None = None) -> DataFrame:
     """STR-2/STR-4 for invoices: landed XML response documents are read as a
     file stream, parsed per micro-batch and appended with insert-if-absent
     (hash de-dup inside the batch, left-anti against the store across
-    batches and replays). No watermark, so no late note is dropped; the same
+    batches and replays); documents that do not parse go to the ``quarantine``
+    path. No watermark, so no late note is dropped; the same
     checkpoint serves the backfill and later incremental runs."""
-    from ..operators import loading
     from ..sources import xml as xml_source
 
     stream = file_stream(spark, docs_folder, docs_schema, max_files=max_files)
-    parsed = xml_source.parse_response_column(stream, as_of)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        loading.insert_if_absent(df, store_path)
-
-    run_available(parsed, store_path, checkpoint, foreach=batch)
-    return spark.read.parquet(store_path)
+        notes = xml_source.parse_response_column(df, as_of).select("*", loading.issue_month()).persist()
+        loading.append_new(notes, store_path, "hash_nfse", loading.MONTH)
+        notes.unpersist()
+        if quarantine:
+            xml_source.malformed(df).write.mode("append").parquet(quarantine)
+
+    run_available(stream, store_path, checkpoint, foreach=batch)
+    return spark.read.parquet(store_path).drop(loading.MONTH)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cleaning
 from ..sources import files
-from ..sinks.tables import stamp_raw_defaults
+from ..sinks.tables import path_exists, stamp_raw_defaults
 
 
 def _raw_rows(cells: DataFrame) -> DataFrame:
@@ -36,12 +36,8 @@ def ingest_landing(spark: SparkSession, landing: str, raw_path: str, checkpoint:
 
     def batch(df: DataFrame, batch_id: int) -> None:
         rows = _raw_rows(files.decode_workbooks(df))
-        known = None
-        try:
+        if path_exists(spark, raw_path):
             known = spark.read.parquet(raw_path).select("hash_linha", "arquivo_nome", "aba_nome", "linha_original")
-        except Exception:  # noqa: BLE001 — first batch
-            pass
-        if known is not None:
             rows = rows.join(known, ["hash_linha", "arquivo_nome", "aba_nome", "linha_original"], "left_anti")
         rows.write.mode("append").parquet(raw_path)
 
