@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import Merges
-from .common import WordTable, cut, slices
+from .common import cut, slices
+from .words import HashedTable
 
 WINDOW = 2048
 #: Own queues for the largest sources, one more for all others together. With at
@@ -39,8 +40,18 @@ END_ID = 1
 
 
 #: Chunks whose tokens need no normaliser: Latin letters, then ASCII marks. The
-#: tokenizer lower-cases and splits them into just these two parts.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([.,;:!?%*#$&|()\-]*)")
+#: tokenizer lower-cases and splits them into just these two parts. All others are odd.
+_MARKS = rb"[.,;:!?%*#$&|()\-]"
+_ODD = re.compile(rb"^(?!(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])*" + _MARKS + rb"*$).+$", re.M)
+_BETWEEN = re.compile(rb"(?<=[a-z\x80-\xbf])(?=" + _MARKS + rb")")
+
+
+def _lower(raw: bytes) -> bytes:
+    """A-Z and U+00C0..U+00DE in lower case; the raw text has no other letters."""
+    b = np.frombuffer(raw.lower(), np.uint8).copy()
+    after = np.flatnonzero(b[:-1] == 0xC3) + 1
+    b[after[(b[after] >= 0x80) & (b[after] <= 0x9E)]] += 0x20
+    return b.tobytes()
 
 
 class WordEncoder:
@@ -62,8 +73,8 @@ class WordEncoder:
         self.inner = np.array([vocab[c] for c in char], np.int64)
         self.final = np.array([vocab[c + end] for c in char], np.int64)
         small = max(vocab.values()) < 65536
-        self.parts = WordTable(self._merge, np.int64, 1_000_000)
-        self.table = WordTable(self._encode, np.uint16 if small else np.uint32, 1_000_000)
+        self.parts = HashedTable(self._merge, np.uint16 if small else np.uint32)
+        self.table = HashedTable(self._encode, np.uint16 if small else np.uint32)
 
     def _merge(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         raw = np.frombuffer(b"".join(parts), np.uint8)
@@ -75,21 +86,13 @@ class WordEncoder:
         return sym, np.bincount(word, minlength=len(parts))
 
     def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        parts, of, odd = [], [], []
-        for i, w in enumerate(words):
-            m = _PLAIN.fullmatch(w.decode())
-            if m is None:
-                odd.append(i)
-                continue
-            letters, marks = m.groups()
-            if letters:
-                parts.append(letters.lower().encode())
-                of.append(i)
-            if marks:
-                parts.append(marks.encode())
-                of.append(i)
-        ids, n = self.parts.flat_ids(parts)
-        owner = [np.repeat(np.array(of, np.int64), n)]
+        starts = np.cumsum([0, *[len(w) + 1 for w in words]])
+        odd = np.searchsorted(starts, [m.start() for m in _ODD.finditer(b"\n".join(words))]).tolist()
+        plain = list(words)
+        for i in odd:
+            plain[i] = b""
+        ids, n = self.parts.flat_ids(_BETWEEN.sub(b" ", _lower(b"\n".join(plain))).split(b"\n"))
+        owner = [np.repeat(np.arange(len(words)), n)]
         ids = [ids]
         for i in range(0, len(odd), 10_000):
             part = odd[i:i + 10_000]
@@ -101,7 +104,7 @@ class WordEncoder:
         return np.concatenate(ids)[order], np.bincount(owner, minlength=len(words))
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.append(x, x.dtype.type(END_ID)) for x in self.table.ids([t.encode().split() for t in texts])]
+        return [np.append(x, x.dtype.type(END_ID)) for x in self.table.ids(texts)]
 
 
 def _byte_chars() -> list[str]:
@@ -127,7 +130,7 @@ def tokenised(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, sourc
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
         pid, enc, held, k = TaskContext.get().partitionId(), encoder(tokenizer), {}, 0
-        for pdf in slices(batches):
+        for pdf in slices(batches, budget=2 << 20):
             ids = enc(pdf.text.tolist())
             at = []
             for s, x in zip(pdf.source, ids):
