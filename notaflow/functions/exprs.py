@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -146,17 +146,18 @@ def invoice_hash(numero, codigo, data_text) -> Column:
     return F.sha2(F.concat(*parts), 256)
 
 
-def first_present(cols: Iterable[Column]) -> Column:
-    return F.coalesce(*list(cols))
+def document_scalars(document) -> Column:
+    """A JSON document as ``map<string,string>`` of its scalars: objects and arrays are
+    left out; text such as ``[ABC] Ltda``, which is no JSON, is a scalar."""
+    m = F.from_json(col(document), "map<string,string>")
+    return F.map_filter(m, lambda k, v: ~(F.coalesce(F.substring(v, 1, 1).isin("{", "["), F.lit(False))
+                                          & F.try_parse_json(v).isNotNull()))
 
 
 def document_value(m: Column, key: str) -> Column:
-    """JSON_VALUE semantics over a parsed ``map<string,string>`` document:
-    the scalar's text, NULL when the key is absent or the value is an object/array
-    (text such as ``[ABC] Ltda``, which is no JSON, is a scalar)."""
-    v = F.try_element_at(m, F.lit(key))
-    nested = F.substring(v, 1, 1).isin("{", "[") & F.try_parse_json(v).isNotNull()
-    return F.when(~nested, v)
+    """JSON_VALUE semantics over ``document_scalars``: NULL when the key is absent or
+    held no scalar."""
+    return F.try_element_at(m, F.lit(key))
 
 
 def check_digits_ok(digits: Column, length: int, w1: Sequence[int], w2: Sequence[int]) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import RULES, Rules
-from ..functions.exprs import band, document_value, lookup, round_half_away
+from ..functions.exprs import band, document_scalars, document_value, lookup, round_half_away
 
 
 def client_score(dim: DataFrame, rules: Rules = RULES) -> DataFrame:
@@ -54,8 +54,7 @@ def validation_progress(raw: DataFrame, status_key: str = "Status", status_ok: s
     validated (company name present) and percent to one decimal."""
     r = raw.filter((F.col("arquivo_tipo") == C.TYPE_OLD_COMPANIES)
                    & (F.col("_processing_status") == C.STATUS_PROCESSED))
-    doc = F.from_json(F.col("dados_json"), "map<string,string>")
-    r = r.select(F.explode(F.array(doc)).alias("__doc"))
+    r = r.select(F.explode(F.array(document_scalars("dados_json"))).alias("__doc"))
     ok = r.filter(document_value(F.col("__doc"), status_key) == status_ok)
     name = F.coalesce(*[document_value(F.col("__doc"), k) for k in C.KEYS_RAZAO])
     agg = ok.agg(F.count(F.lit(1)).alias("total"), F.count(name).alias("validados"))

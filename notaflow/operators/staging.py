@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.exprs import clean_digits, document_value, safe_iso_date, serial_date
+from ..functions.exprs import clean_digits, document_scalars, document_value, safe_iso_date, serial_date
 from .common import settle
 
 DOC = "__doc"
@@ -23,7 +23,7 @@ def with_document(raw: DataFrame) -> DataFrame:
     The parse sits in a one-element ``explode`` (a Generate node): predicates
     over the parsed fields are not pushed below a Generate, so the optimizer
     cannot inline ``from_json`` into each filter term and re-parse the row."""
-    return raw.select("*", F.explode(F.array(F.from_json(F.col("dados_json"), "map<string,string>")))
+    return raw.select("*", F.explode(F.array(document_scalars("dados_json")))
                       .alias(DOC))
 
 

@@ -3,7 +3,8 @@
 Aggregation runs on exact decimals (partial + final aggregation, map-side
 combine); results become doubles at the output boundary. Distinct counts over
 bounded domains (month of year, year, year-month, service items of one
-customer) use ``size(collect_set)`` to avoid the multi-distinct Expand.
+customer) are bit sets or second-level counts, so no multi-distinct Expand multiplies
+the notes. A customer's service items are bounded by the service list.
 """
 
 from __future__ import annotations
@@ -30,15 +31,19 @@ def _federal_sum():
 # ------------------------------------------------------------------ CPF-1..7
 def customer_performance(inv: DataFrame, as_of: str, rules: Rules = RULES) -> DataFrame:
     asof = as_of_lit(as_of)
+    keys = ["tomador_cnpj", "tomador_razao_social", "tomador_uf", "tomador_municipio"]
+    parts = [F.count(F.lit(1)).alias("_rows"), F.sum("valor_liquido").alias("_fat"), F.count("valor_liquido").alias("_n"),
+             F.max("data_emissao").alias("_last"), F.min("data_emissao").alias("_first"),
+             F.bit_or(F.expr("shiftleft(1, month(data_emissao))")).alias("_months")]
     g = (inv.filter(F.col("tomador_cnpj").isNotNull())
-         .groupBy("tomador_cnpj", "tomador_razao_social", "tomador_uf", "tomador_municipio")
-         .agg(F.count(F.lit(1)).alias("total_nfses"),
-              F.sum("valor_liquido").alias("_fat"),
-              F.count("valor_liquido").alias("_n"),
-              F.max("data_emissao").alias("ultima_nfse"),
-              F.min("data_emissao").alias("primeira_nfse"),
-              F.size(F.collect_set(F.month("data_emissao"))).cast("bigint").alias("meses_ativos"),
-              F.size(F.collect_set(F.year("data_emissao"))).cast("bigint").alias("anos_ativos")))
+         .groupBy(*keys, F.year("data_emissao").alias("_ano"))
+         .agg(*parts))
+    # Months as a bit set, years as the rows of the first level: plain hash aggregates.
+    g = (g.groupBy(*keys).agg(
+        F.sum("_rows").alias("total_nfses"), F.sum("_fat").alias("_fat"), F.sum("_n").alias("_n"),
+        F.max("_last").alias("ultima_nfse"), F.min("_first").alias("primeira_nfse"),
+        F.coalesce(F.bit_count(F.bit_or("_months")), F.lit(0)).cast("bigint").alias("meses_ativos"),
+        F.count("_ano").alias("anos_ativos")))
     m = g.select(
         "tomador_cnpj", "tomador_razao_social", "tomador_uf", "tomador_municipio", "total_nfses",
         F.col("_fat").cast("double").alias("faturamento_total"),
@@ -120,15 +125,20 @@ def geo_expansion(inv: DataFrame, as_of: str, rules: Rules = RULES) -> DataFrame
 
 # ------------------------------------------------------------------ KPI-1..7
 def executive_kpis(inv: DataFrame, rules: Rules = RULES) -> DataFrame:
-    base = (inv.groupBy(F.year("data_emissao").cast("bigint").alias("ano"),
-                        F.month("data_emissao").cast("bigint").alias("mes"))
-            .agg(F.count(F.lit(1)).alias("nfses_emitidas"),
-                 F.countDistinct("tomador_cnpj").alias("clientes_unicos"),
-                 F.sum("valor_liquido").alias("_rec"),
-                 F.count("valor_liquido").alias("_n"),
-                 _federal_sum().alias("_fed"),
-                 F.sum("valor_iss").alias("_iss"),
-                 F.countDistinct("item_lista_servico").alias("tipos_servico")))
+    month = [F.year("data_emissao").cast("bigint").alias("ano"), F.month("data_emissao").cast("bigint").alias("mes")]
+    # Distinct counts in two levels, one branch each: no row is multiplied. Both
+    # branches read one exchange of (month, customer, item) sums.
+    fine = (inv.groupBy(*month, "tomador_cnpj", "item_lista_servico")
+            .agg(F.count(F.lit(1)).alias("_rows"), F.sum("valor_liquido").alias("_rec"),
+                 F.count("valor_liquido").alias("_n"), _federal_sum().alias("_fed"), F.sum("valor_iss").alias("_iss")))
+    sums = [F.sum(c).alias(c) for c in ("_rows", "_rec", "_n", "_fed", "_iss")]
+    base = (fine.groupBy("ano", "mes", "tomador_cnpj").agg(*sums)
+            .groupBy("ano", "mes").agg(F.count("tomador_cnpj").alias("clientes_unicos"), *sums)
+            .withColumnRenamed("_rows", "nfses_emitidas"))
+    items = (fine.groupBy("ano", "mes", "item_lista_servico").agg(F.lit(1).alias("_one"))
+             .groupBy("ano", "mes").agg(F.count("item_lista_servico").alias("tipos_servico")))
+    same = [base[c].eqNullSafe(items[c]) for c in ("ano", "mes")]
+    base = base.join(items, same[0] & same[1]).select(base["*"], "tipos_servico")
     # One row per calendar month: the single-partition window below sees a
     # few hundred rows at most, bounded by the calendar, not by the data.
     w = Window.orderBy(F.col("ano").asc_nulls_first(), F.col("mes").asc_nulls_first())
@@ -164,15 +174,20 @@ def executive_kpis(inv: DataFrame, rules: Rules = RULES) -> DataFrame:
 # ------------------------------------------------------------------ OPP-1..7
 def sales_opportunities(inv: DataFrame, as_of: str, rules: Rules = RULES) -> DataFrame:
     asof = as_of_lit(as_of)
-    g = (inv.filter(F.col("tomador_cnpj").isNotNull())
-         .groupBy("tomador_cnpj", "tomador_razao_social", "tomador_uf")
+    keys = ["tomador_cnpj", "tomador_razao_social", "tomador_uf"]
+    # The sets below see one row per (customer, item, month), not one per note.
+    fine = (inv.filter(F.col("tomador_cnpj").isNotNull())
+            .groupBy(*keys, "item_lista_servico",
+                     (F.year("data_emissao") * 12 + F.month("data_emissao")).alias("_ym"))
+            .agg(F.sum("valor_liquido").alias("_val"), F.count("valor_liquido").alias("_n"),
+                 F.count(F.lit(1)).alias("_rows"), F.max("data_emissao").alias("_last")))
+    g = (fine.groupBy(*keys)
          .agg(F.collect_set("item_lista_servico").alias("_items"),
-              F.sum("valor_liquido").alias("_val"),
-              F.count("valor_liquido").alias("_n"),
-              F.count(F.lit(1)).alias("total_servicos"),
-              F.max("data_emissao").alias("ultimo_servico"),
-              F.size(F.collect_set(F.date_format("data_emissao", "yyyy-MM"))).cast("bigint")
-              .alias("meses_ativos")))
+              F.sum("_val").alias("_val"),
+              F.sum("_n").alias("_n"),
+              F.sum("_rows").alias("total_servicos"),
+              F.max("_last").alias("ultimo_servico"),
+              F.size(F.collect_set("_ym")).cast("bigint").alias("meses_ativos")))
     g = g.select(
         "tomador_cnpj", "tomador_razao_social", "tomador_uf",
         F.size("_items").cast("bigint").alias("tipos_servicos_utilizados"),

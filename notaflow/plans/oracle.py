@@ -501,6 +501,14 @@ ORACLES.update({
 from .. import config as _C  # noqa: E402
 
 
+# FIXED VALUES — the public check-digit weights, stated here again so that a wrong
+# constant in the engine does not pass its own check.
+CNPJ_WEIGHTS_1 = (5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2)
+CNPJ_WEIGHTS_2 = (6, 5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2)
+CPF_WEIGHTS_1 = (10, 9, 8, 7, 6, 5, 4, 3, 2)
+CPF_WEIGHTS_2 = (11, 10, 9, 8, 7, 6, 5, 4, 3, 2)
+
+
 def _dv(col: str, weights) -> str:
     s = " + ".join(f"CAST(substr({col}, {i + 1}, 1) AS INTEGER) * {w}" for i, w in enumerate(weights))
     return f"(CASE WHEN ({s}) % 11 < 2 THEN 0 ELSE 11 - ({s}) % 11 END)"
@@ -514,12 +522,12 @@ def _valid(col: str, n: int, w1, w2) -> str:
 
 CNPJ_VALID = "WITH " + INV + f""",
 d AS (SELECT regexp_replace(tomador_cnpj, '[^0-9]', '', 'g') AS documento FROM inv WHERE tomador_cnpj IS NOT NULL)
-SELECT documento, COUNT(*) AS ocorrencias, {_valid('documento', 14, _C.CNPJ_W1, _C.CNPJ_W2)} AS valido
+SELECT documento, COUNT(*) AS ocorrencias, {_valid('documento', 14, CNPJ_WEIGHTS_1, CNPJ_WEIGHTS_2)} AS valido
 FROM d GROUP BY documento"""
 
 CPF_VALID = f"""
 WITH d AS (SELECT lpad(CAST(c_custkey * 104729 % 100000000000 AS VARCHAR), 11, '0') AS documento FROM customer)
-SELECT documento, COUNT(*) AS ocorrencias, {_valid('documento', 11, _C.CPF_W1, _C.CPF_W2)} AS valido
+SELECT documento, COUNT(*) AS ocorrencias, {_valid('documento', 11, CPF_WEIGHTS_1, CPF_WEIGHTS_2)} AS valido
 FROM d GROUP BY documento"""
 
 SCORED = DIM + """,
@@ -551,7 +559,8 @@ sc3 AS (
 )"""
 
 CLIENT_SCORE = "WITH " + SCORED + " SELECT * FROM sc3"
-TOP_OPPORTUNITIES = "WITH " + SCORED + """
+TOP_OPPORTUNITIES = "WITH " + SCORED.replace(
+    "  FROM dim\n", "  FROM (SELECT * REPLACE (faturamento_total * 1000 AS faturamento_total) FROM dim)\n") + """
 SELECT cnpj, razao_social, score_cliente, faturamento_total, classificacao_cliente FROM sc3
 WHERE classificacao_cliente IN ('OPORTUNIDADE_PREMIUM', 'OPORTUNIDADE_ALTA')
 ORDER BY faturamento_total DESC, cnpj"""
@@ -667,12 +676,12 @@ rl AS (SELECT 'x' AS id, rps_numero, rps_serie, rps_tipo, data_envio, status, te
 {_req('nf_emitidas', 'nf', ('id', 'numero_nfse', 'codigo_verificacao', 'data_emissao', 'status_nfse', 'prestador_cnpj',
                             'prestador_razao_social', 'valor_servicos', 'valor_liquido_nfse', 'data_processamento',
                             'data_criacao'))}
-UNION ALL {_dom('nf_emitidas', 'nf', 'status_nfse', _C.NFSE_STATUS)}
+UNION ALL {_dom('nf_emitidas', 'nf', 'status_nfse', ('Normal', 'Cancelado'))}
 UNION ALL {_req('nf_tributos', 'tx', ('id', 'numero_nfse', 'tipo_tributo', 'valor', 'data_criacao'))}
-UNION ALL {_dom('nf_tributos', 'tx', 'tipo_tributo', _C.TAX_TYPES)}
+UNION ALL {_dom('nf_tributos', 'tx', 'tipo_tributo', ('PIS', 'COFINS', 'INSS', 'IR', 'CSLL', 'ISS', 'OUTROS'))}
 UNION ALL {_req('rps_log', 'rl', ('id', 'rps_numero', 'rps_serie', 'rps_tipo', 'data_envio', 'status', 'tentativa', 'data_criacao'))}
-UNION ALL {_dom('rps_log', 'rl', 'status', _C.RPS_STATUS)}
-UNION ALL {_dom('rps_log', 'rl', 'rps_tipo', _C.RPS_TYPES)}"""
+UNION ALL {_dom('rps_log', 'rl', 'status', ('ENVIADO', 'PROCESSANDO', 'SUCESSO', 'ERRO', 'CANCELADO'))}
+UNION ALL {_dom('rps_log', 'rl', 'rps_tipo', ('1', '2', '3'))}"""
 
 ORACLES.update({
     "client_score": CLIENT_SCORE,
@@ -777,11 +786,12 @@ clean AS (
 
 
 def _norm_sql(v: str, idx: str) -> str:
-    from ..functions.text import HEADER_REPLACEMENTS
     h = f"trim(COALESCE({v}, ''), ' ' || chr(9) || chr(10) || chr(13))"
     h = f"replace(replace(replace({h}, chr(10), ' '), chr(13), ''), '  ', ' ')"
     h = f"strip_accents({h})"
-    for old, new in HEADER_REPLACEMENTS:
+    # FIXED VALUES — header replacements, in the order they apply.
+    for old, new in ((".", "_"), ("º", "_num"), ("ª", "_a"), (" ", "_"), ("/", "_"), ("-", "_"),
+                     ("(", ""), (")", ""), ("&", "_e_"), ("%", "_pct"), ("#", "_num"), ("°", "_grau")):
         h = f"replace({h}, '{old}', '{new}')"
     h = f"(CASE WHEN regexp_matches({h}, '^[0-9]') THEN 'col_' || {h} ELSE {h} END)"
     h = f"regexp_replace(regexp_replace({h}, '_{{2,}}', '_', 'g'), '_+$', '')"
@@ -915,6 +925,47 @@ ORACLES["column_match"] = _column_match_sql()
 
 ORACLES["workbook_cells"] = "WITH " + CELLS + " SELECT arquivo_nome, aba_nome, linha, coluna, valor FROM cells WHERE valor IS NOT NULL"
 
+CONTRACT_QUARANTINE = CONTRACT_CHECKS[:CONTRACT_CHECKS.index("tx AS (")].rstrip().rstrip(",") + """
+SELECT * FROM (SELECT numero_nfse, concat_ws(',',
+    CASE WHEN codigo_verificacao IS NULL THEN 'obrigatorio:codigo_verificacao' END,
+    CASE WHEN valor_liquido_nfse IS NULL THEN 'obrigatorio:valor_liquido_nfse' END,
+    CASE WHEN status_nfse NOT IN ('Normal', 'Cancelado') THEN 'dominio:status_nfse' END) AS violacoes
+  FROM nf) WHERE violacoes <> ''"""
+ORACLES["contract_quarantine"] = CONTRACT_QUARANTINE
+
+ORACLES["landed_staging"] = "WITH " + CELLS + f""",
+g AS (
+  SELECT arquivo_nome, aba_nome, linha,
+    max(CASE WHEN coluna_nome = 'CNPJ' THEN valor END) AS cnpj_, max(CASE WHEN coluna_nome = 'Data_Emissao' THEN valor END) AS d_,
+    max(CASE WHEN coluna_nome = 'Valor_Liquido_R$' THEN valor END) AS v_,
+    max(CASE WHEN coluna_nome = 'Cliente' THEN valor END) AS c_, max(CASE WHEN coluna_nome = 'Razao_Social' THEN valor END) AS r_
+  FROM clean GROUP BY 1, 2, 3
+),
+s AS (
+  SELECT arquivo_nome, aba_nome, linha AS linha_original, COALESCE(c_, r_) AS cliente, {_date_sql("d_")} AS data_emissao,
+    regexp_replace(cnpj_, '[^0-9]', '', 'g') AS cnpj, CAST(NULL AS VARCHAR) AS numero_nota,
+    {_float_sql("v_")} AS valor_liquido, CAST(NULL AS DOUBLE) AS valor_bruto, CAST(NULL AS DOUBLE) AS honorarios,
+    CAST(NULL AS VARCHAR) AS tipo_servico, CAST(NULL AS VARCHAR) AS situacao, CAST(NULL AS VARCHAR) AS consultor
+  FROM g WHERE {_class_sql("arquivo_nome")} IN ('faturamento_historico', 'clientes_atuais', 'desconhecido')
+)
+SELECT * FROM s WHERE cnpj IS NOT NULL AND data_emissao IS NOT NULL AND valor_liquido IS NOT NULL"""
+
+_LEDGER = "WITH " + CELLS + f""",
+f AS (
+  SELECT arquivo_nome, COUNT(DISTINCT aba_nome) AS total_abas,
+    COUNT(DISTINCT CASE WHEN linha > 0 AND valor IS NOT NULL THEN aba_nome || '#' || CAST(linha AS VARCHAR) END) AS total_linhas
+  FROM cells GROUP BY 1
+),
+ledger AS (
+  SELECT arquivo_nome, total_abas, total_linhas, {_class_sql("arquivo_nome")} AS tipo_arquivo, 'processado' AS status,
+    true AS tem_hash, true AS tem_bytes, false AS tem_erro FROM f
+  UNION ALL
+  SELECT 'corrompido ' || arquivo_nome, 0, 0, 'erro', 'erro', true, true, true FROM f
+  WHERE CAST(regexp_extract(arquivo_nome, '([0-9]+)\\.xlsx$', 1) AS INTEGER) % 5 = 0
+)"""
+ORACLES["file_ledger"] = _LEDGER + " SELECT * FROM ledger"
+ORACLES["run_report"] = _LEDGER + " SELECT status, COUNT(*) AS arquivos FROM ledger GROUP BY status"
+
 ORACLES["load_report"] = "WITH " + BASE + """,
 batch AS (
   SELECT sha256(CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)

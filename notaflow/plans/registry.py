@@ -98,7 +98,12 @@ def q_staging_companies(spark, sf_dir):
 
 def _build_dim(spark, sf_dir):
     raw = _raw(spark, sf_dir)
-    return marts.dim_customers(staging.billing(raw), staging.companies(raw), AS_OF)
+    return marts.dim_customers(_billing(spark, sf_dir), staging.companies(raw), AS_OF)
+
+
+def _billing(spark, sf_dir):
+    """Typed staging, stored once: documents are parsed once for dimension and fact."""
+    return stored(spark, sf_dir, "staging_faturamento", lambda s, d: staging.billing(_raw(s, d)), overwrite)
 
 
 def _dim(spark, sf_dir):
@@ -111,14 +116,22 @@ def q_dim_customers(spark, sf_dir):
     return _dim(spark, sf_dir)
 
 
+def _write_fact(df: DataFrame, path: str) -> None:
+    # By year and month: date predicates prune folders, and days don't make thousands of them.
+    overwrite(df.hint("rebalance", F.col("ano"), F.col("mes")), path, ("ano", "mes"))
+
+
 def q_fact_billing(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
-    return _wall_clock(marts.fact_billing(staging.billing(raw), _dim(spark, sf_dir)), "_ingestion_timestamp")
+    """The stored fact (``fato_faturamento``), partitioned by year and month."""
+    fact = stored(spark, sf_dir, "fato_faturamento",
+                  lambda s, d: marts.fact_billing(_billing(s, d), _dim(s, d)), _write_fact)
+    fact = fact.withColumn("ano", F.col("ano").cast("bigint")).withColumn("mes", F.col("mes").cast("bigint"))
+    return _wall_clock(fact, "_ingestion_timestamp")
 
 
 def q_dim_calendar(spark, sf_dir):
-    return marts.calendar_covering(
-        adapter.line_base(spark, sf_dir).select(F.col("l_shipdate").cast("date").alias("d")), "d")
+    dates = read_table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("d"))
+    return marts.calendar_covering(dates, "d")
 
 
 def q_ingestion_status(spark, sf_dir):
@@ -212,7 +225,9 @@ def q_client_score(spark, sf_dir):
 
 
 def q_top_opportunities(spark, sf_dir):
-    return scoring.top_opportunities(scoring.client_score(_dim(spark, sf_dir)))
+    # The fixture's customers are small: revenue in thousands reaches every class.
+    dim = _dim(spark, sf_dir).withColumn("faturamento_total", F.col("faturamento_total") * 1000)
+    return scoring.top_opportunities(scoring.client_score(dim))
 
 
 def q_validation_progress(spark, sf_dir):
@@ -241,24 +256,26 @@ RPS_REQUIRED = ("id", "rps_numero", "rps_serie", "rps_tipo", "data_envio", "stat
                 "data_criacao")
 
 
+NF_DOMAINS = {"status_nfse": _C.NFSE_STATUS}
+TAX_DOMAINS = {"tipo_tributo": _C.TAX_TYPES}
+RPS_DOMAINS = {"status": _C.RPS_STATUS, "rps_tipo": _C.RPS_TYPES}
+
+
 def q_contract_checks(spark, sf_dir):
     inv = invoices(spark, sf_dir)
     nf = adapter.contract_invoices(inv)
     tx = adapter.tax_rows(quality.unpivot_taxes(inv))
     rps = adapter.rps_log(spark, sf_dir)
-    parts = [
-        quality.required_violations(nf, NF_REQUIRED, "nf_emitidas"),
-        quality.domain_violations(nf, "status_nfse", _C.NFSE_STATUS, "nf_emitidas"),
-        quality.required_violations(tx, TAX_REQUIRED, "nf_tributos"),
-        quality.domain_violations(tx, "tipo_tributo", _C.TAX_TYPES, "nf_tributos"),
-        quality.required_violations(rps, RPS_REQUIRED, "rps_log"),
-        quality.domain_violations(rps, "status", _C.RPS_STATUS, "rps_log"),
-        quality.domain_violations(rps, "rps_tipo", _C.RPS_TYPES, "rps_log"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return (quality.contract_violations(nf, "nf_emitidas", NF_REQUIRED, NF_DOMAINS)
+            .unionByName(quality.contract_violations(tx, "nf_tributos", TAX_REQUIRED, TAX_DOMAINS))
+            .unionByName(quality.contract_violations(rps, "rps_log", RPS_REQUIRED, RPS_DOMAINS)))
+
+
+def q_contract_quarantine(spark, sf_dir):
+    """CHK-2: the contract's bad notes themselves, with the rules they break."""
+    nf = adapter.contract_invoices(invoices(spark, sf_dir))
+    return quality.quarantine(nf, NF_REQUIRED, NF_DOMAINS).select(
+        "numero_nfse", F.array_join("violacoes", ",").alias("violacoes"))
 
 
 def q_unpivot_taxes(spark, sf_dir):
@@ -295,6 +312,7 @@ QUERIES.update({
     "cpf_valid": q_cpf_valid,
     "pending_validation": q_pending_validation,
     "contract_checks": q_contract_checks,
+    "contract_quarantine": q_contract_quarantine,
     "unpivot_taxes": q_unpivot_taxes,
     "orphan_taxes": q_orphan_taxes,
     "rps_latest": q_rps_latest,
@@ -439,6 +457,61 @@ def q_workbook_cells(spark, sf_dir):
 QUERIES["workbook_cells"] = q_workbook_cells
 
 
+# ---------------------------------------------------------------- landing folder -> raw -> staging
+from ..streaming import landing  # noqa: E402
+
+BAD_WORKBOOK = "corrompido "
+
+
+def _landed_workbooks(spark, sf_dir):
+    """The workbooks as they land, every fifth also as a file cut in half."""
+    wb = stored(spark, sf_dir, "workbooks", _build_workbooks, _write_plain)
+    number = F.regexp_extract("arquivo_nome", r"([0-9]+)\.xlsx$", 1).cast("int")
+    half = F.substring("content", F.lit(1), (F.length("content") / 2).cast("int"))
+    bad = wb.filter(number % 5 == 0).select(F.concat(F.lit(BAD_WORKBOOK), "arquivo_nome").alias("arquivo_nome"),
+                                            half.alias("content"))
+    return wb.unionByName(bad).withColumn("data_modificacao", F.lit("2001-11-01 00:00:00").cast("timestamp"))
+
+
+def _landed(spark, sf_dir) -> tuple[str, str]:
+    """(raw table, ledger) after the workbooks went through the ingest stream, in
+    several micro-batches, and once more as a replay with a fresh checkpoint."""
+    key = (spark.sparkContext.applicationId, sf_dir, "landed")
+    if key not in _STORED:
+        from ..session import scratch_path
+        stored(spark, sf_dir, "workbooks_landed", _landed_workbooks,
+               lambda df, path: df.repartition(4, "arquivo_nome").write.parquet(path))
+        folder = _STORED[(spark.sparkContext.applicationId, sf_dir, "workbooks_landed")]
+        schema = spark.read.parquet(folder).schema
+        raw, ledger = scratch_path(spark, "landed_raw"), scratch_path(spark, "landed_ledger")
+        for again in (False, True):
+            stream = streaming_jobs.file_stream(spark, folder, schema, max_files=2)
+            landing.ingest_stream(stream, raw, scratch_path(spark, "landed_ck"), None if again else ledger)
+        _STORED[key] = (raw, ledger)
+    return _STORED[key]
+
+
+def q_landed_staging(spark, sf_dir):
+    """Workbooks -> ingest stream -> 15-column raw table -> typed staging."""
+    raw = spark.read.parquet(_landed(spark, sf_dir)[0])
+    return staging.billing(raw).drop("_ingestion_timestamp", "_ingestion_batch_id")
+
+
+def q_file_ledger(spark, sf_dir):
+    return spark.read.parquet(_landed(spark, sf_dir)[1]).select(
+        "arquivo_nome", "total_abas", "total_linhas", "tipo_arquivo", "status",
+        (F.length("arquivo_hash") == 64).alias("tem_hash"), (F.col("tamanho_bytes") > 0).alias("tem_bytes"),
+        F.col("erro_mensagem").isNotNull().alias("tem_erro"))
+
+
+def q_run_report(spark, sf_dir):
+    """RPT-2 over the ledger that the ingest stream wrote."""
+    return loading.run_report(spark.read.parquet(_landed(spark, sf_dir)[1]))
+
+
+QUERIES.update({"landed_staging": q_landed_staging, "file_ledger": q_file_ledger, "run_report": q_run_report})
+
+
 # ---------------------------------------------------------------- load report / views
 def q_load_report(spark, sf_dir):
     batch = duplicate_batch(spark, sf_dir)
@@ -472,3 +545,13 @@ def q_stream_invoice_load(spark, sf_dir):
 
 
 QUERIES["stream_invoice_load"] = q_stream_invoice_load
+
+
+#: Tables that several queries read, in the order they build on each other.
+STORED_BUILDS: dict[str, Query] = {
+    "nfse": invoices, "raw_documents": _raw, "staging_faturamento": _billing, "dim_clientes": _dim,
+    "fato_faturamento": q_fact_billing, "nfse_xml": xml_documents,
+    "nfse_from_xml": lambda s, d: stored(s, d, "nfse_from_xml", _parse_xml, _write_plain), "sheet_cells": cells,
+    "workbooks": lambda s, d: stored(s, d, "workbooks", _build_workbooks, _write_plain), "landed": _landed,
+    "events_landed": _landed_events,
+}

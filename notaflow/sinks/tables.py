@@ -80,6 +80,3 @@ def clustered_layout(df: DataFrame, partition_cols: Sequence[str], cluster_cols:
     return out.sortWithinPartitions(*keys)
 
 
-def fact_layout_columns(df: DataFrame, date_col: str = "data_emissao") -> DataFrame:
-    """Partition columns for the fact: year and month instead of ~7,000 daily folders."""
-    return df.withColumn("ano_part", F.year(date_col)).withColumn("mes_part", F.month(date_col))

@@ -1,30 +1,102 @@
-"""Landing-folder ingestion as a file stream (SNK-10, SNK-11, STR-2, STR-3).
+"""Landing-folder ingestion as a file stream (SNK-10, SNK-11, SNK-14, STR-2, STR-3).
 
 New workbooks are picked up by a ``binaryFile`` stream; each micro-batch is
-decoded, cleaned and appended to the flexible raw table, and the source
-files are archived by the stream itself (``cleanSource=archive``) once the
-batch that read them is committed. Replay (the reference moves archived
-files back) is a fresh checkpoint over the archive folder; the idempotent
-hash load keeps it from duplicating rows.
+decoded, cleaned and appended to the 15-column flexible raw table, partitioned by
+ingestion date and file type, and the source files are archived by the stream
+itself (``cleanSource=archive``) once the batch that read them is committed.
+Every file leaves a ledger row, bad ones with their error. Replay (the
+reference moves archived files back) is a fresh checkpoint over the archive
+folder; rows already stored are left out, so nothing is duplicated.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import config as C
+from ..functions.exprs import clean_digits, lenient_date, parse_float, strip_ws
+from ..functions.text import classify_file
 from ..operators import cleaning
+from ..sinks.tables import RAW_SPREAD, path_exists, stamp_raw_defaults
 from ..sources import files
-from ..sinks.tables import path_exists, stamp_raw_defaults
 
+#: Where extracted fields stand in a document, by settled column name; first hit wins.
+EXTRACT_CNPJ = ("cnpj", "CNPJ")
+EXTRACT_DATE = ("data_emissao", "Data_Emissao", "data", "Data")
+EXTRACT_VALUE = ("valor_liquido", "Valor_Liquido_R$", "Liquido", "valor", "Valor")
+EXTRACT_CLIENT = ("cliente", "Cliente", "razao_social", "Razao_Social")
 
-def _raw_rows(cells: DataFrame) -> DataFrame:
-    docs = cleaning.documents(cells.filter(F.col("erro").isNull()).drop("erro"))
-    return stamp_raw_defaults(docs.withColumn("_ingestion_timestamp", F.current_timestamp()))
+RAW_COLS = ("arquivo_nome", "arquivo_tipo", "aba_nome", "dados_json", "cnpj", "data_emissao", "valor", "cliente",
+            "linha_original", "hash_linha", "_ingestion_timestamp", "_ingestion_batch_id", "_source_bucket",
+            "_processing_status", "_processing_error")
+ROW_KEY = ["arquivo_nome", "aba_nome", "linha_original", "hash_linha"]
+INGESTION_DATE = "_ingestion_date"
+
+
+def raw_rows(cells: DataFrame, batch_id: str) -> DataFrame:
+    """The flexible raw rows of decoded cells, with fields extracted where a column
+    holds them (CLN-10/11 stamps: ingestion time, batch, bucket, type)."""
+    doc = F.from_json("dados_json", "map<string,string>")
+
+    def first(keys: tuple[str, ...]) -> Column:
+        values = [F.nullif(strip_ws(F.try_element_at(F.col("__d"), F.lit(k))), F.lit("")) for k in keys]
+        return F.coalesce(*values)
+
+    rows = cleaning.documents(cells).withColumn("__d", F.explode(F.array(doc)))  # parsed once
+    rows = rows.select(
+        "*", F.nullif(clean_digits(first(EXTRACT_CNPJ)), F.lit("")).alias("cnpj"),
+        lenient_date(first(EXTRACT_DATE)).alias("data_emissao"), parse_float(first(EXTRACT_VALUE)).alias("valor"),
+        first(EXTRACT_CLIENT).alias("cliente"), F.lit(batch_id).alias("_ingestion_batch_id"),
+        F.lit(None).cast("string").alias("_processing_error"))
+    return stamp_raw_defaults(rows).select(*RAW_COLS)
+
+
+def ledger_rows(workbooks: DataFrame, cells: DataFrame) -> DataFrame:
+    """SNK-14: one row per file: hash, bytes, modified time, sheets, data rows, type,
+    status ('processado', 'vazio' or 'erro') and the error, sheet errors included."""
+    data = F.when(F.col("linha") > 0, F.struct("aba_nome", "linha"))
+    per_row = cells.groupBy("arquivo_nome", "aba_nome", "linha").agg(F.max("erro").alias("erro"))
+    found = per_row.groupBy("arquivo_nome").agg(
+        F.count(data).alias("total_linhas"), F.size(F.collect_set("aba_nome")).cast("long").alias("total_abas"),
+        F.max("erro").alias("erro_mensagem"),
+        F.max(F.col("erro").isNotNull() & F.col("aba_nome").isNull()).alias("__ruim"))
+    rows = F.coalesce("total_linhas", F.lit(0))
+    return (workbooks.select("arquivo_nome", F.sha2("content", 256).alias("arquivo_hash"),
+                             F.length("content").cast("long").alias("tamanho_bytes"), "data_modificacao")
+            .join(found, "arquivo_nome", "left")
+            .select("arquivo_nome", "arquivo_hash", "tamanho_bytes", "data_modificacao",
+                    F.coalesce("total_abas", F.lit(0)).alias("total_abas"), rows.alias("total_linhas"),
+                    F.when(F.coalesce("__ruim", F.lit(False)), F.lit(C.TYPE_ERROR))
+                    .otherwise(classify_file(F.col("arquivo_nome"))).alias("tipo_arquivo"),
+                    F.when(F.coalesce("__ruim", F.lit(False)), F.lit("erro"))
+                    .when(rows > 0, F.lit("processado")).otherwise(F.lit("vazio")).alias("status"),
+                    "erro_mensagem"))
+
+
+def ingest_stream(stream: DataFrame, raw_path: str, checkpoint: str, ledger_path: str | None = None) -> None:
+    """Drain a stream of workbooks (arquivo_nome, content, data_modificacao) now."""
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        cells = files.decode_workbooks(df).persist()
+        rows = raw_rows(cells.filter(F.col("erro").isNull()).drop("erro"), f"lote-{batch_id}")
+        if path_exists(df.sparkSession, raw_path):
+            known = df.sparkSession.read.parquet(raw_path).select(*ROW_KEY)
+            rows = rows.join(known, ROW_KEY, "left_anti")
+        (rows.withColumn(INGESTION_DATE, F.to_date("_ingestion_timestamp"))
+         .repartition("arquivo_tipo", F.pmod(F.xxhash64(*ROW_KEY), F.lit(RAW_SPREAD)))
+         .sortWithinPartitions("cnpj", "data_emissao")
+         .write.mode("append").partitionBy(INGESTION_DATE, "arquivo_tipo").parquet(raw_path))
+        if ledger_path:
+            ledger_rows(df, cells).write.mode("append").parquet(ledger_path)
+        cells.unpersist()
+
+    (stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
+     .trigger(availableNow=True).start().awaitTermination())
 
 
 def ingest_landing(spark: SparkSession, landing: str, raw_path: str, checkpoint: str,
-                   archive: str | None = None, glob: str = "*.xlsx") -> None:
+                   archive: str | None = None, glob: str = "*.xlsx", ledger_path: str | None = None) -> None:
     """Drain the landing folder now (``availableNow``): decode, append raw
     documents, archive processed files when ``archive`` is given."""
     r = (spark.readStream.format("binaryFile")
@@ -32,18 +104,9 @@ def ingest_landing(spark: SparkSession, landing: str, raw_path: str, checkpoint:
          .option("pathGlobFilter", glob))
     if archive:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    stream = r.load(landing).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("arquivo_nome"), "content")
-
-    def batch(df: DataFrame, batch_id: int) -> None:
-        rows = _raw_rows(files.decode_workbooks(df))
-        if path_exists(spark, raw_path):
-            known = spark.read.parquet(raw_path).select("hash_linha", "arquivo_nome", "aba_nome", "linha_original")
-            rows = rows.join(known, ["hash_linha", "arquivo_nome", "aba_nome", "linha_original"], "left_anti")
-        rows.write.mode("append").parquet(raw_path)
-
-    q = (stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    stream = r.load(landing).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("arquivo_nome"), "content",
+                                    F.col("modificationTime").alias("data_modificacao"))
+    ingest_stream(stream, raw_path, checkpoint, ledger_path)
 
 
 def pending_files(spark: SparkSession, landing: str, ledger: DataFrame, glob: str = "*.xlsx") -> DataFrame:
