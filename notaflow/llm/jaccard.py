@@ -3,11 +3,12 @@
 1. Documents with equal shingle sets are one class; only its representative, the
    smallest id, goes on (copies in any number cost one row per task).
 2. Candidates by prefix: with one global order of shingles, linked documents
-   share one among their first n - ceil(0.85 n) + 1. Any order is exact; this
+   share k of their first n - ceil(0.85 n) + k (k: 1 + 4 % of n). Any order is exact; this
    one puts long shingles (rare ones) first and those that occur in more than
    one in a thousand documents last, so common lines, passages and phrases
-   bring nobody together. A document joins the group of the smallest document
-   (hub) in each shingle's bucket where the size bound can still be met.
+   bring nobody together. A shingle's bucket is parted by size; a document joins the
+   group of the smallest document (hub) in each part where the size bound can be met.
+   Documents that share fewer than k such shingles with others leave beforehand.
 3. Groups are dealt into blocks of at most BLOCK documents. A block's incidence
    matrix times its transpose, accumulated over blocks of columns, gives overlap
    counts; pairs below the bound that their sizes imply are discarded. Only a
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, slices
@@ -38,6 +39,8 @@ COLUMNS = 4096
 #: bounded: at most 1000 times the mean number of shingles of a document.
 COMMON_SHARE = 0.001
 COMMON_IN_SLICE = 3
+#: A prefix has one shingle more per SPARE shingles of the set than one common shingle needs.
+SPARE = 25
 
 
 def shingle_sets(words: HashedWords, texts: list[str], n: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -72,7 +75,7 @@ def common_shingles(rows: DataFrame, n: int, share: float) -> np.ndarray:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = HashedWords(lower=True)
-        for pdf in slices(batches):
+        for pdf in slices(batches, budget=1 << 20):
             sets, _ = shingle_sets(words, pdf.text.tolist(), n)
             s, c = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_counts=True)
             often = c >= COMMON_IN_SLICE
@@ -89,13 +92,13 @@ def signatures(rows: DataFrame, n: int, percent: int, common: np.ndarray) -> Dat
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = HashedWords(lower=True)
-        for pdf in slices(batches):
+        for pdf in slices(batches, budget=1 << 20):
             sets, sizes = shingle_sets(words, pdf.text.tolist(), n)
             prefix, digest = [], []
             for s, size in zip(sets, sizes):
                 at = np.minimum(np.searchsorted(common, s), max(0, len(common) - 1))
                 late = common[at] == s if len(common) else np.zeros(len(s), bool)
-                take = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
+                take = len(s) - -(-percent * len(s) // 100) + common_prefix(len(s)) if len(s) else 0
                 prefix.append(s[np.lexsort((s, -size, late))[:take]].astype(np.int64))
                 digest.append(xxhash.xxh128_digest(s.tobytes()))
             yield pd.DataFrame({"doc_id": pdf.doc_id.astype("Int64"), "n": [len(s) for s in sets], "digest": digest,
@@ -107,6 +110,9 @@ def signatures(rows: DataFrame, n: int, percent: int, common: np.ndarray) -> Dat
 def overlaps(sets_a: list[np.ndarray], sets_b: list[np.ndarray]) -> np.ndarray:
     """Overlap counts of all pairs, accumulated over column blocks of the two incidence
     matrices; columns that only one side or one document has cannot count."""
+    if len(sets_a) * len(sets_b) <= 16:
+        return np.array([[len(np.intersect1d(a, b, assume_unique=True)) for b in sets_b] for a in sets_a], np.int32)
+
     def flat(sets):
         return np.concatenate([np.zeros(0, np.uint64), *sets]), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
 
@@ -151,22 +157,44 @@ def forest(ids: np.ndarray, pairs: Iterator[tuple[int, int]]) -> dict[int, int]:
     return {i: find(i) for i in root}
 
 
+def common_prefix(n):
+    """Linked sets of at least n shingles share at least this many of their prefixes:
+    a prefix of n - ceil(percent n / 100) + k shingles holds the k first common ones."""
+    return 1 + F.floor(n / F.lit(SPARE)) if isinstance(n, Column) else 1 + n // SPARE
+
+
+def thin(live: DataFrame, percent: int) -> DataFrame:
+    """Prefix rows (doc_id, n, i, s, z) that can still belong to a link: the shingle has
+    another document in its size class, and the document has as many such shingles
+    in the class as it would share with a linked document of the smallest size."""
+    met = cut(live.groupBy("s", "z").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("s", "z"), "jaccard-met")
+    live = cut(live.join(met, ["s", "z"]), "jaccard-live")
+    least = common_prefix(F.ceil(F.col("n") * F.lit(percent) / F.lit(100)).cast("long"))
+    enough = (live.groupBy("doc_id", "z", "n").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= least)
+              .select("doc_id", "z"))
+    return cut(live.join(cut(enough, "jaccard-enough"), ["doc_id", "z"]), "jaccard-thin")
+
+
 def link_classes(reps: DataFrame, texts: DataFrame, n: int, percent: int, block: int) -> DataFrame:
     """(a, b): a spanning forest of the links among ``reps`` (doc_id, n, prefix)."""
     rows = reps.select("doc_id", "n", F.posexplode("prefix").alias("i", "s"))
+    shared = cut(rows.groupBy("s").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("s"), "jaccard-shared")
+    # Linked sets differ in size by at most 100/percent: they meet in one of two neighbouring size classes.
+    size_class = F.floor(F.log("n") / F.lit(float(np.log(100 / percent)))).cast("int")
+    live = rows.join(shared, "s").withColumn("z", F.explode(F.array(size_class, size_class + 1)))
+    live = thin(live, percent)
     need = (F.lit(percent) * (F.col("n") + F.col("least")) + F.lit(percent + 99)) / F.lit(100 + percent)
-    buckets = cut(rows.groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("hub"), F.min("n").alias("least"))
-                  .where("c > 1").drop("c"), "jaccard-buckets")
-    members = (rows.join(buckets, "s").where(F.col("n") - F.col("i") >= F.floor(need))
-               .select("hub", "doc_id").distinct())
-    members = cut(members.where("hub <> doc_id"), "jaccard-members")
+    buckets = cut(live.groupBy("s", "z").agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("hub"),
+                                             F.min("n").alias("least")).where("c > 1").drop("c"), "jaccard-buckets")
+    members = (live.join(buckets, ["s", "z"]).where(F.col("n") - F.col("i") >= F.floor(need))
+               .select("hub", "doc_id").where("hub <> doc_id").distinct())
+    members = cut(members, "jaccard-members")
     sizes = members.groupBy("hub").agg(F.count(F.lit(1)).alias("size"))
     hubs = cut(sizes.select("hub", F.ceil((F.col("size") + 1) / F.lit(block)).cast("int").alias("k")), "jaccard-groups")
     # The hub stands in every block of its group; the others in one.
-    placed = (members.join(hubs, "hub").withColumn("b", F.pmod(F.xxhash64("doc_id"), F.col("k")).cast("int"))
-              .unionByName(hubs.select("hub", F.col("hub").alias("doc_id"), "k",
-                                       F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("b"))))
-    rows = cut(placed.join(texts, "doc_id"), "jaccard-blocks")
+    placed = cut(members.join(hubs, "hub").withColumn("b", F.pmod(F.xxhash64("doc_id"), F.col("k")).cast("int"))
+                 .unionByName(hubs.select("hub", F.col("hub").alias("doc_id"), "k",
+                                          F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("b"))), "jaccard-placed")
 
     def sets_of(pdf: pd.DataFrame) -> list[np.ndarray]:
         return shingle_sets(HashedWords(lower=True), pdf.text.tolist(), n)[0]
@@ -179,14 +207,14 @@ def link_classes(reps: DataFrame, texts: DataFrame, n: int, percent: int, block:
         out = pd.DataFrame({"a": list(root), "b": list(root.values())})
         return out.assign(hub=hub, loose=[r != root[hub] and pdf.k.iloc[0] > 1 for r in root.values()])
 
-    inside = cut(rows.groupBy("hub", "b").applyInPandas(within, "a long, b long, hub long, loose boolean"), "jaccard-inside")
+    inside = cut(placed.join(texts, "doc_id").groupBy("hub", "b").applyInPandas(within, "a long, b long, hub long, loose boolean"), "jaccard-inside")
     edges = inside.select("a", "b").where("a <> b")
     loose = inside.where("loose").select("hub", F.col("a").alias("doc_id")).distinct()
     if loose.isEmpty():
         return edges
 
     # What its own block has not tied to the hub meets every other block of the group.
-    many = rows.where("k > 1")
+    many = placed.where("k > 1").join(texts, "doc_id")
     seek = many.join(loose, ["hub", "doc_id"], "left_semi").where("hub <> doc_id")
     # Loose documents travel in chunks of a block's size to each block.
     pieces = seek.groupBy("hub").agg(F.count(F.lit(1)).alias("l"))
