@@ -99,4 +99,35 @@ ORACLES = {
                row_number() OVER w = 1 AS kept,
                sha256(t) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY t ORDER BY n DESC, doc_id NULLS LAST)""",
+    "op7_jaccard": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+             x AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos, len(ws) AS n FROM w),
+             g AS (SELECT doc_id, n, string_agg(word, ' ') OVER f AS s, count(*) OVER f AS c, pos FROM x
+                   WINDOW f AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)),
+             sh AS (SELECT DISTINCT doc_id, s FROM g WHERE c = 4 OR (n < 4 AND pos = 1)),
+             size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+             o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id
+                   GROUP BY 1, 2),
+             l AS (SELECT a, b FROM o JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+                   WHERE 100 * o >= 85 * (x.n + y.n - o)),
+             e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+             r(doc_id, c) AS (SELECT a, a FROM e UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id),
+             m AS (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(size.n, 0) AS n_shingles, coalesce(m.c, d.doc_id) AS component_id
+        FROM documents d LEFT JOIN size ON size.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.doc_id""",
+    "op10_fm_dedup": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+             x AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM w),
+             g AS (SELECT doc_id, pos, string_agg(word, ' ') OVER f AS s, count(*) OVER f AS c FROM x
+                   WINDOW f AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)),
+             m AS (SELECT s, min(doc_id) AS first FROM g WHERE c = 13 GROUP BY s),
+             r AS (SELECT DISTINCT g.doc_id, g.pos + o.o AS pos FROM g JOIN m ON g.s = m.s CROSS JOIN range(0, 13) o(o)
+                   WHERE g.c = 13 AND m.first < g.doc_id),
+             k AS (SELECT x.doc_id, x.word, x.pos, r.pos IS NOT NULL AS gone
+                   FROM x LEFT JOIN r ON r.doc_id = x.doc_id AND r.pos = x.pos),
+             a AS (SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE gone) AS g,
+                          string_agg(word, ' ' ORDER BY pos) FILTER (WHERE NOT gone) AS t FROM k GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(a.n, 0) AS n_words, coalesce(a.g, 0) AS n_removed, sha256(coalesce(a.t, '')) AS kept_sha256
+        FROM documents d LEFT JOIN a ON a.doc_id = d.doc_id""",
 }
