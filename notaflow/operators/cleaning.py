@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.exprs import blank_to_null, lenient_date, lenient_timestamp, parse_float, strip_ws
 from ..functions.text import classify_file, clean_cell, normalize_header
+from .common import settle
 
 SHEET = ("arquivo_nome", "aba_nome")
 ROW = ("arquivo_nome", "aba_nome", "linha")
@@ -32,17 +33,20 @@ def data_cells(cells: DataFrame) -> DataFrame:
     return cells.filter(F.col("linha") > 0)
 
 
-def drop_empty_rows(cells: DataFrame) -> DataFrame:
-    """CLN-3: keep data rows with at least one non-null cell."""
-    d = data_cells(cells)
-    keep = d.filter(F.col("valor").isNotNull()).select(*ROW).distinct()
-    return d.join(keep, list(ROW), "left_semi")
+def filled_rows(cells: DataFrame) -> DataFrame:
+    """CLN-3: one row per data row with at least one non-null cell, holding its cells."""
+    g = data_cells(cells).groupBy(*ROW).agg(F.collect_list(F.struct("coluna", "valor")).alias("__cells"),
+                                            F.count("valor").alias("__n"))
+    return g.filter(F.col("__n") > 0).drop("__n")
 
 
-def nonempty_columns(cells: DataFrame) -> DataFrame:
-    """CLN-4: (file, sheet, column) with at least one non-null data cell."""
-    return (data_cells(cells).filter(F.col("valor").isNotNull())
-            .select(*SHEET, "coluna").distinct())
+def sheet_columns(cells: DataFrame) -> DataFrame:
+    """CLN-4: per (file, sheet, column) the header and the number of non-null data
+    cells, in one aggregate; columns without a header cell are left out."""
+    is_header = F.col("linha") == 0
+    g = cells.groupBy(*SHEET, "coluna").agg(F.max(is_header).alias("__h"), F.max(F.when(is_header, F.col("valor"))).alias("cabecalho"),
+                                            F.count(F.when(~is_header, F.col("valor"))).alias("celulas"))
+    return g.filter("__h").drop("__h")
 
 
 def dedupe_headers(hdr: DataFrame) -> DataFrame:
@@ -71,8 +75,16 @@ def dedupe_headers(hdr: DataFrame) -> DataFrame:
 
 def settled_headers(cells: DataFrame) -> DataFrame:
     """Normalise, drop all-empty columns, then de-duplicate (reference order)."""
-    hdr = headers(cells).join(nonempty_columns(cells), [*SHEET, "coluna"], "left_semi")
-    return dedupe_headers(hdr)
+    hdr = sheet_columns(cells).filter(F.col("celulas") > 0).drop("celulas")
+    return dedupe_headers(hdr.withColumn("nome", normalize_header(F.col("cabecalho"), F.col("coluna"))))
+
+
+def named_rows(cells: DataFrame) -> DataFrame:
+    """Filled rows beside their sheet's settled names (``__nomes``: column -> name). Two
+    scans: one for the names (one row per sheet), one for the rows."""
+    names = settled_headers(cells).groupBy(*SHEET).agg(
+        F.map_from_entries(F.collect_list(F.struct("coluna", "nome"))).alias("__nomes"))
+    return filled_rows(cells).join(names, list(SHEET))
 
 
 def clean_cells(cells: DataFrame) -> DataFrame:
@@ -80,10 +92,12 @@ def clean_cells(cells: DataFrame) -> DataFrame:
     (CLN-3..9), keyed by the settled column name. Only cells present in the
     source are kept; an absent cell means '' (pandas' NaN -> ''), which
     ``documents`` fills in from the sheet's column list."""
-    hdr = settled_headers(cells).select(*SHEET, "coluna", "nome")
-    rows = drop_empty_rows(cells)
-    return rows.join(hdr, [*SHEET, "coluna"]).select(
-        *ROW, "coluna", F.col("nome").alias("coluna_nome"), clean_cell(F.col("valor")).alias("valor"))
+    long = named_rows(cells).select(*ROW, "__nomes", F.explode("__cells").alias("__c"))
+    long = long.select(*ROW, F.col("__c.coluna").alias("coluna"),
+                       F.try_element_at("__nomes", F.col("__c.coluna")).alias("coluna_nome"),
+                       F.col("__c.valor").alias("__v"))
+    return long.filter(F.col("coluna_nome").isNotNull()).select(
+        *ROW, "coluna", "coluna_nome", clean_cell(F.col("__v")).alias("valor"))
 
 
 def stamp(df: DataFrame, as_of: str, client_name: str = "", origin: str = "google_drive") -> DataFrame:
@@ -99,12 +113,12 @@ def documents(cells: DataFrame) -> DataFrame:
     its sheet present ('' when the cell was empty), keys sorted; routed by
     type (SNK-3). Stacking sheets by column name is implicit in the long
     form. The per-sheet name list is one row per sheet (metadata)."""
-    clean = clean_cells(cells)
-    names = settled_headers(cells).groupBy(*SHEET).agg(F.array_sort(F.collect_list("nome")).alias("__nomes"))
-    g = clean.groupBy(*ROW).agg(F.map_from_entries(F.collect_list(F.struct("coluna_nome", "valor"))).alias("__m"))
-    g = g.join(names, list(SHEET))
-    full = F.map_from_arrays(F.col("__nomes"), F.transform(
-        F.col("__nomes"), lambda n: F.coalesce(F.element_at(F.col("__m"), n), F.lit(""))))
+    g = named_rows(cells)
+    known = F.filter("__cells", lambda c: F.map_contains_key(F.col("__nomes"), c["coluna"]))
+    value = F.map_from_entries(F.transform(known, lambda c: F.struct(F.element_at(F.col("__nomes"), c["coluna"]), c["valor"])))
+    g = g.select(*ROW, F.array_sort(F.map_values("__nomes")).alias("__lista"), value.alias("__m"))
+    full = F.map_from_arrays(F.col("__lista"), F.transform(
+        F.col("__lista"), lambda n: clean_cell(F.try_element_at(F.col("__m"), n))))
     g = g.withColumn("dados_json", F.to_json(full))
     tipo = classify_file(F.col("arquivo_nome"))
     return g.select(
@@ -206,19 +220,18 @@ def empty_report(cells: DataFrame) -> DataFrame:
 def file_profile(cells: DataFrame, date_column: str | None = None) -> DataFrame:
     """SNK-14: per file: sheets (count, sorted names), data rows, detected
     columns (sorted), type, period (min/max of a date column), status."""
-    hdr = settled_headers(cells)
-    rows = drop_empty_rows(cells).select(*ROW).distinct()
-    per_file_rows = rows.groupBy("arquivo_nome").agg(F.count(F.lit(1)).alias("total_linhas"))
-    per_file_cols = hdr.groupBy("arquivo_nome").agg(
+    per_file_cols = settled_headers(cells).groupBy("arquivo_nome").agg(
         F.array_sort(F.collect_set("nome")).alias("colunas_detectadas"),
         F.countDistinct("aba_nome").alias("total_abas"),
         F.array_sort(F.collect_set("aba_nome")).alias("abas_nomes"))
-    out = per_file_cols.join(per_file_rows, "arquivo_nome", "left")
+    rows = named_rows(cells) if date_column else filled_rows(cells)
+    aggs = [F.count(F.lit(1)).alias("total_linhas")]
     if date_column:
-        clean = clean_cells(cells).filter(F.col("coluna_nome") == date_column)
-        per = clean.groupBy("arquivo_nome").agg(F.min(lenient_date(F.col("valor"))).alias("periodo_inicio"),
-                                                F.max(lenient_date(F.col("valor"))).alias("periodo_fim"))
-        out = out.join(per, "arquivo_nome", "left")
+        here = F.filter("__cells", lambda c: F.try_element_at(F.col("__nomes"), c["coluna"]) == F.lit(date_column))
+        day = lenient_date(clean_cell(F.get(here, 0)["valor"]))
+        rows = settle(rows.select("arquivo_nome", day.alias("__dia")))
+        aggs += [F.min("__dia").alias("periodo_inicio"), F.max("__dia").alias("periodo_fim")]
+    out = per_file_cols.join(rows.groupBy("arquivo_nome").agg(*aggs), "arquivo_nome", "left")
     return out.select("arquivo_nome", "total_abas", "abas_nomes",
                       F.coalesce("total_linhas", F.lit(0)).alias("total_linhas"), "colunas_detectadas",
                       classify_file(F.col("arquivo_nome")).alias("tipo_arquivo"),

@@ -5,7 +5,8 @@ arithmetic; money columns are exact DECIMAL(18,2). Sums are cast to DOUBLE at
 the output, means are DOUBLE(sum)/count, and ROUND(x, 2) is spelt as plain
 IEEE steps, so both engines produce identical bits.
 """
-
+# FIXED VALUES — labels, thresholds and document keys in the SQL below must equal the
+# reference's for the comparison to mean anything; they are stated where they apply.
 from __future__ import annotations
 
 AS_OF = "DATE '2001-11-15'"
@@ -963,6 +964,12 @@ ledger AS (
   SELECT 'corrompido ' || arquivo_nome, 0, 0, 'erro', 'erro', true, true, true FROM f
   WHERE CAST(regexp_extract(arquivo_nome, '([0-9]+)\\.xlsx$', 1) AS INTEGER) % 5 = 0
 )"""
+ORACLES["routed_documents"] = "WITH " + CELLS + f""",
+t AS (SELECT DISTINCT arquivo_nome, aba_nome, linha, {_class_sql("arquivo_nome")} AS tipo FROM clean)
+SELECT CASE tipo WHEN 'faturamento_historico' THEN 'faturamento_historico' WHEN 'empresas_antigas' THEN 'empresas_antigas'
+            WHEN 'clientes_atuais' THEN 'clientes_atuais' ELSE 'dados_genericos' END AS tabela_destino,
+  arquivo_nome, COUNT(*) AS linhas
+FROM t GROUP BY 1, 2"""
 ORACLES["file_ledger"] = _LEDGER + " SELECT * FROM ledger"
 ORACLES["run_report"] = _LEDGER + " SELECT status, COUNT(*) AS arquivos FROM ledger GROUP BY status"
 

@@ -70,7 +70,7 @@ QUERIES: dict[str, Query] = {
 
 # ---------------------------------------------------------------- staging / marts
 from ..operators import marts, staging  # noqa: E402
-from ..sinks.tables import append_raw, overwrite  # noqa: E402
+from ..sinks.tables import append_raw, overwrite, write_routed  # noqa: E402
 
 
 def _wall_clock(df: DataFrame, *cols: str) -> DataFrame:
@@ -497,6 +497,16 @@ def q_landed_staging(spark, sf_dir):
     return staging.billing(raw).drop("_ingestion_timestamp", "_ingestion_batch_id")
 
 
+def _write_routed(df: DataFrame, path: str) -> None:
+    write_routed(df, path)
+
+
+def q_routed_documents(spark, sf_dir):
+    """SNK-3: sheet documents written by file type, counted per target table and file."""
+    docs = stored(spark, sf_dir, "documentos_por_tabela", lambda s, d: cleaning.documents(cells(s, d)), _write_routed)
+    return docs.groupBy("tabela_destino", "arquivo_nome").agg(F.count(F.lit(1)).alias("linhas"))
+
+
 def q_file_ledger(spark, sf_dir):
     return spark.read.parquet(_landed(spark, sf_dir)[1]).select(
         "arquivo_nome", "total_abas", "total_linhas", "tipo_arquivo", "status",
@@ -509,7 +519,8 @@ def q_run_report(spark, sf_dir):
     return loading.run_report(spark.read.parquet(_landed(spark, sf_dir)[1]))
 
 
-QUERIES.update({"landed_staging": q_landed_staging, "file_ledger": q_file_ledger, "run_report": q_run_report})
+QUERIES.update({"landed_staging": q_landed_staging, "routed_documents": q_routed_documents,
+                "file_ledger": q_file_ledger, "run_report": q_run_report})
 
 
 # ---------------------------------------------------------------- load report / views

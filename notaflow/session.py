@@ -30,8 +30,6 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
         # interpreting them.
         .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         .config("spark.executor.extraJavaOptions", "-XX:-DontCompileHugeMethods")
-        # Workbook decode ships whole files through Arrow: keep batches small.
-        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -51,6 +51,18 @@ def append_raw(df: DataFrame, path: str, partition_by: Sequence[str] = ("arquivo
      .write.mode("append").partitionBy(*partition_by).parquet(path))
 
 
+def write_routed(docs: DataFrame, base: str) -> None:
+    """SNK-3: documents appended to one folder per target table; a type with most rows
+    is written by many tasks."""
+    spread = F.pmod(F.xxhash64("arquivo_nome", "aba_nome", "linha_original"), F.lit(RAW_SPREAD))
+    (docs.repartition("tabela_destino", spread).write.mode("append").partitionBy("tabela_destino").parquet(base))
+
+
+def read_routed(spark: SparkSession, base: str, table: str) -> DataFrame:
+    """One target table of a routed write (the others are pruned)."""
+    return spark.read.parquet(base).filter(F.col("tabela_destino") == table)
+
+
 def create_if_absent(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """SNK-4: an empty table with the declared schema when nothing is there yet."""
     if not path_exists(spark, path):

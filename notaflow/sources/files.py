@@ -148,7 +148,9 @@ def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def decode_workbooks(files: DataFrame) -> DataFrame:
-    """SRC-3: (arquivo_nome, content) -> long cells, one workbook per record."""
+    """SRC-3: (arquivo_nome, content) -> long cells, one workbook per record, decoded one
+    by one. An Arrow batch of workbooks is bounded by bytes
+    (``spark.sql.execution.arrow.maxBytesPerBatch``, 64 MB by default), in any session."""
     return files.select("arquivo_nome", "content").mapInPandas(_decode_batches, CELLS_SCHEMA)
 
 
