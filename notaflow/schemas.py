@@ -65,10 +65,48 @@ RPS_LOG = [
     ("data_atualizacao", "TIMESTAMP", False),
 ]
 
-# Wide invoice contract: required columns (the other 69 are nullable).
-NF_EMITIDAS_REQUIRED = ("id", "numero_nfse", "codigo_verificacao", "data_emissao", "status_nfse",
-                        "prestador_cnpj", "prestador_razao_social", "valor_servicos", "valor_liquido_nfse",
-                        "data_processamento", "data_criacao")
+# FIXED VALUES — the wide invoice contract: name, type, required, in the contract's order.
+NF_EMITIDAS = [
+    ("id", "STRING", True), ("numero_nfse", "STRING", True), ("codigo_verificacao", "STRING", True),
+    ("data_emissao", "TIMESTAMP", True), ("data_competencia", "DATE", False), ("status_nfse", "STRING", True),
+    ("nfse_substituida", "STRING", False), ("prestador_cnpj", "STRING", True),
+    ("prestador_inscricao_municipal", "STRING", False), ("prestador_razao_social", "STRING", True),
+    ("prestador_nome_fantasia", "STRING", False), ("prestador_endereco", "STRING", False),
+    ("prestador_numero", "STRING", False), ("prestador_complemento", "STRING", False),
+    ("prestador_bairro", "STRING", False), ("prestador_codigo_municipio", "STRING", False),
+    ("prestador_uf", "STRING", False), ("prestador_cep", "STRING", False), ("prestador_telefone", "STRING", False),
+    ("prestador_email", "STRING", False), ("tomador_cpf_cnpj", "STRING", False),
+    ("tomador_inscricao_municipal", "STRING", False), ("tomador_razao_social", "STRING", False),
+    ("tomador_endereco", "STRING", False), ("tomador_numero", "STRING", False),
+    ("tomador_complemento", "STRING", False), ("tomador_bairro", "STRING", False),
+    ("tomador_codigo_municipio", "STRING", False), ("tomador_uf", "STRING", False), ("tomador_cep", "STRING", False),
+    ("tomador_telefone", "STRING", False), ("tomador_email", "STRING", False),
+    ("intermediario_cpf_cnpj", "STRING", False), ("intermediario_razao_social", "STRING", False),
+    ("valor_servicos", "NUMERIC(15,2)", True), ("valor_deducoes", "NUMERIC(15,2)", False),
+    ("valor_pis", "NUMERIC(15,2)", False), ("valor_cofins", "NUMERIC(15,2)", False),
+    ("valor_inss", "NUMERIC(15,2)", False), ("valor_ir", "NUMERIC(15,2)", False),
+    ("valor_csll", "NUMERIC(15,2)", False), ("outras_retencoes", "NUMERIC(15,2)", False),
+    ("valor_total_tributos", "NUMERIC(15,2)", False), ("base_calculo", "NUMERIC(15,2)", False),
+    ("aliquota", "NUMERIC(5,2)", False), ("valor_iss", "NUMERIC(15,2)", False),
+    ("valor_iss_retido", "NUMERIC(15,2)", False), ("valor_liquido_nfse", "NUMERIC(15,2)", True),
+    ("valor_credito", "NUMERIC(15,2)", False), ("desconto_incondicionado", "NUMERIC(15,2)", False),
+    ("desconto_condicionado", "NUMERIC(15,2)", False), ("iss_retido", "BOOLEAN", False),
+    ("responsavel_retencao", "STRING", False), ("item_lista_servico", "STRING", False),
+    ("codigo_cnae", "STRING", False), ("codigo_tributacao_municipio", "STRING", False),
+    ("codigo_nbs", "STRING", False), ("discriminacao", "STRING", False),
+    ("codigo_municipio_prestacao", "STRING", False), ("codigo_pais", "STRING", False),
+    ("exigibilidade_iss", "STRING", False), ("municipio_incidencia", "STRING", False),
+    ("numero_processo", "STRING", False), ("rps_numero", "STRING", False), ("rps_serie", "STRING", False),
+    ("rps_tipo", "STRING", False), ("rps_data_emissao", "DATE", False), ("codigo_obra", "STRING", False),
+    ("art", "STRING", False), ("regime_especial_tributacao", "STRING", False),
+    ("optante_simples_nacional", "BOOLEAN", False), ("incentivo_fiscal", "BOOLEAN", False),
+    ("outras_informacoes", "STRING", False), ("orgao_gerador_municipio", "STRING", False),
+    ("orgao_gerador_uf", "STRING", False), ("xml_original", "STRING", False), ("url_nfse", "STRING", False),
+    ("data_processamento", "TIMESTAMP", True), ("data_criacao", "TIMESTAMP", True),
+    ("data_atualizacao", "TIMESTAMP", False),
+]
+
+NF_EMITIDAS_REQUIRED = tuple(name for name, _, required in NF_EMITIDAS if required)
 
 
 def spark_type(t: str) -> DataType:
