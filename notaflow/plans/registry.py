@@ -23,9 +23,10 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build, write) -> DataFra
     whole test tables and written under the shared checkpoint folder."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
-        from ..session import scratch_path
+        from ..session import delete_at_exit, scratch_path
         path = scratch_path(spark, name)
         write(build(spark, sf_dir), path)
+        delete_at_exit(spark, path)
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])
 

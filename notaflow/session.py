@@ -55,3 +55,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/notaflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Scratch tables go when the application ends."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
