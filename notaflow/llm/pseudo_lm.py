@@ -14,8 +14,6 @@ neighbours.
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordTable, cut, slices, texts
+from .common import cut, slices, texts
+from .words import HashedWords
 
 CLASSES, MEMBERS = 32, 32
 VOCABULARY = CLASSES * MEMBERS
@@ -64,24 +63,25 @@ def start(counts: np.ndarray, seed: int = 7) -> np.ndarray:
     return flat
 
 
-def words(text: str) -> list[bytes]:
-    """Words between white space [\\x20\\x09-\\x0D], A-Z in lower case."""
-    return text.encode("utf-8", "surrogatepass").lower().split()
-
-
-def word_id(word: bytes, frequent: dict[bytes, int]) -> int:
-    return frequent.get(word, -1) if word in frequent else FREQUENT + zlib.crc32(word) % (VOCABULARY - FREQUENT)
-
-
 class Numbered:
-    """Token ids of texts with a bounded table of known words."""
+    """Token ids of texts: words between white space [\x20\x09-\x0D], A-Z in lower case;
+    the frequent ones by rank, all others by a hash."""
 
-    def __init__(self, frequent: dict[bytes, int]):
-        self.table = WordTable(lambda ws: (np.array([word_id(w, frequent) for w in ws], np.int64),
-                                           np.ones(len(ws), np.int64)), np.int16)
+    def __init__(self, frequent: np.ndarray):
+        order = np.argsort(frequent)
+        self.known, self.rank = frequent[order], order
+
+    def number(self, h: np.ndarray) -> np.ndarray:
+        out = FREQUENT + (h % np.uint64(VOCABULARY - FREQUENT)).astype(np.int64)
+        if len(self.known):
+            k = np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)
+            hit = self.known[k] == h
+            out[hit] = self.rank[k[hit]]
+        return out
 
     def __call__(self, texts_: list[str]) -> list[np.ndarray]:
-        return self.table.ids([words(t) for t in texts_])
+        h, _, counts = HashedWords(lower=True)(texts_)
+        return np.split(self.number(h), np.cumsum(counts)[:-1]) if texts_ else []
 
 
 def contexts(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -99,17 +99,21 @@ def hidden(p: dict[str, np.ndarray], near: np.ndarray) -> np.ndarray:
     return np.tanh(h + p["b"])
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+def _softmax(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(exp(z - max), its row sums); ``z`` is left reduced by the row's largest entry."""
+    z -= z.max(axis=1, keepdims=True)
+    e = np.exp(z)
+    return e, e.sum(axis=1)
 
 
-def log_probabilities(p: dict[str, np.ndarray], tokens: np.ndarray, near: np.ndarray, chunk: int = 1 << 15) -> np.ndarray:
+def log_probabilities(p: dict[str, np.ndarray], tokens: np.ndarray, near: np.ndarray, chunk: int = 1 << 12) -> np.ndarray:
     out = np.empty(len(tokens))
     for i in range(0, len(tokens), chunk):
         t, h = tokens[i:i + chunk], hidden(p, near[i:i + chunk])
         c, m, r = t // MEMBERS, t % MEMBERS, np.arange(len(t))
-        out[i:i + chunk] = _log_softmax(h @ p["A"] + p["a0"])[r, c] + _log_softmax(h @ p["B"] + p["U"][c])[r, m]
+        za, zb = h @ p["A"] + p["a0"], h @ p["B"] + p["U"][c]
+        sums = _softmax(za)[1] * _softmax(zb)[1]
+        out[i:i + chunk] = za[r, c] + zb[r, m] - np.log(sums)
     return out
 
 
@@ -126,7 +130,9 @@ class Trainer:
         p, n = self.p, len(tokens)
         h = hidden(p, near)
         c, m, r = tokens // MEMBERS, tokens % MEMBERS, np.arange(n)
-        da, db = np.exp(_log_softmax(h @ p["A"] + p["a0"])), np.exp(_log_softmax(h @ p["B"] + p["U"][c]))
+        (da, sa), (db, sb) = _softmax(h @ p["A"] + p["a0"]), _softmax(h @ p["B"] + p["U"][c])
+        da /= sa[:, None]
+        db /= sb[:, None]
         da[r, c] -= 1
         db[r, m] -= 1
         dh = (da @ p["A"].T + db @ p["B"].T) * (1 - h * h)
@@ -141,28 +147,32 @@ class Trainer:
         self.tokens += n
 
 
-def vocabulary(rows: DataFrame) -> tuple[dict[bytes, int], np.ndarray]:
-    """The most frequent words, numbered, and the corpus' token counts by id; every
-    document is counted, tasks pre-aggregate."""
+def vocabulary(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the most frequent words, most frequent first; the corpus' token counts
+    by id); every document is counted, tasks pre-aggregate."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: Counter = Counter()
-        for pdf in slices(batches):
-            for t in pdf.text:
-                held.update(words(t))
-            if len(held) > 1_000_000:
-                yield pd.DataFrame({"w": list(held), "n": list(held.values())})
-                held = Counter()
-        yield pd.DataFrame({"w": list(held), "n": list(held.values())})
-
-    counted = cut(rows.mapInPandas(count, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")), "lm-words")
+        words, held, n = HashedWords(lower=True), [], 0
+        for pdf in slices(batches, budget=1 << 20):
+            held.append(words(pdf.text.tolist())[0])
+            n += len(held[-1])
+            if n > 4_000_000:
+                yield counted_frame(held)
+                held, n = [], 0
+        yield counted_frame(held)
+
+    def counted_frame(held: list[np.ndarray]) -> pd.DataFrame:
+        w, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
+        return pd.DataFrame({"w": w.astype(np.int64), "n": n})
+
+    counted = cut(rows.mapInPandas(count, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")), "lm-words")
     top = counted.orderBy(F.desc("n"), "w").limit(FREQUENT).collect()
-    frequent = {bytes(r.w): i for i, r in enumerate(top)}
+    frequent = np.array([r.w for r in top], np.int64).astype(np.uint64)
 
     def bucket(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out = np.zeros(VOCABULARY, np.int64)
+        out, number = np.zeros(VOCABULARY, np.int64), Numbered(frequent)
         for pdf in batches:
-            np.add.at(out, [word_id(bytes(w), frequent) for w in pdf.w], pdf.n.to_numpy())
+            np.add.at(out, number.number(pdf.w.to_numpy(np.int64).astype(np.uint64)), pdf.n.to_numpy())
         yield pd.DataFrame({"i": np.arange(VOCABULARY), "n": out})
 
     ids = counted.mapInPandas(bucket, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()
@@ -172,27 +182,33 @@ def vocabulary(rows: DataFrame) -> tuple[dict[bytes, int], np.ndarray]:
     return frequent, counts
 
 
-def _merge(models: DataFrame) -> tuple[np.ndarray, int]:
-    """Sum of (tokens * parameters) and of tokens over all tasks, merged FAN_IN at a time."""
+def mean_model(tokens: list[int], flats: list[bytes]) -> tuple[int, np.ndarray]:
+    """(all tokens, mean of the parameters weighted by tokens)."""
+    total = sum(tokens)
+    return total, sum((np.frombuffer(f, np.float32) * np.float64(t / total) for t, f in zip(tokens, flats)), np.zeros(SIZE))
+
+
+def _merge(models: DataFrame) -> np.ndarray | None:
+    """Mean model of all tasks, merged FAN_IN at a time; None without any."""
     models = cut(models, "lm-models")
 
-    def total(pdf: pd.DataFrame) -> pd.DataFrame:
-        flat = sum(np.frombuffer(x, np.float64) for x in pdf.flat)
-        return pd.DataFrame({"k": [int(pdf.k.iloc[0]) // FAN_IN], "tokens": [int(pdf.tokens.sum())], "flat": [flat.tobytes()]})
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        total, flat = mean_model(pdf.tokens.tolist(), pdf.flat.tolist())
+        return pd.DataFrame({"k": [int(pdf.k.iloc[0]) // FAN_IN], "tokens": [total], "flat": [flat.astype(np.float32).tobytes()]})
 
     while models.count() > FAN_IN:
         models = cut(models.groupBy((F.col("k") / FAN_IN).cast("long").alias("g")).applyInPandas(
-            total, "k long, tokens long, flat binary"), "lm-models")
+            merge, "k long, tokens long, flat binary"), "lm-models")
     rows = models.collect()
-    return sum((np.frombuffer(r.flat, np.float64) for r in rows), np.zeros(SIZE)), sum(r.tokens for r in rows)
+    return mean_model([r.tokens for r in rows], [r.flat for r in rows])[1].astype(np.float32) if rows else None
 
 
-def train(rows: DataFrame, frequent: dict[bytes, int], flat: np.ndarray, rounds: int, stride: int) -> np.ndarray:
+def train(rows: DataFrame, frequent: np.ndarray, flat: np.ndarray, rounds: int, stride: int) -> np.ndarray:
     for r in range(rounds):
         def learn(batches: Iterator[pd.DataFrame], base=flat, shift=r) -> Iterator[pd.DataFrame]:
             from pyspark import TaskContext
             number, model = Numbered(frequent), Trainer(base)
-            for pdf in slices(batches):
+            for pdf in slices(batches, budget=1 << 20):
                 tokens, near = contexts(number(pdf.text.tolist()))
                 pick = np.arange(shift % stride, len(tokens), stride)
                 for i in range(0, len(pick), BATCH):
@@ -200,11 +216,10 @@ def train(rows: DataFrame, frequent: dict[bytes, int], flat: np.ndarray, rounds:
                     model.step(tokens[part], near[part])
             if model.tokens:
                 yield pd.DataFrame({"k": [TaskContext.get().partitionId()], "tokens": [model.tokens],
-                                    "flat": [(model.flat.astype(np.float64) * model.tokens).tobytes()]})
+                                    "flat": [model.flat.tobytes()]})
 
-        total, tokens = _merge(rows.mapInPandas(learn, "k long, tokens long, flat binary"))
-        if tokens:
-            flat = (total / tokens).astype(np.float32)
+        merged = _merge(rows.mapInPandas(learn, "k long, tokens long, flat binary"))
+        flat = flat if merged is None else merged
     return flat
 
 
@@ -222,7 +237,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number, p = Numbered(frequent), unpack(flat)
-        for pdf in slices(batches):
+        for pdf in slices(batches, budget=1 << 20):
             ids = number(pdf.text.tolist())
             lens = np.array([len(x) for x in ids])
             total = np.add.reduceat(np.append(log_probabilities(p, *contexts(ids)), 0.0), np.r_[0, np.cumsum(lens)[:-1]]) \

@@ -96,11 +96,11 @@ def test_score_edges(docs, corpus, no_docs):
 def test_models_merge_as_tree(spark, monkeypatch):
     monkeypatch.setattr(pseudo_lm, "FAN_IN", 3)
     rng = np.random.default_rng(4)
-    flats = [rng.random(pseudo_lm.SIZE) for _ in range(8)]
-    df = spark.createDataFrame([(i, 2, f.tobytes()) for i, f in enumerate(flats)], "k long, tokens long, flat binary")
-    assert df.rdd.getNumPartitions() > 0
-    total, tokens = pseudo_lm._merge(df)
-    assert tokens == 16 and np.allclose(total, sum(flats))
+    flats = [rng.random(pseudo_lm.SIZE).astype(np.float32) for _ in range(8)]
+    df = spark.createDataFrame([(i, i + 1, f.tobytes()) for i, f in enumerate(flats)], "k long, tokens long, flat binary")
+    want = sum(f * (i + 1) for i, f in enumerate(flats)) / 36
+    assert np.allclose(pseudo_lm._merge(df), want, atol=1e-5)
+    assert pseudo_lm._merge(df.where("k < 0")) is None
 
 
 @pytest.mark.parametrize("text,expected", [("", 0), ("word " * 300, 0), ("AAA BBB!! " * 40, 0), ("a | b | c | " * 30, 0)])
