@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import delete_at_exit, scratch_path
 
 #: White space of all word rules: space and U+0009..U+000D, what ``bytes.split()`` splits on.
 WS_CLASS = r"[\x20\x09-\x0D]"
@@ -21,10 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def cut(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write ``df`` once under the cluster's shared checkpoint folder and read it
-    back: cuts lineage, survives lost executors, and fixes generated ids."""
+    back: cuts lineage, survives lost executors, and fixes generated ids. The files
+    go when the application ends."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
     w = df.write.option("compression", "zstd")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+    delete_at_exit(df.sparkSession, path)
     # The written schema is known: also an empty table (no part files) reads back.
     fields = [f for f in df.schema.fields if f.name not in partition_by]
     fields += [f for f in df.schema.fields if f.name in partition_by]

@@ -229,7 +229,7 @@ def common_anchors(rows: DataFrame, share: float, total: int) -> np.ndarray:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = HashedWords()
-        for pdf in slices(batches):
+        for pdf in slices(batches, budget=1 << 20):
             h, _, counts = words(pdf.text.tolist())
             doc, _, _, m = segments(h, counts)
             pairs = np.unique(np.stack([m, doc.astype(np.uint64)]), axis=1)[0] if len(m) else m
@@ -258,7 +258,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     rows = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("doc_id"),
                        F.coalesce(docs[text_col], F.lit("")).alias("text"),
-                       *[docs[c].cast("string").alias(f"carry_{i}") for i, c in enumerate(carry)])
+                       *[docs[c].cast("string").alias(f"carry_{i}") for i, c in enumerate(carry) if c != text_col],
+                       *[docs[text_col].isNull().alias("no_text")] * (text_col in carry))
     full = rows.withColumn("row", F.xxhash64("doc_id", "text"))
     rows = full.select("doc_id", "text", "row")
     total = rows.count()
@@ -273,7 +274,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = HashedWords()
-        for pdf in slices(batches):
+        for pdf in slices(batches, budget=1 << 20):
             h, _, counts = words(pdf.text.tolist())
             doc, start, size, m = segments(h, counts)
             ids, row = pdf.doc_id.to_numpy()[doc], pdf.row.to_numpy()[doc]
@@ -352,6 +353,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                       _by_key(*(_column(marks, c, np.int64) for c in "abc"))}
         out = []
         carried = [f"carry_{i}" for i in range(len(carry))]
+        if text_col in carry:  # the text travels once
+            docs_[f"carry_{carry.index(text_col)}"] = docs_.text.where(~docs_.no_text.astype(bool), None)
         for r, d, text, *more in docs_[["row", "doc_id", "text", *carried]].itertuples(index=False):
             ws, spans = split(text), []
             n_words = len(ws)

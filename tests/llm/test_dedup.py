@@ -56,9 +56,10 @@ def test_stars_join_a_chain(spark):
 @pytest.mark.parametrize("crowd", [1000, 2])
 def test_repeats(docs, corpus, no_docs, crowd):
     """Both routes, by owner and window by window, give the same."""
-    got = fm_dedup.remove_repeats(docs, crowd=crowd, carry=("key",)).collect()
+    got = fm_dedup.remove_repeats(docs, crowd=crowd, carry=("key", "text")).collect()
     assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute.repeats([r[:2] for r in corpus])
     assert all(sum(n for _, n in r.spans) == r.n_removed and r.key == "x" for r in got)
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(r[:2] for r in corpus)  # null stays null
     if crowd == 2:
         assert fm_dedup.remove_repeats(no_docs, carry=("n",)).columns[-1] == "n"
 
