@@ -18,6 +18,7 @@ from .. import config as C
 from ..functions.exprs import clean_digits, lenient_date, parse_float, strip_ws
 from ..functions.text import classify_file
 from ..operators import cleaning
+from ..operators.common import settle
 from ..sinks.tables import RAW_SPREAD, path_exists, stamp_raw_defaults
 from ..sources import files
 
@@ -43,11 +44,14 @@ def raw_rows(cells: DataFrame, batch_id: str) -> DataFrame:
         values = [F.nullif(strip_ws(F.try_element_at(F.col("__d"), F.lit(k))), F.lit("")) for k in keys]
         return F.coalesce(*values)
 
-    rows = cleaning.documents(cells).withColumn("__d", F.explode(F.array(doc)))  # parsed once
+    docs = settle(cleaning.documents(cells))
+    rows = docs.withColumn("__d", F.explode(F.array(doc)))  # parsed once, each text taken once
+    rows = settle(rows.select(*docs.columns, first(EXTRACT_CNPJ).alias("__cnpj"), first(EXTRACT_DATE).alias("__data"),
+                              first(EXTRACT_VALUE).alias("__valor"), first(EXTRACT_CLIENT).alias("cliente")))
     rows = rows.select(
-        "*", F.nullif(clean_digits(first(EXTRACT_CNPJ)), F.lit("")).alias("cnpj"),
-        lenient_date(first(EXTRACT_DATE)).alias("data_emissao"), parse_float(first(EXTRACT_VALUE)).alias("valor"),
-        first(EXTRACT_CLIENT).alias("cliente"), F.lit(batch_id).alias("_ingestion_batch_id"),
+        "*", F.nullif(clean_digits("__cnpj"), F.lit("")).alias("cnpj"),
+        lenient_date("__data").alias("data_emissao"), parse_float("__valor").alias("valor"),
+        F.lit(batch_id).alias("_ingestion_batch_id"),
         F.lit(None).cast("string").alias("_processing_error"))
     return stamp_raw_defaults(rows).select(*RAW_COLS)
 
