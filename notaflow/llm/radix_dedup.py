@@ -61,7 +61,8 @@ def _split(col: str, width: int):
 def _round(state: DataFrame, width: int, after: int, k: int) -> DataFrame:
     groups = (state.groupBy("gid", "digit").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("new_gid"))
               .where("n > 1").drop("n"))
-    split = state.join(groups, ["gid", "digit"], "left")
+    # Written first: a plain join of two exchanges, whose skewed side AQE may split.
+    split = state.join(cut(groups, f"radix-groups-{k}"), ["gid", "digit"], "left")
     ended = F.col("new_gid").isNull() | (F.length("digit") < width)
     rest = F.when(~ended, F.col("rest"))
     out = split.select("rid", F.coalesce("new_gid", "rid").alias("gid"), "doc_id", "n_cp", "sha",
@@ -77,7 +78,7 @@ def _choose(done: list[DataFrame]) -> DataFrame:
     best = F.min(F.struct((-F.col("n_cp")).alias("n"), F.col("doc_id").isNull().alias("z"),
                           F.col("doc_id").alias("keep_id"), F.col("rid").alias("keep_rid")))
     groups = rows.groupBy("gid").agg(F.count(F.lit(1)).alias("n"), best.alias("b")).where("n > 1")
-    return (rows.join(groups, "gid", "left")
+    return (rows.join(cut(groups, "radix-kept"), "gid", "left")
             .select("doc_id",
                     F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("b.keep_id")).alias("keep_id"),
                     F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
