@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import cut, slices
 
 #: A path wins on a host with at least this share of the votes.
 WINNING_SHARE = 0.2
@@ -39,6 +39,8 @@ _BOILER_WORDS = frozenset(
     "navigation breadcrumb breadcrumbs header masthead topbar footer cookie cookies consent notice notices gdpr popup "
     "modal overlay newsletter subscribe subscription signup login share sharing social related recommended "
     "comment comments reply replies respond disqus widget toolbar pagination pager skip hidden alert".split())
+#: Begin a class that describes what an element has, not what it is (has-sidebar).
+_STATES = frozenset("has no not with without is".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(" + _RAW + r")\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -179,8 +181,10 @@ def _is_boiler(tag: str, attrs: str, stack: list) -> bool:
         name, value = name.lower(), (a or b or c).lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in _ROLES:
             return True
-        if name in ("class", "id") and any(w in _BOILER_WORDS for w in _WORD.findall(value)):
-            return True
+        for token in value.split() if name in ("class", "id") else ():
+            words = _WORD.findall(token)
+            if words and words[0] not in _STATES and any(w in _BOILER_WORDS for w in words):
+                return True
     return False
 
 
@@ -227,5 +231,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             yield pd.DataFrame({"page_id": pdf.page_id.astype("Int64"), "url": pdf.url, "text": found,
                                 "n_chars": [len(t) for t in found]})
 
-    return (p.join(winners(p), "host", "left").select("page_id", "url", "html", "paths")
+    # Written: the few winners' size is known, so pages are shuffled only if they are many.
+    return (p.join(cut(winners(p), "html-winners"), "host", "left").select("page_id", "url", "html", "paths")
             .mapInPandas(read, "page_id long, url string, text string, n_chars long"))

@@ -68,6 +68,7 @@ TEXT = "Title & more\nFirst paragraph with a link.\nSecond <one> goes on and on
     ("<article><p>Unclosed <b>bold <i>text<p>next</article>", "Unclosed bold text\nnext"),
     ("<article><!-- <p>no</p> --><p>a &#8212; &eacute;&nbsp;b &unknown; &amp;lt;</p></article>", "a — é b &unknown; &lt;"),
     ("<article><header><h1>Own heading</h1></header><p>Text that is long enough.</p></article>", "Own heading\nText that is long enough."),
+    (f"<div class='wrap has-sidebar'><div class='sidebar'>Side</div><article class='no-comments'>{BODY}</article></div>", TEXT),
     ("just text", "just text"), ("", ""), ("<div></div>", ""), ("<p>a < b and <3</p>", "a < b and <3"),
     ("<div class='cookie-notice'>We use cookies</div><div><p>Real text here.</p></div>", "Real text here."),
 ])
