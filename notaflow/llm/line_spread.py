@@ -30,7 +30,7 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     near = spread.where(F.col("n") <= min_sites * BAND).select("h")
     exact = (lines.join(near, "h", "left_semi").groupBy("h", "site").agg(F.lit(1).alias("one"))
              .groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_sites).select("h"))
-    return sure.unionByName(exact)
+    return cut(sure.unionByName(exact), "boilerplate")
 
 
 def remove_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
