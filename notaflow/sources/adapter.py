@@ -88,7 +88,7 @@ def cents_to_money(c: str) -> Column:
 
 
 def invoices(spark: SparkSession, sf_dir: str, as_of: str = C.ADAPTER_AS_OF) -> DataFrame:
-    """The 27-column invoice table (``nfse_campinas`` shape) from whole tables."""
+    """The 27-column invoice table from whole tables."""
     b = with_cents(line_base(spark, sf_dir))
     ck = F.col("c_custkey")
     numero = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
