@@ -53,6 +53,18 @@ def test_exact_stage_with_repeated_rows(spark):
     assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, "x"), (1, "a b")]
 
 
+def test_near_stage_between_thresholds(spark):
+    """Five-word shingles and 80 %: copies that four words and 85 % would keep apart go."""
+    w = [f"w{i}" for i in range(100)]
+    rows = [(1, " ".join(w)), (2, " ".join([*w[:90], *[f"x{i}" for i in range(10)]])),
+            (3, " ".join([*w[:80], *[f"y{i}" for i in range(20)]]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {c for _, c in brute.components(rows).values()} == {1, 2, 3}
+    want = {d for d, (_, c) in brute.components(rows, n=5, percent=80).items() if c == d}
+    assert want == {1, 3}
+    assert {r.doc_id for r in corpus_pipeline.near_stage(spark, docs, SF).collect()} == want
+
+
 def test_no_documents(spark):
     docs = table(spark, SF, "documents").where("doc_id < 0")
     for _, stage in corpus_pipeline.STAGES:
