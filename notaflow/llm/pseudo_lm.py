@@ -1,15 +1,17 @@
 """Masked pseudo-likelihood scoring with a bidirectional window network.
 
-Vocabulary: the most frequent words of the whole corpus, all others in hashed
-buckets. The network sees two tokens on either side of a masked one and predicts
+Vocabulary: every word of the corpus. The most frequent have a token each, all
+others share hashed buckets, and within its bucket a word has its share of the
+bucket's count over the whole corpus. The network sees two tokens on either side of a masked one and predicts
 it in two steps, its class and its member given the class:
 h = tanh(sum of position embeddings + bias), p = softmax(A h)[class] *
-softmax(B h + U[class])[member]. It is trained in numpy, every document giving
+softmax(B h + U[class])[member], times P(word | bucket) for a word in a bucket. It is trained in numpy, every document giving
 every ``stride``-th position: a task trains on its documents from the
 round's common parameters, and the parameters are averaged by tokens, merged
 as a tree so that no node receives more than FAN_IN models. The score of a
 document is the sum of the log-probabilities of its tokens given their
-neighbours.
+neighbours. Words in buckets are any number: their counts stay in a table dealt
+by word hash, slices of documents ask it for their distinct words.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ STRIDE = 8
 BATCH = 4096
 RATE = 0.1
 FAN_IN = 64
+#: Tokens of the corpus to a shard of word counts.
+SHARD_TOKENS = 16_000_000
 
 SHAPES = {"E": (len(CONTEXT), VOCABULARY + 1, DIM), "b": (DIM,), "A": (DIM, CLASSES), "a0": (CLASSES,),
           "B": (DIM, MEMBERS), "U": (CLASSES, MEMBERS)}
@@ -147,9 +151,8 @@ class Trainer:
         self.tokens += n
 
 
-def vocabulary(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of the most frequent words, most frequent first; the corpus' token counts
-    by id); every document is counted, tasks pre-aggregate."""
+def word_counts(rows: DataFrame) -> DataFrame:
+    """(w, n): every word of the corpus; every document is counted, tasks pre-aggregate."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, held, n = HashedWords(lower=True), [], 0
@@ -165,7 +168,13 @@ def vocabulary(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         w, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
         return pd.DataFrame({"w": w.astype(np.int64), "n": n})
 
-    counted = cut(rows.mapInPandas(count, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")), "lm-words")
+    return cut(rows.mapInPandas(count, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")), "lm-words")
+
+
+def vocabulary(rows: DataFrame, counted: DataFrame | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the most frequent words, most frequent first; the corpus' token counts
+    by id)."""
+    counted = word_counts(rows) if counted is None else counted
     top = counted.orderBy(F.desc("n"), "w").limit(FREQUENT).collect()
     frequent = np.array([r.w for r in top], np.int64).astype(np.uint64)
 
@@ -232,18 +241,65 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
     an empty table gives no rows; other columns are ignored.
     """
     rows = texts(docs, id_col, text_col)
-    frequent, counts = vocabulary(rows)
+    counted = word_counts(rows)
+    frequent, counts = vocabulary(rows, counted)
     flat = train(rows, frequent, start(counts), rounds, stride)
+    shards = max(16, int(counts.sum()) // SHARD_TOKENS)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number, p = Numbered(frequent), unpack(flat)
+        """A row for each slice (its documents, scored up to their buckets) and for each shard it asks."""
+        from pyspark import TaskContext
+        number, p, words = Numbered(frequent), unpack(flat), HashedWords(lower=True)
+        name = TaskContext.get().partitionId() << 32
         for pdf in slices(batches, budget=1 << 20):
-            ids = number(pdf.text.tolist())
-            lens = np.array([len(x) for x in ids])
-            total = np.add.reduceat(np.append(log_probabilities(p, *contexts(ids)), 0.0), np.r_[0, np.cumsum(lens)[:-1]]) \
-                if lens.sum() else np.zeros(len(lens))
-            total = np.where(lens > 0, total, 0.0)
-            yield pd.DataFrame({"doc_id": pdf.doc_id.astype("Int64"), "n_tokens": lens, "log_prob": total,
-                                "mean_log_prob": [t / n if n else None for t, n in zip(total, lens)]})
-
-    return rows.mapInPandas(run, "doc_id long, n_tokens long, log_prob double, mean_log_prob double")
+            h, _, lens = words(pdf.text.tolist())
+            tokens = number.number(h)
+            rare = tokens >= FREQUENT
+            each = log_probabilities(p, *contexts(np.split(tokens, np.cumsum(lens)[:-1])))
+            each[rare] -= np.log(counts[tokens[rare]])
+            doc = np.repeat(np.arange(len(lens)), lens)
+            distinct, at = np.unique(h[rare], return_inverse=True)
+            ends = np.searchsorted(shard_of(distinct, shards), np.arange(shards + 1))
+            asked = [(name, k, distinct[a:b].tobytes()) for k, (a, b) in enumerate(zip(ends[:-1], ends[1:])) if a < b]
+            null = pdf.doc_id.isna().to_numpy(bool)
+            home = (name, -1, at.astype(np.int32).tobytes(), pdf.doc_id.fillna(0).to_numpy(np.int64).tobytes(), null.tobytes(),
+                    lens.astype(np.int64).tobytes(), np.bincount(doc[rare], minlength=len(lens)).astype(np.int64).tobytes(),
+                    np.bincount(doc, weights=each, minlength=len(lens)).tobytes())
+            yield pd.DataFrame([home, *[(*x, *[None] * 5) for x in asked]],
+                               columns=["slice", "shard", "words", "ids", "null", "lens", "rare", "total"])
+            name += 1
+
+    scored = cut(rows.mapInPandas(run, "slice long, shard int, words binary, ids binary, null binary, lens binary, "
+                                       "rare binary, total binary"), "lm-scored")
+    shard = F.shiftright(F.shiftrightunsigned("w", 32) * F.lit(shards).cast("long"), 32).cast("int")
+    replies = (counted.withColumn("shard", shard).groupBy("shard")
+               .cogroup(scored.where("shard >= 0").select("slice", "shard", "words").groupBy("shard"))
+               .applyInPandas(reply, "slice long, shard int, logs binary"))
+    return (scored.where("shard < 0").drop("shard").groupBy("slice").cogroup(replies.groupBy("slice"))
+            .applyInPandas(add_up, "doc_id long, n_tokens long, log_prob double, mean_log_prob double"))
+
+
+def shard_of(h: np.ndarray, shards: int) -> np.ndarray:
+    """Ascending with the hash."""
+    return ((h >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+
+
+def reply(counted: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+    """Log counts of the words each slice asks for, in its order."""
+    w, n = counted.w.to_numpy(np.int64).astype(np.uint64), counted.n.to_numpy(np.int64)
+    order = np.argsort(w)
+    w, log = w[order], np.log(n[order])
+    logs = [log[np.searchsorted(w, np.frombuffer(x, np.uint64))].tobytes() for x in asked.words]
+    return pd.DataFrame({"slice": asked["slice"], "shard": asked["shard"], "logs": logs})
+
+
+def add_up(home: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
+    """The slice's documents with log P(word | bucket) of their words in buckets."""
+    log = np.frombuffer(b"".join(replies.sort_values("shard").logs), np.float64)
+    x = home.iloc[0]
+    lens, rare = np.frombuffer(x.lens, np.int64), np.frombuffer(x.rare, np.int64)
+    total = np.frombuffer(x.total, np.float64) + np.bincount(
+        np.repeat(np.arange(len(rare)), rare), weights=log[np.frombuffer(x.words, np.int32)], minlength=len(rare))
+    ids = pd.Series(np.frombuffer(x.ids, np.int64)).astype("Int64").mask(np.frombuffer(x["null"], bool))
+    return pd.DataFrame({"doc_id": ids, "n_tokens": lens, "log_prob": total,
+                         "mean_log_prob": [t / n if n else None for t, n in zip(total, lens)]})

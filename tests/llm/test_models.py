@@ -1,11 +1,14 @@
 """Quality classifier and pseudo-likelihood scoring: held-out accuracy and plain versions."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from notaflow.llm import pseudo_lm, quality
-from notaflow.llm.common import table
+from notaflow.llm.common import table, texts
+from tests.llm import brute
 
 SF = "/root/testdata/sf0.01"
 
@@ -93,6 +96,26 @@ def test_score_edges(docs, corpus, no_docs):
     assert pseudo_lm.score(no_docs, rounds=1).count() == 0
 
 
+def test_score_is_of_the_word(docs, corpus):
+    """Every token counts with its own word: log P(word | bucket) is added for words in
+    buckets (untrained network, plain loop)."""
+    ws = {d: brute.split(brute.lower(t)) for d, t, _ in corpus}
+    n = Counter(w for d, t, _ in corpus for w in ws[d])
+    assert len(n) > 2 * pseudo_lm.FREQUENT
+    frequent, counts = pseudo_lm.vocabulary(texts(docs))
+    p, number = pseudo_lm.unpack(pseudo_lm.start(counts)), pseudo_lm.Numbered(frequent)
+    inside = 0
+    for r in pseudo_lm.score(docs, rounds=0).collect():
+        ids = number([" ".join(ws[r.doc_id])])
+        want = pseudo_lm.log_probabilities(p, *pseudo_lm.contexts(ids)).sum()
+        for w, i in zip(ws[r.doc_id], ids[0]):
+            if i >= pseudo_lm.FREQUENT:
+                want += np.log(n[w] / counts[i])
+                inside += counts[i] > n[w]
+        assert abs(r.log_prob - want) < 1e-6 * max(1, -want)
+    assert inside
+
+
 def test_models_merge_as_tree(spark, monkeypatch):
     monkeypatch.setattr(pseudo_lm, "FAN_IN", 3)
     rng = np.random.default_rng(4)
