@@ -5,8 +5,8 @@ others share hashed buckets, and within its bucket a word has its share of the
 bucket's count over the whole corpus. The network sees two tokens on either side of a masked one and predicts
 it in two steps, its class and its member given the class:
 h = tanh(sum of position embeddings + bias), p = softmax(A h)[class] *
-softmax(B h + U[class])[member], times P(word | bucket) for a word in a bucket. It is trained in numpy, every document giving
-every ``stride``-th position: a task trains on its documents from the
+softmax(B h + U[class])[member], times P(word | bucket) for a word in a bucket. It is trained in numpy; a round takes every
+``stride``-th position of each document, the rounds together all of them: a task trains on its documents from the
 round's common parameters, and the parameters are averaged by tokens, merged
 as a tree so that no node receives more than FAN_IN models. The score of a
 document is the sum of the log-probabilities of its tokens given their
@@ -33,7 +33,8 @@ DIM = 16
 CONTEXT = (-2, -1, 1, 2)
 PAD = VOCABULARY
 ROUNDS = 2
-STRIDE = 8
+#: As many as rounds: each round takes another shift, so every position trains once.
+STRIDE = ROUNDS
 BATCH = 4096
 RATE = 0.1
 FAN_IN = 64
@@ -212,14 +213,22 @@ def _merge(models: DataFrame) -> np.ndarray | None:
     return mean_model([r.tokens for r in rows], [r.flat for r in rows])[1].astype(np.float32) if rows else None
 
 
+def positions(lens: list[int], shift: int, stride: int) -> np.ndarray:
+    """Places, in the joined tokens, of every ``stride``-th token of each text from ``shift`` on."""
+    first = np.cumsum([0, *lens])[:-1]
+    within = np.arange(sum(lens)) - np.repeat(first, lens)
+    return np.flatnonzero(within % stride == shift % stride)
+
+
 def train(rows: DataFrame, frequent: np.ndarray, flat: np.ndarray, rounds: int, stride: int) -> np.ndarray:
     for r in range(rounds):
         def learn(batches: Iterator[pd.DataFrame], base=flat, shift=r) -> Iterator[pd.DataFrame]:
             from pyspark import TaskContext
             number, model = Numbered(frequent), Trainer(base)
             for pdf in slices(batches, budget=1 << 20):
-                tokens, near = contexts(number(pdf.text.tolist()))
-                pick = np.arange(shift % stride, len(tokens), stride)
+                ids = number(pdf.text.tolist())
+                tokens, near = contexts(ids)
+                pick = positions([len(x) for x in ids], shift, stride)
                 for i in range(0, len(pick), BATCH):
                     part = pick[i:i + BATCH]
                     model.step(tokens[part], near[part])
@@ -233,14 +242,16 @@ def train(rows: DataFrame, frequent: np.ndarray, flat: np.ndarray, rounds: int,
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS,
-          stride: int = STRIDE) -> DataFrame:
+          stride: int | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, log_prob (sum over all tokens
     of the whole text, 0 without words), mean_log_prob (null without words).
 
     Null texts are empty; repeated rows train and score each; a null id is kept;
-    an empty table gives no rows; other columns are ignored.
+    an empty table gives no rows; other columns are ignored. ``stride``: default
+    ``rounds``, so that every position trains once.
     """
     rows = texts(docs, id_col, text_col)
+    stride = max(1, rounds) if stride is None else stride
     counted = word_counts(rows)
     frequent, counts = vocabulary(rows, counted)
     flat = train(rows, frequent, start(counts), rounds, stride)

@@ -86,6 +86,23 @@ def test_training_beats_unigram(spark):
     assert pseudo_lm.log_probabilities(pseudo_lm.unpack(flat), tokens, near).mean() > unigram + 0.02
 
 
+def test_every_position_trains():
+    """With the production rounds and stride, also in texts of a few words."""
+    lens = [1, 0, 2, 3, 7, 1, 50]
+    seen = [i for r in range(pseudo_lm.ROUNDS) for i in pseudo_lm.positions(lens, r, pseudo_lm.STRIDE).tolist()]
+    assert sorted(seen) == list(range(sum(lens)))
+
+
+def test_production_training_beats_unigram(spark):
+    rows = table(spark, SF, "documents").select("doc_id", "text")
+    train, held = rows.where("doc_id % 2 = 0"), rows.where("doc_id % 2 = 1")
+    frequent, counts = pseudo_lm.vocabulary(train)
+    flat = pseudo_lm.train(train, frequent, pseudo_lm.start(counts), pseudo_lm.ROUNDS, pseudo_lm.STRIDE)
+    tokens, near = pseudo_lm.contexts(pseudo_lm.Numbered(frequent)([r.text for r in held.collect()]))
+    unigram = np.log((counts + 0.5) / (counts + 0.5).sum())[tokens].mean()
+    assert pseudo_lm.log_probabilities(pseudo_lm.unpack(flat), tokens, near).mean() > unigram + 0.02
+
+
 def test_score_edges(docs, corpus, no_docs):
     got = pseudo_lm.score(docs, rounds=1).collect()
     assert len(got) == len(corpus)
