@@ -3,11 +3,14 @@
 Every source is a queue of tokens (its documents in table order). Each window of
 2048 tokens takes from every queue its share of the target mixture; the fraction
 of a token that a queue is owed is its deficit and carries into the next window.
-For queue s that holds N_s of the T tokens of a phase, the tokens served after t
-tokens are floor(N_s * t / T), the carried deficit being the fraction cut off;
-one flex queue, the largest, takes what the others leave. Because this sum is closed, any
-task can lay out any window alone: deficits carry across windows and partitions
-without a sequential pass, and no document is moved.
+The queues, any number, are the leaves of a binary tree of halves. A node that holds
+N tokens of a phase, N_l of them in its left half, serves floor(N_l * u / N) of its
+first u tokens from the left and the others from the right, the deficit being the
+fraction cut off: neither half's takings ever fall, together they are u, and a
+queue is off its share by less than a token for each level. Because this is
+closed, any task can lay out any window alone from a queue's path in the tree:
+deficits carry across windows and partitions without a sequential pass, and no
+document is moved.
 
 With ``weights`` given, queues run dry at different times: each drained queue
 ends a phase and the rest go on in proportion. Without, the target is the
@@ -19,8 +22,10 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -32,10 +37,6 @@ from .common import cut, slices
 from .words import HashedTable
 
 WINDOW = 2048
-#: Own queues for the largest sources, one more for all others together. With at
-#: most 32 queues the largest is owed >= 2048/32 = 64 tokens a window, more than
-#: the <= 31 rounding tokens of the others, so its takings never fall.
-MAX_QUEUES = 32
 END_ID = 1
 
 
@@ -145,18 +146,23 @@ def tokenised(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, sourc
                "pack-tokens")
 
 
-def phases(totals: list[int], weights: list[float] | None) -> list[tuple[int, list[int], list[int], int]]:
-    """(first token, tokens served before by queue, tokens served within by
-    queue, flex queue) of each phase; a phase ends when a queue runs dry."""
+def phases(totals: list[int], weights: list[float] | None) -> list[tuple[int, list[int], list[int]]]:
+    """(first token, tokens served before by queue, tokens served within by queue) of
+    each phase; a phase ends when a queue runs dry."""
     left, out, served, t = list(totals), [], [0] * len(totals), 0
     while sum(left):
         live = [s for s, n in enumerate(left) if n and weights and weights[s] > 0]
         take = list(left)  # no target (left): in the proportions there are
         if live:
             f = min(left[s] / weights[s] for s in live)
-            part = [min(left[s], int(f * weights[s] + 0.5)) if s in live else 0 for s in range(len(left))]
-            take = part if sum(part) else [n if s in live else 0 for s, n in enumerate(left)]
-        out.append((t, list(served), take, max(range(len(take)), key=lambda s: (take[s], -s))))
+            part = [0] * len(left)
+            for s in live:
+                part[s] = min(left[s], int(f * weights[s] + 0.5))
+            take = part
+            if not sum(part):
+                for s in live:
+                    take[s] = left[s]
+        out.append((t, list(served), take))
         served = [a + b for a, b in zip(served, take)]
         left = [a - b for a, b in zip(left, take)]
         t += sum(take)
@@ -167,24 +173,45 @@ class Layout:
     """Tokens that each queue has been served after t tokens of the output."""
 
     def __init__(self, totals: list[int], weights: list[float] | None):
-        self.phases, self.total = phases(totals, weights), sum(totals)
-        self.served = lru_cache(200_000)(self._served)
-
-    def _served(self, t: int) -> tuple[int, ...]:
+        self.phases, self.total, self.queues = phases(totals, weights), sum(totals), len(totals)
+        self.starts = [p[0] for p in self.phases]
+        # Sums over the queues before each, of the tokens served before and within a phase.
+        self.sums = [(list(accumulate(before, initial=0)), list(accumulate(take, initial=0))) for _, before, take in self.phases]
+        self.place = lru_cache(200_000)(self._place)
+
+    def _place(self, s: int, t: int) -> tuple[int, int]:
+        """(tokens of the queues before s, tokens of s) among the first t tokens."""
         t = min(t, self.total)
-        t0, before, take, flex = next(p for p in reversed(self.phases) if p[0] <= t)
-        size, out = sum(take), []
-        for b, n in zip(before, take):
-            out.append(b + n * (t - t0) // size)
-        out[flex] = t - (sum(out) - out[flex])
-        return tuple(out)
+        i = max(0, bisect_right(self.starts, t) - 1)
+        t0, before, _ = self.phases[i]
+        earlier, held = self.sums[i]
+        u, first, lo, hi = t - t0, 0, 0, self.queues
+        while hi - lo > 1 and u:
+            mid = (lo + hi) // 2
+            left = u * (held[mid] - held[lo]) // (held[hi] - held[lo])
+            if s < mid:
+                hi, u = mid, left
+            else:
+                lo, first, u = mid, first + left, u - left
+        return earlier[s] + first, before[s] + u
+
+    def served(self, t: int) -> tuple[int, ...]:
+        return tuple(self.place(s, t)[1] for s in range(self.queues)) if self.phases else (0,) * self.queues
 
     def first_window(self, s: int, g: int) -> int:
-        """The window that serves token g of queue s."""
-        lo, hi = 0, -(-self.total // WINDOW) - 1
+        """The window that serves token g of queue s: from where its share puts it."""
+        i = bisect_right(self.phases, g, key=lambda p: p[1][s]) - 1
+        t0, before, take = self.phases[i]
+        lo = hi = min(t0 + (g - before[s]) * self.sums[i][1][-1] // max(1, take[s]), self.total - 1) // WINDOW
+        step = 1
+        while lo and self.place(s, lo * WINDOW)[1] > g:
+            lo, step = max(0, lo - step), step * 2
+        step = 1
+        while self.place(s, (hi + 1) * WINDOW)[1] <= g:
+            hi, step = hi + step, step * 2
         while lo < hi:
             mid = (lo + hi) // 2
-            if self.served((mid + 1) * WINDOW)[s] > g:
+            if self.place(s, (mid + 1) * WINDOW)[1] > g:
                 hi = mid
             else:
                 lo = mid + 1
@@ -194,11 +221,13 @@ class Layout:
         """(start, length, window, offset in window) of tokens [g, g+n) of queue s."""
         w, at = self.first_window(s, g), g
         while at < g + n:
-            a, b = self.served(w * WINDOW), self.served((w + 1) * WINDOW)
-            end = min(b[s], g + n)
-            if end > at:
-                yield at - g, end - at, w, sum(b[:s]) - sum(a[:s]) + at - a[s]
-                at = end
+            (first_a, a), (first_b, b) = self.place(s, w * WINDOW), self.place(s, (w + 1) * WINDOW)
+            if b <= at:  # a small queue has nothing in many windows
+                w = self.first_window(s, at)
+                continue
+            end = min(b, g + n)
+            yield at - g, end - at, w, first_b - first_a + at - a
+            at = end
             w += 1
 
 
@@ -216,32 +245,28 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     """
     tok = tokenised(docs, tokenizer, id_col, text_col, source_col)
     by_part = tok.groupBy("pid", "source").agg(F.sum("n").alias("n"))
-    queues = [(r.source, int(r.n)) for r in by_part.groupBy("source").agg(F.sum("n").alias("n"))
-              .orderBy(F.desc("n"), "source").limit(MAX_QUEUES - 1).collect()]  # the largest; the rest share a queue
-    names = [s for s, _ in queues]
-    number = {s: i for i, s in enumerate(names)}
-    q = F.create_map(*[x for s, i in number.items() for x in (F.lit(s), F.lit(i))])[F.col("source")] \
-        if number else F.lit(None)
-    by_part = by_part.withColumn("q", F.coalesce(q, F.lit(len(names))))
-    total_n = by_part.agg(F.sum("n")).first()[0] or 0
-    totals = [n for _, n in queues] + [int(total_n) - sum(n for _, n in queues)]
-    target = None if weights is None else [weights.get(s, 0.0) for s in names] + [0.0]
-    # Sums of partitions before this one, by queue: one row per partition and source.
-    before = by_part.select("pid", "source", "q", (F.sum("n").over(
-        Window.partitionBy("q").orderBy("pid", "source").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("before"))
+    # One row per source: all the driver gathers, and the layout needs.
+    queues = [(r.source, int(r.n)) for r in by_part.groupBy("source").agg(F.sum("n").alias("n")).collect()]
+    queues.sort(key=lambda q: (-q[1], q[0]))
+    number = {s: i for i, (s, _) in enumerate(queues)}
+    totals = [n for _, n in queues]
+    target = None if weights is None else [weights.get(s, 0.0) for s, _ in queues]
+    # Sums of partitions before this one, by source: one row per partition and source.
+    before = by_part.select("pid", "source", (F.sum("n").over(
+        Window.partitionBy("source").orderBy("pid").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("before"))
     placed = tok.join(cut(before, "pack-before"), ["pid", "source"])  # known to be small: no token is shuffled
 
     def cut_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         layout = Layout(totals, target)
         for pdf in batches:
             out = []
-            for d, s, q_, g, n, ids in zip(pdf.doc_id, pdf.source, pdf.q, pdf.before + pdf["at"], pdf.n, pdf.ids):
+            for d, s, g, n, ids in zip(pdf.doc_id, pdf.source, pdf.before + pdf["at"], pdf.n, pdf.ids):
                 d = None if pd.isna(d) else int(d)
-                for start, length, w, off in layout.pieces(int(q_), int(g), int(n)):
+                for start, length, w, off in layout.pieces(number[s], int(g), int(n)):
                     out.append((d, start, length, zlib.crc32(ids[4 * start:4 * (start + length)]), n, w, off, s))
             yield pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens",
                                              "sequence_id", "offset", "source"]).astype({"doc_id": "Int64"})
 
-    return placed.select("doc_id", "source", "q", "before", "at", "n", "ids").mapInPandas(
+    return placed.select("doc_id", "source", "before", "at", "n", "ids").mapInPandas(
         cut_rows, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
                   "sequence_id long, offset long, source string")

@@ -119,3 +119,24 @@ def test_pack_many_sources(spark):
     rng = random.Random(3)
     rows = [(i, "word " * rng.randint(1, 80), None if i % 50 == 0 else f"src{i % 47}") for i in range(300)]
     check(rows, packing.pack(spark.createDataFrame(rows, "doc_id long, text string, source string"), WORDS).collect())
+
+
+@pytest.mark.parametrize("weights", [None, [1.0] * 100])
+def test_layout_of_many_sources(weights):
+    """Each of 100 sources holds its target in every window to a few tokens."""
+    totals = [300_000 // (i + 1) + 40_000 for i in range(100)] if weights is None else [40_960] * 100
+    lay = packing.Layout(totals, weights)
+    for t in range(0, sum(totals), packing.WINDOW):
+        got = lay.served(t)
+        assert sum(got) == t and all(abs(a - n * t / sum(totals)) < 9 for a, n in zip(got, totals))
+
+
+def test_pack_small_weighted_source(spark):
+    """The smallest of 100 sources has a weight: it is served its share from the first window on."""
+    rows = [(i, "word " * (60 if i % 100 else 30), f"src{i % 100:02}") for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    windows = check(rows, packing.pack(df, WORDS, weights={"src00": 1.0, "src07": 3.0}).collect())
+    first = defaultdict(int)
+    for p in windows[0]:
+        first[p.source] += p.length
+    assert set(first) == {"src00", "src07"} and abs(first["src00"] - 512) <= 2
