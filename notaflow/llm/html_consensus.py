@@ -1,7 +1,9 @@
 """Main-text extraction by consensus of a host's pages.
 
 First pass: every page scores its containers (text of the blocks inside, less
-link text, fading with nesting depth) and names the path of the best one, tags
+link text, fading with nesting depth), goes from the best one out to the
+ancestor that adds text (to an article or main at most; to the body only if that
+has text of its own) and names its path, tags
 and classes from the root with digits generalised. Spark counts these votes per
 host and path. Second pass: a page takes the elements on the host's winning
 path of most votes that it has; a page without any takes its own best container.
@@ -41,6 +43,10 @@ _BOILER_WORDS = frozenset(
     "comment comments reply replies respond disqus widget toolbar pagination pager skip hidden alert".split())
 #: Begin a class that describes what an element has, not what it is (has-sidebar).
 _STATES = frozenset("has no not with without is".split())
+#: Say where or how in a name of several words; with any other word it names something else (related-work).
+_PLACES = frozenset("site page main global top bottom left right primary secondary inner outer box bar block area wrap "
+                    "wrapper container list item items links link form".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(" + _RAW + r")\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -152,7 +158,22 @@ class Page:
 
     def best(self) -> int:
         scores = self.scores()
-        return max(range(len(scores)), key=lambda i: (scores[i], i))
+        best = at = max(range(len(scores)), key=lambda i: (scores[i], i))
+        own = [0.0] * len(self.parent)
+        for box, text, links in self.blocks:
+            own[box] += max(0.0, len(text) - 3.0 * links)
+        held = list(own)
+        for i in range(len(held) - 1, 0, -1):  # children come after their parents
+            held[self.parent[i]] += held[i]
+        # Fading only finds where the text is: an ancestor with more of it has what stands beside.
+        while self.bonus[at] == 1.0 and self.parent[at] >= 0:
+            at = self.parent[at]
+            if held[at] > held[best] and (own[at] or not self._is_page(at)):
+                best = at
+        return best
+
+    def _is_page(self, box: int) -> bool:
+        return re.split(r"[/.]", self.path[box].rsplit("/", 1)[-1])[0] in ("html", "body")
 
     def text(self, paths: list[str]) -> str:
         """Text on the first of the paths that the page has, else in its best container."""
@@ -182,8 +203,11 @@ def _is_boiler(tag: str, attrs: str, stack: list) -> bool:
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in _ROLES:
             return True
         for token in value.split() if name in ("class", "id") else ():
+            if name == "id" and tag in _HEADINGS:
+                continue
             words = _WORD.findall(token)
-            if words and words[0] not in _STATES and any(w in _BOILER_WORDS for w in words):
+            if words and words[0] not in _STATES and any(w in _BOILER_WORDS for w in words) \
+                    and all(w in _BOILER_WORDS or w in _PLACES for w in words):
                 return True
     return False
 

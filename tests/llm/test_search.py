@@ -76,6 +76,26 @@ def test_page(page, expected):
     assert html_consensus.Page(page).text([]) == expected
 
 
+LONG = "Many words of a long article follow one another here. " * 60
+
+
+@pytest.mark.parametrize("page,expected", [
+    (f"<body><div class='post'><h1>Title</h1><div class='entry'><p>{LONG}</p></div></div></body>", f"Title\n{LONG.strip()}"),
+    (f"<body><div class='post'><div class='lead'>A lead.</div><div><div class='entry'><p>{LONG}</p></div></div></div></body>",
+     f"A lead.\n{LONG.strip()}"),
+    (f"<body><h1>Title</h1><div class='entry'><p>{LONG}</p></div></body>", f"Title\n{LONG.strip()}"),
+    (f"<article><h2 id='related-work'>Related work</h2><p>{LONG}</p><h2 id='comments'>Comments</h2></article>",
+     f"Related work\n{LONG.strip()}\nComments"),
+    (f"<div class='content-with-sidebar'><p>{LONG}</p><div class='site-footer'>Us</div><div class='sidebar-2'>Side</div></div>",
+     LONG.strip()),
+    (f"<div class='post'><div class='post-header'><h1>Title</h1></div><div class='entry'><p>{LONG}</p></div></div>",
+     f"Title\n{LONG.strip()}"),
+])
+def test_nothing_else_is_dropped(page, expected):
+    """What stands beside a long text stays, and so does what only has a boilerplate word in its name."""
+    assert html_consensus.Page(page).text([]) == expected
+
+
 def test_consensus_outvotes_a_noisy_page(spark):
     """One page has a longer box elsewhere; its host's pages agree on the article path."""
     good = f"<body><div class='story-7'>{BODY}</div><div class='extra'><p>Short.</p></div></body>"
