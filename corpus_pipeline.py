@@ -39,11 +39,16 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words that repeat from smaller ids: a text that loses
     words is its kept words joined by one space, any other text is unchanged."""
-    out = fm_dedup.remove_repeats(docs, carry=("text", "lang", "source", "n_chars"))
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    return (out.withColumn("text", text)
-            .withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-            .select(*docs.columns))
+    # Columns travel under names that no operator output has.
+    own = {c: f"own_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    out = fm_dedup.remove_repeats(docs.select("doc_id", "text", *[docs[c].alias(a) for c, a in own.items()]),
+                                  carry=("text", *own.values()))
+    cut_short = F.col("n_removed") > 0
+    text = F.when(cut_short, F.col("kept_text")).otherwise(F.col("text"))
+    back = {c: F.col(a) for c, a in own.items()} | {"doc_id": F.col("doc_id"), "text": text}
+    if "n_chars" in own:
+        back["n_chars"] = F.when(cut_short, F.length(text).cast("long")).otherwise(F.col(own["n_chars"]))
+    return out.select(*[back[c].alias(c) for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,6 +65,16 @@ def test_near_stage_between_thresholds(spark):
     assert {r.doc_id for r in corpus_pipeline.near_stage(spark, docs, SF).collect()} == want
 
 
+def test_substring_stage_with_further_columns(spark):
+    """Columns that the operator does not know, and such that have its outputs' names, stay."""
+    w = [f"w{i}" for i in range(30)]
+    rows = [(1, " ".join(w), 30, "a", 7), (2, " ".join(["own", *w]), 31, "b", 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, extra string, n_words int")
+    out = corpus_pipeline.substring_stage(spark, docs, SF)
+    assert out.columns == docs.columns and out.schema["n_words"].dataType == docs.schema["n_words"].dataType
+    assert sorted(tuple(r) for r in out.collect()) == [rows[0], (2, "own", 3, "b", 8)]
+
+
 def test_no_documents(spark):
     docs = table(spark, SF, "documents").where("doc_id < 0")
     for _, stage in corpus_pipeline.STAGES:
