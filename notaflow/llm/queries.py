@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import fm_dedup, html_consensus, jaccard, line_spread, maxscore, packing, pieces, pseudo_lm, quality, radix_dedup
+from . import (collocations, decontaminate, fm_dedup, hard_negatives, html_consensus, jaccard, line_spread, maxscore,
+               packing, pieces, pseudo_lm, quality, radix_dedup)
 from .common import table
 
 
@@ -55,6 +56,23 @@ def op10_fm_dedup(spark, sf_dir):
     return fm_dedup.remove_repeats(table(spark, sf_dir, "documents"), outputs=False)
 
 
+def op11_bond_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.hard_negatives(vectors, "id % 100 = 0")
+
+
+def op12_phrases(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents")).drop("cut")
+
+
+def op13_decontamination(spark, sf_dir):
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {
     "op1_line_spread": op1_line_spread,
     "op2_quality": op2_quality,
@@ -66,6 +84,9 @@ QUERIES = {
     "op8_pseudo_lm": op8_pseudo_lm,
     "op9_packing": op9_packing,
     "op10_fm_dedup": op10_fm_dedup,
+    "op11_bond_negatives": op11_bond_negatives,
+    "op12_phrases": op12_phrases,
+    "op13_decontamination": op13_decontamination,
 }
 
 WS = r"[\x20\x09-\x0D]"
@@ -130,4 +151,58 @@ ORACLES = {
                           string_agg(word, ' ' ORDER BY pos) FILTER (WHERE NOT gone) AS t FROM k GROUP BY doc_id)
         SELECT d.doc_id, coalesce(a.n, 0) AS n_words, coalesce(a.g, 0) AS n_removed, sha256(coalesce(a.t, '')) AS kept_sha256
         FROM documents d LEFT JOIN a ON a.doc_id = d.doc_id""",
+    "op11_bond_negatives": """
+        WITH v AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS e FROM embeddings
+                   WHERE embedding IS NOT NULL AND label IS NOT NULL
+                     AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+             s AS (SELECT q.id AS anchor_id, c.id, q.label = c.label AS same,
+                          CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+                   FROM v q JOIN v c ON q.id <> c.id WHERE q.id % 100 = 0),
+             p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+                   QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+             n AS (SELECT p.*, s.id AS negative_id, s.score AS negative_score FROM p JOIN s USING (anchor_id)
+                   WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+        SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, negative_id, positive_score, negative_score
+        FROM n WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id)
+        QUALIFY rank <= 10""",
+    "op12_phrases": r"""
+        WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+                   FROM documents),
+             w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM t),
+             g AS (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM w, range(1, 6) r(m)),
+             f AS (SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase, count(*) AS f FROM g GROUP BY ALL),
+             n AS (SELECT lang, sum(f) AS n FROM f WHERE m = 1 GROUP BY lang),
+             c AS (SELECT * FROM f WHERE m > 1 AND f >= 100),
+             k AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM c q WHERE q.lang = c.lang AND q.m > c.m
+                       AND 100 * q.f >= 100 * c.f AND contains(' ' || q.phrase || ' ', ' ' || c.phrase || ' '))),
+             x AS (SELECT *, string_split(phrase, ' ') AS ws, unnest(range(1, m)) AS k FROM k),
+             s AS (SELECT x.lang, x.phrase, x.k, x.f AS a, l.f AS l, r.f AS r, n.n,
+                          (1000 * CAST(x.f AS HUGEINT) * n.n) // (CAST(l.f AS HUGEINT) * r.f) AS score
+                   FROM x JOIN f l ON l.lang = x.lang AND l.phrase = array_to_string(ws[1:k], ' ')
+                   JOIN f r ON r.lang = x.lang AND r.phrase = array_to_string(ws[k + 1:], ' ') JOIN n ON n.lang = x.lang),
+             b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+        SELECT lang, row_number() OVER o AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+        FROM b WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY rank <= 2000""",
+    "op13_decontamination": r"""
+        WITH d AS (SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(translate(coalesce(text, ''),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+                   FROM documents),
+             b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+                   FROM benchmark),
+             bw AS (SELECT item_id, ws, least(10, len(ws)) AS m, unnest(range(1, greatest(1, len(ws) - 9) + 1)) AS i
+                    FROM b WHERE len(ws) > 0),
+             p AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, m, array_to_string(ws[i:i + m - 1], ' ') AS s FROM bw),
+             z AS (SELECT DISTINCT m FROM p),
+             g AS (SELECT row, m, ws, unnest(range(1, len(ws) - m + 2)) AS i FROM d, z),
+             q AS (SELECT row, m, i, array_to_string(ws[i:i + m - 1], ' ') AS s FROM g),
+             h AS (SELECT q.row, q.i, q.m, p.item FROM q JOIN p ON p.m = q.m AND p.s = q.s),
+             hit AS (SELECT row, count(DISTINCT j) AS n_hit FROM (SELECT row, unnest(range(i, i + m)) AS j FROM h) GROUP BY row),
+             it AS (SELECT row, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items
+                    FROM h GROUP BY row)
+        SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hit ON hit.row = d.row LEFT JOIN it ON it.row = d.row""",
 }
