@@ -193,10 +193,10 @@ def leak_tables(spark, corpus):
     docs += [(300, "Well: WHAT is the capital\nof France?  Paris - of course; it has been so (since the 10th century)."),
              (301, "é🎉 so What   is the capital of France"), (302, "nobody owns THIS one. Nobody owns this, one!"),
              (303, "naïve 日本-🎉 日本"), (304, None), (305, "x" * 2000 + "\tLONG"), (306, "what is the capital of"), (None, "aa " * 12)]
-    return docs, items, (
-        spark.createDataFrame([(d, t, "x", b"x", 1) for d, t in docs],
-                              "doc_id long, text string, pattern string, hit binary, n_words long").repartition(3),
-        spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, item string"))
+    df = spark.createDataFrame([(d, t, "x", b"x", 1) for d, t in docs],
+                               "doc_id long, text string, pattern string, hit binary, n_words long").repartition(3)
+    bench = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, item string")
+    return docs, items, df, bench
 
 
 @pytest.mark.parametrize("window,shard_bytes", [(10, 64 << 20), (4, 64 << 20), (10, 60_000)])
