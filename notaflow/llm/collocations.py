@@ -8,10 +8,11 @@ parse. N-grams are counted inside distinct chunks only, weighted by frequency; t
 overlap belongs to the chunk that it begins, so a chunk counts the n-grams starting
 before its last window.
 
-Lengths are counted one after the other. A phrase can only be frequent if its first
-and its last words but one are, so each pass leaves out phrases whose parts are not in
-a bitmap of the frequent ones, of a fixed size: a bit set by chance lets a phrase
-through to be counted, none is lost. Phrases are counted as texts; hashes only steer.
+A phrase can only be frequent if its words and pairs of words are. So words are counted
+first, by 64-bit keys, then pairs of frequent words, and last, as texts, all phrases
+made of frequent pairs. What is frequent is known to the next pass as a bitmap of
+fixed size: a bit set by chance, or two keys that are equal, let a phrase through to
+be counted; none is lost, and counts are those of texts.
 """
 
 from __future__ import annotations
@@ -79,13 +80,13 @@ class Pieces:
         return mix(np.add.reduceat(value * key, start) + size.astype(np.uint64) * np.uint64(0x85EBCA77C2B2AE63))
 
 
-def _pooled(batches: Iterator[pd.DataFrame], col: str) -> Iterator[pd.DataFrame]:
-    """Slices of about ``_SLICE`` characters, small batches put together: what repeats
+def _pooled(batches: Iterator[pd.DataFrame], col: str, budget: int) -> Iterator[pd.DataFrame]:
+    """Slices of about ``budget`` characters, small batches put together: what repeats
     within a slice leaves the task once."""
     held, size = [], 0
-    for pdf in slices(batches, col, _SLICE):
+    for pdf in slices(batches, col, budget):
         n = int(pdf[col].str.len().sum())
-        if held and size + n > _SLICE:
+        if held and size + n > budget:
             yield pd.concat(held, ignore_index=True)
             held, size = [], 0
         held.append(pdf)
@@ -103,7 +104,7 @@ def parse(docs: DataFrame, overlap: int, spacing: int = SPACING) -> DataFrame:
     words that may begin an n-gram there and the frequency in the parse."""
 
     def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in _pooled(batches, "text"):
+        for pdf in _pooled(batches, "text", _SLICE):
             langs = pdf.lang.tolist()
             p = Pieces([_encode(t) for t in pdf.text])
             if not len(p.size):
@@ -140,60 +141,87 @@ def _lang_keys(langs: list[str]) -> np.ndarray:
     return keys[code] if len(names) else np.zeros(0, np.uint64)
 
 
-def _phrase_keys(hashes: np.ndarray, words: int, lang: np.ndarray) -> np.ndarray:
-    """A key of every ``words`` consecutive words; ``lang``: the key of each word's language."""
-    g = grams(hashes, words)
-    return mix(g + lang[:len(g)])
+class _Grams:
+    """The n-grams of a slice of the dictionary: ``at`` where one may begin, 64-bit keys
+    of language and words."""
 
+    def __init__(self, pdf: pd.DataFrame):
+        self.p = Pieces(list(pdf.chunk))
+        self.hashes, text = self.p.hash(), self.p.text
+        self.lang = _lang_keys(pdf.lang.tolist())[text]
+        self.weight = pdf.weight.to_numpy("int64")[text]
+        first = np.searchsorted(text, np.arange(len(pdf)))
+        self.owned = np.arange(len(text)) - first[text] < pdf.owned.to_numpy()[text]
 
-def count_phrases(dictionary: DataFrame, words: int, bitmap=None) -> DataFrame:
-    """(lang, phrase, f) of phrases of ``words`` words, those whose parts of one word
-    less have their bits set in ``bitmap`` (a broadcast); all without one."""
-    shift = np.uint64(64 - FILTER_BITS)
+    def begins(self, words: int) -> np.ndarray:
+        """Whether an n-gram begins at each word: owned by the chunk and within a piece."""
+        n = max(0, len(self.hashes) - words + 1)
+        return self.owned[:n] & (self.p.piece[:n] == self.p.piece[words - 1:])
+
+    def keys(self, words: int) -> np.ndarray:
+        g = grams(self.hashes, words)
+        return mix(g + self.lang[:len(g)])
+
+    def distinct(self, at: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(keys, one place of each, summed weights) of the n-grams at ``at``."""
+        keys, one, which = np.unique(keys[at], return_index=True, return_inverse=True)
+        return keys, at[one], np.bincount(which, self.weight[at], len(keys)).astype(np.int64)
+
+
+def _known(bitmap, keys: np.ndarray) -> np.ndarray:
+    """Which keys have their bits set."""
+    bits = np.frombuffer(bitmap.value, np.uint8)
+    place = keys >> np.uint64(64 - (8 * len(bits)).bit_length() + 1)
+    return ((bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+
+
+def count_keys(dictionary: DataFrame, words: int, known=None) -> DataFrame:
+    """(key, f) of the n-grams of ``words`` words, those whose words ``known`` (a
+    broadcast bitmap) holds; all without one."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = np.frombuffer(bitmap.value, np.uint8) if bitmap is not None else None
-        for pdf in _pooled(batches, "chunk"):
-            p = Pieces(list(pdf.chunk))
-            if len(p.size) < words:
-                continue
-            first = np.searchsorted(p.text, np.arange(len(pdf)))
-            owned = np.arange(len(p.size)) - first[p.text] < pdf.owned.to_numpy()[p.text]
-            at = np.arange(len(p.size) - words + 1)
-            ok = owned[:len(at)] & (p.piece[:len(at)] == p.piece[words - 1:])
-            h, lang = p.hash(), _lang_keys(pdf.lang.tolist())[p.text]
-            if bits is not None:
-                part = _phrase_keys(h, words - 1, lang) >> shift
-                known = (bits[part >> np.uint64(3)] >> (part & np.uint64(7)).astype(np.uint8)) & 1
-                ok &= (known[:-1] & known[1:]).astype(bool)
-            at = at[ok]
-            if not len(at):
+        for pdf in _pooled(batches, "chunk", _SLICE):
+            g = _Grams(pdf)
+            ok = g.begins(words)
+            if known is not None:
+                word = _known(known, g.keys(1))
+                for j in range(words):
+                    ok &= word[j:j + len(ok)]
+            keys, _, f = g.distinct(np.flatnonzero(ok), g.keys(words))
+            yield pd.DataFrame({"key": keys.view(np.int64), "f": f})
+
+    return dictionary.mapInPandas(count, "key long, f long").groupBy("key").agg(F.sum("f").alias("f"))
+
+
+def count_phrases(dictionary: DataFrame, max_words: int, words, pairs) -> DataFrame:
+    """(lang, phrase, m, f) of all phrases of m = 1 to ``max_words`` words whose words and
+    pairs of words have their bits set in the two broadcast bitmaps."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in _pooled(batches, "chunk", _SLICE):
+            g = _Grams(pdf)
+            if not len(g.hashes):
                 continue
-            keys, one, which = np.unique(_phrase_keys(h, words, lang)[at], return_index=True, return_inverse=True)
-            weight = np.zeros(len(keys), np.int64)
-            np.add.at(weight, which, pdf.weight.to_numpy("int64")[p.text[at]])
-            at = at[one]
-            last = at + words - 1
-            phrases = [p.bytes[a:b].decode("utf-8", "surrogatepass")
-                       for a, b in zip(p.start[at].tolist(), (p.start[last] + p.size[last]).tolist())]
-            langs = pdf.lang.to_numpy(object)[p.text[at]]
-            yield pd.DataFrame({"lang": langs, "phrase": phrases, "f": weight})
-
-    found = dictionary.mapInPandas(count, "lang string, phrase string, f long")
-    return found.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-
-
-def filter_bits(frequent: DataFrame, words: int) -> bytes:
-    """The bitmap of the keys of frequent phrases: positions are made distinct and packed
-    segment by segment in tasks; the driver gets the segments, a fixed size in all."""
-    shift = np.uint64(64 - FILTER_BITS)
-
-    def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in _pooled(batches, "phrase"):
-            p = Pieces([_encode(t) for t in pdf.phrase])
-            lang = _lang_keys(pdf.lang.tolist())[p.text]
-            at = np.arange(0, len(p.size), words)  # each phrase has so many words
-            yield pd.DataFrame({"place": (_phrase_keys(p.hash(), words, lang)[at] >> shift).astype(np.int64)})
+            live = _known(words, g.keys(1)), _known(pairs, g.keys(2))
+            langs, p = pdf.lang.to_numpy(object), g.p
+            for m in range(1, max_words + 1):
+                ok = g.begins(m)
+                for j in range(max(1, m - 1)):
+                    part = live[m > 1]
+                    ok &= part[j:j + len(ok)]
+                _, at, f = g.distinct(np.flatnonzero(ok), g.keys(m))
+                last = at + m - 1
+                phrases = [p.bytes[a:b].decode("utf-8", "surrogatepass")
+                           for a, b in zip(p.start[at].tolist(), (p.start[last] + p.size[last]).tolist())]
+                yield pd.DataFrame({"lang": langs[p.text[at]], "phrase": phrases, "m": m, "f": f})
+
+    found = dictionary.mapInPandas(count, "lang string, phrase string, m int, f long")
+    return found.groupBy("lang", "phrase", "m").agg(F.sum("f").alias("f"))
+
+
+def filter_bits(keys: DataFrame) -> bytes:
+    """The bitmap of keys: their places are made distinct and packed segment by segment in
+    tasks; the driver gets the segments, a fixed size in all."""
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         bits = np.zeros(1 << SEGMENT_BITS, bool)
@@ -201,8 +229,8 @@ def filter_bits(frequent: DataFrame, words: int) -> bytes:
         return pd.DataFrame({"segment": [int(pdf.place.iloc[0]) >> SEGMENT_BITS],
                              "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
-    positions = frequent.mapInPandas(places, "place long").distinct()
-    packed = positions.groupBy(F.shiftright("place", SEGMENT_BITS).alias("segment")).applyInPandas(
+    places = keys.select(F.shiftrightunsigned("key", 64 - FILTER_BITS).alias("place")).distinct()
+    packed = places.groupBy(F.shiftright("place", SEGMENT_BITS).alias("segment")).applyInPandas(
         pack, "segment long, bits binary").toPandas()
     out = np.zeros((1 << FILTER_BITS - SEGMENT_BITS, 1 << SEGMENT_BITS - 3), np.uint8)
     for segment, bits in zip(packed.segment, packed.bits):
@@ -228,17 +256,16 @@ def collocations(docs: DataFrame, min_count: int = 100, max_words: int = 5, top:
     rows = docs.select(F.coalesce(docs[lang_col].cast("string"), F.lit("und")).alias("lang"),
                        docs[text_col].alias("text")).where("text IS NOT NULL")
     dictionary = cut(parse(rows, max_words - 1), "phrase-dictionary")
-    words = cut(count_phrases(dictionary, 1), "phrase-words")
-    total = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    known = [words.where(F.col("f") >= min_count)]
-    for m in range(2, max_words + 1):
-        bitmap = spark.sparkContext.broadcast(filter_bits(known[-1], m - 1))
-        known.append(cut(count_phrases(dictionary, m, bitmap).where(F.col("f") >= min_count), "phrase-counts"))
-        bitmap.unpersist()
-    every = known[0].withColumn("m", F.lit(1))
-    for m, k in enumerate(known[1:], 2):
-        every = every.unionByName(k.withColumn("m", F.lit(m)))
-    every = cut(every, "phrase-frequent")
+    total = dictionary.groupBy("lang").agg(F.sum(F.col("owned") * F.col("weight")).alias("n"))
+
+    def frequent(words: int, known=None):
+        keys = count_keys(dictionary, words, known).where(F.col("f") >= min_count)
+        return spark.sparkContext.broadcast(filter_bits(keys))
+
+    words = frequent(1)
+    pairs = frequent(2, words)
+    every = cut(count_phrases(dictionary, max_words, words, pairs).where(F.col("f") >= min_count), "phrase-frequent")
+    words.unpersist(), pairs.unpersist()
     long = every.where("m > 1").withColumn("ws", F.split("phrase", " ", -1))
 
     # A longer phrase holds a shorter one often enough only if one with one word more does.

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from notaflow.llm import collocations, decontaminate, hard_negatives
 from tests.llm.brute import lower
@@ -147,8 +148,8 @@ def test_collocations_of_nothing(spark):
 def test_numbers_beyond_64_bits(spark, monkeypatch):
     """1000 * a * n passes 64 bits: counts are blown up on their way."""
     df = spark.createDataFrame([("a b", "en"), ("a c", "en")], "text string, lang string")
-    plain, huge = collocations.count_phrases, 10**14
-    monkeypatch.setattr(collocations, "count_phrases", lambda *a: plain(*a).selectExpr("lang", "phrase", f"f * {huge} AS f"))
+    plain, huge = collocations.parse, 10**14
+    monkeypatch.setattr(collocations, "parse", lambda *a: plain(*a).withColumn("weight", F.col("weight") * huge))
     got = {(r.phrase, r.l, r.r, r.n, r.score) for r in collocations.collocations(df).collect()}
     assert got == {("a b", 2 * huge, huge, 4 * huge, 2000), ("a c", 2 * huge, huge, 4 * huge, 2000)}
 
