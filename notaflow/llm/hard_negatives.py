@@ -27,6 +27,8 @@ SHARD_ROWS, ANCHOR_BLOCK = 8192, 256
 #: Dimensions read between two looks at the bounds.
 STEP = 8
 SCALE = 256.0
+#: Rows found that a task merges at once.
+_HELD = 500_000
 
 
 def vertical_scan(columns: np.ndarray, low: np.ndarray, high: np.ndarray, anchor: np.ndarray, alive: np.ndarray,
@@ -129,7 +131,25 @@ def _scan(pairs: DataFrame, k: int, percents: tuple[int, int] | None = None) ->
     """The k best of each anchor: rows of its label (p is 0) or, with ``percents``, rows of
     other labels within these of its p-th positive's score."""
 
+    def best_of(held: list[pd.DataFrame]) -> pd.DataFrame:
+        found = pd.concat(held).sort_values(["score", "id"], ascending=[False, True])
+        return found.groupby(["anchor_id", "p"], sort=False).head(k)
+
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+        for found in each(batches):  # what one task finds leaves it merged
+            held.append(found)
+            size += len(found)
+            if size > _HELD:
+                held = [best_of(held)]
+                size = len(held[0])
+                if size > _HELD // 2:
+                    yield held.pop()
+                    size = 0
+        if held:
+            yield best_of(held)
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for r in pdf.itertuples():
                 ids, labels, columns = _arrays(r.n, r.dims, r.ids, r.labels, r.matrix)
