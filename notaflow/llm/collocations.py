@@ -12,7 +12,8 @@ A phrase can only be frequent if its words and pairs of words are. So words are
 first, by 64-bit keys, then pairs of frequent words, and last, as texts, all phrases
 made of frequent pairs. What is frequent is known to the next pass as a bitmap of
 fixed size: a bit set by chance, or two keys that are equal, let a phrase through to
-be counted; none is lost, and counts are those of texts.
+be counted; none is lost. The counts of phrases are those of texts, the counts of
+single words those of 64-bit keys.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from .words import grams, mix
 SPACING, LONGEST = 24, 4096
 #: Bits of the filter that each pass gets (fixed), in segments that are packed apart.
 FILTER_BITS, SEGMENT_BITS = 26, 17
+#: Bits of the keys by which pairs are counted for the filter.
+PAIR_BITS = 40
 #: Characters of a slice, words hashed at once.
 _SLICE, _BLOCK = 8 << 20, 1 << 17
 
@@ -175,9 +178,9 @@ def _known(bitmap, keys: np.ndarray) -> np.ndarray:
     return ((bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
 
 
-def count_keys(dictionary: DataFrame, words: int, known=None) -> DataFrame:
-    """(key, f) of the n-grams of ``words`` words, those whose words ``known`` (a
-    broadcast bitmap) holds; all without one."""
+def count_keys(dictionary: DataFrame, words: int, bits: int, known=None) -> DataFrame:
+    """(key, f) of the n-grams of ``words`` words by the first ``bits`` bits of their keys,
+    those whose words ``known`` (a broadcast bitmap) holds; all without one."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in _pooled(batches, "chunk", _SLICE):
@@ -188,27 +191,28 @@ def count_keys(dictionary: DataFrame, words: int, known=None) -> DataFrame:
                 for j in range(words):
                     ok &= word[j:j + len(ok)]
             keys, _, f = g.distinct(np.flatnonzero(ok), g.keys(words))
-            yield pd.DataFrame({"key": keys.view(np.int64), "f": f})
+            yield pd.DataFrame({"key": (keys >> np.uint64(64 - bits)).view(np.int64), "f": f})
 
     return dictionary.mapInPandas(count, "key long, f long").groupBy("key").agg(F.sum("f").alias("f"))
 
 
-def count_phrases(dictionary: DataFrame, max_words: int, words, pairs) -> DataFrame:
-    """(lang, phrase, m, f) of all phrases of m = 1 to ``max_words`` words whose words and
-    pairs of words have their bits set in the two broadcast bitmaps."""
+def count_phrases(dictionary: DataFrame, max_words: int, pairs) -> DataFrame:
+    """(lang, phrase, m, f) of all phrases of m = 2 to ``max_words`` words whose pairs of
+    neighbours have their bits set in the broadcast bitmap."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in _pooled(batches, "chunk", _SLICE):
             g = _Grams(pdf)
             if not len(g.hashes):
                 continue
-            live = _known(words, g.keys(1)), _known(pairs, g.keys(2))
+            live = _known(pairs, g.keys(2))
             langs, p = pdf.lang.to_numpy(object), g.p
-            for m in range(1, max_words + 1):
+            for m in range(2, max_words + 1):
                 ok = g.begins(m)
-                for j in range(max(1, m - 1)):
-                    part = live[m > 1]
-                    ok &= part[j:j + len(ok)]
+                for j in range(m - 1):
+                    ok &= live[j:j + len(ok)]
+                if not ok.any():
+                    break  # nothing longer either
                 _, at, f = g.distinct(np.flatnonzero(ok), g.keys(m))
                 last = at + m - 1
                 phrases = [p.bytes[a:b].decode("utf-8", "surrogatepass")
@@ -219,8 +223,20 @@ def count_phrases(dictionary: DataFrame, max_words: int, words, pairs) -> DataFr
     return found.groupBy("lang", "phrase", "m").agg(F.sum("f").alias("f"))
 
 
-def filter_bits(keys: DataFrame) -> bytes:
-    """The bitmap of keys: their places are made distinct and packed segment by segment in
+def word_counts(parts: DataFrame, words: DataFrame) -> DataFrame:
+    """(lang, part, count) of single words (lang, part) from the counts of their keys."""
+
+    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            p = Pieces([_encode(w) for w in pdf.part])
+            yield pdf.assign(key=mix(grams(p.hash(), 1) + _lang_keys(pdf.lang.tolist())).view(np.int64))
+
+    found = parts.mapInPandas(keyed, "lang string, part string, key long").join(words, "key")
+    return found.select("lang", "part", F.col("f").alias("count"))
+
+
+def filter_bits(keys: DataFrame, bits: int) -> bytes:
+    """The bitmap of keys of so many bits: their places are made distinct and packed segment by segment in
     tasks; the driver gets the segments, a fixed size in all."""
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -229,7 +245,7 @@ def filter_bits(keys: DataFrame) -> bytes:
         return pd.DataFrame({"segment": [int(pdf.place.iloc[0]) >> SEGMENT_BITS],
                              "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
-    places = keys.select(F.shiftrightunsigned("key", 64 - FILTER_BITS).alias("place")).distinct()
+    places = keys.select(F.shiftrightunsigned("key", bits - FILTER_BITS).alias("place")).distinct()
     packed = places.groupBy(F.shiftright("place", SEGMENT_BITS).alias("segment")).applyInPandas(
         pack, "segment long, bits binary").toPandas()
     out = np.zeros((1 << FILTER_BITS - SEGMENT_BITS, 1 << SEGMENT_BITS - 3), np.uint8)
@@ -258,15 +274,13 @@ def collocations(docs: DataFrame, min_count: int = 100, max_words: int = 5, top:
     dictionary = cut(parse(rows, max_words - 1), "phrase-dictionary")
     total = dictionary.groupBy("lang").agg(F.sum(F.col("owned") * F.col("weight")).alias("n"))
 
-    def frequent(words: int, known=None):
-        keys = count_keys(dictionary, words, known).where(F.col("f") >= min_count)
-        return spark.sparkContext.broadcast(filter_bits(keys))
-
-    words = frequent(1)
-    pairs = frequent(2, words)
-    every = cut(count_phrases(dictionary, max_words, words, pairs).where(F.col("f") >= min_count), "phrase-frequent")
-    words.unpersist(), pairs.unpersist()
-    long = every.where("m > 1").withColumn("ws", F.split("phrase", " ", -1))
+    words = cut(count_keys(dictionary, 1, 64).where(F.col("f") >= min_count), "phrase-words")
+    known = spark.sparkContext.broadcast(filter_bits(words, 64))
+    pairs = count_keys(dictionary, 2, PAIR_BITS, known).where(F.col("f") >= min_count)
+    pairs = spark.sparkContext.broadcast(filter_bits(pairs, PAIR_BITS))
+    every = cut(count_phrases(dictionary, max_words, pairs).where(F.col("f") >= min_count), "phrase-frequent")
+    known.unpersist(), pairs.unpersist()
+    long = every.withColumn("ws", F.split("phrase", " ", -1))
 
     # A longer phrase holds a shorter one often enough only if one with one word more does.
     inner = long.where("m > 2").select("lang", "f", F.explode(F.array(
@@ -275,7 +289,9 @@ def collocations(docs: DataFrame, min_count: int = 100, max_words: int = 5, top:
     left = long.join(inner, ["lang", "phrase"], "left").where(
         F.col("longer").isNull() | (F.col("longer") * 100 < F.col("f") * percent)).drop("longer")
 
+    single = left.select("lang", F.explode("ws").alias("part")).distinct()
     side = every.select("lang", F.col("phrase").alias("part"), F.col("f").alias("count"))
+    side = cut(side.unionByName(word_counts(single, words)), "phrase-parts")
     cuts = left.select("lang", "phrase", F.col("f").alias("a"), "m", "ws",
                        F.explode(F.sequence(F.lit(1), F.col("m") - 1)).alias("k"))
     cuts = cuts.withColumn("left", F.array_join(F.slice("ws", F.lit(1), F.col("k")), " ")).withColumn(
