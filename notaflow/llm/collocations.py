@@ -36,7 +36,7 @@ FILTER_BITS, SEGMENT_BITS = 26, 17
 #: Bits of the keys by which pairs are counted for the filter.
 PAIR_BITS = 40
 #: Characters of a slice, words hashed at once.
-_SLICE, _BLOCK = 8 << 20, 1 << 17
+_SLICE, _BLOCK = 4 << 20, 1 << 17
 
 _SPACE, _NEWLINE = 32, 10
 #: Byte by byte: A-Z to lower case, tabs to spaces, what ends a piece to a line feed.
