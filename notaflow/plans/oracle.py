@@ -711,6 +711,7 @@ STREAM_KPIS = """SELECT time_bucket(INTERVAL '3 hours', ts, TIMESTAMP '1970-01-0
 FROM events GROUP BY 1, 2"""
 
 ORACLES.update({
+    "stream_resent": "SELECT DISTINCT * EXCLUDE (ts) FROM events",
     "stream_dedup": STREAM_DEDUP,
     "stream_status": STREAM_STATUS,
     "stream_kpis": STREAM_KPIS,

@@ -343,6 +343,23 @@ def q_stream_dedup(spark, sf_dir):
                                        "event_id", "ts", max_files=1)
 
 
+def _resent_events(spark, sf_dir):
+    """The landed events, and every seventh once more in a later file, on another day."""
+    def build(s, d):
+        e = read_table(s, d, "events")
+        late = e.where(F.col("event_id") % 7 == 0).withColumn("ts", F.col("ts") + F.expr("INTERVAL 40 DAYS"))
+        return e.unionByName(late)
+    stored(spark, sf_dir, "events_resent", build, lambda df, path: df.repartitionByRange(5, "ts").write.parquet(path))
+    return _STORED[(spark.sparkContext.applicationId, sf_dir, "events_resent")]
+
+
+def q_stream_resent(spark, sf_dir):
+    """STR-1/STR-4 with ids that come again on another day, in another micro-batch."""
+    out = streaming_jobs.stream_dedup(spark, _resent_events(spark, sf_dir), _events_schema(spark, sf_dir), "*.parquet",
+                                      "event_id", "ts", copies=1, max_files=1)
+    return out.drop("ts")
+
+
 def q_stream_status(spark, sf_dir):
     return streaming_jobs.stream_status(spark, sf_dir, _events_schema(spark, sf_dir), "events.parquet",
                                         "event_type", "value")
@@ -358,6 +375,7 @@ from ..sources.tables import read_table  # noqa: E402
 
 QUERIES.update({
     "stream_dedup": q_stream_dedup,
+    "stream_resent": q_stream_resent,
     "stream_status": q_stream_status,
     "stream_kpis": q_stream_kpis,
 })
@@ -485,16 +503,16 @@ def _landed(spark, sf_dir) -> tuple[str, str]:
         folder = _STORED[(spark.sparkContext.applicationId, sf_dir, "workbooks_landed")]
         schema = spark.read.parquet(folder).schema
         raw, ledger = scratch_path(spark, "landed_raw"), scratch_path(spark, "landed_ledger")
-        for again in (False, True):
+        for _ in range(2):
             stream = streaming_jobs.file_stream(spark, folder, schema, max_files=2)
-            landing.ingest_stream(stream, raw, scratch_path(spark, "landed_ck"), None if again else ledger)
+            landing.ingest_stream(stream, raw, scratch_path(spark, "landed_ck"), ledger)
         _STORED[key] = (raw, ledger)
     return _STORED[key]
 
 
 def q_landed_staging(spark, sf_dir):
     """Workbooks -> ingest stream -> 15-column raw table -> typed staging."""
-    raw = spark.read.parquet(_landed(spark, sf_dir)[0])
+    raw = landing.read_stored(spark, _landed(spark, sf_dir)[0])
     return staging.billing(raw).drop("_ingestion_timestamp", "_ingestion_batch_id")
 
 
@@ -509,7 +527,7 @@ def q_routed_documents(spark, sf_dir):
 
 
 def q_file_ledger(spark, sf_dir):
-    return spark.read.parquet(_landed(spark, sf_dir)[1]).select(
+    return landing.read_stored(spark, _landed(spark, sf_dir)[1]).select(
         "arquivo_nome", "total_abas", "total_linhas", "tipo_arquivo", "status",
         (F.length("arquivo_hash") == 64).alias("tem_hash"), (F.col("tamanho_bytes") > 0).alias("tem_bytes"),
         F.col("erro_mensagem").isNotNull().alias("tem_erro"))
@@ -517,7 +535,7 @@ def q_file_ledger(spark, sf_dir):
 
 def q_run_report(spark, sf_dir):
     """RPT-2 over the ledger that the ingest stream wrote."""
-    return loading.run_report(spark.read.parquet(_landed(spark, sf_dir)[1]))
+    return loading.run_report(landing.read_stored(spark, _landed(spark, sf_dir)[1]))
 
 
 QUERIES.update({"landed_staging": q_landed_staging, "routed_documents": q_routed_documents,

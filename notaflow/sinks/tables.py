@@ -14,9 +14,6 @@ from pyspark.sql.types import StructType
 
 from .. import config as C
 
-#: Tasks over which one partition value's rows are written.
-RAW_SPREAD = 64
-
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table path is there, asked of the path's own file system. Every
@@ -42,20 +39,21 @@ def stamp_raw_defaults(df: DataFrame) -> DataFrame:
 
 def append_raw(df: DataFrame, path: str, partition_by: Sequence[str] = ("arquivo_tipo",)) -> None:
     """SNK-2 / SNK-6: append to the flexible raw table, partitioned for pruning
-    and sorted inside partitions by the clustering keys (cnpj, date). The rows of a
-    file spread over ``RAW_SPREAD`` tasks, so a large file binds none."""
-    spread = F.pmod(F.xxhash64("arquivo_nome", "aba_nome", "linha_original"), F.lit(RAW_SPREAD))
+    and sorted inside partitions by the clustering keys (cnpj, date). Rows are
+    rebalanced by partition: a type with most rows is written by as many tasks as its
+    size asks for."""
     (stamp_raw_defaults(df)
-     .repartition(*[F.col(c) for c in partition_by], spread)
+     .hint("rebalance", *[F.col(c) for c in partition_by])
      .sortWithinPartitions("cnpj", "data_emissao")
      .write.mode("append").partitionBy(*partition_by).parquet(path))
 
 
 def write_routed(docs: DataFrame, base: str) -> None:
     """SNK-3: documents appended to one folder per target table; a type with most rows
-    is written by many tasks."""
-    spread = F.pmod(F.xxhash64("arquivo_nome", "aba_nome", "linha_original"), F.lit(RAW_SPREAD))
-    (docs.repartition("tabela_destino", spread).write.mode("append").partitionBy("tabela_destino").parquet(base))
+    is written by as many tasks as the session shuffles into."""
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.pmod(F.xxhash64("arquivo_nome", "aba_nome", "linha_original"), F.lit(tasks))
+    (docs.hint("rebalance", F.col("tabela_destino"), spread).write.mode("append").partitionBy("tabela_destino").parquet(base))
 
 
 def read_routed(spark: SparkSession, base: str, table: str) -> DataFrame:

@@ -2,9 +2,10 @@
 
 The reference re-reads an overlapping 72-hour window every 3 hours and drops
 rows whose hash is already stored. Here that is a file-source stream whose
-micro-batches are de-duplicated exactly, inside the batch and by a left-anti
-join against the store's partitions of the same days. The store path has no
-watermark, so no row is lost however late or in whatever order files come.
+micro-batches are de-duplicated exactly, inside the batch and against a key index
+beside the store (``sinks/lots.py``), so an id that is sent again on another day is
+stored once. There is no watermark, so no row is lost however late or in whatever
+order files come. Each batch writes under its own name and may run again.
 ``trigger(availableNow=True)`` drains a backlog (the historic backfill) and
 stops; the same checkpoint then serves the incremental runs. Outputs and
 checkpoints live under the shared ``spark.checkpoint.dir``.
@@ -18,6 +19,8 @@ from pyspark.sql.types import StructType
 
 from ..operators import loading
 from ..session import scratch_path
+from ..sinks import lots
+from ..sinks.tables import path_exists
 
 #: Partition column of stores that a stream writes.
 DAY = "dia"
@@ -54,8 +57,8 @@ def stream_dedup(spark: SparkSession, folder: str, schema: StructType, glob: str
         s = s.unionByName(file_stream(spark, folder, schema, glob, max_files))
     s = s.withColumn(DAY, F.to_date(time_col))
     out, ck = scratch_path(spark, "stream_dedup_out"), scratch_path(spark, "stream_dedup_ck")
-    run_available(s, out, ck, foreach=lambda b, i: loading.append_new(b, out, key, DAY))
-    return spark.read.parquet(out).drop(DAY)
+    run_available(s, out, ck, foreach=lambda b, i: lots.append_once(b, out, key, lots.lot_name(ck, i), DAY))
+    return lots.read_store(spark, out, s.schema).drop(DAY)
 
 
 def stream_status(spark: SparkSession, folder: str, schema: StructType, glob: str,
@@ -80,23 +83,27 @@ def stream_kpis(spark: SparkSession, folder: str, schema: StructType, glob: str,
                 user_col: str, value_col: str, window_hours: int = 3, max_files: int | None = None) -> DataFrame:
     """STR-5: live KPIs by tumbling window, with exact distinct users. A micro-batch
     adds its new events to a store partitioned by day and replaces the windows of
-    the days it touched (windows divide a day), so every window is there at once
-    and late events correct it."""
+    the days it added to (windows divide a day), so every window is there at once
+    and late events correct it. An event sent again counts once, on whatever day."""
     if 24 % window_hours:
         raise ValueError("windows must divide a day")
     s = file_stream(spark, folder, schema, glob, max_files).withColumn(DAY, F.to_date(time_col))
     store, out, ck = (scratch_path(spark, f"stream_kpis_{x}") for x in ("store", "out", "ck"))
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        loading.append_new(batch, store, key, DAY)
-        touched = loading.stored_slice(batch, store, DAY).filter(F.col(DAY).isNotNull())
-        kpis = (touched.groupBy(DAY, F.window(F.col(time_col).cast("timestamp"), f"{window_hours} hours").alias("janela"))
+        added = lots.append_once(batch, store, key, lots.lot_name(ck, batch_id), DAY)
+        days = [r[0] for r in added.select(DAY).distinct().collect() if r[0] is not None]  # bounded by the calendar
+        if not days:
+            return
+        kpis = (lots.read_store(spark, store).where(F.col(DAY).isin(days)).groupBy(DAY, F.window(F.col(time_col).cast("timestamp"), f"{window_hours} hours").alias("janela"))
                 .agg(F.count(F.lit(1)).alias("eventos"), F.countDistinct(user_col).alias("usuarios"),
                      F.sum(F.col(value_col).cast("decimal(38,9)")).alias("valor_total")))
         (kpis.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(out))
 
     run_available(s, out, ck, foreach=upsert)
-    return spark.read.parquet(out).select(
+    kpis = spark.read.parquet(out) if path_exists(spark, out) else spark.createDataFrame(
+        [], "janela struct<start: timestamp, end: timestamp>, eventos long, usuarios long, valor_total decimal(38,9)")
+    return kpis.select(
         F.col("janela.start").alias("inicio"), F.col("janela.end").alias("fim"), "eventos", "usuarios",
         F.col("valor_total").cast("double").alias("valor_total"))
 
@@ -119,7 +126,7 @@ def stream_invoice_load(spark: SparkSession, docs_folder: str, docs_schema: Stru
         loading.append_new(notes, store_path, "hash_nfse", loading.MONTH)
         notes.unpersist()
         if quarantine:
-            xml_source.malformed(df).write.mode("append").parquet(quarantine)
+            lots.write_lot(xml_source.malformed(df), quarantine, lots.lot_name(checkpoint, batch_id))
 
     run_available(stream, store_path, checkpoint, foreach=batch)
     return spark.read.parquet(store_path).drop(loading.MONTH)

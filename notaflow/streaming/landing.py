@@ -4,9 +4,11 @@ New workbooks are picked up by a ``binaryFile`` stream; each micro-batch is
 decoded, cleaned and appended to the 15-column flexible raw table, partitioned by
 ingestion date and file type, and the source files are archived by the stream
 itself (``cleanSource=archive``) once the batch that read them is committed.
-Every file leaves a ledger row, bad ones with their error. Replay (the
-reference moves archived files back) is a fresh checkpoint over the archive
-folder; rows already stored are left out, so nothing is duplicated.
+Every file leaves a ledger row, bad ones with their error. Rows and ledger are
+written exactly once (``sinks/lots.py``): a batch that failed half way runs again in
+place of its first attempt. Replay (the reference moves archived files back) is a
+fresh checkpoint over the archive folder; the key index leaves out rows and files
+that are stored already, without reading the table.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ from ..functions.exprs import clean_digits, lenient_date, parse_float, strip_ws
 from ..functions.text import classify_file
 from ..operators import cleaning
 from ..operators.common import settle
-from ..sinks.tables import RAW_SPREAD, path_exists, stamp_raw_defaults
+from ..sinks import lots
+from ..sinks.tables import stamp_raw_defaults
 from ..sources import files
 
 #: Where extracted fields stand in a document, by settled column name; first hit wins.
@@ -32,7 +35,9 @@ RAW_COLS = ("arquivo_nome", "arquivo_tipo", "aba_nome", "dados_json", "cnpj", "d
             "linha_original", "hash_linha", "_ingestion_timestamp", "_ingestion_batch_id", "_source_bucket",
             "_processing_status", "_processing_error")
 ROW_KEY = ["arquivo_nome", "aba_nome", "linha_original", "hash_linha"]
+FILE_KEY = ["arquivo_nome", "arquivo_hash"]
 INGESTION_DATE = "_ingestion_date"
+_KEY = "_chave"
 
 
 def raw_rows(cells: DataFrame, batch_id: str) -> DataFrame:
@@ -78,21 +83,27 @@ def ledger_rows(workbooks: DataFrame, cells: DataFrame) -> DataFrame:
                     "erro_mensagem"))
 
 
+def _keyed(rows: DataFrame, cols: list[str]) -> DataFrame:
+    return rows.withColumn(_KEY, F.sha2(F.to_json(F.struct(*cols)), 256))
+
+
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """The raw table or the ledger that the stream has written."""
+    return lots.read_store(spark, path).drop(_KEY)
+
+
 def ingest_stream(stream: DataFrame, raw_path: str, checkpoint: str, ledger_path: str | None = None) -> None:
     """Drain a stream of workbooks (arquivo_nome, content, data_modificacao) now."""
 
     def batch(df: DataFrame, batch_id: int) -> None:
+        lot = lots.lot_name(checkpoint, batch_id)
         cells = files.decode_workbooks(df).persist()
         rows = raw_rows(cells.filter(F.col("erro").isNull()).drop("erro"), f"lote-{batch_id}")
-        if path_exists(df.sparkSession, raw_path):
-            known = df.sparkSession.read.parquet(raw_path).select(*ROW_KEY)
-            rows = rows.join(known, ROW_KEY, "left_anti")
-        (rows.withColumn(INGESTION_DATE, F.to_date("_ingestion_timestamp"))
-         .repartition("arquivo_tipo", F.pmod(F.xxhash64(*ROW_KEY), F.lit(RAW_SPREAD)))
-         .sortWithinPartitions("cnpj", "data_emissao")
-         .write.mode("append").partitionBy(INGESTION_DATE, "arquivo_tipo").parquet(raw_path))
+        rows = rows.withColumn(INGESTION_DATE, F.to_date("_ingestion_timestamp"))
+        lots.append_once(_keyed(rows, ROW_KEY), raw_path, _KEY, lot, INGESTION_DATE, "arquivo_tipo",
+                         sort_by=("cnpj", "data_emissao"))
         if ledger_path:
-            ledger_rows(df, cells).write.mode("append").parquet(ledger_path)
+            lots.append_once(_keyed(ledger_rows(df, cells), FILE_KEY), ledger_path, _KEY, lot)
         cells.unpersist()
 
     (stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)

@@ -128,11 +128,11 @@ def test_landing_replay_adds_nothing(spark, tmp_path):
     raw, ledger = str(tmp_path / "raw"), str(tmp_path / "ledger")
     for i in range(2):
         landing.ingest_landing(spark, str(folder), raw, str(tmp_path / f"ck{i}"), ledger_path=ledger)
-    got = spark.read.parquet(raw)
+    got = landing.read_stored(spark, raw)
     assert got.count() == 1 and set(landing.RAW_COLS) <= set(got.columns)
     r = staging.billing(got).first()
     assert (r.cnpj, r.data_emissao, r.valor_liquido, r.cliente) == ("11222333000181", dt.date(2008, 1, 5), 12.5, "[ABC] Ltda")
-    led = {r.arquivo_nome: r for r in spark.read.parquet(ledger).collect()}
+    led = {r.arquivo_nome: r for r in landing.read_stored(spark, ledger).collect()}
     assert led["ruim.xlsx"].status == "erro" and led["ruim.xlsx"].erro_mensagem
     assert led["Faturamento 2008.xlsx"].status == "processado" and led["Faturamento 2008.xlsx"].total_linhas == 1
-    assert loading.run_report(spark.read.parquet(ledger)).count() == 2
+    assert loading.run_report(landing.read_stored(spark, ledger)).count() == 2

@@ -83,14 +83,14 @@ def test_landing_stream_archives_and_replays_idempotently(spark, tmp_path):
             {"Aba1": [(0, 0, "CNPJ"), (0, 1, "Cliente"), (1, 0, f"0{i}"), (1, 1, "Ana"), (2, 0, "9"), (2, 1, "Bia")]}))
     raw = str(tmp_path / "raw")
     landing.ingest_landing(spark, str(land), raw, str(tmp_path / "ck1"), archive=str(arch))
-    first = spark.read.parquet(raw)
+    first = landing.read_stored(spark, raw)
     assert first.count() == 4
     assert set(first.select("arquivo_tipo").distinct().toPandas()["arquivo_tipo"]) == {"clientes_atuais"}
     # replay over the archive with a fresh checkpoint adds nothing
     archived = [p for p in arch.rglob("*.xlsx")]
     replay_dir = archived[0].parent if archived else land
     landing.ingest_landing(spark, str(replay_dir), raw, str(tmp_path / "ck2"))
-    assert spark.read.parquet(raw).count() == 4
+    assert landing.read_stored(spark, raw).count() == 4
 
 
 def test_contract_loader_and_schema():
