@@ -433,6 +433,21 @@ SELECT
 FROM cents2
 WHERE l_orderkey % 101 <> 0"""
 
+XML_SALVAGED = "WITH " + BASE + """
+SELECT
+  concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS numero_nfse,
+  CAST(l_shipdate AS DATE) AS data_emissao, cnpj_ AS tomador_cnpj,
+  CASE WHEN cnpj_ IS NULL THEN lpad(CAST(c_custkey AS VARCHAR), 11, '0') END AS tomador_cpf, c_name AS tomador_razao_social,
+  CASE WHEN l_orderkey % 11 = 0 THEN '</CompNfse> <p:' ELSE '' END || 'Servico ' || item_ AS discriminacao,
+  CAST(vl_c AS DOUBLE) / 100 AS valor_liquido,
+  sha256(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)
+         || lpad(CAST((l_orderkey * 31 + l_linenumber * 7) % 1000000000 AS VARCHAR), 9, '0')
+         || strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d')
+         || CASE WHEN l_linenumber % 4 = 0 THEN 'T23:30:00-03:00' WHEN l_linenumber % 2 = 0 THEN 'T10:30:00'
+                 ELSE '' END) AS hash_nfse
+FROM cents2
+QUALIFY l_orderkey % 13 <> 0 OR l_linenumber < max(l_linenumber) OVER (PARTITION BY l_orderkey)"""
+
 XML_QUARANTINE = "WITH " + BASE + """
 SELECT DISTINCT l_orderkey AS documento_id, 'xml malformado' AS erro FROM cents2 WHERE l_orderkey % 101 = 0"""
 
@@ -493,6 +508,7 @@ FROM plan2 p LEFT JOIN counts c ON p.janela = c.janela"""
 ORACLES.update({
     "xml_invoices": XML_INVOICES,
     "xml_quarantine": XML_QUARANTINE,
+    "xml_salvaged": XML_SALVAGED,
     "insert_if_absent": INSERT_IF_ABSENT,
     "coverage_gaps": COVERAGE_GAPS,
 })

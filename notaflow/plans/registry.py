@@ -177,6 +177,26 @@ def q_xml_invoices(spark, sf_dir):
                         for c in inv.columns])
 
 
+def _odd_documents(spark, sf_dir):
+    """The responses with what text cutting gets wrong: every seventh holds a note inside a
+    comment, every eleventh has note tags in CDATA, every thirteenth ends within its last note."""
+    prefix = "(ns2:)?"
+    x, n = F.col("xml"), F.col("documento_id")
+    ghost = "<!-- <CompNfse><Nfse><InfNfse><Numero>0</Numero></InfNfse></Nfse></CompNfse> -->"
+    x = F.when(n % 7 == 0, F.regexp_replace(x, f"<{prefix}ListaNfse>", f"<$1ListaNfse>{ghost}")).otherwise(x)
+    x = F.when(n % 11 == 0, F.regexp_replace(x, f"<{prefix}Discriminacao>([^<]*)<",
+                                             "<$1Discriminacao><![CDATA[</CompNfse> <p:$2]]><")).otherwise(x)
+    x = F.when(n % 13 == 0, F.substring(x, F.lit(1), F.length(x) - 300)).otherwise(x)
+    return xml_documents(spark, sf_dir).select("documento_id", x.alias("xml"))
+
+
+def q_xml_salvaged(spark, sf_dir):
+    """SRC-4: the whole notes of all documents, broken ones too."""
+    inv = xml_source.parse_response_column(_odd_documents(spark, sf_dir), AS_OF, salvage=True)
+    return inv.select("numero_nfse", "data_emissao", "tomador_cnpj", "tomador_cpf", "tomador_razao_social", "discriminacao",
+                      F.col("valor_liquido").cast("double").alias("valor_liquido"), "hash_nfse")
+
+
 def duplicate_batch(spark, sf_dir):
     """Batch with the short note number (order-line): natural duplicates."""
     inv = invoices(spark, sf_dir)
@@ -210,6 +230,7 @@ def q_xml_quarantine(spark, sf_dir):
 
 QUERIES.update({
     "xml_invoices": q_xml_invoices,
+    "xml_salvaged": q_xml_salvaged,
     "xml_quarantine": q_xml_quarantine,
     "insert_if_absent": q_insert_if_absent,
     "coverage_gaps": q_coverage_gaps,

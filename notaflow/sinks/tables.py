@@ -53,7 +53,7 @@ def write_routed(docs: DataFrame, base: str) -> None:
     is written by as many tasks as the session shuffles into."""
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = F.pmod(F.xxhash64("arquivo_nome", "aba_nome", "linha_original"), F.lit(tasks))
-    (docs.hint("rebalance", F.col("tabela_destino"), spread).write.mode("append").partitionBy("tabela_destino").parquet(base))
+    (docs.withColumn("__parte", spread).hint("rebalance", F.col("tabela_destino"), F.col("__parte")).drop("__parte").write.mode("append").partitionBy("tabela_destino").parquet(base))
 
 
 def read_routed(spark: SparkSession, base: str, table: str) -> DataFrame:

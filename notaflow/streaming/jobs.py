@@ -110,23 +110,25 @@ def stream_kpis(spark: SparkSession, folder: str, schema: StructType, glob: str,
 
 def stream_invoice_load(spark: SparkSession, docs_folder: str, docs_schema: StructType, as_of: str,
                         store_path: str, checkpoint: str, max_files: int | None = None,
-                        quarantine: str | None = None) -> DataFrame:
+                        quarantine: str | None = None, salvage: bool = False) -> DataFrame:
     """STR-2/STR-4 for invoices: landed XML response documents are read as a
     file stream, parsed per micro-batch and appended with insert-if-absent
     (hash de-dup inside the batch, left-anti against the store across
     batches and replays); documents that do not parse go to the ``quarantine``
-    path. No watermark, so no late note is dropped; the same
+    path (``salvage``: their whole notes are kept). No watermark, so no late note is dropped; the same
     checkpoint serves the backfill and later incremental runs."""
     from ..sources import xml as xml_source
 
     stream = file_stream(spark, docs_folder, docs_schema, max_files=max_files)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        notes = xml_source.parse_response_column(df, as_of).select("*", loading.issue_month()).persist()
+        scanned = xml_source.scan_responses(df).persist()  # each document is read once
+        notes = xml_source.notes_of(scanned, as_of, salvage=salvage).select("*", loading.issue_month())
         loading.append_new(notes, store_path, "hash_nfse", loading.MONTH)
-        notes.unpersist()
         if quarantine:
-            lots.write_lot(xml_source.malformed(df), quarantine, lots.lot_name(checkpoint, batch_id))
+            bad = scanned.where(F.col("_corrupt_record").isNotNull()).drop("notas")
+            lots.write_lot(bad, quarantine, lots.lot_name(checkpoint, batch_id))
+        scanned.unpersist()
 
     run_available(stream, store_path, checkpoint, foreach=batch)
     return spark.read.parquet(store_path).drop(loading.MONTH)

@@ -30,6 +30,33 @@ def test_xml_response_parsing(spark):
     assert b["tomador_cnpj"] == "11222333000181" and b["tomador_endereco"] == "Rua A"
 
 
+NOTE = "<CompNfse><Nfse><InfNfse><Numero>{}</Numero><Servico><Discriminacao>{}</Discriminacao></Servico></InfNfse></Nfse></CompNfse>"
+
+
+def test_xml_structure_is_read_not_cut(spark):
+    """Notes in comments are none, tags in CDATA are text, and a broken document keeps its whole notes on request."""
+    rows = [(1, "<R><!-- " + NOTE.format(1, "x") + " -->" + NOTE.format(2, "a &amp; b") + "</R>"),
+            (2, "<R>" + NOTE.format(3, "<![CDATA[a </CompNfse> <p:b>]]> c") + "</R>"),
+            (3, "<R>" + NOTE.format(4, "x") + NOTE.format(5, "y") + NOTE.format(6, "z")[:-30]),
+            (4, "<R>" + NOTE.format(7, "x") + "<CompNfse><Outro/></CompNfse></S>"), (5, None),
+            (6, '<!DOCTYPE R [<!ENTITY a "b">]><R>' + NOTE.format(8, "&a;") + "</R>"),
+            (7, "<R><CompNfse><Nfse><Numero>9</Numero></Nfse></CompNfse><x:CompNfse><x:Nfse><x:InfNfse><x:Numero> 10 </x:Numero>"
+                "<Numero>11</Numero><Outro><Numero>12</Numero></Outro></x:InfNfse></x:Nfse></x:CompNfse></R>")]
+    docs = spark.createDataFrame(rows, "id int, xml string")
+    strict = {r.numero_nfse: r.discriminacao for r in xml.parse_response_column(docs, "2024-01-01").collect()}
+    assert strict == {"2": "a & b", "3": "a </CompNfse> <p:b> c", "10": None}
+    kept = {r.numero_nfse for r in xml.parse_response_column(docs, "2024-01-01", salvage=True).collect()}
+    assert kept == {"2", "3", "4", "5", "7", "10"}
+    bad = {r.id: r._corrupt_record for r in xml.malformed(docs).collect()}
+    assert set(bad) == {3, 4, 5, 6} and all(bad.values())
+
+
+def test_documents_are_read_once(spark):
+    docs = spark.createDataFrame([(1, "<R/>")], "id int, xml string")
+    plan = xml.parse_response_column(docs, "2024-01-01")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_workbook_round_trip_and_listing(spark, tmp_path):
     content = files.build_workbook({"Aba1": [(0, 0, "Nota Fiscal nº"), (0, 1, " Cliente\n"), (1, 0, "1"),
                                              (1, 1, "Ana & Bia"), (3, 1, "x")],
