@@ -141,10 +141,15 @@ class Trainer:
         da[r, c] -= 1
         db[r, m] -= 1
         dh = (da @ p["A"].T + db @ p["B"].T) * (1 - h * h)
-        du, de = np.zeros_like(p["U"]), np.zeros_like(p["E"])
-        np.add.at(du, c, db)
-        for j in range(near.shape[1]):
-            np.add.at(de[j], near[:, j], dh)
+        du, de = np.zeros((n, CLASSES), np.float32), np.zeros_like(p["E"])
+        du[r, c] = 1
+        du = du.T @ db
+        # Rows of one embedding are added up side by side: sorted by (position, token).
+        row = (near + np.arange(near.shape[1]) * (VOCABULARY + 1)).ravel().astype(np.uint16)
+        order = np.argsort(row, kind="stable")
+        row = row[order]
+        first = np.flatnonzero(np.diff(row, prepend=row[:1] + 1))
+        de.reshape(-1, DIM)[row[first]] = np.add.reduceat(dh[order // near.shape[1]], first, axis=0)
         for k, g in (("A", h.T @ da), ("a0", da.sum(0)), ("B", h.T @ db), ("U", du), ("E", de), ("b", dh.sum(0))):
             g = g / np.float32(n) * np.float32(32)
             self.seen[k] += g * g
@@ -220,54 +225,52 @@ def positions(lens: list[int], shift: int, stride: int) -> np.ndarray:
     return np.flatnonzero(within % stride == shift % stride)
 
 
+def _texts_of(tokens: bytes, lens: bytes) -> list[np.ndarray]:
+    """The documents of a numbered slice."""
+    ids, n = np.frombuffer(tokens, np.uint16), np.frombuffer(lens, np.int64)
+    return np.split(ids, np.cumsum(n)[:-1]) if len(n) else []
+
+
 def train(rows: DataFrame, frequent: np.ndarray, flat: np.ndarray, rounds: int, stride: int) -> np.ndarray:
+    return train_numbered(number_words(rows, frequent, 1).where("shard < 0"), flat, rounds, stride)
+
+
+def train_numbered(numbered: DataFrame, flat: np.ndarray, rounds: int, stride: int) -> np.ndarray:
+    """The model after ``rounds`` over numbered slices (tokens, lens)."""
     for r in range(rounds):
         def learn(batches: Iterator[pd.DataFrame], base=flat, shift=r) -> Iterator[pd.DataFrame]:
             from pyspark import TaskContext
-            number, model = Numbered(frequent), Trainer(base)
-            for pdf in slices(batches, budget=1 << 20):
-                ids = number(pdf.text.tolist())
-                tokens, near = contexts(ids)
-                pick = positions([len(x) for x in ids], shift, stride)
-                for i in range(0, len(pick), BATCH):
-                    part = pick[i:i + BATCH]
-                    model.step(tokens[part], near[part])
+            model = Trainer(base)
+            for pdf in batches:
+                for t, n in zip(pdf.tokens, pdf.lens):
+                    ids = _texts_of(t, n)
+                    tokens, near = contexts(ids)
+                    pick = positions([len(x) for x in ids], shift, stride)
+                    for i in range(0, len(pick), BATCH):
+                        part = pick[i:i + BATCH]
+                        model.step(tokens[part], near[part])
             if model.tokens:
                 yield pd.DataFrame({"k": [TaskContext.get().partitionId()], "tokens": [model.tokens],
                                     "flat": [model.flat.tobytes()]})
 
-        merged = _merge(rows.mapInPandas(learn, "k long, tokens long, flat binary"))
+        merged = _merge(numbered.select("tokens", "lens").mapInPandas(learn, "k long, tokens long, flat binary"))
         flat = flat if merged is None else merged
     return flat
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS,
-          stride: int | None = None) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_tokens, log_prob (sum over all tokens
-    of the whole text, 0 without words), mean_log_prob (null without words).
-
-    Null texts are empty; repeated rows train and score each; a null id is kept;
-    an empty table gives no rows; other columns are ignored. ``stride``: default
-    ``rounds``, so that every position trains once.
-    """
-    rows = texts(docs, id_col, text_col)
-    stride = max(1, rounds) if stride is None else stride
-    counted = word_counts(rows)
-    frequent, counts = vocabulary(rows, counted)
-    flat = train(rows, frequent, start(counts), rounds, stride)
-    shards = max(16, int(counts.sum()) // SHARD_TOKENS)
+def number_words(rows: DataFrame, frequent: np.ndarray, shards: int) -> DataFrame:
+    """The texts as numbers, written once for all rounds and the scoring: a row for each
+    slice (shard -1: token ids of 16 bits, documents, places of the words in buckets)
+    and one for each shard of word counts that the slice asks (``words``: hashes)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """A row for each slice (its documents, scored up to their buckets) and for each shard it asks."""
         from pyspark import TaskContext
-        number, p, words = Numbered(frequent), unpack(flat), HashedWords(lower=True)
+        number, words = Numbered(frequent), HashedWords(lower=True)
         name = TaskContext.get().partitionId() << 32
         for pdf in slices(batches, budget=1 << 20):
             h, _, lens = words(pdf.text.tolist())
             tokens = number.number(h)
             rare = tokens >= FREQUENT
-            each = log_probabilities(p, *contexts(np.split(tokens, np.cumsum(lens)[:-1])))
-            each[rare] -= np.log(counts[tokens[rare]])
             doc = np.repeat(np.arange(len(lens)), lens)
             distinct, at = np.unique(h[rare], return_inverse=True)
             ends = np.searchsorted(shard_of(distinct, shards), np.arange(shards + 1))
@@ -275,18 +278,53 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
             null = pdf.doc_id.isna().to_numpy(bool)
             home = (name, -1, at.astype(np.int32).tobytes(), pdf.doc_id.fillna(0).to_numpy(np.int64).tobytes(), null.tobytes(),
                     lens.astype(np.int64).tobytes(), np.bincount(doc[rare], minlength=len(lens)).astype(np.int64).tobytes(),
-                    np.bincount(doc, weights=each, minlength=len(lens)).tobytes())
+                    tokens.astype(np.uint16).tobytes())
             yield pd.DataFrame([home, *[(*x, *[None] * 5) for x in asked]],
-                               columns=["slice", "shard", "words", "ids", "null", "lens", "rare", "total"])
+                               columns=["slice", "shard", "words", "ids", "null", "lens", "rare", "tokens"])
             name += 1
 
-    scored = cut(rows.mapInPandas(run, "slice long, shard int, words binary, ids binary, null binary, lens binary, "
-                                       "rare binary, total binary"), "lm-scored")
+    return cut(rows.mapInPandas(run, "slice long, shard int, words binary, ids binary, null binary, lens binary, "
+                                     "rare binary, tokens binary"), "lm-numbered")
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS,
+          stride: int | None = None) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_tokens, log_prob (sum over all tokens
+    of the whole text, 0 without words), mean_log_prob (null without words).
+
+    Null texts are empty; repeated rows train and score each; a null id is kept;
+    an empty table gives no rows; other columns are ignored. ``stride``: default
+    ``rounds``, so that every position trains once.
+    """
+    rows = texts(docs, id_col, text_col)
+    stride = max(1, rounds) if stride is None else stride
+    counted = word_counts(rows)
+    frequent, counts = vocabulary(rows, counted)
+    shards = max(16, int(counts.sum()) // SHARD_TOKENS)
+    asked = number_words(rows, frequent, shards)
+    numbered = asked.where("shard < 0").drop("shard")
+    flat = train_numbered(numbered, start(counts), rounds, stride)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Each slice with the sums of its documents, scored up to their buckets."""
+        p, share = unpack(flat), np.log(np.maximum(counts, 1))
+        share[:FREQUENT] = 0
+        for pdf in batches:
+            total = []
+            for t, n in zip(pdf.tokens, pdf.lens):
+                ids, lens = _texts_of(t, n), np.frombuffer(n, np.int64)
+                tokens, near = contexts(ids)
+                each = log_probabilities(p, tokens, near) - share[tokens]
+                total.append(np.bincount(np.repeat(np.arange(len(lens)), lens), weights=each, minlength=len(lens)).tobytes())
+            yield pdf.drop(columns="tokens").assign(total=total)
+
+    scored = numbered.mapInPandas(run, "slice long, words binary, ids binary, null binary, lens binary, rare binary, "
+                                       "total binary")
     shard = F.shiftright(F.shiftrightunsigned("w", 32) * F.lit(shards).cast("long"), 32).cast("int")
     replies = (counted.withColumn("shard", shard).groupBy("shard")
-               .cogroup(scored.where("shard >= 0").select("slice", "shard", "words").groupBy("shard"))
+               .cogroup(asked.where("shard >= 0").select("slice", "shard", "words").groupBy("shard"))
                .applyInPandas(reply, "slice long, shard int, logs binary"))
-    return (scored.where("shard < 0").drop("shard").groupBy("slice").cogroup(replies.groupBy("slice"))
+    return (scored.groupBy("slice").cogroup(replies.groupBy("slice"))
             .applyInPandas(add_up, "doc_id long, n_tokens long, log_prob double, mean_log_prob double"))
 
 

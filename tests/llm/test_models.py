@@ -74,6 +74,27 @@ def test_gradient_by_differences():
     assert pseudo_lm.log_probabilities(t.p, tokens, near).mean() > before + 0.5
 
 
+def test_step_follows_the_gradient():
+    """The first step's direction is that of differences of the likelihood, for every kind of parameter."""
+    rng = np.random.default_rng(3)
+    flat = pseudo_lm.start(rng.random(pseudo_lm.VOCABULARY)).astype(np.float32)
+    tokens, near = pseudo_lm.contexts([rng.integers(0, 40, 300) * 25, rng.integers(0, 40, 9) * 25])
+    t = pseudo_lm.Trainer(flat)
+    t.step(tokens, near)
+    moved, at = t.flat - flat, 0
+    for name, shape in pseudo_lm.SHAPES.items():
+        n = int(np.prod(shape))
+        for i in at + np.argsort(-abs(moved[at:at + n]))[:4]:
+            up, down = flat.astype(np.float64), flat.astype(np.float64)
+            up[i] += 1e-4
+            down[i] -= 1e-4
+            slope = (pseudo_lm.log_probabilities(pseudo_lm.unpack(up), tokens, near).sum()
+                     - pseudo_lm.log_probabilities(pseudo_lm.unpack(down), tokens, near).sum()) / 2e-4
+            g = slope / len(tokens) * 32  # Adagrad: the step of one gradient from a sum of squares of 0.1
+            assert abs(moved[i] - pseudo_lm.RATE * g / np.sqrt(0.1 + g * g)) < 2e-3, (name, i)
+        at += n
+
+
 def test_training_beats_unigram(spark):
     """Trained on even documents, the network predicts odd ones better than frequencies do."""
     rows = table(spark, SF, "documents").select("doc_id", "text")
