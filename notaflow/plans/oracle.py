@@ -446,7 +446,7 @@ SELECT
          || CASE WHEN l_linenumber % 4 = 0 THEN 'T23:30:00-03:00' WHEN l_linenumber % 2 = 0 THEN 'T10:30:00'
                  ELSE '' END) AS hash_nfse
 FROM cents2
-QUALIFY l_orderkey % 13 <> 0 OR l_linenumber < max(l_linenumber) OVER (PARTITION BY l_orderkey)"""
+QUALIFY l_orderkey % 13 <> 0 OR row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, numero_nfse || '<' DESC) > 1"""
 
 XML_QUARANTINE = "WITH " + BASE + """
 SELECT DISTINCT l_orderkey AS documento_id, 'xml malformado' AS erro FROM cents2 WHERE l_orderkey % 101 = 0"""
