@@ -96,6 +96,52 @@ def test_nothing_else_is_dropped(page, expected):
     assert html_consensus.Page(page).text([]) == expected
 
 
+@pytest.mark.parametrize("inner,kept", [
+    ("<div style='overflow:hidden'><p>Here.</p></div>", "Here."), ("<p>See <a href='/hidden-gems'>our gems</a> now.</p>", "See our gems now."),
+    ("<p>On <a href='/p?id=share'>this page</a>.</p>", "On this page."), ("<section title='hidden costs'><p>Costs.</p></section>", "Costs."),
+    ("<section data-class='ads' data-id=comments><p>Data.</p></section>", "Data."), ("<div hidden><p>Gone.</p></div>", ""),
+    ("<div HIDDEN=''><p>Gone.</p></div>", ""), ("<div role='search'>Gone</div>", ""), ("<div title='a > b' class=\"ads\">Gone</div>", ""),
+    ("<div class='post-header'><p>Kept.</p></div>", "Kept."), ("<div id='content-sidebar-wrap'><p>Kept.</p></div>", "Kept."),
+    ("<div class='related-work'><p>Kept.</p></div>", "Kept."), ("<div class='comments-open w-1/2'><p>Kept.</p></div>", "Kept."),
+    *[(f"<div class='{c}'><p>Gone.</p></div>", "") for c in (
+        "ad-slot", "google-ads", "adsbygoogle", "user-comments", "commentlist", "comments-section", "disqus_thread",
+        "social-share-buttons", "related-posts", "article-comments", "content-ad", "post-share", "main-menu")]])
+def test_boilerplate_by_name(inner, kept):
+    page = f"<body class='single comments-open'><article><p>First block.</p>{inner}<p>Last block.</p></article></body>"
+    assert html_consensus.Page(page).text([]) == "\n".join(filter(None, ["First block.", kept, "Last block."]))
+
+
+@pytest.mark.parametrize("page,expected", [
+    ("<main><h1>Head</h1><p>Lead.</p><article><p>The article itself is longer.</p></article></main>",
+     "Head\nLead.\nThe article itself is longer."),
+    ("<main><div><article><p>The article itself is longer.</p></article></div></main><p>Outside.</p>", "The article itself is longer."),
+    ("<body><p>Outside.</p><article><div><p>The article itself is longer.</p></div><p>End.</p></article></body>",
+     "The article itself is longer.\nEnd."),
+])
+def test_out_to_main(page, expected):
+    assert html_consensus.Page(page).text([]) == expected
+
+
+@pytest.mark.parametrize("page,words", [
+    ("<div class=a>" * 100_000 + "deep words", 2), ("<script" * 150_000, None), ("<a \"" * 250_000, None),
+    ("<span>w</i> " * 80_000, 80_000), ("<i><div>w</i></b>" * 60_000, None), ("<a \">\" " * 100_000 + "\"", None), ("<a x=\"\" " * 100_000 + ">", 0),
+    ("<div>w</div>" * 80_000, 80_000), ("<!-- " * 200_000, 0), ("</p" * 300_000, None), ("<p>w" * 250_000, 250_000),
+])
+def test_odd_pages_take_linear_time(page, words):
+    """Open, unclosed, stray and unbalanced tags by the megabyte."""
+    import time
+    import tracemalloc
+    began = time.process_time()
+    found = html_consensus.Page(page)
+    path, text = found.path(found.best()), found.text([])
+    assert time.process_time() - began < 10 and len(path) < 50_000  # seconds here, hours if it grew with the square
+    assert words is None or len(text.split()) == words
+    tracemalloc.start()
+    html_consensus.Page(page[:200_000])
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+
+
 def test_consensus_outvotes_a_noisy_page(spark):
     """One page has a longer box elsewhere; its host's pages agree on the article path."""
     good = f"<body><div class='story-7'>{BODY}</div><div class='extra'><p>Short.</p></div></body>"
