@@ -108,15 +108,19 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
 
     Vectors that are null or hold null or non-finite components, and null ids,
     take no part. Shorter vectors count as 0 in the dimensions they lack; empty
-    ones score 0. Queries of one id and vector are answered once; repeated rows
+    ones score 0. Of queries of one id the smallest vector is asked; repeated rows
     of ``vectors`` are candidates each. Empty tables give no rows.
     """
-    asked, n_blocks = _blocks(usable(queries, id_col, vec_col).dropDuplicates(["id"]), QUERY_BLOCK, "b")
+    asked = usable(queries, id_col, vec_col).groupBy("id").agg(F.min("v").alias("v"))
+    asked, n_blocks = _blocks(asked, QUERY_BLOCK, "b")
     asked = asked.select("b", F.col("n").alias("qn"), F.col("dims").alias("qdims"),
                          F.col("ids").alias("qids"), F.col("matrix").alias("qmatrix"))
-    shards, _ = _blocks(usable(vectors, id_col, vec_col), shard_rows, "shard")
-    # Every shard meets every block of the stated query set.
-    pairs = shards.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).join(asked, "b")
+    shards, n_shards = _blocks(usable(vectors, id_col, vec_col), shard_rows, "shard")
+    # Every shard meets every block of the stated query set, dealt pair by pair.
+    keys, tasks = ["shard", "b"], min(n_shards * n_blocks, 10_000)
+    shards = shards.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))))
+    pairs = shards.repartition(tasks, *keys).join(asked.repartition(tasks, *keys), keys)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
