@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .. import config as C
 from .exprs import col, strip_ws
 
-# FIXED VALUES — Latin letters with a canonical (NFD) decomposition and their
-# base letters, used to drop combining marks as Unicode NFD would.
-ACCENTED = "áàâãäåéèêëíìîïóòôõöúùûüýÿçñÁÀÂÃÄÅÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÝÇÑ"
-UNACCENTED = "aaaaaaeeeeiiiiooooouuuuyycnAAAAAAEEEEIIIIOOOOOUUUUYCN"
-
 # FIXED VALUES — header character replacements, in the order they apply.
 HEADER_REPLACEMENTS = (
     (".", "_"), ("º", "_num"), ("ª", "_a"), (" ", "_"), ("/", "_"), ("-", "_"),
@@ -30,12 +29,23 @@ def classify_file(name) -> Column:
             .otherwise(F.lit(C.TYPE_FALLBACK)))
 
 
+def unaccented(text: Column) -> Column:
+    """Unicode decomposition (NFD) without the marks that it sets apart, in any script. For
+    headers, which are few: SQL has no such function."""
+
+    def strip_marks(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else "".join(
+            c for c in unicodedata.normalize("NFD", t) if unicodedata.category(c) != "Mn"))
+
+    return F.pandas_udf(strip_marks, StringType())(text)
+
+
 def normalize_header(header, index) -> Column:
     """CLN-2: header text -> column name (steps in the reference's order)."""
     h = strip_ws(F.coalesce(col(header), F.lit("")))
     h = F.replace(F.replace(F.replace(h, F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit("")),
                   F.lit("  "), F.lit(" "))
-    h = F.translate(h, ACCENTED, UNACCENTED)
+    h = unaccented(h)
     for old, new in HEADER_REPLACEMENTS:
         h = F.replace(h, F.lit(old), F.lit(new))
     h = F.when(h.rlike("^[0-9]"), F.concat(F.lit("col_"), h)).otherwise(h)

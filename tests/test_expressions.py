@@ -81,3 +81,14 @@ def test_round_half_away(spark):
     df = spark.createDataFrame([(1.005,), (-2.5,), (2.675,)], "v double")
     got = [r[0] for r in df.select(X.round_half_away(F.col("v"), 2)).collect()]
     assert got == [1.0, -2.5, 2.68]  # 1.005 is 1.00499999... in binary
+
+
+def test_header_marks_of_any_script(spark):
+    """Decomposition, not a table of accents: the rule of the standard library."""
+    import unicodedata
+    names = ["Ação", "Ñandú Ǎ", "ệ ở ż", "Ångström", "й й", "été", "ﬁ ß ø", "ガ", "Número Nº", ""]
+    df = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "h string, i int")
+    got = [r[0] for r in df.select(T.unaccented(F.col("h"))).collect()]
+    assert got == ["".join(c for c in unicodedata.normalize("NFD", n) if unicodedata.category(c) != "Mn") for n in names]
+    named = [r[0] for r in df.select(T.normalize_header(F.col("h"), F.col("i"))).collect()]
+    assert named[:2] == ["Acao", "Nandu_A"] and named[2] == "e_o_z" and named[8] == "Numero_N_num" and named[9] == "coluna_9"
