@@ -731,6 +731,7 @@ ORACLES.update({
     "stream_dedup": STREAM_DEDUP,
     "stream_status": STREAM_STATUS,
     "stream_kpis": STREAM_KPIS,
+    "stream_kpis_merged": f"SELECT inicio, fim, eventos, true AS usuarios_proximos, valor_total FROM ({STREAM_KPIS})",
 })
 
 

@@ -392,9 +392,21 @@ def q_stream_kpis(spark, sf_dir):
     return _wall_clock(out, "inicio", "fim")
 
 
+def q_stream_kpis_merged(spark, sf_dir):
+    """STR-5 from mergeable partial windows; whether the users' estimate is within 5 %."""
+    out = streaming_jobs.stream_kpis_merged(spark, _landed_events(spark, sf_dir), _events_schema(spark, sf_dir), "*.parquet",
+                                            "event_id", "ts", "user_id", "value", max_files=1)
+    exact = read_table(spark, sf_dir, "events").groupBy(F.window(F.col("ts").cast("timestamp"), "3 hours").alias("j")).agg(
+        F.countDistinct("user_id").alias("exatos")).select(F.col("j.start").alias("inicio"), "exatos")
+    near = F.abs(F.col("usuarios") - F.col("exatos")) <= F.greatest(F.lit(1), F.col("exatos") * 0.05)
+    out = out.join(exact, "inicio").select("inicio", "fim", "eventos", near.alias("usuarios_proximos"), "valor_total")
+    return _wall_clock(out, "inicio", "fim")
+
+
 from ..sources.tables import read_table  # noqa: E402
 
 QUERIES.update({
+    "stream_kpis_merged": q_stream_kpis_merged,
     "stream_dedup": q_stream_dedup,
     "stream_resent": q_stream_resent,
     "stream_status": q_stream_status,

@@ -125,3 +125,29 @@ def test_landing_batch_that_fails_half_way(spark, tmp_path, monkeypatch):
     assert landing.read_stored(spark, raw).count() == 2 and landing.read_stored(spark, ledger).count() == 2
     landing.ingest_landing(spark, str(folder), raw, checkpoint + "2", ledger_path=ledger)  # a replay, with its ledger
     assert landing.read_stored(spark, raw).count() == 2 and landing.read_stored(spark, ledger).count() == 2
+
+
+def test_merged_windows_equal_recomputed_ones(spark, tmp_path):
+    """Counts and sums exactly, users by the sketch's bound, whatever file an event comes in or comes again in."""
+    rows = spark.range(600).select("id", (F.lit("2024-01-01").cast("timestamp") + F.make_interval(mins=(F.col("id") * 7).cast("int")))
+                                   .alias("ts"), (F.col("id") % 37).cast("string").alias("u"), (F.col("id") * 0.25).alias("v"))
+    again = rows.where("id % 5 = 0").withColumn("ts", F.col("ts") + F.expr("INTERVAL 9 DAYS"))
+    folder = str(tmp_path / "in")
+    rows.unionByName(again).repartitionByRange(3, "ts").write.parquet(folder)
+    # One micro-batch holds both rows of an id: the smaller row, the earlier one, stays in either job.
+    got = jobs.stream_kpis_merged(spark, folder, rows.schema, "*.parquet", "id", "ts", "u", "v").collect()
+    want = rows.groupBy(F.window("ts", "3 hours").alias("w")).agg(
+        F.count("*").alias("n"), F.countDistinct("u").alias("u"), F.sum("v").alias("v")).collect()
+    assert {(r.inicio, r.eventos, r.usuarios, r.valor_total) for r in got} == {(r.w.start, r.n, r.u, r.v) for r in want}
+    split = jobs.stream_kpis_merged(spark, folder, rows.schema, "*.parquet", "id", "ts", "u", "v", max_files=1).collect()
+    assert sum(r.eventos for r in split) == 600 and sum(r.valor_total for r in split) == sum(r.v for r in want)
+
+
+def test_status_merges_the_batches_sums(spark, tmp_path):
+    rows = spark.range(100).selectExpr("id", "cast(id % 3 AS string) AS t", "cast(id AS double) AS v")
+    folder = str(tmp_path / "in")
+    rows.repartitionByRange(4, "id").write.parquet(folder)
+    for n in (None, 1):
+        got = jobs.stream_status(spark, folder, rows.schema, "*.parquet", "t", "v", max_files=n).collect()
+        assert {(r.t, r.total_linhas, r.valor_total) for r in got} == {
+            (str(k), len(range(k, 100, 3)), float(sum(range(k, 100, 3)))) for k in range(3)}
