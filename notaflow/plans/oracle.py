@@ -729,6 +729,7 @@ FROM events GROUP BY 1, 2"""
 ORACLES.update({
     "stream_resent": "SELECT DISTINCT * EXCLUDE (ts) FROM events",
     "stream_dedup": STREAM_DEDUP,
+    "stream_dedup_state": STREAM_DEDUP,
     "stream_status": STREAM_STATUS,
     "stream_kpis": STREAM_KPIS,
     "stream_kpis_merged": f"SELECT inicio, fim, eventos, true AS usuarios_proximos, valor_total FROM ({STREAM_KPIS})",

@@ -381,6 +381,13 @@ def q_stream_resent(spark, sf_dir):
     return out.drop("ts")
 
 
+def q_stream_dedup_state(spark, sf_dir):
+    """STR-1 on keyed state with a watermark, the late rows' table included; as ``q_stream_dedup``."""
+    out, _ = streaming_jobs.stream_dedup_state(spark, _landed_events(spark, sf_dir), _events_schema(spark, sf_dir),
+                                               "*.parquet", "event_id", "ts", max_files=1)
+    return out
+
+
 def q_stream_status(spark, sf_dir):
     return streaming_jobs.stream_status(spark, sf_dir, _events_schema(spark, sf_dir), "events.parquet",
                                         "event_type", "value")
@@ -408,6 +415,7 @@ from ..sources.tables import read_table  # noqa: E402
 QUERIES.update({
     "stream_kpis_merged": q_stream_kpis_merged,
     "stream_dedup": q_stream_dedup,
+    "stream_dedup_state": q_stream_dedup_state,
     "stream_resent": q_stream_resent,
     "stream_status": q_stream_status,
     "stream_kpis": q_stream_kpis,

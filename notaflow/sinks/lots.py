@@ -16,7 +16,7 @@ next one. One writer at a time.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -176,9 +176,10 @@ def _holds_rows(spark: SparkSession, path: str, lot: str) -> bool:
     return False
 
 
-def read_store(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """All rows that ``append_once`` has stored; before the first, an empty table of ``schema``."""
-    lots = [x for x in committed(spark, f"{path}/dados") if _holds_rows(spark, path, x)]
+def read_store(spark: SparkSession, path: str, schema=None, only: Callable[[str], bool] = lambda lot: True) -> DataFrame:
+    """All rows that ``append_once`` has stored (``only``: in some batches); before the
+    first, an empty table of ``schema``."""
+    lots = [x for x in committed(spark, f"{path}/dados") if only(x) and _holds_rows(spark, path, x)]
     return read_lots(spark, f"{path}/dados", lots) if lots else spark.createDataFrame([], schema)
 
 

@@ -4,8 +4,10 @@ The reference re-reads an overlapping 72-hour window every 3 hours and drops
 rows whose hash is already stored. Here that is a file-source stream whose
 micro-batches are de-duplicated exactly, inside the batch and against a key index
 beside the store (``sinks/lots.py``), so an id that is sent again on another day is
-stored once. There is no watermark, so no row is lost however late or in whatever
-order files come. Each batch writes under its own name and may run again.
+stored once. Those jobs have no watermark, so no row is lost however late or in whatever
+order files come; ``stream_dedup_state`` keeps recent ids in Spark's state store instead
+and gives what the watermark drops a table of its own. Each batch writes under its own
+name and may run again.
 ``trigger(availableNow=True)`` drains a backlog (the historic backfill) and
 stops; the same checkpoint then serves the incremental runs. Outputs and
 checkpoints live under the shared ``spark.checkpoint.dir``.
@@ -61,6 +63,71 @@ def stream_dedup(spark: SparkSession, folder: str, schema: StructType, glob: str
     return lots.read_store(spark, out, s.schema).drop(DAY)
 
 
+#: Event time and the mark of rows that the state let pass, while a batch is under way.
+_WHEN, _PASSED = "__quando", "__passou"
+
+
+def state_dedup(stream: DataFrame, store: str, checkpoint: str, key: str, time_col: str, delay: str = "72 hours") -> None:
+    """STR-1 on keyed state: drain ``stream`` into ``store``, one row per key.
+
+    ``dropDuplicatesWithinWatermark`` holds the keys of the last ``delay`` in the state
+    store, so a row sent again within it is dropped without reading what is stored. What
+    comes later than the watermark, which Spark drops uncounted, goes to the late lots of
+    the same store (``late_rows``) if its key is not stored yet; so do rows without a
+    time. The same micro-batch holds every row beside those that passed: of the others
+    only rows not after the newest time of earlier batches less ``delay`` can have been
+    dropped as late, and only those are looked up in the key index.
+
+    Stored rows are one per key for any order and split of files, if rows of one key
+    have one time; a key that comes again more than ``delay`` after its first time, and
+    before the watermark passes that, is a new row (``stream_dedup`` stores it once).
+    Empty batches leave the store as it is. At scale the session should keep state in
+    RocksDB (``spark.sql.streaming.stateStore.providerClass``, set by ``get_spark``)."""
+    rows = stream.withColumn(_WHEN, F.col(time_col).cast("timestamp")).withColumn(DAY, F.to_date(time_col))
+    passed = (rows.where(F.col(_WHEN).isNotNull()).withWatermark(_WHEN, delay)
+              .dropDuplicatesWithinWatermark([key]).withColumn(_PASSED, F.lit(True)))
+    both = rows.withColumn(_PASSED, F.lit(False)).unionByName(passed)
+
+    def batch(b: DataFrame, batch_id: int) -> None:
+        spark, lot = b.sparkSession, lots.lot_name(checkpoint, batch_id)
+        b = b.persist()  # the state is updated once
+        out = b.where(_PASSED).drop(_WHEN, _PASSED)
+        lots.write_lot(out.hint("rebalance", F.col(DAY)), f"{store}/dados", lot, DAY)
+        before = [x for x in lots.committed(spark, f"{store}/limites") if x != lot]
+        newest = lots.read_lots(spark, f"{store}/limites", before).agg(F.max("ate")).first()[0] if before else None
+        lots.write_lot(b.agg(F.max(_WHEN).alias("ate")), f"{store}/limites", lot)
+        late = F.col(_WHEN).isNull()
+        if newest is not None:
+            late = late | (F.col(_WHEN) <= F.lit(newest) - F.expr(f"INTERVAL {delay}"))
+        rest = b.where(~F.col(_PASSED) & late).drop(_WHEN, _PASSED)
+        lots.append_once(rest, store, key, lots.lot_name(_late(checkpoint), batch_id), DAY)
+        b.unpersist()
+
+    run_available(both, store, checkpoint, foreach=batch)
+
+
+def _late(checkpoint: str) -> str:
+    return f"{checkpoint}/atrasados"
+
+
+def late_rows(spark: SparkSession, store: str, checkpoint: str, schema: StructType) -> DataFrame:
+    """What ``state_dedup`` has stored of rows later than the watermark, or without a time."""
+    mine = lots.lot_name(_late(checkpoint), 0).rsplit("-", 1)[0]
+    return lots.read_store(spark, store, schema, lambda x: x.startswith(f"{mine}-")).drop(DAY)
+
+
+def stream_dedup_state(spark: SparkSession, folder: str, schema: StructType, glob: str, key: str, time_col: str,
+                       delay: str = "72 hours", copies: int = 2, max_files: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``state_dedup`` over a file stream read ``copies`` times; (all that is stored, the late ones of it)."""
+    s = file_stream(spark, folder, schema, glob, max_files)
+    for _ in range(copies - 1):
+        s = s.unionByName(file_stream(spark, folder, schema, glob, max_files))
+    store, ck = scratch_path(spark, "stream_state_out"), scratch_path(spark, "stream_state_ck")
+    state_dedup(s, store, ck, key, time_col, delay)
+    with_day = s.withColumn(DAY, F.to_date(time_col)).schema
+    return lots.read_store(spark, store, with_day).drop(DAY), late_rows(spark, store, ck, with_day)
+
+
 def stream_status(spark: SparkSession, folder: str, schema: StructType, glob: str,
                   group_col: str, value_col: str, max_files: int | None = None) -> DataFrame:
     """STR-6: running counts and sums per group. A micro-batch writes its own partial sums
