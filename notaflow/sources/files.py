@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import io
+import itertools
 import re
 import zipfile
 from collections.abc import Iterator
@@ -74,82 +75,132 @@ def _date_styles(z: zipfile.ZipFile) -> set[int]:
     return out
 
 
-def decode_workbook(name: str, content: bytes) -> list[tuple]:
-    """One workbook -> cells. A sheet that fails is skipped; a file that
-    fails yields one row with ``erro`` set (type 'erro' downstream)."""
-    rows: list[tuple] = []
+#: A sheet whose XML is larger than this is read twice, once to see that it is whole.
+SHEET_IN_MEMORY = 8 << 20
+#: Cells that leave a worker at a time.
+CELLS_PER_BATCH = 50_000
+
+
+def _tag(name: str) -> str:
+    return f"{{{_NS['m']}}}{name}"
+
+
+def _texts(node) -> str:
+    return "".join(t.text or "" for t in node.iter(_tag("t")))
+
+
+def _shared_strings(z: zipfile.ZipFile) -> list[str]:
+    """The workbook's string table, one entry in memory at a time but for its text."""
+    try:
+        part = z.open("xl/sharedStrings.xml")
+    except KeyError:
+        return []
+    out = []
+    with part:
+        for _, node in ET.iterparse(part):
+            if node.tag == _tag("si"):
+                out.append(_texts(node))
+                node.clear()
+    return out
+
+
+def _placed(part) -> Iterator[tuple]:
+    """(row, column, cell) of a sheet's XML as it is read; a row is forgotten once it is done.
+    References are optional in the format; a cell or row without one follows the one before it."""
+    row, col, data, inside = -1, -1, None, False
+    for event, node in ET.iterparse(part, ("start", "end")):
+        if event == "start":
+            if node.tag == _tag("sheetData"):
+                data = node
+            elif node.tag == _tag("row") and data is not None:
+                row, col, inside = (int(node.get("r")) - 1 if node.get("r") else row + 1), -1, True
+        elif node.tag == _tag("c") and inside:
+            ref = node.get("r")
+            col = _col_index(ref) if ref else col + 1
+            yield (int(re.search(r"[0-9]+", ref).group(0)) - 1 if ref else row), col, node
+        elif node.tag == _tag("row") and inside:
+            inside = False
+            data.clear()
+        elif node.tag == _tag("sheetData"):
+            data = None
+
+
+def _sheet_cells(part, shared: list[str], dates: set[int], epoch: _dt.datetime) -> Iterator[tuple[int, int, str]]:
+    for row, col, c in _placed(part):
+        t = c.get("t", "n")
+        v = c.find("m:v", _NS)
+        if t == "inlineStr":
+            text = _texts(c)
+        elif v is None:
+            continue
+        elif t == "s":
+            text = shared[int(v.text)]
+        elif t == "b":
+            text = "True" if v.text == "1" else "False"
+        elif t in ("str", "e"):
+            text = v.text or ""
+        elif int(c.get("s", "0")) in dates:
+            text = (epoch + _dt.timedelta(days=float(v.text))).strftime("%Y-%m-%d %H:%M:%S")
+        else:
+            text = _number_text(v.text)
+        yield row, col, text
+
+
+def workbook_cells(name: str, content: bytes) -> Iterator[tuple]:
+    """One workbook -> cells, read row by row, so a sheet of any length takes little
+    memory (only the string table is held). A sheet that fails is skipped whole and a file
+    that fails yields one row with ``erro`` set (type 'erro' downstream)."""
     try:
         z = zipfile.ZipFile(io.BytesIO(content))
         wb = ET.fromstring(z.read("xl/workbook.xml"))
         rels = ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))
         targets = {r.get("Id"): r.get("Target") for r in rels.iterfind("pr:Relationship", _NS)}
-        try:
-            sst = ET.fromstring(z.read("xl/sharedStrings.xml"))
-            shared = ["".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t"))
-                      for si in sst.iterfind("m:si", _NS)]
-        except KeyError:
-            shared = []
-        dates = _date_styles(z)
+        shared, dates = _shared_strings(z), _date_styles(z)
         pr = wb.find("m:workbookPr", _NS)
         epoch = _dt.datetime(1904, 1, 1) if pr is not None and pr.get("date1904") in ("1", "true") else _EPOCH
     except Exception as e:  # noqa: BLE001
-        return [(name, None, None, None, None, f"{type(e).__name__}: {e}")]
+        yield name, None, None, None, None, f"{type(e).__name__}: {e}"
+        return
     for sh in wb.iterfind("m:sheets/m:sheet", _NS):
         sheet = sh.get("name")
+
+        def read(found: str) -> Iterator[tuple]:
+            with z.open(found) as part:
+                yield from _sheet_cells(part, shared, dates, epoch)
+
         try:
             target = targets[sh.get(f"{{{_NS['r']}}}id")].lstrip("/")
-            part = target if target.startswith("xl/") else "xl/" + target
-            root = ET.fromstring(z.read(part))
-            out = []
-            for row, col, c in _placed(root):
-                t = c.get("t", "n")
-                v = c.find("m:v", _NS)
-                if t == "inlineStr":
-                    text = "".join(x.text or "" for x in c.iter(f"{{{_NS['m']}}}t"))
-                elif v is None:
-                    continue
-                elif t == "s":
-                    text = shared[int(v.text)]
-                elif t == "b":
-                    text = "True" if v.text == "1" else "False"
-                elif t in ("str", "e"):
-                    text = v.text or ""
-                elif int(c.get("s", "0")) in dates:
-                    text = (epoch + _dt.timedelta(days=float(v.text))).strftime("%Y-%m-%d %H:%M:%S")
-                else:
-                    text = _number_text(v.text)
-                out.append((name, sheet, row, col, text, None))
-            rows.extend(out)
+            found = target if target.startswith("xl/") else "xl/" + target
+            if z.getinfo(found).file_size <= SHEET_IN_MEMORY:
+                cells = list(read(found))
+            else:
+                for _ in read(found):  # fails here, before any cell has left
+                    pass
+                cells = read(found)
         except Exception as e:  # noqa: BLE001 — a bad sheet is skipped, with its error on record
-            rows.append((name, sheet, None, None, None, f"{type(e).__name__}: {e}"))
-    return rows
-
-
-def _placed(root) -> Iterator[tuple]:
-    """(row, column, cell): references are optional in the format; a cell or row
-    without one follows the one before it."""
-    row = -1
-    for r in root.iterfind("m:sheetData/m:row", _NS):
-        row = int(r.get("r")) - 1 if r.get("r") else row + 1
-        col = -1
-        for c in r.iterfind("m:c", _NS):
-            ref = c.get("r")
-            col = _col_index(ref) if ref else col + 1
-            yield (int(re.search(r"[0-9]+", ref).group(0)) - 1 if ref else row), col, c
+            yield name, sheet, None, None, None, f"{type(e).__name__}: {e}"
+            continue
+        for row, col, text in cells:
+            yield name, sheet, row, col, text, None
+
+
+def decode_workbook(name: str, content: bytes) -> list[tuple]:
+    """All cells of one workbook (``workbook_cells``)."""
+    return list(workbook_cells(name, content))
 
 
 def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     cols = ["arquivo_nome", "aba_nome", "linha", "coluna", "valor", "erro"]
     for pdf in batches:
         for name, content in zip(pdf["arquivo_nome"], pdf["content"]):
-            rows = decode_workbook(name, bytes(content))
-            if rows:
+            cells = workbook_cells(name, bytes(content))
+            while rows := list(itertools.islice(cells, CELLS_PER_BATCH)):
                 yield pd.DataFrame(rows, columns=cols).astype({"linha": "Int64", "coluna": "Int32"})
 
 
 def decode_workbooks(files: DataFrame) -> DataFrame:
     """SRC-3: (arquivo_nome, content) -> long cells, one workbook per record, decoded one
-    by one. An Arrow batch of workbooks is bounded by bytes
+    by one and row by row. An Arrow batch of workbooks is bounded by bytes
     (``spark.sql.execution.arrow.maxBytesPerBatch``, 64 MB by default), in any session."""
     return files.select("arquivo_nome", "content").mapInPandas(_decode_batches, CELLS_SCHEMA)
 
