@@ -970,6 +970,33 @@ s AS (
 )
 SELECT * FROM s WHERE cnpj IS NOT NULL AND data_emissao IS NOT NULL AND valor_liquido IS NOT NULL"""
 
+_DROPS = "WITH " + CELLS + f""",
+fmt AS (
+  SELECT DISTINCT arquivo_nome, aba_nome,
+    ['csv', 'jsonl', 'xlsx'][(CAST(regexp_extract(arquivo_nome, '([0-9]+)\\.xlsx$', 1) AS INTEGER) + CAST(substr(aba_nome, 4, 1) AS INTEGER)) % 3 + 1] AS f
+  FROM cells
+),
+lines AS (
+  SELECT arquivo_nome, aba_nome, linha, ROW_NUMBER() OVER (PARTITION BY arquivo_nome, aba_nome ORDER BY linha) AS n
+  FROM (SELECT DISTINCT arquivo_nome, aba_nome, linha FROM cells WHERE linha > 0)
+)"""
+
+ORACLES["landed_drops"] = _DROPS + f""",
+docs AS (
+  SELECT arquivo_nome, aba_nome, linha, max(CASE WHEN coluna_nome = 'CNPJ' THEN valor END) AS cnpj_,
+    CAST(to_json(map_from_entries(list(struct_pack(k := coluna_nome, v := valor) ORDER BY coluna_nome))) AS VARCHAR) AS dados_json
+  FROM clean GROUP BY 1, 2, 3
+)
+SELECT CASE f WHEN 'xlsx' THEN d.arquivo_nome ELSE replace(d.arquivo_nome, '.xlsx', ' ' || d.aba_nome || '.' || f) END AS arquivo_nome,
+  {_class_sql('d.arquivo_nome')} AS arquivo_tipo, dados_json, CASE f WHEN 'xlsx' THEN d.linha ELSE n END AS linha_original,
+  sha256(dados_json) AS hash_linha, nullif(regexp_replace(cnpj_, '[^0-9]', '', 'g'), '') AS cnpj, 'processed' AS _processing_status
+FROM docs d JOIN fmt USING (arquivo_nome, aba_nome) JOIN lines USING (arquivo_nome, aba_nome, linha)"""
+
+ORACLES["drops_quarantine"] = _DROPS + """
+SELECT replace(arquivo_nome, '.xlsx', ' ' || aba_nome || '.' || f) AS arquivo_nome, MAX(n) + 1 AS linha, '"aberta' AS texto,
+  CASE f WHEN 'csv' THEN 'aspas sem par' ELSE 'linha sem objeto JSON' END AS erro
+FROM fmt JOIN lines USING (arquivo_nome, aba_nome) WHERE f <> 'xlsx' GROUP BY arquivo_nome, aba_nome, f"""
+
 _LEDGER = "WITH " + CELLS + f""",
 f AS (
   SELECT arquivo_nome, COUNT(DISTINCT aba_nome) AS total_abas,

@@ -18,8 +18,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 _STORED: dict = {}
 
 
-def stored(spark: SparkSession, sf_dir: str, name: str, build, write) -> DataFrame:
-    """A table the ingest jobs leave behind, built once per session from the
+def stored_path(spark: SparkSession, sf_dir: str, name: str, build, write) -> str:
+    """Where what the ingest jobs leave behind lies, built once per session from the
     whole test tables and written under the shared checkpoint folder."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
@@ -28,7 +28,12 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build, write) -> DataFra
         write(build(spark, sf_dir), path)
         delete_at_exit(spark, path)
         _STORED[key] = path
-    return spark.read.parquet(_STORED[key])
+    return _STORED[key]
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build, write) -> DataFrame:
+    """``stored_path`` as a table."""
+    return spark.read.parquet(stored_path(spark, sf_dir, name, build, write))
 
 
 def _write_invoices(df: DataFrame, path: str) -> None:
@@ -518,6 +523,8 @@ QUERIES["workbook_cells"] = q_workbook_cells
 
 
 # ---------------------------------------------------------------- landing folder -> raw -> staging
+from ..sinks import lots  # noqa: E402
+from ..sources import drops as drop_source  # noqa: E402
 from ..streaming import landing  # noqa: E402
 
 BAD_WORKBOOK = "corrompido "
@@ -579,6 +586,75 @@ def q_run_report(spark, sf_dir):
     return loading.run_report(landing.read_stored(spark, _landed(spark, sf_dir)[1]))
 
 
+#: The formats that sheets land in by number, and a line that none of them can read.
+DROP_FORMATS = ("csv", "jsonl", "xlsx")
+BAD_LINE = '"aberta'
+
+
+def _drop_cells(spark, sf_dir) -> DataFrame:
+    """The sheets' cells with the format each sheet lands in; a text file holds one sheet."""
+    c = cells(spark, sf_dir)
+    number = F.regexp_extract("arquivo_nome", r"([0-9]+)\.xlsx$", 1).cast("int") + F.substring("aba_nome", 4, 1).cast("int")
+    c = c.withColumn("formato", F.element_at(F.array(*[F.lit(f) for f in DROP_FORMATS]), number % 3 + 1))
+    stem = F.concat(F.regexp_replace("arquivo_nome", r"\.xlsx$", " "), "aba_nome", F.lit("."), "formato")
+    return c.withColumn("arquivo_nome", F.when(F.col("formato") == "xlsx", F.col("arquivo_nome")).otherwise(stem))
+
+
+def _drop_lines(spark, sf_dir, kind: str) -> DataFrame:
+    """(arquivo_nome, linha, value): the sheets of a format as lines of text, a bad line after the last."""
+    c = _drop_cells(spark, sf_dir).where(F.col("formato") == kind)
+    if kind == "jsonl":  # keys are the settled names, since an object can't hold one twice
+        names = cleaning.settled_headers(c).select("arquivo_nome", "coluna", "nome")
+        c = c.where("linha > 0").join(names, ["arquivo_nome", "coluna"])
+        pairs = F.map_from_entries(F.collect_list(F.when(F.col("valor").isNotNull(), F.struct("nome", "valor"))))
+        lines = c.groupBy("arquivo_nome", "linha").agg(F.to_json(pairs).alias("value"))
+    else:
+        text = F.replace(F.coalesce("valor", F.lit("")), F.lit("\n"), F.lit(" "))  # a record is a line
+        field = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+        sorted_fields = F.array_sort(F.collect_list(F.struct("coluna", field.alias("t"))))
+        lines = c.groupBy("arquivo_nome", "linha").agg(F.array_join(F.transform(sorted_fields, lambda x: x["t"]), ";").alias("value"))
+    last = lines.groupBy("arquivo_nome").agg((F.max("linha") + 1).alias("linha"), F.lit(BAD_LINE).alias("value"))
+    return lines.unionByName(last)
+
+
+def _write_lines(df: DataFrame, path: str) -> None:
+    """One file of text per name, its lines in order."""
+    df.repartition("arquivo_nome").sortWithinPartitions("arquivo_nome", "linha").select("arquivo_nome", "value") \
+        .write.partitionBy("arquivo_nome").text(path)
+
+
+def _drops_landed(spark, sf_dir) -> tuple[str, str]:
+    """(raw table, bad lines) after files of three formats went through their ingest streams."""
+    key = (spark.sparkContext.applicationId, sf_dir, "drops_landed")
+    if key not in _STORED:
+        from ..session import scratch_path
+        raw, bad = scratch_path(spark, "drops_raw"), scratch_path(spark, "drops_bad")
+        for kind in ("csv", "jsonl"):
+            folder = stored_path(spark, sf_dir, f"drops_{kind}", lambda s, d, k=kind: _drop_lines(s, d, k), _write_lines)
+            reader = spark.readStream.schema("value string, arquivo_nome string")
+            landing.ingest_text_stream(drop_source.text_lines(reader, folder), kind, raw, scratch_path(spark, "drops_ck"), bad)
+        sheets = _drop_cells(spark, sf_dir).where(F.col("formato") == "xlsx").drop("formato")
+        folder = stored_path(spark, sf_dir, "drops_xlsx", lambda s, d: file_source.workbooks_from_cells(sheets).withColumn(
+            "data_modificacao", F.lit("2001-11-01 00:00:00").cast("timestamp")), _write_plain)
+        stream = streaming_jobs.file_stream(spark, folder, spark.read.parquet(folder).schema)
+        landing.ingest_stream(stream, raw, scratch_path(spark, "drops_ck"))
+        _STORED[key] = (raw, bad)
+    return _STORED[key]
+
+
+def q_landed_drops(spark, sf_dir):
+    """CSV, JSON-lines and workbook drops in one raw table."""
+    raw = landing.read_stored(spark, _drops_landed(spark, sf_dir)[0])
+    return raw.select("arquivo_nome", "arquivo_tipo", "dados_json", "linha_original", "hash_linha", "cnpj", "_processing_status")
+
+
+def q_drops_quarantine(spark, sf_dir):
+    """The lines of text drops that did not parse."""
+    path = _drops_landed(spark, sf_dir)[1]
+    return lots.read_lots(spark, path, lots.committed(spark, path))
+
+
+QUERIES.update({"landed_drops": q_landed_drops, "drops_quarantine": q_drops_quarantine})
 QUERIES.update({"landed_staging": q_landed_staging, "routed_documents": q_routed_documents,
                 "file_ledger": q_file_ledger, "run_report": q_run_report})
 

@@ -23,7 +23,7 @@ from ..operators import cleaning
 from ..operators.common import settle
 from ..sinks import lots
 from ..sinks.tables import stamp_raw_defaults
-from ..sources import files
+from ..sources import drops, files
 
 #: Where extracted fields stand in a document, by settled column name; first hit wins.
 EXTRACT_CNPJ = ("cnpj", "CNPJ")
@@ -92,16 +92,38 @@ def read_stored(spark: SparkSession, path: str) -> DataFrame:
     return lots.read_store(spark, path).drop(_KEY)
 
 
+def store_cells(cells: DataFrame, raw_path: str, lot: str, batch_id: str) -> None:
+    """The good cells' rows into the raw table, once each."""
+    rows = raw_rows(cells.filter(F.col("erro").isNull()).drop("erro"), batch_id)
+    rows = rows.withColumn(INGESTION_DATE, F.to_date("_ingestion_timestamp"))
+    lots.append_once(_keyed(rows, ROW_KEY), raw_path, _KEY, lot, INGESTION_DATE, "arquivo_tipo",
+                     sort_by=("cnpj", "data_emissao"))
+
+
+def ingest_text_stream(lines: DataFrame, kind: str, raw_path: str, checkpoint: str, bad_path: str | None = None) -> None:
+    """Drain a stream of text lines (``drops.text_lines``) of CSV or JSON-lines files (``kind``:
+    'csv', 'jsonl') into the raw table that workbooks go to; bad lines to ``bad_path``."""
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        lot = lots.lot_name(checkpoint, batch_id)
+        cells = drops.READERS[kind](df).persist()
+        store_cells(cells, raw_path, lot, f"lote-{batch_id}")
+        if bad_path:
+            bad = cells.where(F.col("erro").isNotNull()).select("arquivo_nome", "linha", F.col("valor").alias("texto"), "erro")
+            lots.write_lot(bad, bad_path, lot)
+        cells.unpersist()
+
+    (lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
+     .trigger(availableNow=True).start().awaitTermination())
+
+
 def ingest_stream(stream: DataFrame, raw_path: str, checkpoint: str, ledger_path: str | None = None) -> None:
     """Drain a stream of workbooks (arquivo_nome, content, data_modificacao) now."""
 
     def batch(df: DataFrame, batch_id: int) -> None:
         lot = lots.lot_name(checkpoint, batch_id)
         cells = files.decode_workbooks(df).persist()
-        rows = raw_rows(cells.filter(F.col("erro").isNull()).drop("erro"), f"lote-{batch_id}")
-        rows = rows.withColumn(INGESTION_DATE, F.to_date("_ingestion_timestamp"))
-        lots.append_once(_keyed(rows, ROW_KEY), raw_path, _KEY, lot, INGESTION_DATE, "arquivo_tipo",
-                         sort_by=("cnpj", "data_emissao"))
+        store_cells(cells, raw_path, lot, f"lote-{batch_id}")
         if ledger_path:
             lots.append_once(_keyed(ledger_rows(df, cells), FILE_KEY), ledger_path, _KEY, lot)
         cells.unpersist()
