@@ -600,6 +600,26 @@ WHERE cnpj NOT IN (SELECT cnpj FROM e WHERE situacao_cadastral IS NOT NULL)
 ORDER BY COALESCE(faturamento_total, 0) DESC, cnpj
 LIMIT 150"""
 
+def _validation_days_sql(days: int) -> str:
+    """Each day's lot from the lots before it."""
+    out, sofar = "", "SELECT NULL::VARCHAR AS cnpj, NULL::DATE AS data_tentativa WHERE false"
+    for i in range(1, days + 1):
+        out += f""",
+a{i} AS (SELECT cnpj, COUNT(*) AS n, MAX(data_tentativa) AS ultima FROM ({sofar}) GROUP BY cnpj),
+d{i} AS (
+  SELECT p.cnpj, DATE '2024-03-0{i}' AS data_tentativa, COALESCE(n, 0) + 1 AS tentativa
+  FROM pend p LEFT JOIN a{i} a ON a.cnpj = p.cnpj
+  WHERE n IS NULL OR (right(p.cnpj, 1) NOT IN ('0', '2', '4', '6', '8') AND ultima + CAST(LEAST(pow(2, n - 1), 30) AS INTEGER) <= DATE '2024-03-0{i}')
+  ORDER BY COALESCE(n, 0), COALESCE(faturamento_total, 0) DESC, p.cnpj LIMIT 150)"""
+        sofar += f" UNION ALL SELECT cnpj, data_tentativa FROM d{i}"
+    every = " UNION ALL ".join(f"SELECT * FROM d{i}" for i in range(1, days + 1))
+    return "WITH " + DIM + """,
+pend AS (SELECT cnpj, faturamento_total FROM dim WHERE cnpj NOT IN (SELECT cnpj FROM e WHERE situacao_cadastral IS NOT NULL))""" + out + f"""
+SELECT *, CASE WHEN right(cnpj, 1) IN ('0', '2', '4', '6', '8') THEN 'ATIVA' END AS situacao_cadastral FROM ({every})"""
+
+
+VALIDATION_DAYS = _validation_days_sql(3)
+
 UNPIVOT_TAXES = "WITH " + INV + """,
 t AS (
   SELECT numero_nfse, 'PIS' AS tipo_tributo, valor_pis AS valor FROM inv
@@ -707,6 +727,7 @@ ORACLES.update({
     "cnpj_valid": CNPJ_VALID,
     "cpf_valid": CPF_VALID,
     "pending_validation": PENDING_VALIDATION,
+    "validation_days": VALIDATION_DAYS,
     "contract_checks": CONTRACT_CHECKS,
     "unpivot_taxes": UNPIVOT_TAXES,
     "orphan_taxes": ORPHAN_TAXES,

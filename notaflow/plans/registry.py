@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import config as C
 from ..operators import views
+from ..sinks import lots
 from ..sources import adapter
 
 AS_OF = C.ADAPTER_AS_OF
@@ -275,6 +276,25 @@ def q_pending_validation(spark, sf_dir):
                                       lot=_C.RULES.daily_validation_lot)
 
 
+VALIDATION_DAYS = ("2024-03-01", "2024-03-02", "2024-03-03")
+
+
+def q_validation_days(spark, sf_dir):
+    """VAL-3 over three days with a ledger of attempts; the registry answers for numbers that end evenly."""
+    from ..session import scratch_path
+    dim, companies = _dim(spark, sf_dir), marts.latest_companies(staging.companies(_raw(spark, sf_dir)))
+    ledger = scratch_path(spark, "tentativas")
+
+    def look_up(asked: DataFrame) -> DataFrame:
+        even = F.substring("cnpj", -1, 1).isin("0", "2", "4", "6", "8")
+        found = dim.where(even).select("cnpj", F.lit("ATIVA").alias("situacao_cadastral"))
+        return asked.join(found, "cnpj", "left")
+
+    for day in VALIDATION_DAYS:
+        quality.run_validation_day(dim, companies, ledger, day, look_up, _C.RULES.daily_validation_lot)
+    return lots.read_lots(spark, ledger, lots.committed(spark, ledger), quality.ATTEMPTS)
+
+
 NF_REQUIRED = ("id", "numero_nfse", "codigo_verificacao", "data_emissao", "status_nfse", "prestador_cnpj",
                "prestador_razao_social", "valor_servicos", "valor_liquido_nfse", "data_processamento",
                "data_criacao")
@@ -338,6 +358,7 @@ QUERIES.update({
     "cnpj_valid": q_cnpj_valid,
     "cpf_valid": q_cpf_valid,
     "pending_validation": q_pending_validation,
+    "validation_days": q_validation_days,
     "contract_checks": q_contract_checks,
     "contract_quarantine": q_contract_quarantine,
     "unpivot_taxes": q_unpivot_taxes,
@@ -523,7 +544,6 @@ QUERIES["workbook_cells"] = q_workbook_cells
 
 
 # ---------------------------------------------------------------- landing folder -> raw -> staging
-from ..sinks import lots  # noqa: E402
 from ..sources import drops as drop_source  # noqa: E402
 from ..streaming import landing  # noqa: E402
 
