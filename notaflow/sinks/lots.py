@@ -96,9 +96,12 @@ def bloom_blocks(keys: DataFrame, key: str) -> DataFrame:
     return places.groupBy("bloco").agg(F.bitmap_construct_agg("p").alias("bits"))
 
 
-def maybe_known(rows: DataFrame, blocks: DataFrame, key: str) -> DataFrame:
-    """``rows`` with ``__talvez``: False where the filter proves that the key is not stored."""
+def maybe_known(rows: DataFrame, blocks: DataFrame, key: str, in_place: bool = False) -> DataFrame:
+    """``rows`` with ``__talvez``: False where the filter proves that the key is not stored.
+    ``in_place``: the rows stay where they are and the filter goes to them (BLOCKS blocks
+    of 4 KB, whatever the number of keys)."""
     merged = blocks.groupBy(F.col("bloco").alias("__bloco")).agg(F.bitmap_or_agg("bits").alias("__bits"))
+    merged = F.broadcast(merged) if in_place else merged
     hit = F.col("__bits").isNotNull()
     for p in _places(key):
         hit = hit & _bit("__bits", p)
