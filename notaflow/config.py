@@ -154,3 +154,6 @@ class Rules:
 
 
 RULES = Rules()
+
+#: The raw table's document as a Variant, where it is written with one.
+VARIANT_COLUMN = "documento"

@@ -160,6 +160,26 @@ def document_value(m: Column, key: str) -> Column:
     return F.try_element_at(m, F.lit(key))
 
 
+def document_variant(document) -> Column:
+    """A JSON document as a Variant. One that holds a key twice is none; its scalars are
+    taken, of a key's values the first. What is no JSON gives NULL."""
+    m = document_scalars(document)
+    first = F.map_from_entries(F.transform(F.array_distinct(F.map_keys(m)), lambda k: F.struct(k, F.element_at(m, k))))
+    return F.coalesce(F.try_parse_json(col(document)), F.when(m.isNotNull(), F.to_variant_object(first)))
+
+
+def variant_value(v: Column, key: str) -> Column:
+    """JSON_VALUE semantics over a Variant: scalars as text (numbers without trailing
+    zeros), NULL for objects and arrays. Nesting is known by type: text that looks like an
+    object stays text."""
+    path = f"$['{key}']"
+    text = F.try_variant_get(v, path, "string")
+    opens = F.coalesce(F.substring(text, 1, 1).isin("{", "["), F.lit(False))
+    nested = (F.try_variant_get(v, path, "map<string,variant>").isNotNull()
+              | F.try_variant_get(v, path, "array<variant>").isNotNull())
+    return F.when(~(opens & nested), text)
+
+
 def check_digits_ok(digits: Column, length: int, w1: Sequence[int], w2: Sequence[int]) -> Column:
     """Mod-11 check digits as pure column arithmetic (CNPJ / CPF)."""
     d = digits

@@ -1061,3 +1061,13 @@ SELECT * EXCLUDE (rn) FROM (
     valor_deducoes, valor_pis, valor_cofins, valor_inss, valor_ir, valor_csll, valor_iss, valor_liquido,
     discriminacao, item_lista_servico, data_processamento, origem_consulta) AS rn
   FROM (""" + XML_INVOICES + """)) WHERE rn = 1"""
+
+# ------------------------------------------------------------- layouts
+ORACLES["staging_variant"] = STAGING_BILLING
+ORACLES["companies_variant"] = STAGING_COMPANIES
+ORACLES["clustered_invoices"] = "WITH " + INV + """
+SELECT numero_nfse, tomador_cnpj, data_emissao, CAST(valor_liquido AS DOUBLE) AS valor_liquido FROM inv"""
+ORACLES["customer_months"] = "WITH " + DIM + """
+SELECT d.cliente_key, d.cnpj, d.status_cliente, d.segmento_valor, year(b.data_emissao) AS ano, month(b.data_emissao) AS mes,
+  COUNT(*) AS total_notas, CAST(SUM(CAST(b.valor_liquido AS DECIMAL(38,9))) AS DOUBLE) AS faturamento_total
+FROM stg_billing b JOIN dim d ON b.cnpj = d.cnpj WHERE b.cnpj <> '' GROUP BY ALL"""

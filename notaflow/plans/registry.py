@@ -679,6 +679,68 @@ QUERIES.update({"landed_staging": q_landed_staging, "routed_documents": q_routed
                 "file_ledger": q_file_ledger, "run_report": q_run_report})
 
 
+# ---------------------------------------------------------------- layouts (SNK-2, SNK-6)
+from ..sinks.tables import interleaved_layout, write_bucketed  # noqa: E402
+
+
+def _raw_variant(spark, sf_dir):
+    """The flexible raw table with its documents as Variants, parsed as they are ingested."""
+    return stored(spark, sf_dir, "raw_variant", adapter.raw_documents, lambda df, path: append_raw(df, path, variant=True))
+
+
+def q_staging_variant(spark, sf_dir):
+    return _wall_clock(staging.billing(_raw_variant(spark, sf_dir)), "_ingestion_timestamp")
+
+
+def q_companies_variant(spark, sf_dir):
+    return _wall_clock(staging.companies(_raw_variant(spark, sf_dir)), "_ingestion_timestamp")
+
+
+def _write_interleaved(df: DataFrame, path: str) -> None:
+    interleaved_layout(df, ("tomador_cnpj", "data_emissao")).write.parquet(path)
+
+
+def clustered_invoices(spark, sf_dir):
+    """The note table in Z-order of taker and date: a look-up by either skips files."""
+    return stored(spark, sf_dir, "nfse_agrupada", lambda s, d: invoices(s, d), _write_interleaved)
+
+
+def q_clustered_invoices(spark, sf_dir):
+    inv = clustered_invoices(spark, sf_dir)
+    return inv.select("numero_nfse", "tomador_cnpj", "data_emissao", F.col("valor_liquido").cast("double").alias("valor_liquido"))
+
+
+#: Buckets of the customer tables, equal so that they join in place.
+CUSTOMER_BUCKETS = 32
+
+
+def _bucketed(spark, sf_dir, name: str, build) -> DataFrame:
+    """A bucketed table by customer, built once per session; its catalog name is the folder's."""
+    path = stored_path(spark, sf_dir, name, build, lambda df, p: write_bucketed(
+        df, p.rsplit("/", 1)[1].replace("-", "_"), p, "cnpj", CUSTOMER_BUCKETS))
+    return spark.table(path.rsplit("/", 1)[1].replace("-", "_"))
+
+
+def _monthly(spark, sf_dir):
+    """Billing by customer and month: no customer has more rows than the calendar has months."""
+    b = _billing(spark, sf_dir).where("cnpj <> ''")
+    return b.groupBy("cnpj", F.year("data_emissao").cast("bigint").alias("ano"), F.month("data_emissao").cast("bigint").alias("mes")).agg(
+        F.count(F.lit(1)).alias("total_notas"), F.sum(marts.exact("valor_liquido")).alias("soma"))
+
+
+def customer_months(spark, sf_dir):
+    """Dimension and monthly billing joined bucket by bucket, without an exchange."""
+    dim = _bucketed(spark, sf_dir, "clientes_em_baldes", lambda s, d: _dim(s, d))
+    months = _bucketed(spark, sf_dir, "meses_em_baldes", _monthly)
+    j = months.hint("merge").join(dim.select("cnpj", "cliente_key", "status_cliente", "segmento_valor"), "cnpj")
+    return j.select("cliente_key", "cnpj", "status_cliente", "segmento_valor", "ano", "mes", "total_notas",
+                    F.col("soma").cast("double").alias("faturamento_total"))
+
+
+QUERIES.update({"staging_variant": q_staging_variant, "companies_variant": q_companies_variant,
+                "clustered_invoices": q_clustered_invoices, "customer_months": customer_months})
+
+
 # ---------------------------------------------------------------- load report / views
 def q_load_report(spark, sf_dir):
     batch = duplicate_batch(spark, sf_dir)

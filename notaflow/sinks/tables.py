@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .. import config as C
+from ..functions.exprs import document_variant
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -37,12 +38,16 @@ def stamp_raw_defaults(df: DataFrame) -> DataFrame:
                           if "hash_linha" in out.columns else digest)
 
 
-def append_raw(df: DataFrame, path: str, partition_by: Sequence[str] = ("arquivo_tipo",)) -> None:
+def append_raw(df: DataFrame, path: str, partition_by: Sequence[str] = ("arquivo_tipo",), variant: bool = False) -> None:
     """SNK-2 / SNK-6: append to the flexible raw table, partitioned for pruning
     and sorted inside partitions by the clustering keys (cnpj, date). Rows are
     rebalanced by partition: a type with most rows is written by as many tasks as its
-    size asks for."""
-    (stamp_raw_defaults(df)
+    size asks for. With ``variant`` the document is parsed here, once, into a Variant
+    column ``documento`` that staging then reads in place of the text."""
+    rows = stamp_raw_defaults(df)
+    if variant:
+        rows = rows.withColumn(C.VARIANT_COLUMN, document_variant("dados_json"))
+    (rows
      .hint("rebalance", *[F.col(c) for c in partition_by])
      .sortWithinPartitions("cnpj", "data_emissao")
      .write.mode("append").partitionBy(*partition_by).parquet(path))
@@ -90,3 +95,56 @@ def clustered_layout(df: DataFrame, partition_cols: Sequence[str], cluster_cols:
     return out.sortWithinPartitions(*keys)
 
 
+#: Bits of each key's rank in an interleaved layout: 64 ranges of each key.
+Z_BITS = 6
+
+
+def range_bounds(df: DataFrame, col: str, ranges: int) -> list:
+    """Values that cut the column into about equal ranges of rows: the least value of each
+    of Spark's own range partitions, so any ordered type does. At most ``ranges`` values
+    reach the driver; of a column of nulls none."""
+    parts = df.select(F.col(col).alias("v")).where("v IS NOT NULL").repartitionByRange(ranges, "v")
+    least = parts.groupBy(F.spark_partition_id().alias("p")).agg(F.min("v").alias("v"))
+    return sorted({r.v for r in least.collect()})[1:]
+
+
+def range_rank(value: Column, bounds: Sequence) -> Column:
+    """How many of the ascending bounds are not above the value (null: 0), by halving."""
+    if not bounds:
+        return F.lit(0)
+    mid = len(bounds) // 2
+    above = range_rank(value, bounds[mid + 1:]) + F.lit(mid + 1)
+    return F.when(value >= F.lit(bounds[mid]), above).otherwise(range_rank(value, bounds[:mid]))
+
+
+def interleave(ranks: Sequence[Column], bits: int = Z_BITS) -> Column:
+    """The ranks' bits dealt in turn into one number, the highest first (a Z-order)."""
+    z = F.lit(0).cast("long")
+    for b in range(bits):
+        for i, r in enumerate(ranks):
+            bit = F.shiftright(r, b).bitwiseAND(F.lit(1)).cast("long")
+            z = z.bitwiseOR(F.shiftleft(bit, b * len(ranks) + len(ranks) - 1 - i))
+    return z
+
+
+def interleaved_layout(df: DataFrame, cluster_cols: Sequence[str], num_partitions: int | None = None,
+                       bits: int = Z_BITS) -> DataFrame:
+    """SNK-6 for several keys alike: rows in Z-order of the keys' ranks, so each file holds
+    a narrow range of every key and its minimum and maximum skip it on any of them (a sort
+    by one key after the other helps the first only). Rows of one cell, of one hot
+    key too, are split further by the keys and a hash of the row."""
+    ranks = [range_rank(F.col(c), range_bounds(df, c, 1 << bits)) for c in cluster_cols]
+    z = interleave(ranks, bits)
+    hashable = [f.name for f in df.schema if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
+    order = [z, *[F.col(c) for c in cluster_cols], F.xxhash64(*hashable)]
+    out = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    return out.sortWithinPartitions(*order[:-1])
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
+    """SNK-6: a table in buckets by hash of the key, sorted by it, at a shared path: tables
+    with as many buckets join on the key without an exchange. All rows of a key lie in
+    one bucket, and a bucket is read by one task: a fact with a hot key goes through a rollup first."""
+    (df.repartition(buckets, key).write.mode("overwrite").option("path", path)
+       .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+    return df.sparkSession.table(table)
