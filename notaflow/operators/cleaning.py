@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.exprs import blank_to_null, lenient_date, lenient_timestamp, parse_float, strip_ws
+from ..functions.exprs import blank_to_null, lenient_date, lenient_timestamp, parse_float, round_half_away, strip_ws
 from ..functions.text import classify_file, clean_cell, normalize_header
 from .common import settle
 
@@ -240,19 +240,38 @@ def file_profile(cells: DataFrame, date_column: str | None = None) -> DataFrame:
                       .otherwise(F.lit("vazio")).alias("status"))
 
 
-def load_typed(typed: DataFrame, path: str, quarantine: str) -> dict:
+def load_typed(typed: DataFrame, path: str, quarantine: str, lot: str | None = None) -> dict:
     """SNK-1 + RPT-1: append typed rows; rows with a value that failed its
     type go to a quarantine table instead. Counts come from ``observe``
     (gathered while writing, no extra pass). Needs ``typed_rows(...,
-    with_errors=True)``."""
+    with_errors=True)``. With ``lot`` both outputs are written under that name: a load that
+    runs again replaces its own rows (read the tables with ``lots.read_store``)."""
     from pyspark.sql import Observation
+
+    from ..sinks import lots
     ok_obs, bad_obs = Observation("inseridas"), Observation("erros")
     typed = typed.checkpoint()  # coerce once, then split good / bad rows
     good = typed.filter(F.col("__erros") == 0).drop("__erros").observe(ok_obs, F.count(F.lit(1)).alias("n"))
-    bad = typed.filter(F.col("__erros") > 0).observe(bad_obs, F.count(F.lit(1)).alias("n"))
-    good.write.mode("append").parquet(path)
-    bad.write.mode("append").parquet(quarantine)
+    bad = typed.filter(F.col("__erros") > 0)
+    bad = (bad.withColumnRenamed("__erros", "valores_invalidos") if lot else bad).observe(bad_obs, F.count(F.lit(1)).alias("n"))
+    if lot:
+        lots.write_lot(good, f"{path}/dados", lot)
+        lots.write_lot(bad, f"{quarantine}/dados", lot)
+    else:
+        good.write.mode("append").parquet(path)
+        bad.write.mode("append").parquet(quarantine)
     inserted, errors = ok_obs.get["n"], bad_obs.get["n"]
     total = inserted + errors
     return {"linhas": total, "inseridas": inserted, "erros": errors,
             "taxa_sucesso_pct": round(inserted * 100.0 / total, 1) if total else 0.0}
+
+
+def typed_load_report(good: DataFrame, bad: DataFrame) -> DataFrame:
+    """RPT-1 by file over the two tables of a typed load: rows, those stored, those kept
+    back, values that failed their type, and the share stored in percent."""
+    rows = good.select("arquivo_nome", F.lit(0).alias("__e")).unionByName(
+        bad.select("arquivo_nome", F.col("valores_invalidos").alias("__e")))
+    g = rows.groupBy("arquivo_nome").agg(
+        F.count(F.lit(1)).alias("linhas"), F.count(F.when(F.col("__e") == 0, 1)).alias("inseridas"),
+        F.count(F.when(F.col("__e") > 0, 1)).alias("erros"), F.sum("__e").alias("valores_invalidos"))
+    return g.withColumn("taxa_sucesso_pct", round_half_away(F.col("inseridas").cast("double") * 100 / F.col("linhas"), 1))

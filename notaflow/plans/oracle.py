@@ -1071,3 +1071,26 @@ ORACLES["customer_months"] = "WITH " + DIM + """
 SELECT d.cliente_key, d.cnpj, d.status_cliente, d.segmento_valor, year(b.data_emissao) AS ano, month(b.data_emissao) AS mes,
   COUNT(*) AS total_notas, CAST(SUM(CAST(b.valor_liquido AS DECIMAL(38,9))) AS DOUBLE) AS faturamento_total
 FROM stg_billing b JOIN dim d ON b.cnpj = d.cnpj WHERE b.cnpj <> '' GROUP BY ALL"""
+
+# ------------------------------------------------------------- typed load, daily report
+_TEXT = "NULLIF(NULLIF({x}, ''), 'nan')"
+_DAY = _date_sql("trim(NULLIF(NULLIF(d, ''), 'nan'))")
+_TYPED = COERCE_TYPES.replace("SELECT arquivo_nome, aba_nome, linha,\n  " + _TXT.format(x="a"), """, x AS (
+SELECT w.arquivo_nome, aba_nome, linha, d, e, f,
+  """ + _TXT.format(x="a")).replace("CAST(NULL AS VARCHAR) AS observacao", """CAST(NULL AS VARCHAR) AS observacao,
+  """ + _DAY.removeprefix("CAST(").removesuffix(" AS DATE)") + " AS emitido_em") + f"""),
+y AS (SELECT *,
+  2 * CASE WHEN {_TEXT.format(x='d')} IS NOT NULL AND data_emissao IS NULL THEN 1 ELSE 0 END
+  + CASE WHEN {_TEXT.format(x='e')} IS NOT NULL AND valor_liquido IS NULL THEN 1 ELSE 0 END
+  + CASE WHEN {_TEXT.format(x='f')} IS NOT NULL AND honorarios IS NULL THEN 1 ELSE 0 END AS valores_invalidos FROM x)
+"""
+ORACLES["typed_load"] = _TYPED + f"""SELECT * EXCLUDE (d, e, f, valores_invalidos), 'cliente padrao' AS cliente_nome,
+  {AS_OF} AS data_processamento, 'google_drive' AS origem_arquivo, {_class_sql('arquivo_nome')} AS tipo_arquivo
+FROM y WHERE valores_invalidos = 0"""
+ORACLES["typed_quarantine"] = _TYPED + "SELECT arquivo_nome, aba_nome, linha, valores_invalidos FROM y WHERE valores_invalidos > 0"
+ORACLES["typed_report"] = _TYPED + """SELECT arquivo_nome, COUNT(*) AS linhas, COUNT(*) FILTER (WHERE valores_invalidos = 0) AS inseridas,
+  COUNT(*) FILTER (WHERE valores_invalidos > 0) AS erros, CAST(SUM(valores_invalidos) AS BIGINT) AS valores_invalidos,
+  floor(CAST(COUNT(*) FILTER (WHERE valores_invalidos = 0) AS DOUBLE) * 100 / COUNT(*) * 10 + 0.5) / 10 AS taxa_sucesso_pct
+FROM y GROUP BY arquivo_nome"""
+ORACLES["report_kpis"] = EXECUTIVE_KPIS
+ORACLES["report_opportunities"] = TOP_OPPORTUNITIES

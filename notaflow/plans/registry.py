@@ -679,6 +679,66 @@ QUERIES.update({"landed_staging": q_landed_staging, "routed_documents": q_routed
                 "file_ledger": q_file_ledger, "run_report": q_run_report})
 
 
+# ---------------------------------------------------------------- typed load, daily report
+TYPED_TARGET = (*BILLING_TARGET, ("emitido_em", "DATETIME", "Data_Emissao"))
+LOAD_CLIENT = "cliente padrao"
+
+
+def _typed_load(spark, sf_dir) -> tuple[str, str]:
+    """(typed table, quarantine) after a load of all sheets that ran twice, as a retry does."""
+    key = (spark.sparkContext.applicationId, sf_dir, "typed_load")
+    if key not in _STORED:
+        from ..session import delete_at_exit, scratch_path
+        good, bad = scratch_path(spark, "typed"), scratch_path(spark, "typed_bad")
+        typed = cleaning.typed_rows(cleaning.clean_cells(cells(spark, sf_dir)), TYPED_TARGET, with_errors=True)
+        for _ in range(2):
+            cleaning.load_typed(cleaning.stamp(typed, AS_OF, LOAD_CLIENT), good, bad, f"carga-{AS_OF}")
+        for path in (good, bad):
+            delete_at_exit(spark, path)
+        _STORED[key] = (good, bad)
+    return _STORED[key]
+
+
+def q_typed_load(spark, sf_dir):
+    """SNK-1, CLN-10, COE-5: the rows that passed their types, with the load's stamps."""
+    return _wall_clock(lots.read_store(spark, _typed_load(spark, sf_dir)[0]), "emitido_em")
+
+
+def q_typed_quarantine(spark, sf_dir):
+    bad = lots.read_store(spark, _typed_load(spark, sf_dir)[1])
+    return bad.select("arquivo_nome", "aba_nome", "linha", "valores_invalidos")
+
+
+def q_typed_report(spark, sf_dir):
+    good, bad = (lots.read_store(spark, path) for path in _typed_load(spark, sf_dir))
+    return cleaning.typed_load_report(good, bad)
+
+
+def _daily_report(spark, sf_dir) -> str:
+    """Where the day's report lies, written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, "daily_report")
+    if key not in _STORED:
+        from ..session import delete_at_exit, scratch_path
+        path = scratch_path(spark, "relatorio")
+        dim = _dim(spark, sf_dir).withColumn("faturamento_total", F.col("faturamento_total") * 1000)  # as q_top_opportunities
+        scoring.daily_report(q_executive_kpis(spark, sf_dir), scoring.client_score(dim), path)
+        delete_at_exit(spark, path)
+        _STORED[key] = path
+    return _STORED[key]
+
+
+def q_report_kpis(spark, sf_dir):
+    return spark.read.parquet(f"{_daily_report(spark, sf_dir)}/kpis")
+
+
+def q_report_opportunities(spark, sf_dir):
+    return spark.read.parquet(f"{_daily_report(spark, sf_dir)}/oportunidades")
+
+
+QUERIES.update({"typed_load": q_typed_load, "typed_quarantine": q_typed_quarantine, "typed_report": q_typed_report,
+                "report_kpis": q_report_kpis, "report_opportunities": q_report_opportunities})
+
+
 # ---------------------------------------------------------------- layouts (SNK-2, SNK-6)
 from ..sinks.tables import interleaved_layout, write_bucketed  # noqa: E402
 
