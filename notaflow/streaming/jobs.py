@@ -232,7 +232,11 @@ def stream_invoice_load(spark: SparkSession, docs_folder: str, docs_schema: Stru
     stream = file_stream(spark, docs_folder, docs_schema, max_files=max_files)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        scanned = xml_source.scan_responses(df).persist()  # each document is read once
+        # Each document is read once; what is kept of it is its notes, and its text if it is bad.
+        scanned = xml_source.scan_responses(df)
+        text = F.when(F.col("_corrupt_record").isNotNull(), F.col("xml")).alias("xml")
+        kept = [text if c == "xml" else F.col(c) for c in df.columns] if quarantine else []
+        scanned = scanned.select(*kept, "notas", "_corrupt_record").persist()
         notes = xml_source.notes_of(scanned, as_of, salvage=salvage).select("*", loading.issue_month())
         loading.append_new(notes, store_path, "hash_nfse", loading.MONTH)
         if quarantine:
