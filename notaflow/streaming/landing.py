@@ -122,7 +122,8 @@ def ingest_stream(stream: DataFrame, raw_path: str, checkpoint: str, ledger_path
 
     def batch(df: DataFrame, batch_id: int) -> None:
         lot = lots.lot_name(checkpoint, batch_id)
-        cells = files.decode_workbooks(df).persist()
+        # A workbook is read by one task; those of a file of many are dealt out first.
+        cells = files.decode_workbooks(df.repartition(df.sparkSession.sparkContext.defaultParallelism)).persist()
         store_cells(cells, raw_path, lot, f"lote-{batch_id}")
         if ledger_path:
             lots.append_once(_keyed(ledger_rows(df, cells), FILE_KEY), ledger_path, _KEY, lot)
