@@ -54,6 +54,50 @@ def test_interleaved_layout_of_hot_keys_nulls_and_nothing(spark):
     assert tables.interleaved_layout(same, ("k", "d"), 4).count() == 100
 
 
+def test_interleaved_rows_are_shuffled_compressed(spark, tmp_path):
+    """No wide row is shuffled alone: blocks of many rows are, and none is lost, whatever its types."""
+    df = spark.range(20_000, numPartitions=4).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("h"), (F.col("id") % 90).cast("string").alias("k"),
+        F.when(F.col("id") % 7 > 0, F.date_add(F.lit("2020-01-01"), (F.col("id") % 300).cast("int"))).alias("d"),
+        (F.col("id") - 9999).cast("decimal(18,2)").alias("v"), (F.col("id") * -3).cast("decimal(38,4)").alias("w"),
+        F.lit(None).cast("string").alias("leer"), F.lit("x").alias("x"), F.array(F.col("id")).alias("a"),
+        F.timestamp_seconds(F.col("id")).alias("t"), F.col("id").cast("double").alias("f"), F.encode(F.col("id").cast("string"), "utf-8").alias("b"),
+        F.struct("id", F.lit(None).cast("int").alias("n")).alias("s"))
+    out = tables.interleaved_layout(df, ("k", "d"), 6)
+    assert out.schema.simpleString() == df.schema.simpleString()
+    p = plan(out)
+    assert "RangePartitioning" not in p and "rangepartitioning" not in p and p.count("MapInArrow") == 2
+    key = F.xxhash64(*df.columns)
+    out.write.parquet(path := str(tmp_path / "z"))
+    assert len(glob.glob(f"{path}/*.parquet")) == 6
+    back = spark.read.parquet(path)
+    assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty() and back.select(key).distinct().count() == 20_000
+
+
+def test_files_of_a_layout_are_bounded(spark, monkeypatch):
+    """Files follow the rows: a sort within one never grows with the table. A hot cell is split."""
+    monkeypatch.setattr(tables, "FILE_ROWS", 500)
+    monkeypatch.setattr(tables, "SMALL_ROWS", 500)
+    df = spark.range(10_000).select(F.when(F.col("id") % 3 > 0, F.lit("quente")).otherwise(F.col("id").cast("string")).alias("k"),
+                                    F.lit(None).cast("date").alias("d"), "id")
+    sizes = [r["count"] for r in tables.interleaved_layout(df, ("k", "d")).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 10_000 and len(sizes) == 20 and max(sizes) < 1000
+
+
+def test_cells_keep_together(spark):
+    place, spread = tables.cell_files({0: 10, 2: 30, 3: 10}, 5)  # files of 10 rows
+    assert spread == [0, 0, 30, 0] and [p * 5 // 50 for p in place] == [0, 1, 1, 4]
+
+
+def test_ranges_are_cut_without_a_shuffle_of_all_rows(spark):
+    """A few of a task's sorted values stand for the others; ranges stay about equal."""
+    df = spark.range(64_000, numPartitions=8).select(F.xxhash64("id").alias("v"))
+    bounds = tables.range_bounds(df, "v", 16)
+    assert 14 <= len(bounds) <= 15
+    sizes = [r["count"] for r in df.groupBy(tables.range_rank(F.col("v"), bounds)).count().collect()]
+    assert max(sizes) < 2 * 64_000 / 16
+
+
 def test_interleave_deals_bits_in_turn(spark):
     rows = [(a, b) for a in range(8) for b in range(8)]
     got = spark.createDataFrame(rows, "a int, b int").select("a", "b", tables.interleave([F.col("a"), F.col("b")], 3).alias("z")).collect()
