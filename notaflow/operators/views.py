@@ -126,16 +126,15 @@ def geo_expansion(inv: DataFrame, as_of: str, rules: Rules = RULES) -> DataFrame
 # ------------------------------------------------------------------ KPI-1..7
 def executive_kpis(inv: DataFrame, rules: Rules = RULES) -> DataFrame:
     month = [F.year("data_emissao").cast("bigint").alias("ano"), F.month("data_emissao").cast("bigint").alias("mes")]
-    # Distinct counts in two levels, one branch each: no row is multiplied. Both
-    # branches read one exchange of (month, customer, item) sums.
-    fine = (inv.groupBy(*month, "tomador_cnpj", "item_lista_servico")
+    # Distinct counts in two levels, one branch each: no row is multiplied. The customers'
+    # sums are the one large exchange; items are far fewer a month and collapse in each task.
+    base = (inv.groupBy(*month, "tomador_cnpj")
             .agg(F.count(F.lit(1)).alias("_rows"), F.sum("valor_liquido").alias("_rec"),
                  F.count("valor_liquido").alias("_n"), _federal_sum().alias("_fed"), F.sum("valor_iss").alias("_iss")))
     sums = [F.sum(c).alias(c) for c in ("_rows", "_rec", "_n", "_fed", "_iss")]
-    base = (fine.groupBy("ano", "mes", "tomador_cnpj").agg(*sums)
-            .groupBy("ano", "mes").agg(F.count("tomador_cnpj").alias("clientes_unicos"), *sums)
+    base = (base.groupBy("ano", "mes").agg(F.count("tomador_cnpj").alias("clientes_unicos"), *sums)
             .withColumnRenamed("_rows", "nfses_emitidas"))
-    items = (fine.groupBy("ano", "mes", "item_lista_servico").agg(F.lit(1).alias("_one"))
+    items = (inv.select(*month, "item_lista_servico").distinct()
              .groupBy("ano", "mes").agg(F.count("item_lista_servico").alias("tipos_servico")))
     same = [base[c].eqNullSafe(items[c]) for c in ("ano", "mes")]
     base = base.join(items, same[0] & same[1]).select(base["*"], "tipos_servico")
