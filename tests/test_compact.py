@@ -61,3 +61,30 @@ def test_kpis_of_odd_rows(spark):
         *[zero.alias(f"valor_{x}") for x in ("pis", "cofins", "inss", "ir", "csll", "iss")])
     got = {(r.ano, r.mes): (r.nfses_emitidas, r.clientes_unicos, r.tipos_servico, r.receita_liquida) for r in views.executive_kpis(inv).collect()}
     assert got == {(2024, 1): (3, 1, 2, 8.0), (2024, 2): (1, 1, 0, None), (None, None): (1, 1, 1, 3.0)}
+
+
+ROWS = [("a", 2, "x"), ("a", 1, "y"), ("a", 1, None), ("b", 5, "x"), (None, 4, "x"), (None, 3, "x"), ("c", None, "x"), ("c", 7, "x"), ("s", 9, "x"), ("s", 8, "x"), ("t", 1, "x")]
+
+
+@pytest.mark.parametrize("stored", [[], ["s", "t", "z", "s", None]])
+def test_new_rows_packed_are_the_new_rows(spark, stored):
+    batch = spark.createDataFrame(ROWS * 3 + [(f"k{i % 700}", i, "w") for i in range(3000)], "k string, v int, w string").repartition(3)
+    keys = spark.createDataFrame([(k,) for k in stored], "k string")
+    got, want = loading.new_rows_packed(batch, keys, "k"), loading.new_rows(batch, keys, "k")
+    assert got.columns == want.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert loading.new_rows_packed(batch.limit(0), keys, "k").count() == 0
+
+
+def test_first_of_each_over_batches():
+    import pyarrow as pa
+    rows = pa.table({"k": [None, None, "a", "a", "b", "b", "b", "c"], "n": range(8), "__known": [False, False, False, False, True, False, False, False]})
+    for size in (1, 2, 3, 8):
+        out = loading.first_of_each("k")(rows.to_batches(size))
+        assert [n for b in out for n in b.column(1).to_pylist()] == [0, 2, 7]
+
+
+def test_wide_rows_of_a_load_are_shuffled_packed(spark):
+    with set_while(spark, {"spark.sql.adaptive.enabled": "false"}):
+        p = plan(R.q_insert_if_absent(spark, SF))
+    assert not [x for x in p.split("\n") if "Exchange hashpartitioning" in x and "discriminacao" in x] and "SortMergeJoin" not in p and "min(struct" not in p
